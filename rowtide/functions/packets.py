@@ -82,12 +82,17 @@ def packet_struct(seq: Column, action: Column, data: Column | None, restriction:
 
 
 def map_of(columns: dict[str, Column], presence: dict[str, Column] | None = None) -> Column:
-    """MAP<STRING,STRING> from named values; a column whose presence flag is false is left out."""
-    entries = []
+    """MAP<STRING,STRING> from named values; a column whose presence flag is false is left out.
+
+    Built with ``map_concat`` of conditional one-entry maps: no lambda, so it stays in codegen.
+    """
+    empty = F.create_map().cast("map<string,string>")
+    parts = []
     for name, value in columns.items():
-        entries.append(F.struct(F.lit(name).alias("k"), to_text(value).alias("v"), (presence or {}).get(name, F.lit(True)).alias("p")))
-    arr = F.filter(F.array(*entries), lambda e: e["p"])
-    return F.map_from_entries(F.transform(arr, lambda e: F.struct(e["k"], e["v"])))
+        entry = F.create_map(F.lit(name), to_text(value))
+        flag = (presence or {}).get(name)
+        parts.append(entry if flag is None else F.when(flag, entry).otherwise(empty))
+    return F.map_concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def encode(df: DataFrame, column: str = "packet") -> Column:

@@ -24,7 +24,7 @@ from rowtide.functions.packets import dp, dv, rp, rv
 from rowtide.operators.align import _all, _any, prepare
 from rowtide.operators.fold import DEFAULT_SPAN, fold
 from rowtide.operators.keys import allocate_keys, enrich_keys
-from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, reuse
 
 OUTCOMES = ("inserted", "updated", "deleted", "noop", "rejected", "quarantined")
 # Reasons that only ever reject an insert (an integrity error in the reference): rejected, counted.
@@ -187,6 +187,9 @@ def apply_changes(
     key = list(contract.primary_key)
     if prepared is None:
         prepared = prepare(packets, contract, strict_restrictions)
+    # Parsed once, read by every tier branch below (and a barrier against pushing the routing
+    # predicates into the packet parsing, which would repeat it per predicate).
+    prepared = reuse(prepared)
     extras = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
     carry = ["data", "restriction", *extras]
     if contract.foreign_keys and parents:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +57,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a result that several branches of a plan read (memory, spilling to disk).
+
+    Lost blocks are recomputed from lineage, so a lost executor costs time, not the job.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: writes to the shared checkpoint folder, cuts lineage, survives executor loss."""
+    """Reliable checkpoint: writes to the shared checkpoint folder and cuts lineage.
+
+    Used between iterations / micro-batches whose lineage would otherwise grow. The input is
+    persisted first so it is computed once, not once for the count and once for the write.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = reuse(df)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -84,11 +100,12 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Materialise ``df`` and broadcast it only if its measured size is at most ``max_bytes``.
+    """Broadcast ``df`` only if its measured size is at most ``max_bytes``.
 
-    Beyond the bound the plain DataFrame is returned and Spark plans a shuffle join.
+    ``df`` is persisted and measured with one aggregate job (the same job fills the cache that the
+    join then reads). Beyond the bound the plain DataFrame is returned and Spark plans a shuffle join.
     """
-    df = materialize(df)
+    df = reuse(df)
     if measured_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
