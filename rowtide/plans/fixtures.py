@@ -83,3 +83,54 @@ def accounts_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(a.isin("update", "delete"), restriction).alias("restriction"),
         "ts",
     )
+
+
+# ------------------------------------------------------------------ lines (composite key, partial-key packets)
+LINES = TableContract(
+    name="lines",
+    columns=(("l_orderkey", "bigint"), ("l_linenumber", "int"), ("tax", "double")),
+    primary_key=("l_orderkey", "l_linenumber"),
+    required=frozenset({"tax"}),
+)
+LINE_ADDED = 3  # line number missing from the base, added back by full-key sets
+LINE_ADD_PRIORITIES = ("1-URGENT", "2-HIGH")
+LINE_FLAT_PRIORITY = "5-LOW"
+LINE_FLAT_TAX = 0.25
+LINE_ADDED_TAX = 0.01
+
+
+def lines_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return (
+        li.groupBy("l_orderkey", "l_linenumber")
+        .agg(F.min("l_tax").alias("tax"))
+        .where(F.col("l_linenumber") != LINE_ADDED)
+        .select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"), "tax")
+    )
+
+
+def lines_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: (0) full-key set of line 3 for urgent/high orders; (1) a packet naming only the
+    order (F: delete, P: update tax, O: set tax); (2) a flat-tax set naming only the order for low
+    priority orders. seq = o_orderkey * 10 + i."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    add_line = o.where(F.col("o_orderpriority").isin(*LINE_ADD_PRIORITIES)).select(
+        (key * 10).alias("seq"), F.lit("set").alias("action"),
+        map_of({"l_orderkey": key, "l_linenumber": F.lit(LINE_ADDED), "tax": F.lit(LINE_ADDED_TAX)}).alias("data"),
+        F.lit(None).cast("map<string,string>").alias("restriction"),
+    )
+    st = F.col("o_orderstatus")
+    action = F.when(st == "F", "delete").when(st == "P", "update").otherwise("set")
+    by_order = o.select(
+        (key * 10 + 1).alias("seq"), action.alias("action"),
+        F.when(st == "P", map_of({"tax": F.col("o_totalprice")}))
+        .when(st == "O", map_of({"l_orderkey": key, "tax": F.col("o_totalprice")})).alias("data"),
+        F.when(st != "O", map_of({"l_orderkey": key})).alias("restriction"),
+    )
+    flat = o.where(F.col("o_orderpriority") == LINE_FLAT_PRIORITY).select(
+        (key * 10 + 2).alias("seq"), F.lit("set").alias("action"),
+        map_of({"l_orderkey": key, "tax": F.lit(LINE_FLAT_TAX)}).alias("data"),
+        F.lit(None).cast("map<string,string>").alias("restriction"),
+    )
+    return add_line.unionByName(by_order).unionByName(flat)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from rowtide.plans.fixtures import ACCOUNT_SEGMENTS_IN_BASE, DEFAULT_SEGMENT
+from rowtide.plans.fixtures import (
+    ACCOUNT_SEGMENTS_IN_BASE, DEFAULT_SEGMENT, LINE_ADD_PRIORITIES, LINE_ADDED, LINE_ADDED_TAX, LINE_FLAT_PRIORITY, LINE_FLAT_TAX,
+)
 
 MIN_SEQ = "(-9223372036854775807 - 1)"
 
@@ -40,7 +42,7 @@ ACCOUNTS_LOG_SQL = """
 SELECT event_id AS seq,
        CASE event_type WHEN 'signup' THEN 'add' WHEN 'click' THEN 'set' WHEN 'purchase' THEN 'set'
                        WHEN 'view' THEN 'update' WHEN 'error' THEN 'delete' END AS action,
-       ts, user_id,
+       ts, user_id, TRUE AS key_ok,
        event_type IN ('signup', 'click', 'view') AS p_value,
        value AS v_value,
        (event_type = 'purchase' OR (event_type = 'signup' AND value >= 50)) AS p_segment,
@@ -76,7 +78,7 @@ cl AS (
     CASE WHEN action = 'add' AND NOT {nn_null} AND NOT {nn_missing} THEN 'ins'
          WHEN action = 'add' THEN 'add_bad'
          WHEN action = 'set' AND {nn_null} THEN 'halt'
-         WHEN action = 'set' AND {nn_missing} THEN 'upd_only'
+         WHEN action = 'set' AND ({nn_missing} OR NOT key_ok) THEN 'upd_only'
          WHEN action = 'set' THEN 'ins'
          WHEN action = 'update' AND {nn_null} THEN 'halt'
          WHEN action = 'update' THEN 'upd'
@@ -102,7 +104,7 @@ oc AS (
          ELSE 'noop' END AS outcome,
     CASE WHEN cls = 'add_bad' THEN 'not_null'
          WHEN cls = 'ins' AND action = 'add' AND live THEN 'duplicate_key'
-         WHEN cls = 'upd_only' AND NOT live THEN 'not_null'
+         WHEN cls = 'upd_only' AND NOT live THEN CASE WHEN {nn_missing} THEN 'not_null' ELSE 'partial_key' END
          WHEN cls = 'halt' AND (live OR action = 'set') THEN 'not_null' END AS reason
   FROM lb),
 sm AS (
@@ -140,6 +142,40 @@ def _only(log_sql: str, actions: tuple[str, ...]) -> str:
     return f"SELECT * FROM ({log_sql}) WHERE action IN ({_in_list(actions)})"
 
 
+LINES_SPEC = FoldSpec(key=["l_orderkey", "l_linenumber"], cols=["tax"], not_null=["tax"])
+
+LINES_BASE_SQL = f"""
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INT) AS l_linenumber, min(l_tax) AS tax
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING l_linenumber <> {LINE_ADDED}
+"""
+
+# packets: seq, action, l_orderkey (given), full (whole key given), l_linenumber, p_tax, v_tax
+LINES_PACKETS_SQL = f"""
+SELECT o_orderkey * 10 AS seq, 'set' AS action, o_orderkey AS l_orderkey, TRUE AS full_key,
+       {LINE_ADDED} AS l_linenumber, TRUE AS p_tax, CAST({LINE_ADDED_TAX} AS DOUBLE) AS v_tax
+FROM orders WHERE o_orderpriority IN ({_in_list(LINE_ADD_PRIORITIES)})
+UNION ALL
+SELECT o_orderkey * 10 + 1, CASE o_orderstatus WHEN 'F' THEN 'delete' WHEN 'P' THEN 'update' ELSE 'set' END,
+       o_orderkey, FALSE, NULL, o_orderstatus <> 'F', o_totalprice
+FROM orders
+UNION ALL
+SELECT o_orderkey * 10 + 2, 'set', o_orderkey, FALSE, NULL, TRUE, CAST({LINE_FLAT_TAX} AS DOUBLE)
+FROM orders WHERE o_orderpriority = '{LINE_FLAT_PRIORITY}'
+"""
+
+# effects: full-key packets as they are; partial ones joined with the key universe on l_orderkey
+LINES_EFFECTS_SQL = f"""
+WITH pk AS ({LINES_PACKETS_SQL}),
+universe AS (
+  SELECT l_orderkey, l_linenumber FROM ({LINES_BASE_SQL})
+  UNION SELECT l_orderkey, l_linenumber FROM pk WHERE full_key AND p_tax AND v_tax IS NOT NULL)
+SELECT seq, action, l_orderkey, l_linenumber, TRUE AS key_ok, p_tax, v_tax FROM pk WHERE full_key
+UNION ALL
+SELECT p.seq, p.action, u.l_orderkey, u.l_linenumber, FALSE, p.p_tax, p.v_tax
+FROM pk p JOIN universe u ON u.l_orderkey = p.l_orderkey WHERE NOT p.full_key
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     A, B, L = ACCOUNTS_SPEC, ACCOUNTS_BASE_SQL, ACCOUNTS_LOG_SQL
     q = {
@@ -158,4 +194,15 @@ def oracle_sql() -> dict[str, str]:
 SELECT seq, user_id, v_value AS value, CASE WHEN p_segment THEN v_segment ELSE '{DEFAULT_SEGMENT}' END AS segment
 FROM oc WHERE outcome = 'inserted'""",
     }
+    LS, LB, LE = LINES_SPEC, LINES_BASE_SQL, LINES_EFFECTS_SQL
+    q["apply_partial_log"] = fold_table_sql(LS, LB, LE)
+    q["restrict_partial_key"] = fold_outcomes_sql(
+        LS, LB, LE, "seq, l_orderkey, l_linenumber, outcome", "NOT key_ok AND outcome IN ('updated', 'deleted')"
+    )
+    q["apply_set_partial"] = f"""WITH pk AS ({LINES_PACKETS_SQL}),
+agg AS ({fold_outcomes_sql(LS, LB, LE, "seq, outcome", "NOT key_ok")})
+SELECT p.seq, CASE WHEN count(a.seq) FILTER (WHERE a.outcome = 'updated') > 0 THEN 'updated' ELSE 'rejected' END AS outcome,
+       count(a.seq) FILTER (WHERE a.outcome = 'updated') AS rows
+FROM pk p LEFT JOIN agg a ON a.seq = p.seq
+WHERE p.action = 'set' AND NOT p.full_key GROUP BY p.seq"""
     return q

@@ -80,6 +80,31 @@ def fill_defaults(spark, sf):
     )
 
 
+def _lines(spark, sf):
+    return apply_changes(fx.lines_base(spark, sf), fx.lines_log(spark, sf), fx.LINES)
+
+
+def apply_partial_log(spark, sf):
+    """Ordered log mixing full-key and partial-key packets on a composite key."""
+    return _lines(spark, sf).table
+
+
+def restrict_partial_key(spark, sf):
+    """rows hit by packets that name only part of the composite key."""
+    e = _lines(spark, sf).effects
+    return e.where((F.col("match_kind") == "pk_partial") & F.col("outcome").isin("updated", "deleted")).select(
+        "seq", "l_orderkey", "l_linenumber", "outcome"
+    )
+
+
+def apply_set_partial(spark, sf):
+    """Partial-key sets update every live matching row; none -> rejected (the insert lacks the key)."""
+    o = _lines(spark, sf).outcomes
+    return o.where((F.col("action") == "set") & (F.col("match_kind") == "pk_partial")).select(
+        "seq", "outcome", F.col("rows").cast("long").alias("rows")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -92,4 +117,7 @@ def queries() -> dict[str, Query]:
         "reject_not_null": reject_not_null,
         "restrict_full_key": restrict_full_key,
         "fill_defaults": fill_defaults,
+        "apply_partial_log": apply_partial_log,
+        "restrict_partial_key": restrict_partial_key,
+        "apply_set_partial": apply_set_partial,
     }
