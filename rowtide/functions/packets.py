@@ -98,3 +98,28 @@ def map_of(columns: dict[str, Column], presence: dict[str, Column] | None = None
 def encode(df: DataFrame, column: str = "packet") -> Column:
     """JSON text of a packet struct column; explicit nulls are kept (``ignoreNullFields=false``)."""
     return F.to_json(F.col(column), JSON_OPTIONS)
+
+
+# ---------------------------------------------------------------- client verbs (build packets from a frame)
+def packets_add(df: DataFrame, seq: Column, columns: list[str] | None = None) -> DataFrame:
+    """``add`` per row, data = the given (default: all) columns."""
+    cols = columns or df.columns
+    return df.select(packet_struct(seq, F.lit("add"), map_of({c: F.col(c) for c in cols}), None).alias("p")).select("p.*")
+
+
+def packets_upsert(df: DataFrame, seq: Column, columns: list[str] | None = None) -> DataFrame:
+    """``set`` (insert or update) per row."""
+    cols = columns or df.columns
+    return df.select(packet_struct(seq, F.lit("set"), map_of({c: F.col(c) for c in cols}), None).alias("p")).select("p.*")
+
+
+def packets_update(df: DataFrame, seq: Column, key: list[str], columns: list[str]) -> DataFrame:
+    """``update`` per row: restriction = key columns, data = ``columns``."""
+    return df.select(
+        packet_struct(seq, F.lit("update"), map_of({c: F.col(c) for c in columns}), map_of({k: F.col(k) for k in key})).alias("p")
+    ).select("p.*")
+
+
+def packets_delete(df: DataFrame, seq: Column, key: list[str]) -> DataFrame:
+    """``delete`` per row restricted by the key columns."""
+    return df.select(packet_struct(seq, F.lit("delete"), None, map_of({k: F.col(k) for k in key})).alias("p")).select("p.*")

@@ -134,3 +134,106 @@ def lines_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("map<string,string>").alias("restriction"),
     )
     return add_line.unionByName(by_order).unionByName(flat)
+
+
+# ------------------------------------------------------------------ order snapshots (capture)
+ORDERS = TableContract(
+    name="public.orders",
+    columns=(
+        ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+        ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
+    ),
+    primary_key=("o_orderkey",),
+    required=frozenset({"o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"}),
+)
+# new snapshot = old minus (5-LOW, F), price + 1 for (3-MEDIUM, O), plus copies of (1-URGENT, P) under new keys
+SNAP_DROP = ("5-LOW", "F")
+SNAP_CHANGE = ("3-MEDIUM", "O")
+SNAP_COPY = ("1-URGENT", "P")
+
+
+def snap_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(*[F.col(c).cast(t).alias(c) for c, t in ORDERS.columns])
+
+
+def snap_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = snap_old(spark, sf_dir)
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    kept = old.where(~((pr == SNAP_DROP[0]) & (st == SNAP_DROP[1]))).withColumn(
+        "o_totalprice",
+        F.when((pr == SNAP_CHANGE[0]) & (st == SNAP_CHANGE[1]), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+    )
+    offset = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))
+    copies = (
+        old.where((pr == SNAP_COPY[0]) & (st == SNAP_COPY[1])).withColumn("__one", F.lit(1))
+        .join(F.broadcast(offset), "__one")
+        .withColumn("o_orderkey", F.col("o_orderkey") + F.col("__off"))
+        .drop("__one", "__off")
+    )
+    return kept.unionByName(copies)
+
+
+CUSTOMERS = TableContract(
+    name="public.customer",
+    columns=(("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"), ("c_mktsegment", "string")),
+    primary_key=("c_custkey",),
+)
+CUSTOMER_CHANGED_SEGMENT = "BUILDING"
+REGISTRY_ROWS = [("public", "orders", None, '["o_orderkey"]')]
+
+
+def customer_old(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(*[F.col(c).cast(t).alias(c) for c, t in CUSTOMERS.columns])
+
+
+def customer_new(spark, sf_dir):
+    c = customer_old(spark, sf_dir)
+    return c.withColumn(
+        "c_acctbal", F.when(F.col("c_mktsegment") == CUSTOMER_CHANGED_SEGMENT, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    )
+
+
+def capture_registry(spark: SparkSession) -> DataFrame:
+    """Capture registry: one row per captured table (configuration, not data)."""
+    return spark.createDataFrame(REGISTRY_ROWS, "schema_name string, table_name string, queue_name string, primary_key string")
+
+
+# ------------------------------------------------------------------ wire packets (JSON text)
+# Corruptions injected into the encoded accounts log, chosen by the event's props.k value.
+JSON_MALFORMED_K = 97
+JSON_UNKNOWN_ACTION_K = 89
+JSON_EMPTY_RESTRICTION_K = 83
+JSON_UNKNOWN_RESTRICTION_K = 79
+JSON_BAD_VALUE_K = 73
+UNKNOWN_ACTION = "merge"
+BAD_VALUE = "n/a"
+
+
+def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accounts log as JSON bodies (``pos``, ``body``), with malformed / unknown-action /
+    empty-restriction / unknown-restriction-column / bad-value packets mixed in."""
+    from rowtide.functions.packets import JSON_OPTIONS
+
+    ev = table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    log = accounts_log(spark, sf_dir).join(ev.withColumnRenamed("event_id", "seq"), "seq")
+    k, a = F.col("k"), F.col("action")
+    action = F.when(k == JSON_UNKNOWN_ACTION_K, F.lit(UNKNOWN_ACTION)).otherwise(a)
+    restriction = (
+        F.when((k == JSON_EMPTY_RESTRICTION_K) & a.isin("update", "delete"), F.create_map().cast("map<string,string>"))
+        .when((k == JSON_UNKNOWN_RESTRICTION_K) & (a == "update"),
+              F.map_concat(F.col("restriction"), F.create_map(F.lit("timestamp"), F.col("ts").cast("string"))))
+        .otherwise(F.col("restriction"))
+    )
+    data = F.when((k == JSON_BAD_VALUE_K) & a.isin("add", "set") & F.map_contains_key("data", "value"),
+                  F.map_concat(F.map_filter("data", lambda kk, v: kk != "value"), F.create_map(F.lit("value"), F.lit(BAD_VALUE)))
+                  ).otherwise(F.col("data"))
+    body = F.to_json(F.struct(F.col("seq"), action.alias("action"), data.alias("data"), restriction.alias("restriction")), JSON_OPTIONS)
+    body = F.when(k == JSON_MALFORMED_K, F.concat(F.lit("{not json "), F.col("seq").cast("string"))).otherwise(body)
+    return log.select(F.col("seq").alias("pos"), body.alias("body"))
+
+
+# ------------------------------------------------------------------ client verbs on a frame
+VERB_UPSERT_SEGMENT = "HOUSEHOLD"
+VERB_DELETE_SEGMENT = "AUTOMOBILE"
+VERB_UPDATE_SEGMENT = "BUILDING"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from rowtide.plans import fixtures as fx
 from rowtide.plans.fixtures import (
     ACCOUNT_SEGMENTS_IN_BASE, DEFAULT_SEGMENT, LINE_ADD_PRIORITIES, LINE_ADDED, LINE_ADDED_TAX, LINE_FLAT_PRIORITY, LINE_FLAT_TAX,
 )
@@ -176,6 +177,57 @@ FROM pk p JOIN universe u ON u.l_orderkey = p.l_orderkey WHERE NOT p.full_key
 """
 
 
+ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+SNAP_OLD_SQL = f"SELECT {ORDER_COLS} FROM orders"
+SNAP_NEW_SQL = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderpriority = '{fx.SNAP_CHANGE[0]}' AND o_orderstatus = '{fx.SNAP_CHANGE[1]}' THEN o_totalprice + 1
+            ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE NOT (o_orderpriority = '{fx.SNAP_DROP[0]}' AND o_orderstatus = '{fx.SNAP_DROP[1]}')
+UNION ALL
+SELECT o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders), o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderpriority = '{fx.SNAP_COPY[0]}' AND o_orderstatus = '{fx.SNAP_COPY[1]}'
+"""
+ORDER_IMAGES_SQL = f"""
+SELECT COALESCE(n.o_orderkey, o.o_orderkey) AS seq,
+       CASE WHEN o.o_orderkey IS NULL THEN 'INSERT' WHEN n.o_orderkey IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS op,
+       o.o_orderkey AS old_key, n.*
+FROM ({SNAP_OLD_SQL}) o FULL OUTER JOIN ({SNAP_NEW_SQL}) n ON o.o_orderkey = n.o_orderkey
+WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL
+   OR o.o_custkey IS DISTINCT FROM n.o_custkey OR o.o_orderstatus IS DISTINCT FROM n.o_orderstatus
+   OR o.o_totalprice IS DISTINCT FROM n.o_totalprice OR o.o_orderdate IS DISTINCT FROM n.o_orderdate
+   OR o.o_orderpriority IS DISTINCT FROM n.o_orderpriority
+"""
+
+# the encoded accounts log with its injected corruptions, flattened
+JSON_FLAT_SQL = f"""
+SELECT l.seq AS pos, l.*, CAST(json_extract(e.props, '$.k') AS INT) AS k,
+       CAST(json_extract(e.props, '$.k') AS INT) = {fx.JSON_MALFORMED_K} AS malformed
+FROM ({ACCOUNTS_LOG_SQL}) l JOIN events e ON e.event_id = l.seq
+"""
+JSON_VIEW_SQL = f"""
+SELECT pos, malformed,
+  CASE WHEN malformed THEN NULL ELSE seq END AS seq,
+  CASE WHEN malformed THEN NULL WHEN k = {fx.JSON_UNKNOWN_ACTION_K} THEN '{fx.UNKNOWN_ACTION}' ELSE action END AS action,
+  action AS orig_action,
+  NOT malformed AND action IN ('add', 'set') AS dp_user_id,
+  NOT malformed AND p_value AS dp_value,
+  NOT malformed AND p_segment AS dp_segment,
+  CASE WHEN NOT malformed AND p_segment THEN v_segment END AS d_segment,
+  NOT malformed AND k = {fx.JSON_BAD_VALUE_K} AND action IN ('add', 'set') AND p_value AS bad_value,
+  CASE WHEN NOT malformed AND p_value AND NOT (k = {fx.JSON_BAD_VALUE_K} AND action IN ('add', 'set')) THEN v_value END AS d_value,
+  CASE WHEN NOT malformed AND action IN ('add', 'set') THEN user_id END AS d_user_id,
+  NOT malformed AND action IN ('update', 'delete') AND NOT (k = {fx.JSON_EMPTY_RESTRICTION_K}) AS rp_user_id,
+  CASE WHEN malformed OR action IN ('add', 'set') THEN NULL
+       WHEN k = {fx.JSON_EMPTY_RESTRICTION_K} THEN 0
+       WHEN k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update' THEN 2 ELSE 1 END AS n_restriction,
+  CASE WHEN action = 'update' THEN 1 ELSE 0 END AS n_unknown_data,
+  CASE WHEN k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update' THEN 1 ELSE 0 END AS n_unknown_restriction,
+  k
+FROM ({JSON_FLAT_SQL})
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     A, B, L = ACCOUNTS_SPEC, ACCOUNTS_BASE_SQL, ACCOUNTS_LOG_SQL
     q = {
@@ -205,4 +257,48 @@ SELECT p.seq, CASE WHEN count(a.seq) FILTER (WHERE a.outcome = 'updated') > 0 TH
        count(a.seq) FILTER (WHERE a.outcome = 'updated') AS rows
 FROM pk p LEFT JOIN agg a ON a.seq = p.seq
 WHERE p.action = 'set' AND NOT p.full_key GROUP BY p.seq"""
+
+    q["capture_insert"] = f"""SELECT seq, 'add' AS action, CAST(NULL AS BIGINT) AS r_o_orderkey, {ORDER_COLS}
+FROM ({ORDER_IMAGES_SQL}) WHERE op = 'INSERT'"""
+    q["capture_update"] = f"""SELECT seq, 'update' AS action, old_key AS r_o_orderkey, {ORDER_COLS}
+FROM ({ORDER_IMAGES_SQL}) WHERE op = 'UPDATE'"""
+    q["capture_delete"] = f"""SELECT seq, 'delete' AS action, old_key AS r_o_orderkey FROM ({ORDER_IMAGES_SQL}) WHERE op = 'DELETE'"""
+    q["capture_diff"] = SNAP_NEW_SQL
+    q["route_changes"] = f"""SELECT 'public' AS schema_name, 'orders' AS table_name, seq, op, '/queue/public.orders' AS queue,
+       'o_orderkey' AS key_columns, CAST(NULL AS VARCHAR) AS reason FROM ({ORDER_IMAGES_SQL})
+UNION ALL
+SELECT 'public', 'customer', CAST(c_custkey AS BIGINT), 'UPDATE', NULL, NULL, 'missing_registry'
+FROM customer WHERE c_mktsegment = '{fx.CUSTOMER_CHANGED_SEGMENT}'"""
+    q["parse_packets"] = f"""SELECT pos, seq, action, d_value AS value, dp_segment AS has_segment, d_segment AS segment,
+       CASE WHEN rp_user_id THEN (SELECT NULL) END AS r_user_id_x, n_restriction FROM ({JSON_VIEW_SQL})"""
+    q["parse_packets"] = f"""SELECT pos, seq, action,
+       CASE WHEN dp_value AND NOT bad_value THEN d_value END AS value,
+       dp_segment AS has_segment, d_segment AS segment,
+       CASE WHEN rp_user_id THEN l.user_id END AS r_user_id, n_restriction
+FROM ({JSON_VIEW_SQL}) v JOIN events l ON l.event_id = v.pos"""
+    q["validate_packets"] = f"""SELECT pos, seq,
+  CASE WHEN malformed OR action NOT IN ('add', 'set', 'update', 'delete') THEN NULL
+       WHEN action IN ('add', 'set') THEN 'pk'
+       WHEN rp_user_id THEN 'pk' ELSE 'none' END AS match_kind,
+  CASE WHEN malformed THEN 'malformed'
+       WHEN action NOT IN ('add', 'set', 'update', 'delete') THEN 'unknown_action'
+       WHEN bad_value THEN 'bad_value'
+       WHEN action IN ('update', 'delete') AND n_restriction = 0 THEN 'empty_restriction'
+       WHEN action IN ('update', 'delete') AND n_unknown_restriction > 0 THEN 'unknown_column' END AS reject_reason
+FROM ({JSON_VIEW_SQL})"""
+    q["align_columns"] = f"""SELECT pos, dp_user_id AS dp__user_id, dp_value AS dp__value, dp_segment AS dp__segment,
+       d_segment AS d__segment, rp_user_id AS rp__user_id, n_unknown_data, n_unknown_restriction
+FROM ({JSON_VIEW_SQL}) WHERE NOT malformed"""
+    q["typed_values"] = f"""SELECT pos, d_user_id AS d__user_id, d_value AS d__value, bad_value
+FROM ({JSON_VIEW_SQL}) WHERE NOT malformed"""
+    q["encode_packets"] = f"""SELECT seq, action, p_segment AS has_segment, CASE WHEN p_segment THEN v_segment END AS segment,
+       CASE WHEN p_value THEN v_value END AS value FROM ({ACCOUNTS_LOG_SQL})"""
+    q["read_packets"] = f"""SELECT seq, action, malformed FROM ({JSON_VIEW_SQL})"""
+    q["packets_from_frame"] = f"""
+SELECT CAST(c_custkey AS BIGINT) AS user_id, c_acctbal AS value, c_mktsegment AS segment FROM customer
+WHERE c_mktsegment IN ({_in_list(ACCOUNT_SEGMENTS_IN_BASE)}) AND c_mktsegment NOT IN ('{fx.VERB_DELETE_SEGMENT}', '{fx.VERB_UPDATE_SEGMENT}')
+UNION ALL
+SELECT CAST(c_custkey AS BIGINT), c_acctbal + 1, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPDATE_SEGMENT}'
+UNION ALL
+SELECT CAST(c_custkey AS BIGINT), c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPSERT_SEGMENT}'"""
     return q

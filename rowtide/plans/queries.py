@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.functions.packets import packets_delete, packets_update, packets_upsert
+from rowtide.operators.align import prepare
 from rowtide.operators.apply import apply_changes
+from rowtide.session import scratch_path
+from rowtide.sources.capture import capture_changes, capture_deletes, capture_diff, capture_inserts, capture_updates, route_changes
+from rowtide.sources.packets import encode_packets, parse_packets, read_packets, write_packets
 from rowtide.plans import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +110,117 @@ def apply_set_partial(spark, sf):
     )
 
 
+# ---------------------------------------------------------------- capture
+def _order_images(spark, sf):
+    return capture_diff(fx.snap_old(spark, sf), fx.snap_new(spark, sf), fx.ORDERS)
+
+
+def _wire_fields(packets: DataFrame, contract, cols: list[str]) -> DataFrame:
+    """Encode to JSON, decode again and read typed fields: checks the wire round trip."""
+    p = prepare(parse_packets(encode_packets(packets)), contract)
+    return p.select("seq", "action", *[F.col(f"r__{c}").alias(f"r_{c}") for c in contract.primary_key],
+                    *[F.col(f"d__{c}").alias(c) for c in cols])
+
+
+def capture_insert(spark, sf):
+    """INSERT images -> add packets carrying the whole new row."""
+    return _wire_fields(capture_inserts(_order_images(spark, sf), fx.ORDERS), fx.ORDERS, fx.ORDERS.names)
+
+
+def capture_update(spark, sf):
+    """UPDATE images -> update packets: restriction = old key, data = whole new row."""
+    return _wire_fields(capture_updates(_order_images(spark, sf), fx.ORDERS), fx.ORDERS, fx.ORDERS.names)
+
+
+def capture_delete(spark, sf):
+    """DELETE images -> delete packets restricted by the old key."""
+    return _wire_fields(capture_deletes(_order_images(spark, sf), fx.ORDERS), fx.ORDERS, [])
+
+
+def capture_diff_apply(spark, sf):
+    """C4: diff two snapshots, apply the captured packets to the old one -> equals the new one."""
+    old = fx.snap_old(spark, sf)
+    packets = capture_changes(_order_images(spark, sf), fx.ORDERS)
+    return apply_changes(old, packets, fx.ORDERS).table
+
+
+def route_changes_q(spark, sf):
+    """Captured changes of two tables routed by the registry; the unregistered one is quarantined."""
+    orders = _order_images(spark, sf).select(F.lit("public").alias("schema_name"), F.lit("orders").alias("table_name"), "seq", "op")
+    cust = capture_diff(fx.customer_old(spark, sf), fx.customer_new(spark, sf), fx.CUSTOMERS).select(
+        F.lit("public").alias("schema_name"), F.lit("customer").alias("table_name"), "seq", "op")
+    routed = route_changes(orders.unionByName(cust), fx.capture_registry(spark))
+    return routed.select("schema_name", "table_name", "seq", "op", "queue",
+                         F.array_join("key_columns", ",").alias("key_columns"), "reason")
+
+
+# ---------------------------------------------------------------- wire packets
+def _json_prepared(spark, sf, strict=True):
+    return prepare(parse_packets(fx.json_log(spark, sf)), fx.ACCOUNTS, strict)
+
+
+def parse_packets_q(spark, sf):
+    """JSON bodies -> envelope (malformed bodies decode to NULL fields)."""
+    p = parse_packets(fx.json_log(spark, sf))
+    return p.select(
+        "pos", "seq", "action",
+        F.col("data").getItem("value").try_cast("double").alias("value"),
+        F.coalesce(F.map_contains_key("data", "segment"), F.lit(False)).alias("has_segment"),
+        F.col("data").getItem("segment").alias("segment"),
+        F.col("restriction").getItem("user_id").try_cast("bigint").alias("r_user_id"),
+        F.size(F.map_keys("restriction")).alias("n_restriction"),
+    )
+
+
+def validate_packets_q(spark, sf):
+    """P2 (+F5): reject reasons that need no table state."""
+    return _json_prepared(spark, sf).select("pos", "seq", "match_kind", "reject_reason")
+
+
+def align_columns_q(spark, sf):
+    """Presence flags and values per contract column; unknown columns dropped."""
+    return _json_prepared(spark, sf).where(F.col("action").isNotNull()).select(
+        "pos", "dp__user_id", "dp__value", "dp__segment", "d__segment", "rp__user_id",
+        F.size("unknown_data").alias("n_unknown_data"), F.size("unknown_restriction").alias("n_unknown_restriction"),
+    )
+
+
+def typed_values_q(spark, sf):
+    """Values cast to the contract types; a failed cast is flagged, never fails the job."""
+    return _json_prepared(spark, sf).where(F.col("action").isNotNull()).select("pos", "d__user_id", "d__value", "bad_value")
+
+
+def encode_packets_q(spark, sf):
+    """P5: packets -> JSON (explicit nulls kept) -> decoded again."""
+    body = encode_packets(fx.accounts_log(spark, sf))
+    back = F.from_json("body", "seq bigint, action string, data map<string,string>")
+    return body.select(back.alias("p")).select(
+        "p.seq", "p.action",
+        F.coalesce(F.map_contains_key("p.data", "segment"), F.lit(False)).alias("has_segment"),
+        F.col("p.data").getItem("segment").alias("segment"),
+        F.col("p.data").getItem("value").try_cast("double").alias("value"),
+    )
+
+
+def read_packets_q(spark, sf):
+    """JSON packet bodies written as text files, read back as a packet source."""
+    path = scratch_path(spark, "packets")
+    write_packets(fx.json_log(spark, sf), path)
+    return read_packets(spark, path).select("seq", "action", F.col("action").isNull().alias("malformed"))
+
+
+def packets_from_frame(spark, sf):
+    """Client verbs (upsert / delete / update) built from customer rows, applied to accounts."""
+    c = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("user_id"), F.col("c_acctbal").alias("value"), F.col("c_mktsegment").alias("segment"))
+    seq = F.col("user_id")
+    up = packets_upsert(c.where(F.col("segment") == fx.VERB_UPSERT_SEGMENT), seq)
+    de = packets_delete(c.where(F.col("segment") == fx.VERB_DELETE_SEGMENT), seq, ["user_id"])
+    upd = packets_update(c.where(F.col("segment") == fx.VERB_UPDATE_SEGMENT).withColumn("value", F.col("value") + 1), seq,
+                         ["user_id"], ["value"])
+    return apply_changes(fx.accounts_base(spark, sf), up.unionByName(de).unionByName(upd), fx.ACCOUNTS).table
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -120,4 +236,16 @@ def queries() -> dict[str, Query]:
         "apply_partial_log": apply_partial_log,
         "restrict_partial_key": restrict_partial_key,
         "apply_set_partial": apply_set_partial,
+        "capture_insert": capture_insert,
+        "capture_update": capture_update,
+        "capture_delete": capture_delete,
+        "capture_diff": capture_diff_apply,
+        "route_changes": route_changes_q,
+        "parse_packets": parse_packets_q,
+        "validate_packets": validate_packets_q,
+        "align_columns": align_columns_q,
+        "typed_values": typed_values_q,
+        "encode_packets": encode_packets_q,
+        "read_packets": read_packets_q,
+        "packets_from_frame": packets_from_frame,
     }
