@@ -237,3 +237,26 @@ def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 VERB_UPSERT_SEGMENT = "HOUSEHOLD"
 VERB_DELETE_SEGMENT = "AUTOMOBILE"
 VERB_UPDATE_SEGMENT = "BUILDING"
+
+
+# ------------------------------------------------------------------ topology (configuration)
+ROUTES = [
+    ("accounts", "replica_a", "/queue/accounts.replica_a", "public.accounts", True),
+    ("accounts", "replica_b", "/queue/accounts.replica_b", "public.accounts", False),
+    ("lines", "replica_a", "/queue/lines.replica_a", "public.lines", True),
+    ("lines", "replica_b", "/queue/lines.replica_b", "public.lines", True),
+]
+SOFT_DELETE_SEGMENT = "DELETED"
+STATS_WORKERS = 4
+STATS_INTERVAL = "1 hour"
+
+
+def routes(spark: SparkSession) -> DataFrame:
+    from rowtide.operators.distribute import ROUTES_DDL
+
+    return spark.createDataFrame(ROUTES, ROUTES_DDL)
+
+
+def accounts_target_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """replica_a starts from the destination's base, replica_b from an empty table."""
+    return accounts_base(spark, sf_dir).withColumn("target", F.lit("replica_a"))

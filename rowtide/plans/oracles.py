@@ -301,4 +301,53 @@ UNION ALL
 SELECT CAST(c_custkey AS BIGINT), c_acctbal + 1, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPDATE_SEGMENT}'
 UNION ALL
 SELECT CAST(c_custkey AS BIGINT), c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPSERT_SEGMENT}'"""
+
+    acc_oc = fold_outcomes_sql(A, B, L, "*")
+    q["accepted_stream"] = fold_outcomes_sql(A, B, L, "seq, action, user_id, outcome", "outcome NOT IN ('rejected', 'quarantined')")
+    lines_po = f"""WITH pk AS ({LINES_PACKETS_SQL}), ef AS ({fold_outcomes_sql(LS, LB, LE, "seq, key_ok, outcome")})
+SELECT p.seq, p.action,
+  CASE WHEN p.full_key THEN max(e.outcome)
+       WHEN bool_or(e.outcome IN ('updated', 'deleted')) THEN max(CASE WHEN e.outcome IN ('updated', 'deleted') THEN e.outcome END)
+       WHEN p.action = 'set' THEN 'rejected' ELSE 'noop' END AS outcome
+FROM pk p LEFT JOIN ef e ON e.seq = p.seq GROUP BY p.seq, p.action, p.full_key"""
+    targets = "SELECT * FROM (VALUES " + ", ".join(f"('{d}', '{t}', '{qn}', {str(en).upper()})" for d, t, qn, _, en in fx.ROUTES) + ") r(destination, target, queue, enabled)"
+    q["fan_out"] = f"""WITH r AS ({targets})
+SELECT r.destination, r.target, r.queue, a.seq, a.action FROM ({acc_oc}) a JOIN r ON r.destination = 'accounts'
+WHERE a.outcome NOT IN ('rejected', 'quarantined')
+UNION ALL
+SELECT r.destination, r.target, r.queue, l.seq, l.action FROM ({lines_po}) l JOIN r ON r.destination = 'lines'
+WHERE l.outcome NOT IN ('rejected', 'quarantined')"""
+    fwd_log = f"""SELECT l.* FROM ({L}) l WHERE l.seq IN (SELECT seq FROM ({acc_oc}) WHERE outcome NOT IN ('rejected', 'quarantined'))"""
+    empty_base = f"SELECT * FROM ({B}) WHERE FALSE"
+    rep_a = fold_table_sql(A, B, fwd_log)
+    rep_b = fold_table_sql(A, empty_base, fwd_log)
+    cols = "user_id, value, segment"
+    q["routes_enabled"] = f"SELECT 'replica_a' AS target, {cols} FROM ({rep_a})"
+    q["apply_targets"] = f"SELECT 'replica_a' AS target, {cols} FROM ({rep_a}) UNION ALL SELECT 'replica_b', {cols} FROM ({rep_b})"
+    q["pipeline_batch"] = f"SELECT 'accounts' AS worker, {cols} FROM ({fold_table_sql(A, B, L)}) UNION ALL SELECT 'replica_a', {cols} FROM ({rep_a})"
+    soft = f"""SELECT seq, CASE WHEN action = 'delete' THEN 'update' ELSE action END AS action, ts, user_id, key_ok,
+       CASE WHEN action = 'delete' THEN FALSE ELSE p_value END AS p_value, v_value,
+       CASE WHEN action = 'delete' THEN TRUE ELSE p_segment END AS p_segment,
+       CASE WHEN action = 'delete' THEN '{fx.SOFT_DELETE_SEGMENT}' ELSE v_segment END AS v_segment FROM ({L})"""
+    q["custom_processor"] = fold_table_sql(A, B, soft)
+    counters = """count(*) FILTER (WHERE action = 'add') AS "add", count(*) FILTER (WHERE action = 'delete') AS "delete",
+       count(*) FILTER (WHERE action = 'set') AS "set", count(*) FILTER (WHERE action = 'update') AS "update",
+       count(*) FILTER (WHERE action = 'add' AND outcome = 'rejected') AS errors,
+       count(*) FILTER (WHERE outcome IN ('rejected', 'quarantined')) AS rejects"""
+    q["worker_stats"] = f"""SELECT 'accounts' AS worker, {counters} FROM ({acc_oc})
+UNION ALL SELECT 'replica_a', {counters} FROM ({fold_outcomes_sql(A, B, fwd_log, '*')})"""
+    names = ["add", "delete", "set", "update", "errors", "rejects"]
+    samples = f"""WITH per AS (
+  SELECT 'w' || CAST(user_id % {fx.STATS_WORKERS} AS VARCHAR) AS worker,
+         time_bucket(INTERVAL '{fx.STATS_INTERVAL}', ts) + INTERVAL '{fx.STATS_INTERVAL}' AS sample_ts, {counters}
+  FROM ({acc_oc}) GROUP BY ALL)
+SELECT worker, sample_ts, """ + ", ".join(
+        f'CAST(sum("{c}") OVER (PARTITION BY worker ORDER BY sample_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS "{c}"'
+        for c in names) + " FROM per"
+    q["sampled_counters"] = samples
+    deltas = f"""SELECT * FROM (SELECT worker, sample_ts, """ + ", ".join(
+        f'"{c}" - lag("{c}") OVER (PARTITION BY worker ORDER BY sample_ts) AS "{c}"' for c in names) + f""" FROM ({samples})) WHERE "add" IS NOT NULL"""
+    q["counter_deltas"] = deltas
+    q["recent_samples"] = f"""SELECT worker, sample_ts, {", ".join(chr(34) + c + chr(34) for c in names)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY worker ORDER BY sample_ts DESC) AS rn FROM ({deltas})) WHERE rn <= 300"""
     return q

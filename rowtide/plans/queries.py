@@ -13,7 +13,10 @@ from rowtide.operators.apply import apply_changes
 from rowtide.session import scratch_path
 from rowtide.sources.capture import capture_changes, capture_deletes, capture_diff, capture_inserts, capture_updates, route_changes
 from rowtide.sources.packets import encode_packets, parse_packets, read_packets, write_packets
+from rowtide.operators.distribute import accepted, apply_targets, fan_out
+from rowtide.operators.stats import counter_deltas, recent, sample_stats, worker_stats
 from rowtide.plans import fixtures as fx
+from rowtide.plans.pipeline import run_destination
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -221,6 +224,93 @@ def packets_from_frame(spark, sf):
     return apply_changes(fx.accounts_base(spark, sf), up.unionByName(de).unionByName(upd), fx.ACCOUNTS).table
 
 
+# ---------------------------------------------------------------- distribution
+def _accounts_pipeline(spark, sf, processor=apply_changes):
+    return run_destination(
+        fx.accounts_base(spark, sf), fx.accounts_log(spark, sf), fx.routes(spark), fx.ACCOUNTS, "accounts",
+        fx.accounts_target_bases(spark, sf), processor=processor,
+    )
+
+
+def accepted_stream(spark, sf):
+    """Forwarded packets: everything but rejected / quarantined (no-ops included)."""
+    o = accepted(_accounts(spark, sf).outcomes)
+    return o.select("seq", "action", "user_id", "outcome")
+
+
+def fan_out_q(spark, sf):
+    """Accepted packets of two destinations copied to each target queue (disabled targets too)."""
+    r = fx.routes(spark)
+    acc = fan_out(accepted(_accounts(spark, sf).outcomes), r, "accounts")
+    lin = fan_out(accepted(_lines(spark, sf).outcomes), r, "lines")
+    cols = ["destination", "target", "queue", "seq", "action"]
+    return acc.select(*cols).unionByName(lin.select(*cols))
+
+
+def routes_enabled(spark, sf):
+    """D3: only enabled targets apply (replica_b of accounts is disabled)."""
+    return _accounts_pipeline(spark, sf).targets.table.select("target", *fx.ACCOUNTS.names)
+
+
+def apply_targets_q(spark, sf):
+    """Every target applies the forwarded packets to its own replica, all in one fold."""
+    dest = _accounts(spark, sf)
+    fwd = fan_out(accepted(dest.outcomes).select("seq", "action", "data", "restriction"), fx.routes(spark), "accounts")
+    return apply_targets(fx.accounts_target_bases(spark, sf), fwd, fx.ACCOUNTS).table.select("target", *fx.ACCOUNTS.names)
+
+
+def pipeline_batch(spark, sf):
+    """Destination + enabled replicas after one batch, tagged by worker."""
+    p = _accounts_pipeline(spark, sf)
+    d = p.destination.table.select(F.lit("accounts").alias("worker"), *fx.ACCOUNTS.names)
+    t = p.targets.table.select(F.col("target").alias("worker"), *fx.ACCOUNTS.names)
+    return d.unionByName(t)
+
+
+def _soft_delete(base, packets, contract, **kw):
+    """A user processor: deletes become an update marking the row, everything else as usual."""
+    deleted = F.col("action") == "delete"
+    p = packets.withColumn("data", F.when(deleted, F.create_map(F.lit("segment"), F.lit(fx.SOFT_DELETE_SEGMENT))).otherwise(F.col("data")))
+    p = p.withColumn("action", F.when(deleted, F.lit("update")).otherwise(F.col("action")))
+    return apply_changes(base, p, contract, **kw)
+
+
+def custom_processor(spark, sf):
+    """The destination runs a user-supplied processor instead of the default fold."""
+    return _accounts_pipeline(spark, sf, processor=_soft_delete).destination.table
+
+
+# ---------------------------------------------------------------- statistics
+def worker_stats_q(spark, sf):
+    """O1: counters per worker (destination + enabled targets)."""
+    p = _accounts_pipeline(spark, sf)
+    d = p.destination.outcomes.withColumn("worker", F.lit("accounts"))
+    t = p.targets.outcomes.withColumn("worker", F.col("target"))
+    cols = ["worker", "action", "outcome"]
+    return worker_stats(d.select(*cols).unionByName(t.select(*cols)))
+
+
+def _samples(spark, sf):
+    o = _accounts(spark, sf).outcomes
+    o = o.withColumn("worker", F.concat(F.lit("w"), (F.col("user_id") % fx.STATS_WORKERS).cast("string")))
+    return sample_stats(o, fx.STATS_INTERVAL)
+
+
+def sampled_counters(spark, sf):
+    """Cumulative counters per worker at the end of each tumbling interval."""
+    return _samples(spark, sf)
+
+
+def counter_deltas_q(spark, sf):
+    """O2: per-interval deltas; a worker's first sample gives none."""
+    return counter_deltas(_samples(spark, sf))
+
+
+def recent_samples(spark, sf):
+    """O3: the last 300 delta points per worker."""
+    return recent(counter_deltas(_samples(spark, sf)), 300)
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -248,4 +338,14 @@ def queries() -> dict[str, Query]:
         "encode_packets": encode_packets_q,
         "read_packets": read_packets_q,
         "packets_from_frame": packets_from_frame,
+        "accepted_stream": accepted_stream,
+        "fan_out": fan_out_q,
+        "routes_enabled": routes_enabled,
+        "apply_targets": apply_targets_q,
+        "pipeline_batch": pipeline_batch,
+        "custom_processor": custom_processor,
+        "worker_stats": worker_stats_q,
+        "sampled_counters": sampled_counters,
+        "counter_deltas": counter_deltas_q,
+        "recent_samples": recent_samples,
     }
