@@ -260,3 +260,87 @@ def routes(spark: SparkSession) -> DataFrame:
 def accounts_target_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """replica_a starts from the destination's base, replica_b from an empty table."""
     return accounts_base(spark, sf_dir).withColumn("target", F.lit("replica_a"))
+
+
+# ------------------------------------------------------------------ pages (unique-key upsert)
+PAGES = TableContract(
+    name="pages",
+    columns=(("page_id", "bigint"), ("url", "string"), ("html", "string")),
+    primary_key=("page_id",),
+    unique_keys=(("url",),),
+    required=frozenset({"url", "html"}),
+    surrogate="page_id",
+)
+PAGE_MISS_MARK = "?page="  # urls with this part are altered -> no row matches -> new page
+PAGE_PK_MARK = "utm_source"  # these packets name the page by id
+PAGE_URL_SUFFIX = "&v=2"
+PAGE_HTML_SUFFIX = "<!-- v2 -->"
+
+
+def pages_base(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("bigint"), "url", "html")
+
+
+def page_set(spark, sf_dir):
+    """``set`` per page: by id (utm urls), by url (most), or by an altered url that matches nothing."""
+    p = pages_base(spark, sf_dir)
+    miss = F.col("url").contains(PAGE_MISS_MARK)
+    by_pk = F.col("url").contains(PAGE_PK_MARK) & ~miss
+    html = F.concat(F.col("html"), F.lit(PAGE_HTML_SUFFIX))
+    url = F.when(miss, F.concat(F.col("url"), F.lit(PAGE_URL_SUFFIX))).otherwise(F.col("url"))
+    data = map_of({"page_id": F.col("page_id"), "url": url, "html": html}, {"page_id": by_pk, "url": ~by_pk})
+    return p.select(F.col("page_id").alias("seq"), F.lit("set").alias("action"), data.alias("data"),
+                    F.lit(None).cast("map<string,string>").alias("restriction"))
+
+
+# ------------------------------------------------------------------ surrogate keys (documents)
+SURROGATES = TableContract(
+    name="surrogate_test",
+    columns=(("surrogate_id", "bigint"), ("description", "string")),
+    primary_key=("surrogate_id",),
+    required=frozenset({"description"}),
+    surrogate="surrogate_id",
+)
+DOCS_ADD_LANGS = ("en", "de")  # these documents arrive as add, the others as keyless set
+
+
+def surrogate_base(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("bigint").alias("surrogate_id"), F.col("text").alias("description"))
+
+
+def docs_add(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        F.col("doc_id").alias("seq"),
+        F.when(F.col("lang").isin(*DOCS_ADD_LANGS), "add").otherwise("set").alias("action"),
+        map_of({"description": F.col("text")}).alias("data"),
+        F.lit(None).cast("map<string,string>").alias("restriction"),
+    )
+
+
+# ------------------------------------------------------------------ labels (foreign key to documents)
+LABELS = TableContract(
+    name="labels",
+    columns=(("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")),
+    primary_key=("doc_id",),
+    required=frozenset({"quality", "toxic"}),
+    foreign_keys=(ForeignKey(("doc_id",), ("doc_id",), "documents"),),
+)
+PARENT_MISSING_LANG = "de"  # German documents are not in the parent table
+PARENT_DELETE_SOURCES = ("src1", "src2")
+PARENT_MOVE_LANG = "fr"
+
+
+def label_parents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where(F.col("lang") != PARENT_MISSING_LANG).select("doc_id")
+
+
+def label_add(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels")
+    return lab.select(F.col("doc_id").alias("seq"), F.lit("add").alias("action"),
+                      map_of({"doc_id": F.col("doc_id"), "quality": F.col("quality"), "toxic": F.col("toxic")}).alias("data"),
+                      F.lit(None).cast("map<string,string>").alias("restriction"))
+
+
+def empty_like(spark, contract: TableContract) -> DataFrame:
+    return spark.createDataFrame([], contract.schema)

@@ -350,4 +350,49 @@ SELECT worker, sample_ts, """ + ", ".join(
     q["counter_deltas"] = deltas
     q["recent_samples"] = f"""SELECT worker, sample_ts, {", ".join(chr(34) + c + chr(34) for c in names)} FROM (
   SELECT *, row_number() OVER (PARTITION BY worker ORDER BY sample_ts DESC) AS rn FROM ({deltas})) WHERE rn <= 300"""
+
+    def prof(cols):
+        nul = " OR ".join(f"{c} IS NULL" for c in cols)
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+        return f"""SELECT '{",".join(cols)}' AS candidate, CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (WHERE {nul}) AS BIGINT) AS null_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM (SELECT 1 FROM lineitem WHERE {nn} GROUP BY {", ".join(cols)} HAVING count(*) > 1)) AS duplicate_groups
+FROM lineitem"""
+    from rowtide.plans.queries import PROFILE_CANDIDATES
+    q["profile_keys"] = "SELECT *, null_rows = 0 AND duplicate_groups = 0 AS is_key FROM (" + " UNION ALL ".join(prof(c) for c in PROFILE_CANDIDATES) + ")"
+    miss = f"contains(url, '{fx.PAGE_MISS_MARK}')"
+    by_pk = f"(contains(url, '{fx.PAGE_PK_MARK}') AND NOT {miss})"
+    q["resolve_key"] = f"SELECT CAST(page_id AS BIGINT) AS seq, CASE WHEN {by_pk} THEN 'pk' ELSE 'unique' END AS match_kind FROM pages"
+    q["apply_set_unique"] = f"""
+SELECT CAST(page_id AS BIGINT) AS page_id, url, CASE WHEN {miss} THEN html ELSE html || '{fx.PAGE_HTML_SUFFIX}' END AS html FROM pages
+UNION ALL
+SELECT (SELECT max(page_id) FROM pages) + row_number() OVER (ORDER BY page_id), url || '{fx.PAGE_URL_SUFFIX}', html || '{fx.PAGE_HTML_SUFFIX}'
+FROM pages WHERE {miss}"""
+    alloc = "SELECT doc_id AS seq, CAST((SELECT max(item_id) FROM benchmark) + row_number() OVER (ORDER BY doc_id) AS BIGINT) AS surrogate_id, text FROM documents"
+    q["allocate_surrogate"] = f"SELECT seq, surrogate_id FROM ({alloc})"
+    q["enrich_returned_key"] = f"SELECT seq, surrogate_id FROM ({alloc})"
+    q["apply_set_insert"] = f"""SELECT CAST(item_id AS BIGINT) AS surrogate_id, text AS description FROM benchmark
+UNION ALL SELECT surrogate_id, text FROM ({alloc})"""
+    parents = f"SELECT doc_id FROM documents WHERE lang <> '{fx.PARENT_MISSING_LANG}'"
+    child = f"SELECT CAST(doc_id AS BIGINT) AS doc_id, quality, toxic FROM labels WHERE doc_id IN ({parents})"
+    q["reject_fk"] = f"SELECT doc_id AS seq, CAST(doc_id AS BIGINT) AS doc_id FROM labels WHERE doc_id NOT IN ({parents})"
+    q["restrict_parent_delete"] = f"""SELECT doc_id AS seq, doc_id,
+  CASE WHEN doc_id IN (SELECT doc_id FROM ({child})) THEN 'refused' ELSE 'deleted' END AS outcome
+FROM documents WHERE source IN ({_in_list(fx.PARENT_DELETE_SOURCES)})"""
+    q["cascade_parent_key"] = f"""SELECT CAST(COALESCE(m.new_doc_id, c.doc_id) AS BIGINT) AS doc_id, c.quality, c.toxic FROM ({child}) c
+LEFT JOIN (SELECT doc_id AS old_doc_id, doc_id + (SELECT max(doc_id) + 1 FROM documents) AS new_doc_id
+           FROM documents WHERE lang = '{fx.PARENT_MOVE_LANG}') m ON m.old_doc_id = c.doc_id"""
+    q["quarantine"] = f"""SELECT pos, CASE WHEN malformed THEN 'malformed'
+       WHEN action NOT IN ('add', 'set', 'update', 'delete') THEN 'unknown_action'
+       WHEN bad_value THEN 'bad_value'
+       WHEN action IN ('update', 'delete') AND n_restriction = 0 THEN 'empty_restriction'
+       WHEN action IN ('update', 'delete') AND n_unknown_restriction > 0 THEN 'unknown_column' END AS reason
+FROM ({JSON_VIEW_SQL})
+WHERE malformed OR action NOT IN ('add', 'set', 'update', 'delete') OR bad_value
+   OR (action IN ('update', 'delete') AND (n_restriction = 0 OR n_unknown_restriction > 0))"""
+    lenient = f"""SELECT * FROM ({JSON_FLAT_SQL})
+WHERE NOT malformed AND k <> {fx.JSON_UNKNOWN_ACTION_K}
+  AND NOT (k = {fx.JSON_BAD_VALUE_K} AND action IN ('add', 'set') AND p_value)
+  AND NOT (k = {fx.JSON_EMPTY_RESTRICTION_K} AND action IN ('update', 'delete'))"""
+    q["restrict_unknown_col"] = fold_outcomes_sql(A, B, lenient, "pos, seq, outcome", f"k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update'")
     return q

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.functions.packets import unknown_keys
+from rowtide.operators.constraints import cascade_update, check_restrict, quarantine
+from rowtide.operators.keys import profile_keys
 from rowtide.functions.packets import packets_delete, packets_update, packets_upsert
 from rowtide.operators.align import prepare
 from rowtide.operators.apply import apply_changes
@@ -311,6 +314,91 @@ def recent_samples(spark, sf):
     return recent(counter_deltas(_samples(spark, sf)), 300)
 
 
+# ---------------------------------------------------------------- keys
+PROFILE_CANDIDATES = [("l_orderkey", "l_linenumber"), ("l_orderkey",), ("l_orderkey", "l_partkey", "l_suppkey")]
+
+
+def profile_keys_q(spark, sf):
+    """K1: prove candidate keys of lineitem on the data (one scan for all candidates)."""
+    return profile_keys(fx.table(spark, sf, "lineitem"), PROFILE_CANDIDATES)
+
+
+def resolve_key_q(spark, sf):
+    """K2: which columns identify the row of each set packet (pk / unique / pk_partial / none)."""
+    return prepare(fx.page_set(spark, sf), fx.PAGES).select("seq", "match_kind")
+
+
+def apply_set_unique(spark, sf):
+    """A5: sets matched by the unique url; unmatched urls insert new pages with allocated ids."""
+    return apply_changes(fx.pages_base(spark, sf), fx.page_set(spark, sf), fx.PAGES).table
+
+
+def _docs(spark, sf):
+    return apply_changes(fx.surrogate_base(spark, sf), fx.docs_add(spark, sf), fx.SURROGATES)
+
+
+def allocate_surrogate(spark, sf):
+    """K3: keyless inserts get max(id) + rank in seq order (gapless, no one-partition window)."""
+    return _docs(spark, sf).effects.select("seq", "surrogate_id")
+
+
+def enrich_returned_key(spark, sf):
+    """K4: the allocated key travels in the forwarded packet so that replicas agree."""
+    o = accepted(_docs(spark, sf).outcomes)
+    return o.select("seq", F.col("data").getItem("surrogate_id").cast("bigint").alias("surrogate_id"))
+
+
+def apply_set_insert(spark, sf):
+    """Keyless add/set packets insert whole documents as new rows."""
+    return _docs(spark, sf).table
+
+
+# ---------------------------------------------------------------- constraints
+def _labels(spark, sf):
+    return apply_changes(fx.empty_like(spark, fx.LABELS), fx.label_add(spark, sf), fx.LABELS,
+                         parents={"documents": fx.label_parents(spark, sf)})
+
+
+def reject_fk(spark, sf):
+    """Label inserts whose document is not in the parent table are rejected."""
+    o = _labels(spark, sf).outcomes
+    return o.where(F.col("reason") == "foreign_key").select("seq", "doc_id")
+
+
+def restrict_parent_delete(spark, sf):
+    """Deleting a document that still has a label is refused (ON DELETE RESTRICT)."""
+    child = _labels(spark, sf).table
+    d = fx.table(spark, sf, "documents").where(F.col("source").isin(*fx.PARENT_DELETE_SOURCES))
+    return check_restrict(d.select(F.col("doc_id").alias("seq"), "doc_id"), child, fx.LABELS.foreign_keys[0]).select("seq", "doc_id", "outcome")
+
+
+def cascade_parent_key(spark, sf):
+    """A document key change rewrites the labels that point at it (ON UPDATE CASCADE)."""
+    child = _labels(spark, sf).table
+    docs = fx.table(spark, sf, "documents")
+    off = docs.agg((F.max("doc_id") + 1).alias("__off")).withColumn("__one", F.lit(1))
+    moves = docs.where(F.col("lang") == fx.PARENT_MOVE_LANG).withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one").select(
+        F.col("doc_id").alias("old_doc_id"), (F.col("doc_id") + F.col("__off")).alias("new_doc_id"))
+    return cascade_update(child, moves, fx.LABELS.foreign_keys[0])
+
+
+def _json_apply(spark, sf, strict=True):
+    pk = parse_packets(fx.json_log(spark, sf))
+    pk = pk.withColumn("n_unknown_r", F.size(unknown_keys("restriction", fx.ACCOUNTS)))
+    return apply_changes(fx.accounts_base(spark, sf), pk, fx.ACCOUNTS, strict_restrictions=strict)
+
+
+def quarantine_q(spark, sf):
+    """Packets that would halt the reference's worker are set aside with their reason."""
+    return quarantine(_json_apply(spark, sf).outcomes).select("pos", "reason")
+
+
+def restrict_unknown_col(spark, sf):
+    """lenient mode drops unknown restriction columns (the predicate widens) and applies."""
+    o = _json_apply(spark, sf, strict=False).outcomes
+    return o.where(F.col("n_unknown_r") > 0).select("pos", "seq", "outcome")
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -348,4 +436,15 @@ def queries() -> dict[str, Query]:
         "sampled_counters": sampled_counters,
         "counter_deltas": counter_deltas_q,
         "recent_samples": recent_samples,
+        "profile_keys": profile_keys_q,
+        "resolve_key": resolve_key_q,
+        "apply_set_unique": apply_set_unique,
+        "allocate_surrogate": allocate_surrogate,
+        "enrich_returned_key": enrich_returned_key,
+        "apply_set_insert": apply_set_insert,
+        "reject_fk": reject_fk,
+        "restrict_parent_delete": restrict_parent_delete,
+        "cascade_parent_key": cascade_parent_key,
+        "quarantine": quarantine_q,
+        "restrict_unknown_col": restrict_unknown_col,
     }
