@@ -344,3 +344,54 @@ def label_add(spark, sf_dir):
 
 def empty_like(spark, contract: TableContract) -> DataFrame:
     return spark.createDataFrame([], contract.schema)
+
+
+# ------------------------------------------------------------------ barriers (restrictions on non-key columns)
+# priority names used as segment values by the order sets; barrier of region r restricts on the r-th one
+BARRIER_SEGMENTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+BARRIER_SET_STATUS = "F"
+
+
+def barrier_log(spark, sf_dir, on: str) -> DataFrame:
+    """Order sets (seq = o_orderkey*10) writing c_mktsegment, plus one barrier per region at
+    seq = (2r+1) * max(o_orderkey) * 10 + 5: even regions update c_acctbal, odd regions delete, restricted
+    on c_nationkey (``on='nation'``: immutable column) or on c_mktsegment (``on='segment'``: mutable)."""
+    o = table(spark, sf_dir, "orders")
+    sets = o.where(F.col("o_orderstatus") == BARRIER_SET_STATUS).select(
+        (F.col("o_orderkey") * 10).alias("seq"), F.lit("set").alias("action"),
+        map_of({"c_custkey": F.col("o_custkey"), "c_mktsegment": F.col("o_orderpriority")}).alias("data"),
+        F.lit(None).cast("map<string,string>").alias("restriction"),
+    )
+    top = o.agg(F.max("o_orderkey").alias("__max")).withColumn("__one", F.lit(1))
+    regions = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min("n_nationkey").alias("n"))
+    r = F.col("n_regionkey")
+    seg = F.element_at(F.array(*[F.lit(s) for s in BARRIER_SEGMENTS]), (r % len(BARRIER_SEGMENTS)).cast("int") + 1)
+    restr = map_of({"c_nationkey": F.col("n")}) if on == "nation" else map_of({"c_mktsegment": seg})
+    even = r % 2 == 0
+    barriers = regions.withColumn("__one", F.lit(1)).join(F.broadcast(top), "__one").select(
+        ((2 * r + 1) * F.col("__max") * 10 + 5).alias("seq"),
+        F.when(even, "update").otherwise("delete").alias("action"),
+        F.when(even, map_of({"c_acctbal": F.lit(0.0) if on == "nation" else F.lit(-1.0)})).alias("data"),
+        restr.alias("restriction"),
+    )
+    return sets.unionByName(barriers)
+
+
+# ------------------------------------------------------------------ key moves
+MOVE_PRIORITY = "2-HIGH"
+MOVE_STATUS = "P"  # these orders move to key + (max + 1)
+GHOST_STATUS = "O"  # these packets try to move a key that does not exist
+
+
+def key_move_log(spark, sf_dir) -> DataFrame:
+    old = snap_old(spark, sf_dir)
+    off = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))
+    o = old.where(F.col("o_orderpriority") == MOVE_PRIORITY).withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
+    ghost = F.col("o_orderstatus") == GHOST_STATUS
+    moving = (F.col("o_orderstatus") == MOVE_STATUS) | ghost
+    o = o.where(moving)
+    old_key = F.when(ghost, F.col("o_orderkey") + 2 * F.col("__off")).otherwise(F.col("o_orderkey"))
+    new_key = F.when(ghost, F.col("o_orderkey") + 3 * F.col("__off")).otherwise(F.col("o_orderkey") + F.col("__off"))
+    row = {c: (new_key if c == "o_orderkey" else F.col(c)) for c in ORDERS.names}
+    return o.select(F.col("o_orderkey").alias("seq"), F.lit("update").alias("action"), map_of(row).alias("data"),
+                    map_of({"o_orderkey": old_key}).alias("restriction"))

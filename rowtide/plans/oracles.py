@@ -72,7 +72,7 @@ def fold_ctes(spec: FoldSpec, base_sql: str, log_sql: str) -> str:
         f"(ws_{c} IS NOT NULL AND ws_{c} >= COALESCE(e_max, {MIN_SEQ})) AS has_{c}, wv_{c} AS val_{c}" for c in spec.cols
     )
     return f"""
-base AS ({base_sql}),
+base AS MATERIALIZED ({base_sql}),
 log AS ({log_sql}),
 cl AS (
   SELECT l.*,
@@ -395,4 +395,39 @@ WHERE NOT malformed AND k <> {fx.JSON_UNKNOWN_ACTION_K}
   AND NOT (k = {fx.JSON_BAD_VALUE_K} AND action IN ('add', 'set') AND p_value)
   AND NOT (k = {fx.JSON_EMPTY_RESTRICTION_K} AND action IN ('update', 'delete'))"""
     q["restrict_unknown_col"] = fold_outcomes_sql(A, B, lenient, "pos, seq, outcome", f"k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update'")
+
+    C = FoldSpec(key=["c_custkey"], cols=["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    cust = "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS INT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"
+    sets = f"""SELECT o_orderkey * 10 AS seq, 'set' AS action, CAST(o_custkey AS BIGINT) AS c_custkey, TRUE AS key_ok,
+  FALSE AS p_c_name, CAST(NULL AS VARCHAR) AS v_c_name, FALSE AS p_c_nationkey, CAST(NULL AS INT) AS v_c_nationkey,
+  FALSE AS p_c_acctbal, CAST(NULL AS DOUBLE) AS v_c_acctbal, TRUE AS p_c_mktsegment, o_orderpriority AS v_c_mktsegment
+FROM orders WHERE o_orderstatus = '{fx.BARRIER_SET_STATUS}'"""
+    top = "(SELECT max(o_orderkey) FROM orders)"
+
+    def barrier_sql(on: str) -> str:
+        state = cust
+        for r in range(5):
+            b = f"((2 * {r} + 1) * {top} * 10 + 5)"
+            lo = f"((2 * {r - 1} + 1) * {top} * 10 + 5)" if r > 0 else None
+            seg = f"SELECT * FROM ({sets}) WHERE seq < {b}" + (f" AND seq > {lo}" if lo else "")
+            state = fold_table_sql(C, state, seg)
+            if on == "nation":
+                cond = f"c_nationkey = (SELECT min(n_nationkey) FROM nation WHERE n_regionkey = {r})"
+                val = "0.0"
+            else:
+                cond = f"c_mktsegment = '{fx.BARRIER_SEGMENTS[r]}'"
+                val = "-1.0"
+            if r % 2 == 0:
+                state = f"SELECT c_custkey, c_name, c_nationkey, CASE WHEN ({cond}) IS TRUE THEN {val} ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM ({state})"
+            else:
+                state = f"SELECT * FROM ({state}) WHERE ({cond}) IS NOT TRUE"
+        last = f"((2 * 4 + 1) * {top} * 10 + 5)"
+        return fold_table_sql(C, state, f"SELECT * FROM ({sets}) WHERE seq > {last}")
+
+    q["restrict_non_key"] = barrier_sql("nation")
+    q["apply_barriers"] = barrier_sql("segment")
+    off = "(SELECT max(o_orderkey) + 1 FROM orders)"
+    q["apply_key_move"] = f"""SELECT CASE WHEN o_orderpriority = '{fx.MOVE_PRIORITY}' AND o_orderstatus = '{fx.MOVE_STATUS}'
+  THEN o_orderkey + {off} ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders"""
     return q

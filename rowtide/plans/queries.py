@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.packets import unknown_keys
 from rowtide.operators.constraints import cascade_update, check_restrict, quarantine
 from rowtide.operators.keys import profile_keys
+from rowtide.operators.segmented import apply_key_moves, apply_segmented
 from rowtide.functions.packets import packets_delete, packets_update, packets_upsert
 from rowtide.operators.align import prepare
 from rowtide.operators.apply import apply_changes
@@ -399,6 +400,22 @@ def restrict_unknown_col(spark, sf):
     return o.where(F.col("n_unknown_r") > 0).select("pos", "seq", "outcome")
 
 
+# ---------------------------------------------------------------- slow tiers
+def restrict_non_key(spark, sf):
+    """F3 (+F6): update/delete restricted on an immutable non-key column (c_nationkey), barrier path."""
+    return apply_segmented(fx.customer_old(spark, sf), fx.barrier_log(spark, sf, "nation"), fx.CUSTOMERS).table
+
+
+def apply_barriers(spark, sf):
+    """Restrictions on a column the log itself rewrites (c_mktsegment): order matters, barrier path."""
+    return apply_segmented(fx.customer_old(spark, sf), fx.barrier_log(spark, sf, "segment"), fx.CUSTOMERS).table
+
+
+def apply_key_move(spark, sf):
+    """A10: whole-row updates that change the key (capture images) -> delete + conditional insert."""
+    return apply_key_moves(fx.snap_old(spark, sf), fx.key_move_log(spark, sf), fx.ORDERS).table
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -447,4 +464,7 @@ def queries() -> dict[str, Query]:
         "cascade_parent_key": cascade_parent_key,
         "quarantine": quarantine_q,
         "restrict_unknown_col": restrict_unknown_col,
+        "restrict_non_key": restrict_non_key,
+        "apply_barriers": apply_barriers,
+        "apply_key_move": apply_key_move,
     }
