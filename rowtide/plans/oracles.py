@@ -430,4 +430,6 @@ FROM orders WHERE o_orderstatus = '{fx.BARRIER_SET_STATUS}'"""
     q["apply_key_move"] = f"""SELECT CASE WHEN o_orderpriority = '{fx.MOVE_PRIORITY}' AND o_orderstatus = '{fx.MOVE_STATUS}'
   THEN o_orderkey + {off} ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders"""
+    strict_valid = f"""SELECT * FROM ({lenient}) WHERE NOT (k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update')"""
+    q["pipeline_stream"] = fold_table_sql(A, B, strict_valid)
     return q

@@ -15,6 +15,8 @@ from rowtide.functions.packets import packets_delete, packets_update, packets_up
 from rowtide.operators.align import prepare
 from rowtide.operators.apply import apply_changes
 from rowtide.session import scratch_path
+from rowtide.sources.tables import read_snapshot
+from rowtide.streaming.stream import stream_destination
 from rowtide.sources.capture import capture_changes, capture_deletes, capture_diff, capture_inserts, capture_updates, route_changes
 from rowtide.sources.packets import encode_packets, parse_packets, read_packets, write_packets
 from rowtide.operators.distribute import accepted, apply_targets, fan_out
@@ -416,6 +418,27 @@ def apply_key_move(spark, sf):
     return apply_key_moves(fx.snap_old(spark, sf), fx.key_move_log(spark, sf), fx.ORDERS).table
 
 
+# ---------------------------------------------------------------- streaming
+STREAM_SLICES = 4
+
+
+def pipeline_stream(spark, sf):
+    """The JSON packet log arrives as files in seq order; each arrival is one micro-batch run
+    (availableNow) of the same stream; the final snapshot equals the one-batch result."""
+    src, root, ckpt = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-table"), scratch_path(spark, "stream-ckpt")
+    log = fx.json_log(spark, sf)
+    bounds = log.agg(F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
+    lo, hi = bounds["lo"], bounds["hi"]
+    step = (hi - lo) // STREAM_SLICES + 1
+    base = fx.accounts_base(spark, sf)
+    for i in range(STREAM_SLICES):
+        part = log.where((F.col("pos") >= lo + i * step) & (F.col("pos") < lo + (i + 1) * step))
+        write_packets(part, src)
+        q = stream_destination(spark, src, base, fx.ACCOUNTS, root, ckpt, max_files_per_trigger=None)
+        q.awaitTermination()
+    return read_snapshot(spark, root)
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -467,4 +490,5 @@ def queries() -> dict[str, Query]:
         "restrict_non_key": restrict_non_key,
         "apply_barriers": apply_barriers,
         "apply_key_move": apply_key_move,
+        "pipeline_stream": pipeline_stream,
     }

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
@@ -26,30 +25,39 @@ def read_table(spark: SparkSession, path: str, contract: TableContract | None =
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in contract.columns])
 
 
-def _versions(root: str) -> list[int]:
-    if not os.path.isdir(root):
-        return []
-    out = []
-    for name in os.listdir(root):
-        if name.startswith("v=") and os.path.exists(os.path.join(root, name, "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Highest version whose commit marker exists (``<root>/_progress/v=<n>``, written after the data)."""
+    try:
+        row = spark.read.parquet(f"{root.rstrip('/')}/_progress").agg(F.max("v").alias("v")).first()
+    except AnalysisException:
+        return None
+    return None if row is None or row["v"] is None else int(row["v"])
+
 
+def last_seq(spark: SparkSession, root: str, version: int) -> int | None:
+    """Largest packet seq applied up to ``version`` (None for the initial snapshot)."""
+    try:
+        row = spark.read.parquet(f"{root.rstrip('/')}/_progress/v={int(version)}").first()
+    except AnalysisException:
+        return None
+    return None if row is None else row["max_seq"]
 
-def current_version(root: str) -> int | None:
-    v = _versions(root)
-    return v[-1] if v else None
 
+def write_snapshot(df: DataFrame, root: str, version: int, max_seq: int | None = None) -> str:
+    """Write ``df`` as version ``version``, then its commit marker.
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> str:
-    """Write ``df`` as version ``version``; rewriting the same version is idempotent (replayed batch)."""
-    path = f"{root.rstrip('/')}/v={int(version)}"
+    Rewriting the same version (a replayed batch) is idempotent; readers only see committed versions.
+    """
+    root = root.rstrip("/")
+    path = f"{root}/v={int(version)}"
     df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    spark.createDataFrame([(max_seq,)], "max_seq bigint").write.mode("overwrite").parquet(f"{root}/_progress/v={int(version)}")
     return path
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    v = current_version(root) if version is None else version
+    v = current_version(spark, root) if version is None else version
     if v is None:
-        raise FileNotFoundError(f"no complete snapshot under {root}")
+        raise FileNotFoundError(f"no committed snapshot under {root}")
     return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
