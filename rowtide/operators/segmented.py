@@ -18,7 +18,7 @@ from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, rp, rv
 from rowtide.operators.align import prepare
 from rowtide.operators.apply import ChangeResult, apply_changes
-from rowtide.session import materialize, reuse
+from rowtide.session import cache_scope, materialize, reuse
 
 DEFAULT_MAX_BARRIERS = 64
 
@@ -79,10 +79,12 @@ def apply_segmented(
             cond = cond & (F.col("seq") > lo)
         if b is not None:
             cond = cond & (F.col("seq") < b)
-        res = apply_changes(state, packets, contract, prepared=prepared.where(cond), strict_restrictions=strict_restrictions, **kw)
-        state = materialize(res.table)
-        outs.append(res.outcomes.select(*[c for c in res.outcomes.columns if c not in ("data", "restriction")]))
-        effects.append(res.effects)
+        with cache_scope():
+            res = apply_changes(state, packets, contract, prepared=prepared.where(cond), strict_restrictions=strict_restrictions, **kw)
+            state = materialize(res.table)
+            # outcomes / effects stay lazy: if read later they recompute from the checkpointed state
+            outs.append(res.outcomes.select(*[c for c in res.outcomes.columns if c not in ("data", "restriction")]))
+            effects.append(res.effects)
         if b is not None:
             state, o = apply_barrier(state, prepared.where(F.col("seq") == b), contract)
             state = materialize(state)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,12 +58,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a result that several branches of a plan read (memory, spilling to disk).
 
     Lost blocks are recomputed from lineage, so a lost executor costs time, not the job.
+    Inside :func:`cache_scope` the frame is released when the scope ends.
     """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _SCOPES:
+        _SCOPES[-1].append(out)
+    return out
+
+
+@contextmanager
+def cache_scope():
+    """Release every frame persisted by :func:`reuse` inside the block (one micro-batch, one segment)."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for df in _SCOPES.pop():
+            df.unpersist()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.contract import TableContract
 from rowtide.operators.apply import apply_changes
-from rowtide.session import reuse
+from rowtide.session import cache_scope, reuse
 from rowtide.sources.packets import read_packets
 from rowtide.sources.tables import current_version, last_seq, read_snapshot, write_snapshot
 
@@ -37,6 +37,10 @@ def stream_destination(
         write_snapshot(base.select(*contract.names), root, 0)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
+        with cache_scope():
+            _apply_batch(batch, batch_id)
+
+    def _apply_batch(batch: DataFrame, batch_id: int) -> None:
         batch = reuse(batch)
         # micro-batch n starts from version n; a replayed batch re-derives the same version n+1
         version = min(current_version(spark, root), batch_id)
@@ -51,7 +55,6 @@ def stream_destination(
             res.outcomes.drop("data", "restriction").write.mode("overwrite").parquet(f"{root}/_outcomes/batch={batch_id}")
             hi = stats["hi"] if stats["hi"] is not None else last
             write_snapshot(res.table, root, version + 1, hi)
-        batch.unpersist()
 
     packets = read_packets(spark, source_path, streaming=True, max_files_per_trigger=max_files_per_trigger)
     writer = packets.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
