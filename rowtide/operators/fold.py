@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv
-from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, reuse
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize
 
 # Width of a seq bucket: hard bound on the rows of one window partition in step 4.
 DEFAULT_SPAN = 1 << 20
@@ -222,6 +222,8 @@ def fold(
     hits = base.select(*key).join(log_keys, key, "left_semi")
     folded = fold_effects(effects, hits, contract, span)
     if materialize_effects:
-        folded = reuse(folded)
+        # written once to the checkpoint folder: outcomes and the summary both read it, and the
+        # plans built on top of it stay small
+        folded = materialize(folded)
     table = merge_into_base(base, summarize(folded, contract), contract, broadcast_bytes)
     return FoldResult(folded, table)

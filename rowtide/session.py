@@ -121,10 +121,11 @@ def measured_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``df`` only if its measured size is at most ``max_bytes``.
 
-    ``df`` is persisted and measured with one aggregate job (the same job fills the cache that the
-    join then reads). Beyond the bound the plain DataFrame is returned and Spark plans a shuffle join.
+    ``df`` is checkpointed (computed once, lineage cut to a file scan) and measured with one
+    aggregate job over the checkpoint. Beyond the bound the plain DataFrame is returned and Spark
+    plans a shuffle join.
     """
-    df = reuse(df)
+    df = materialize(df)
     if measured_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
