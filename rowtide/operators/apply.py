@@ -20,10 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.functions.packets import dp, dv, rp, rv
+from rowtide.functions.packets import dp, dv, map_of, rp, rv
 from rowtide.operators.align import _all, _any, prepare
 from rowtide.operators.fold import DEFAULT_SPAN, fold
-from rowtide.operators.keys import allocate_keys, enrich_keys
+from rowtide.operators.keys import allocate_keys
 from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, reuse
 
 OUTCOMES = ("inserted", "updated", "deleted", "noop", "rejected", "quarantined")
@@ -101,11 +101,34 @@ def _key_from_packet(contract: TableContract) -> dict[str, Column]:
 
 
 def _with_assigned_key(df: DataFrame, contract: TableContract, assigned: list[str]) -> DataFrame:
-    """Write engine-assigned key columns into the typed data columns and into the ``data`` map."""
+    """Write engine-assigned key columns into the typed data columns.
+
+    The forwarded packet is rebuilt from the typed columns, so it carries the assigned key (K4).
+    """
     for k in assigned:
         df = df.withColumn(dp(k), F.lit(True)).withColumn(dv(k), F.col(f"__k_{k}").cast(contract.type_of(k)))
-    df = enrich_keys(df.withColumnsRenamed({f"__k_{k}": k for k in assigned}), assigned)
-    return df.drop(*assigned)
+    return df.drop(*[f"__k_{k}" for k in assigned])
+
+
+def _packet_maps(contract: TableContract, key_cols: bool) -> list[Column]:
+    """``data`` / ``restriction`` maps of the packet to forward, rebuilt from the typed columns.
+
+    Unknown columns are not forwarded (every receiver would drop them); an engine-assigned key is.
+    ``key_cols``: the rows carry the resolved key in plain key columns (fold effects) instead of
+    the restriction columns.
+    """
+    a = F.col("action")
+    if key_cols:
+        data_vals = {c: F.col(c) if c in contract.primary_key else F.col(dv(c)) for c in contract.names}
+        data_has = {c: F.lit(True) if c in contract.primary_key else F.col(dp(c)) for c in contract.names}
+        restr = map_of({k: F.col(k) for k in contract.primary_key})
+    else:
+        data_vals = {c: F.col(dv(c)) for c in contract.names}
+        data_has = {c: F.col(dp(c)) for c in contract.names}
+        restr = map_of({c: F.col(rv(c)) for c in contract.names}, {c: F.col(rp(c)) for c in contract.names})
+    upd_has = {c: (F.lit(False) if c in contract.primary_key else h) for c, h in data_has.items()} if key_cols else data_has
+    data = F.when(a.isin("add", "set"), map_of(data_vals, data_has)).when(a == "update", map_of(data_vals, upd_has))
+    return [data.alias("data"), F.when(a.isin("update", "delete"), restr).alias("restriction")]
 
 
 def resolve_unique(
@@ -189,9 +212,10 @@ def apply_changes(
         prepared = prepare(packets, contract, strict_restrictions)
     # Parsed once, read by every tier branch below (and a barrier against pushing the routing
     # predicates into the packet parsing, which would repeat it per predicate).
-    prepared = reuse(prepared)
+    # the raw maps are not needed past alignment (forwarded packets are rebuilt from typed columns)
+    prepared = reuse(prepared.drop("data", "restriction"))
     extras = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
-    carry = ["data", "restriction", *extras]
+    carry = extras
     if contract.foreign_keys and parents:
         prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
     ok = F.col("reject_reason").isNull()
@@ -245,7 +269,8 @@ def apply_changes(
     # ---- per-packet outcomes
     direct = folded.where(F.col("match_kind") != "pk_partial").select(
         "seq", "action", "match_kind", *key, "outcome", "reason",
-        F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"), *carry,
+        F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"),
+        *_packet_maps(contract, True), *carry,
     )
     pri = (F.when(F.col("outcome") == "quarantined", 4).when(F.col("outcome").isin("updated", "deleted"), 3)
            .when(F.col("outcome") == "rejected", 2).otherwise(1))
@@ -253,18 +278,18 @@ def apply_changes(
         F.max_by(F.struct("outcome", "reason"), pri).alias("o"),
         F.sum(F.when(F.col("outcome").isin("updated", "deleted"), 1).otherwise(0)).alias("rows"),
     )
-    part_out = prepared.where(partial).select("seq", "action", "match_kind", *carry).join(agg, "seq", "left").select(
+    part_out = prepared.where(partial).select("seq", "action", "match_kind", *_packet_maps(contract, False), *carry).join(agg, "seq", "left").select(
         "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key],
         F.coalesce(F.col("o.outcome"), F.when(F.col("action") == "set", "rejected").otherwise("noop")).alias("outcome"),
         F.when(F.col("o").isNotNull(), F.col("o.reason")).when(F.col("action") == "set", "partial_key").alias("reason"),
-        F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), *carry,
+        F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), "data", "restriction", *carry,
     )
     bad = prepared.where(~ok | no_key | partial_add | (ok & (mk == "non_key"))).select(
         "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key],
         F.when(ok & (mk == "non_key"), "quarantined").when(ok | (F.col("reject_reason") == "null_key"), "rejected")
         .otherwise("quarantined").alias("outcome"),
         F.when(ok & (mk == "non_key"), "needs_barrier").when(ok, "null_key").otherwise(F.col("reject_reason")).alias("reason"),
-        F.lit(0).alias("rows"), *carry,
+        F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
     )
     outcomes = direct.unionByName(part_out).unionByName(bad)
     if on_error == "fail":
