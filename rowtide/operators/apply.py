@@ -24,7 +24,7 @@ from rowtide.functions.packets import dp, dv, map_of, rp, rv
 from rowtide.operators.align import _all, _any, prepare
 from rowtide.operators.fold import DEFAULT_SPAN, fold
 from rowtide.operators.keys import allocate_keys
-from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, reuse
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize, measured_bytes, reuse
 
 OUTCOMES = ("inserted", "updated", "deleted", "noop", "rejected", "quarantined")
 # Reasons that only ever reject an insert (an integrity error in the reference): rejected, counted.
@@ -175,12 +175,16 @@ def expand_partial(partial: DataFrame, universe: DataFrame, contract: TableContr
     present = {k: F.when(a == "set", F.col(dp(k))).otherwise(F.col(rp(k))) for k in key}
     value = {k: F.when(a == "set", F.col(dv(k))).otherwise(F.col(rv(k))) for k in key}
     uni = universe.select(*[F.col(k).alias(f"__k_{k}") for k in key])
+    # one materialisation and one size check for all partial packets, then a join per key pattern
+    small = False
+    if broadcast_bytes > 0:
+        partial = materialize(partial)
+        small = measured_bytes(partial) <= broadcast_bytes
     parts = []
     for n in range(1, len(key)):
         for given in combinations(key, n):
             sel = partial.where(_all([present[k] for k in given]) & ~_any([present[k] for k in key if k not in given]))
-            if broadcast_bytes > 0:
-                sel = broadcast_if_small(sel, broadcast_bytes)
+            sel = F.broadcast(sel) if small else sel
             parts.append(sel.join(uni, [value[k] == F.col(f"__k_{k}") for k in given], "inner"))
     out = parts[0]
     for p in parts[1:]:
