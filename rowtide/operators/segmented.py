@@ -30,7 +30,7 @@ def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract)
     ``col = value`` over its restriction columns (SQL ``=``: NULL never matches).
     Returns (new table, outcome row with the number of rows hit).
     """
-    b = barrier.withColumn("__one", F.lit(1))
+    b = barrier.withColumn("__one", F.lit(1))  # one packet (seq is unique): a proven broadcast bound
     j = state.withColumn("__one", F.lit(1)).join(F.broadcast(b), "__one")
     match = reduce(
         lambda x, y: x & y,

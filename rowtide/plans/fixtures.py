@@ -164,6 +164,7 @@ def snap_new(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice",
         F.when((pr == SNAP_CHANGE[0]) & (st == SNAP_CHANGE[1]), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
     )
+    # one-row aggregate joined on a constant: a proven broadcast bound
     offset = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))
     copies = (
         old.where((pr == SNAP_COPY[0]) & (st == SNAP_COPY[1])).withColumn("__one", F.lit(1))
@@ -362,7 +363,7 @@ def barrier_log(spark, sf_dir, on: str) -> DataFrame:
         map_of({"c_custkey": F.col("o_custkey"), "c_mktsegment": F.col("o_orderpriority")}).alias("data"),
         F.lit(None).cast("map<string,string>").alias("restriction"),
     )
-    top = o.agg(F.max("o_orderkey").alias("__max")).withColumn("__one", F.lit(1))
+    top = o.agg(F.max("o_orderkey").alias("__max")).withColumn("__one", F.lit(1))  # one row
     regions = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min("n_nationkey").alias("n"))
     r = F.col("n_regionkey")
     seg = F.element_at(F.array(*[F.lit(s) for s in BARRIER_SEGMENTS]), (r % len(BARRIER_SEGMENTS)).cast("int") + 1)
@@ -385,7 +386,7 @@ GHOST_STATUS = "O"  # these packets try to move a key that does not exist
 
 def key_move_log(spark, sf_dir) -> DataFrame:
     old = snap_old(spark, sf_dir)
-    off = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))
+    off = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))  # one row
     o = old.where(F.col("o_orderpriority") == MOVE_PRIORITY).withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
     ghost = F.col("o_orderstatus") == GHOST_STATUS
     moving = (F.col("o_orderstatus") == MOVE_STATUS) | ghost

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 from rowtide.operators.apply import ChangeResult, apply_changes
 from rowtide.operators.distribute import accepted, apply_targets, enabled_targets, fan_out
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 # A processor turns (base, packets, contract) into a ChangeResult; the default is the fold.
 Processor = Callable[..., ChangeResult]
@@ -42,8 +43,9 @@ def run_destination(
     dest = processor(base, packets, contract, **kw)
     fwd = fan_out(accepted(dest.outcomes).select("seq", "action", "data", "restriction"), routes.where(F.col("destination") == destination), destination)
     live = enabled_targets(routes.where(F.col("destination") == destination)).select("target")
-    # the enabled-target list is configuration (a handful of rows): a broadcast semi join
-    to_apply = fwd.join(F.broadcast(live), "target", "left_semi")
-    tb = target_bases.join(F.broadcast(live), "target", "left_semi")
+    # the enabled-target list is configuration; broadcast after its size is measured
+    live = broadcast_if_small(live, kw.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES))
+    to_apply = fwd.join(live, "target", "left_semi")
+    tb = target_bases.join(live, "target", "left_semi")
     targets = apply_targets(tb, to_apply, contract, **kw) if target_processor is None else target_processor(tb, to_apply, contract, **kw)
     return PipelineResult(dest, fwd, targets)

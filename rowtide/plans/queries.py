@@ -380,6 +380,7 @@ def cascade_parent_key(spark, sf):
     child = _labels(spark, sf).table
     docs = fx.table(spark, sf, "documents")
     off = docs.agg((F.max("doc_id") + 1).alias("__off")).withColumn("__one", F.lit(1))
+    # ``off`` is a one-row aggregate: a proven broadcast bound
     moves = docs.where(F.col("lang") == fx.PARENT_MOVE_LANG).withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one").select(
         F.col("doc_id").alias("old_doc_id"), (F.col("doc_id") + F.col("__off")).alias("new_doc_id"))
     return cascade_update(child, moves, fx.LABELS.foreign_keys[0])
