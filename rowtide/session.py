@@ -85,16 +85,15 @@ def cache_scope():
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: writes to the shared checkpoint folder and cuts lineage.
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Used between iterations / micro-batches whose lineage would otherwise grow. The input is
-    persisted first so it is computed once, not once for the count and once for the write.
+    One job; the result's plan is a file scan (lineage cut, small plans downstream), its data
+    survives executor loss, and readers get column pruning and filter pushdown on it. Used for the
+    folded effects, measured broadcast sides, and between iterations / micro-batches.
     """
-    checkpoint_dir(df.sparkSession)
-    df = reuse(df)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    path = scratch_path(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _row_bytes(df: DataFrame) -> Column:
