@@ -120,8 +120,8 @@ def measured_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``df`` only if its measured size is at most ``max_bytes``.
 
-    ``df`` is checkpointed (computed once, lineage cut to a file scan) and measured with one
-    aggregate job over the checkpoint. Beyond the bound the plain DataFrame is returned and Spark
+    ``df`` is materialised (written once to the shared checkpoint folder, read back as a file scan)
+    and measured with one aggregate job over that table. Beyond the bound the plain DataFrame is returned and Spark
     plans a shuffle join.
     """
     df = materialize(df)
