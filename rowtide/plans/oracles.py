@@ -362,7 +362,9 @@ FROM lineitem"""
     q["profile_keys"] = "SELECT *, null_rows = 0 AND duplicate_groups = 0 AS is_key FROM (" + " UNION ALL ".join(prof(c) for c in PROFILE_CANDIDATES) + ")"
     miss = f"contains(url, '{fx.PAGE_MISS_MARK}')"
     by_pk = f"(contains(url, '{fx.PAGE_PK_MARK}') AND NOT {miss})"
-    q["resolve_key"] = f"SELECT CAST(page_id AS BIGINT) AS seq, CASE WHEN {by_pk} THEN 'pk' ELSE 'unique' END AS match_kind FROM pages"
+    q["resolve_key"] = f"""SELECT 'pages' AS log, CAST(page_id AS BIGINT) AS seq, CASE WHEN {by_pk} THEN 'pk' ELSE 'unique' END AS match_kind FROM pages
+UNION ALL SELECT 'lines', seq, CASE WHEN full_key THEN 'pk' ELSE 'pk_partial' END FROM ({LINES_PACKETS_SQL})
+UNION ALL SELECT 'documents', doc_id, 'none' FROM documents"""
     q["apply_set_unique"] = f"""
 SELECT CAST(page_id AS BIGINT) AS page_id, url, CASE WHEN {miss} THEN html ELSE html || '{fx.PAGE_HTML_SUFFIX}' END AS html FROM pages
 UNION ALL

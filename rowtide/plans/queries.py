@@ -327,8 +327,12 @@ def profile_keys_q(spark, sf):
 
 
 def resolve_key_q(spark, sf):
-    """K2: which columns identify the row of each set packet (pk / unique / pk_partial / none)."""
-    return prepare(fx.page_set(spark, sf), fx.PAGES).select("seq", "match_kind")
+    """K2: which columns identify the rows of each packet: pk (pages by id, whole line keys), unique
+    (pages by url), pk_partial (lines by order only), none (keyless documents)."""
+    pages = prepare(fx.page_set(spark, sf), fx.PAGES).select(F.lit("pages").alias("log"), "seq", "match_kind")
+    lines = prepare(fx.lines_log(spark, sf), fx.LINES).select(F.lit("lines").alias("log"), "seq", "match_kind")
+    docs = prepare(fx.docs_add(spark, sf), fx.SURROGATES).select(F.lit("documents").alias("log"), "seq", "match_kind")
+    return pages.unionByName(lines).unionByName(docs)
 
 
 def apply_set_unique(spark, sf):
