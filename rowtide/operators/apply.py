@@ -31,6 +31,10 @@ OUTCOMES = ("inserted", "updated", "deleted", "noop", "rejected", "quarantined")
 INTEGRITY_REASONS = ("null_key", "not_null", "duplicate_key", "foreign_key", "partial_key")
 
 
+class PacketHalt(RuntimeError):
+    """A packet that stops the batch under ``on_error='fail'``."""
+
+
 @dataclass
 class ChangeResult:
     outcomes: DataFrame  # one row per packet
@@ -206,8 +210,8 @@ def apply_changes(
 ) -> ChangeResult:
     """Apply an ordered packet log (``seq, action, data, restriction`` + extra columns) to ``base``.
 
-    ``on_error='fail'`` makes a quarantined packet fail the job (``raise_error``), like the
-    reference's halting worker; ``'quarantine'`` sets it aside and goes on.
+    ``on_error='fail'`` raises :class:`PacketHalt` (one small top-1 job) if any packet would halt,
+    like the reference's halting worker; ``'quarantine'`` sets it aside and goes on.
     Packets with non-key restrictions need :func:`apply_segmented`; here they are quarantined
     with reason ``needs_barrier``.
     """
@@ -297,10 +301,8 @@ def apply_changes(
     )
     outcomes = direct.unionByName(part_out).unionByName(bad)
     if on_error == "fail":
-        outcomes = outcomes.withColumn(
-            "outcome",
-            F.when(F.col("outcome") == "quarantined",
-                   F.raise_error(F.concat(F.lit("packet "), F.col("seq").cast("string"), F.lit(" halts: "), F.col("reason"))))
-            .otherwise(F.col("outcome")),
-        )
+        # the reference's worker stops at a halting packet: the whole batch fails, nothing is applied
+        first = outcomes.where(F.col("outcome") == "quarantined").select("seq", "reason").orderBy("seq").limit(1).collect()
+        if first:
+            raise PacketHalt(f"packet {first[0]['seq']} halts the batch: {first[0]['reason']}")
     return ChangeResult(outcomes, folded, result.table)

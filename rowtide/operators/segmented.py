@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, rp, rv
 from rowtide.operators.align import prepare
-from rowtide.operators.apply import ChangeResult, apply_changes
+from rowtide.operators.apply import ChangeResult, PacketHalt, apply_changes
 from rowtide.session import cache_scope, materialize, reuse
 
 DEFAULT_MAX_BARRIERS = 64
@@ -88,6 +88,9 @@ def apply_segmented(
         if b is not None:
             state, o = apply_barrier(state, prepared.where(F.col("seq") == b), contract)
             state = materialize(state)
+            o = materialize(o)  # one row
+            if kw.get("on_error") == "fail" and o.where(F.col("outcome") == "quarantined").limit(1).count():
+                raise PacketHalt(f"packet {b} halts the batch: not_null")
             outs.append(o)
         lo = b
     outcomes = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), outs)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.operators.apply import apply_changes
+from rowtide.operators.apply import PacketHalt, apply_changes
 from tests.replay import replay
 
 C = TableContract(
@@ -81,6 +81,6 @@ def test_hot_key_is_split_across_buckets(spark):
 def test_on_error_fail_raises(spark):
     base = spark.createDataFrame([(1, 1.0, "B")], C.schema)
     bad = to_df(spark, [{"seq": 1, "action": "update", "data": {"v": None}, "restriction": {"k": 1}}])
-    res = apply_changes(base, bad, C, on_error="fail")
-    with pytest.raises(Exception):
-        res.outcomes.collect()
+    with pytest.raises(PacketHalt):
+        apply_changes(base, bad, C, on_error="fail")
+    assert apply_changes(base, bad, C).outcomes.first()["outcome"] == "quarantined"
