@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ForeignKey, TableContract
 from rowtide.functions.packets import map_of
+from rowtide.sources.tables import read_table
 
 # ---- fixed values of the fixtures (must equal the oracle SQL)
 ACCOUNT_SEGMENTS_IN_BASE = ("AUTOMOBILE", "BUILDING", "MACHINERY")
@@ -153,8 +154,7 @@ SNAP_COPY = ("1-URGENT", "P")
 
 
 def snap_old(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.select(*[F.col(c).cast(t).alias(c) for c, t in ORDERS.columns])
+    return read_table(spark, f"{sf_dir.rstrip('/')}/orders.parquet", ORDERS)
 
 
 def snap_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,7 @@ REGISTRY_ROWS = [("public", "orders", None, '["o_orderkey"]')]
 
 
 def customer_old(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(*[F.col(c).cast(t).alias(c) for c, t in CUSTOMERS.columns])
+    return read_table(spark, f"{sf_dir.rstrip('/')}/customer.parquet", CUSTOMERS)
 
 
 def customer_new(spark, sf_dir):
