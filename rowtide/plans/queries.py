@@ -14,7 +14,7 @@ from rowtide.operators.segmented import apply_key_moves, apply_segmented
 from rowtide.functions.packets import packets_delete, packets_update, packets_upsert
 from rowtide.operators.align import prepare
 from rowtide.operators.apply import apply_changes
-from rowtide.session import scratch_path
+from rowtide.session import materialize, scratch_path
 from rowtide.sources.tables import read_snapshot
 from rowtide.streaming.stream import stream_destination
 from rowtide.sources.capture import capture_changes, capture_deletes, capture_diff, capture_inserts, capture_updates, route_changes
@@ -95,7 +95,8 @@ def fill_defaults(spark, sf):
 
 
 def _lines(spark, sf):
-    return apply_changes(fx.lines_base(spark, sf), fx.lines_log(spark, sf), fx.LINES)
+    # the base is an aggregate over lineitem, read by several branches: written once as a table
+    return apply_changes(materialize(fx.lines_base(spark, sf)), fx.lines_log(spark, sf), fx.LINES)
 
 
 def apply_partial_log(spark, sf):
