@@ -37,18 +37,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must be given (a shared file system path). Only a
-    local-mode session without it (tests) gets a fresh folder under /tmp.
+    On a cluster the setting must be given (a shared file system path). Only a local-mode session
+    without it (tests) gets a fresh folder under /tmp.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a classic SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and sc is not None:
+        conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf = tempfile.mkdtemp(prefix="rowtide-ckpt-")
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
