@@ -47,7 +47,9 @@ def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract)
         for c in contract.names
     ]
     new_state = kept.select(*cols)
-    counted = j.groupBy("seq", "action").agg(F.count_if(match).alias("rows"), F.max(halts).alias("halts"))
+    # a global aggregate has exactly one row, also over an empty table: every barrier gets its outcome
+    hit = j.agg(F.count_if(match).alias("rows")).withColumn("__one", F.lit(1))
+    counted = b.select("seq", "action", halts.alias("halts"), "__one").join(hit, "__one")
     outcome = counted.select(
         "seq", "action", F.lit("non_key").alias("match_kind"),
         *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in contract.primary_key],

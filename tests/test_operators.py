@@ -59,3 +59,19 @@ def test_stats_deltas_and_recent(spark):
     d = counter_deltas(samples)
     assert [r["add"] for r in d.orderBy("sample_ts").collect()] == [10, 10, 10, 10]
     assert recent(d, 2).count() == 2
+
+
+def test_barrier_on_empty_table_reports_noop(spark):
+    from rowtide.operators.segmented import apply_segmented
+
+    c = TableContract(name="x", columns=(("id", "bigint"), ("g", "string"), ("v", "double")), primary_key=("id",))
+    packets = to_df(spark, [
+        {"seq": 1, "action": "update", "data": {"v": 1.0}, "restriction": {"g": "a"}},
+        {"seq": 2, "action": "add", "data": {"id": 1, "g": "a", "v": 0.0}},
+        {"seq": 3, "action": "update", "data": {"v": 2.0}, "restriction": {"g": "a"}},
+        {"seq": 4, "action": "delete", "restriction": {"g": "b"}},
+    ])
+    res = apply_segmented(spark.createDataFrame([], c.schema), packets, c)
+    out = {r["seq"]: r["outcome"] for r in res.outcomes.collect()}
+    assert out == {1: "noop", 2: "inserted", 3: "updated", 4: "noop"}
+    assert [tuple(r) for r in res.table.collect()] == [(1, "a", 2.0)]
