@@ -217,12 +217,14 @@ def apply_changes(
     """
     key = list(contract.primary_key)
     if prepared is None:
-        prepared = prepare(packets, contract, strict_restrictions)
-    # Parsed once and written once (a table in the shared checkpoint folder), then read by every
-    # tier branch below. A lazily filled cache would be computed again by each concurrently
-    # started stage, and routing predicates would be pushed into the parsing and repeat it.
-    # The raw maps are not needed past alignment (forwarded packets are rebuilt from typed columns).
-    prepared = materialize(prepared.drop("data", "restriction"))
+        # Parsed once and written once (a table in the shared checkpoint folder), then read by every
+        # tier branch below. A lazily filled cache would be computed again by each concurrently
+        # started stage, and routing predicates would be pushed into the parsing and repeat it.
+        # The raw maps are not needed past alignment (forwarded packets are rebuilt from typed columns).
+        prepared = materialize(prepare(packets, contract, strict_restrictions).drop("data", "restriction"))
+    else:
+        # a caller-held prepared log (e.g. one segment of a cached log in apply_segmented)
+        prepared = prepared.drop("data", "restriction")
     extras = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
     carry = extras
     if contract.foreign_keys and parents:
