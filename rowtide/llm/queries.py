@@ -4,23 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import quality_rules, secret_scan
+from rowtide.llm import jaccard_join, packing, quality_model, quality_rules, secret_scan
 from rowtide.llm.common import table
 
+WORD_BPE = "word_bpe_49k.json"
+
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("_key")
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_key")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("_key", "keeper")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op8_secret_scan)}
+    found = (op2_quality_rules, op4_quality_model, op8_secret_scan, op9_best_fit_packing, op10_jaccard_join)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op2_quality_rules": quality_rules.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}

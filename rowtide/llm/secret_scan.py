@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import row_key
-from rowtide.session import materialize
+from rowtide.session import broadcast_if_small, materialize
 
 # Pattern, group that holds the value, and least length of that value, by kind.
 KINDS = {
@@ -121,7 +121,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     Overlapping spans are replaced once, from the first start to the last end of the overlap, under the name of the first.
     """
     names = F.array(*[F.lit(k) for k in KINDS])
-    found = scan_secrets(docs, id_col, text_col, **options).filter(F.size("found") > 0).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "found").dropDuplicates(["_id", "_k"])
+    found = scan_secrets(docs, id_col, text_col, **options).filter(F.size("found") > 0)
+    found = broadcast_if_small(found.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "found").dropDuplicates(["_id", "_k"]))
     keyed = docs.withColumn("_scan_key", row_key(id_col, text_col))
     joined = keyed.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_scan_key") == F.col("_k")), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
