@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowtide.llm import jaccard_join, packing, quality_model, quality_rules, secret_scan
+from rowtide.llm import jaccard_join, packing, quality_model, quality_rules, secret_scan, topk, warc
 from rowtide.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -21,6 +22,15 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_key")
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -34,9 +44,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_quality_rules, op4_quality_model, op8_secret_scan, op9_best_fit_packing, op10_jaccard_join)
+    found = (op2_quality_rules, op4_quality_model, op5_top_k, op6_warc, op8_secret_scan, op9_best_fit_packing, op10_jaccard_join)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}
+    return {"op2_quality_rules": quality_rules.ORACLE_SQL, "op5_top_k": topk.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}
