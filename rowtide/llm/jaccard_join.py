@@ -137,14 +137,15 @@ def heavy_ngrams(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("df"), "bucket").limit(HEAVY)
 
 
-def _signature_map(heavy, n: int, pct: int) -> Callable:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signature(heavy, n: int, pct: int) -> Callable:
+    @F.pandas_udf("n long, sign long, prefix array<long>, chunk array<int>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bucket, df = heavy.value
         seen = np.zeros(1 << 22, bool)
         seen[bucket & np.uint64((1 << 22) - 1)] = True
-        for frame in frames:
+        for texts in batches:
             sizes, signs, prefixes, chunks = [], [], [], []
-            for text in frame["_t"]:
+            for text in texts:
                 h = ngrams(text, n)
                 sizes.append(len(h))
                 if not len(h):
@@ -169,7 +170,7 @@ def _signature_map(heavy, n: int, pct: int) -> Callable:
                 w = weight[light]
                 split = w > CHUNK
                 chunks.append((np.where(split, sign[0] % np.maximum(-(-w // CHUNK), 1).astype(np.uint64), 0) * 2 + split).astype(np.int32))
-            yield pd.DataFrame({"_row": frame["_row"], "doc_id": frame["doc_id"], "_key": frame["_key"], "n": pd.Series(sizes, dtype="int64"), "sign": pd.Series(signs, dtype="int64"), "prefix": prefixes, "chunk": chunks})
+            yield pd.DataFrame({"n": pd.Series(sizes, dtype="int64"), "sign": pd.Series(signs, dtype="int64"), "prefix": prefixes, "chunk": chunks})
 
     return run
 
@@ -264,8 +265,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     top = heavy_ngrams(docs, text_col, n).toPandas().sort_values("bucket")
     heavy = spark.sparkContext.broadcast((top["bucket"].to_numpy(np.uint64), top["df"].to_numpy(np.int64)))
-    keyed = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("_t"))
-    rows = materialize(keyed.mapInPandas(_signature_map(heavy, n, pct), "_row long, doc_id long, _key long, n long, sign long, prefix array<long>, chunk array<int>"))
+    signed = _signature(heavy, n, pct)(F.col(text_col)).alias("s")
+    keyed = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("_key"), signed)
+    rows = materialize(keyed.select("_row", "doc_id", "_key", "s.*"))
     classes = rows.filter(F.col("n") > 0).groupBy("sign", "n").agg(F.min("_row").alias("rep"), F.first(F.struct("prefix", "chunk")).alias("p"))
     postings = classes.select("rep", "n", F.posexplode(F.arrays_zip("p.prefix", "p.chunk")).alias("pos", "x")).select(F.col("x.prefix").alias("g"), F.col("x.chunk").alias("chunk"), "rep", "n", F.col("pos").cast("long").alias("pos"))
     lists = materialize(postings.repartition("g", "chunk").mapInPandas(_list_map(pct), "kind int, a long, b long, n long, pos long"))

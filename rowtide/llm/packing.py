@@ -101,29 +101,26 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _pieces_map(path: str, capacity: int, end_id: int) -> Callable:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pieces(path: str, capacity: int, end_id: int) -> Callable:
+    @F.pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = encoder(path)
-        for frame in frames:
-            for at in range(0, len(frame), 64):
-                part = frame.iloc[at : at + 64]
-                rows = []
-                for doc_id, ids in zip(part["doc_id"], own.encode(list(part["text"])), strict=True):
+        for texts in batches:
+            out = []
+            for at in range(0, len(texts), 64):
+                for ids in own.encode(list(texts.iloc[at : at + 64])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for k, start in enumerate(range(0, len(ids), capacity)):
-                        piece = ids[start : start + capacity]
-                        rows.append((doc_id, k, start, len(piece), zlib.crc32(piece.tobytes())))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                    starts = range(0, len(ids), capacity)
+                    out.append([{"piece": k, "start": s, "length": len(ids[s : s + capacity]), "ids_crc32": zlib.crc32(ids[s : s + capacity].tobytes())} for k, s in enumerate(starts)])
+            yield pd.Series(out)
 
     return run
 
 
 def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: the tokens of every document and the end id, cut at the capacity."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_pieces_map(path, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _pieces(path, capacity, end_id)(F.col(text_col)).alias("p"))
+    return rows.select("doc_id", F.explode("p").alias("p")).select("doc_id", "p.*")
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

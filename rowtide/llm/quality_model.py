@@ -15,7 +15,6 @@ for every document; equal rows get equal scores; an empty table gives an empty r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -182,16 +181,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_documents(docs: DataFrame, model: Model, *keep: Column, text_col: str = "text") -> DataFrame:
     """``keep`` and ``score`` for every document."""
     rows = features(docs, *keep, text_col=text_col)
-    names = [c for c in rows.columns if c != "x"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[names].copy()
-            out["score"] = model.score(np.array(frame["x"].tolist(), float).reshape(len(frame), -1))
-            yield out
+    @F.pandas_udf("double")
+    def scored(x: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array(x.tolist(), float).reshape(len(x), -1)))
 
-    schema = rows.drop("x").schema.add("score", "double")
-    return rows.mapInPandas(run, schema)
+    return rows.withColumn("score", scored("x")).drop("x")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:

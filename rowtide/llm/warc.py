@@ -38,7 +38,7 @@ DATE = "2024-01-01T00:00:00Z"  # headers are regenerated, the same in every run
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
-_MANIFEST = "file string, bytes long, sha256 string, records long, first_id long, last_id long"
+_MANIFEST = "file string, bytes long, sha256 string, records long, first_id string, last_id string"
 
 
 def file_system(uri: str):
@@ -52,11 +52,11 @@ def _digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _urn(page_id: int | None) -> str:
+def _urn(page_id: str | None) -> str:
     return f"<urn:page:{'null' if page_id is None else page_id}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
     """One WARC/1.1 record: a response with the payload, or a revisit without it."""
     block = HTTP + payload if refers_to is None else HTTP
     head = [
@@ -97,7 +97,6 @@ def _write_map(folder: str, roll: int):
 
         for frame in frames:
             for shard, page_id, url, payload, refers in zip(frame["shard"], frame["page_id"], frame["url"], frame["payload"], frame["refers_to"], strict=True):
-                page_id = None if pd.isna(page_id) else int(page_id)
                 if shard != state["shard"]:
                     close()
                     open_file(shard, 0)
@@ -105,7 +104,7 @@ def _write_map(folder: str, roll: int):
                     close()
                     open_file(shard, state["file"] + 1)
                 gz = zlib.compressobj(6, zlib.DEFLATED, 31)
-                member = gz.compress(record(page_id, url, payload, None if pd.isna(refers) else int(refers))) + gz.flush()
+                member = gz.compress(record(page_id, url, payload, refers)) + gz.flush()
                 state["members"].append(member)
                 state["size"] += len(member)
                 state["records"] += 1
@@ -113,8 +112,6 @@ def _write_map(folder: str, roll: int):
                 state["last"] = page_id
         close()
         out = pd.DataFrame(made, columns=["file", "bytes", "sha256", "records", "first_id", "last_id"])
-        for c in ("first_id", "last_id"):
-            out[c] = out[c].astype("Int64")
         yield out
 
     return run
@@ -157,7 +154,7 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL_BYTES, shard_
     rows = with_revisits(rows)
     placed = rows.repartition(n, "shard") if n == 1 else rows.repartitionByRange(n, "shard")
     ordered = placed.sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "url", F.sha1("payload"))
-    made = ordered.select("shard", "page_id", "url", "payload", "refers_to").mapInPandas(_write_map(f"{folder}/data", roll), _MANIFEST)
+    made = ordered.select("shard", F.col("page_id").cast("string"), "url", "payload", F.col("refers_to").cast("string")).mapInPandas(_write_map(f"{folder}/data", roll), _MANIFEST)
     made.write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
@@ -187,8 +184,8 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block
 
 
-def _number(urn: str | None) -> int | None:
-    return None if urn is None or "null" in urn else int(urn.removeprefix("<urn:page:").rstrip(">"))
+def _id(urn: str | None) -> str | None:
+    return None if urn is None or "null" in urn else urn.removeprefix("<urn:page:").rstrip(">")
 
 
 def _read_map(folder: str):
@@ -205,11 +202,8 @@ def _read_map(folder: str):
                         sha = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                         if own and sha != hashlib.sha1(payload).hexdigest():
                             raise ValueError(f"damaged payload {fields['WARC-Record-ID']}")
-                        rows.append((_number(fields["WARC-Record-ID"]), fields["WARC-Type"], sha, len(payload) if own else None, _number(fields.get("WARC-Refers-To"))))
-                out = pd.DataFrame(rows, columns=["page_id", "record_type", "payload_digest", "own_bytes", "refers_to"])
-                for c in ("page_id", "own_bytes", "refers_to"):
-                    out[c] = out[c].astype("Int64")
-                yield out
+                        rows.append((_id(fields["WARC-Record-ID"]), fields["WARC-Type"], sha, len(payload) if own else -1, _id(fields.get("WARC-Refers-To"))))
+                yield pd.DataFrame(rows, columns=["page_id", "record_type", "payload_digest", "own_bytes", "refers_to"])
 
     return run
 
@@ -217,10 +211,11 @@ def _read_map(folder: str):
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every record; a revisit has its response's bytes."""
     spread = manifest.select("file").repartition("file")
-    rows = spread.mapInPandas(_read_map(f"{folder}/data"), "page_id long, record_type string, payload_digest string, own_bytes long, refers_to long")
+    rows = spread.mapInPandas(_read_map(f"{folder}/data"), "page_id string, record_type string, payload_digest string, own_bytes long, refers_to string")
+    rows = rows.withColumns({"page_id": F.col("page_id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
     full = rows.filter("record_type = 'response'").groupBy(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_sha")).agg(F.max("own_bytes").alias("_bytes"))
     joined = rows.join(full, (F.col("refers_to") == F.col("_id")) & (F.col("payload_digest") == F.col("_sha")), "left")
-    return joined.select("page_id", F.coalesce("own_bytes", "_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    return joined.select("page_id", F.when(F.col("own_bytes") >= 0, F.col("own_bytes")).otherwise(F.col("_bytes")).alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
