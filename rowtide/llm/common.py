@@ -21,3 +21,24 @@ def words_of(text: Column) -> Column:
 def row_key(*columns: str) -> Column:
     """64 bits that equal rows share; used together with the row's id, so that rows with one id stay apart."""
     return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def quoted(columns: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in columns]
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores in front until no column of ``taken`` has it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
+def join_rows(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> tuple[DataFrame, dict[str, str]]:
+    """Join ``found(doc_id, _key, ...)`` to the rows of ``docs`` with that id and text; the new names of its columns."""
+    names = {c: fresh(f"_found_{c}", docs.columns) for c in found.columns}
+    key = fresh("_row_key", docs.columns)
+    renamed = found.select(*[F.col(c).alias(n) for c, n in names.items()])
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    return keyed.join(renamed, F.col(id_col).eqNullSafe(F.col(names["doc_id"])) & (F.col(key) == F.col(names["_key"])), how), names

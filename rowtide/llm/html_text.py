@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import fresh, quoted
+
 # Elements by their role in HTML, and words of class and id names.
 DROPPED = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "select", "textarea", "button", "title", "head", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -214,4 +216,5 @@ def extract(pages: DataFrame, html_col: str = "html", tree: tuple | None = None)
 
     new = ["text", "n_chars", "n_blocks", "n_kept"]
     others = [c for c in pages.columns if c != html_col and c not in new]
-    return pages.select(*others, found(F.col(html_col)).alias("_found")).select(*others, *[F.col(f"_found.{c}").alias(c) for c in new])
+    name = fresh("_found", pages.columns)
+    return pages.select(*quoted(others), found(F.col(html_col)).alias(name)).select(*quoted(others), *[F.col(f"{name}.{c}").alias(c) for c in new])

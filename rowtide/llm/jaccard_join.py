@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import row_key
+from rowtide.llm.common import join_rows, quoted, row_key
 from rowtide.llm.components import components
 from rowtide.session import broadcast_if_small, materialize
 
@@ -321,13 +321,11 @@ def _across(long: DataFrame, labels: DataFrame, tried: DataFrame, pct: int) -> D
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component (the smallest id), with all its columns; of equal rows one stays."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.filter((F.col("n_shingles") > 0)).groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).agg(F.max("keeper").alias("_stay"), F.count("*").alias("_times"))
-    changed = broadcast_if_small(gone.filter(~F.col("_stay") | (F.col("_times") > 1)))
-    keyed = docs.withColumn("_join_key", row_key(id_col, text_col))
-    joined = keyed.join(changed, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_join_key") == F.col("_k")), "left")
-    plain = joined.filter(F.col("_stay").isNull())
-    again = joined.filter(F.col("_stay")).dropDuplicates([id_col, text_col])
-    return plain.unionByName(again).select(*docs.columns)
+    gone = found.filter("n_shingles > 0").groupBy("doc_id", "_key").agg(F.max("keeper").alias("stay"), F.count("*").alias("times"))
+    joined, new = join_rows(docs, broadcast_if_small(gone.filter("not stay or times > 1")), id_col, text_col, "left")
+    stay = F.col(new["stay"])
+    again = joined.filter(stay).dropDuplicates([id_col, text_col])
+    return joined.filter(stay.isNull()).unionByName(again).select(*quoted(docs.columns))
 
 
 ORACLE_SQL = r"""

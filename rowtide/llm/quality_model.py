@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import NON_WHITE, row_key, words_of
+from rowtide.llm.common import NON_WHITE, join_rows, quoted, row_key, words_of
 from rowtide.session import broadcast_if_small
 
 MAX_ROWS = 20_000
@@ -163,6 +163,10 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 120, pair_rounds: int = 40,
     return model
 
 
+def _matrix(x: pd.Series) -> np.ndarray:
+    return np.array(x.tolist(), float) if len(x) else np.zeros((0, 1))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -172,10 +176,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usable = labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max(label_col).alias("_y"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)  # bounded: max_rows ids and labels
-    used = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id"))
-    rows = features(used, F.col("_id"), F.col("_y"), text_col=text_col).orderBy("_id", "x").limit(2 * max_rows).toPandas()  # twice: ids may repeat
-    x = np.array(rows["x"].tolist(), float).reshape(len(rows), -1)
-    return fit(x, rows["_y"].to_numpy(float))
+    used = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), "_id")
+    rows = features(used, F.col("_id"), F.col("_y"), text_col="_text").orderBy("_id", "x").limit(2 * max_rows).toPandas()  # twice: ids may repeat
+    return fit(_matrix(rows["x"]), rows["_y"].to_numpy(float))
 
 
 def score_documents(docs: DataFrame, model: Model, *keep: Column, text_col: str = "text") -> DataFrame:
@@ -184,7 +187,7 @@ def score_documents(docs: DataFrame, model: Model, *keep: Column, text_col: str
 
     @F.pandas_udf("double")
     def scored(x: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array(x.tolist(), float).reshape(len(x), -1)))
+        return pd.Series(model.score(_matrix(x)))
 
     return rows.withColumn("score", scored("x")).drop("x")
 
@@ -198,6 +201,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that the classifier predicts as good, with all their columns."""
-    bad = classify(docs, labels, id_col, text_col, **options).filter("predicted = 0").select(F.col("doc_id").alias("_id"), "_key").distinct()
-    keyed = docs.withColumn("_model_key", row_key(id_col, text_col))
-    return keyed.join(broadcast_if_small(bad), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_model_key") == F.col("_key")), "left_anti").select(*docs.columns)
+    bad = classify(docs, labels, id_col, text_col, **options).filter("predicted = 0").select("doc_id", "_key").distinct()
+    return join_rows(docs, broadcast_if_small(bad), id_col, text_col, "left_anti")[0].select(*quoted(docs.columns))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import NON_WHITE, WHITE, row_key, words_of
+from rowtide.llm.common import NON_WHITE, WHITE, join_rows, quoted, row_key, words_of
 from rowtide.session import broadcast_if_small, materialize
 
 WINDOW = 8
@@ -115,9 +115,8 @@ def quality_rules(
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    bad = broadcast_if_small(quality_rules(docs, id_col, text_col, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), "_key").distinct())
-    keyed = docs.withColumn("_rules_key", row_key(id_col, text_col))
-    return keyed.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_rules_key") == F.col("_key")), "left_anti").select(*docs.columns)
+    bad = quality_rules(docs, id_col, text_col, **options).filter(~F.col("kept")).select("doc_id", "_key").distinct()
+    return join_rows(docs, broadcast_if_small(bad), id_col, text_col, "left_anti")[0].select(*quoted(docs.columns))
 
 
 ORACLE_SQL = r"""

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import row_key
+from rowtide.llm.common import join_rows, row_key
 from rowtide.session import broadcast_if_small, materialize
 
 # Pattern, group that holds the value, and least length of that value, by kind.
@@ -121,10 +121,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     Overlapping spans are replaced once, from the first start to the last end of the overlap, under the name of the first.
     """
     names = F.array(*[F.lit(k) for k in KINDS])
-    found = scan_secrets(docs, id_col, text_col, **options).filter(F.size("found") > 0)
-    found = broadcast_if_small(found.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "found").dropDuplicates(["_id", "_k"]))
-    keyed = docs.withColumn("_scan_key", row_key(id_col, text_col))
-    joined = keyed.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_scan_key") == F.col("_k")), "left")
+    found = scan_secrets(docs, id_col, text_col, **options).filter(F.size("found") > 0).dropDuplicates(["doc_id", "_key"])
+    joined, new = join_rows(docs, broadcast_if_small(found), id_col, text_col, "left")
+    spans = F.col(new["found"])
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -132,8 +131,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         out = F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1, x["s"] - acc["at"]), tag)
         return F.when(x["s"] >= acc["at"], F.struct(out.alias("out"), x["e"].alias("at"))).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["e"]).alias("at")))
 
-    masked = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1)))
-    text = F.when(F.col("found").isNotNull(), masked).otherwise(F.col(text_col))
-    kept = [c for c in docs.columns if c not in (text_col, length_col)]
-    changed = joined.select(*kept, text.alias(text_col), *([F.when(F.col("found").isNotNull(), F.length(text).cast("long")).otherwise(F.col(length_col)).alias(length_col)] if length_col in docs.columns else []))
-    return changed.select(*docs.columns)
+    masked = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1)))
+    text = F.when(spans.isNotNull(), masked).otherwise(F.col(text_col))
+    changed = {text_col: text}
+    if length_col in docs.columns:
+        changed[length_col] = F.when(spans.isNotNull(), F.length(text).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
