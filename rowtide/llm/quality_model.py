@@ -110,9 +110,14 @@ def _tree(g: np.ndarray, h: np.ndarray, depth: int = 2) -> np.ndarray:
 
 
 def _grid_tree(g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Values of a tree that cuts the rows of a grid once and the columns of each side up to twice."""
-    _, at = _best_cut(g.sum(1), h.sum(1))
-    parts = [(0, at), (at, len(g))] if at else [(0, len(g))]
+    """Values of a tree that cuts the rows of a grid once, where this and a cut of each side's columns gain most, and the
+    columns of each side up to twice."""
+    parts, best = [(0, len(g))], _best_cut(g.sum(0), h.sum(0))[0]
+    for at in range(1, len(g)):
+        sides = [(g[:at].sum(0), h[:at].sum(0)), (g[at:].sum(0), h[at:].sum(0))]
+        gain = sum(a.sum() ** 2 / (b.sum() + 1) + _best_cut(a, b)[0] for a, b in sides) - g.sum() ** 2 / (h.sum() + 1)
+        if gain > best + 1e-9:
+            parts, best = [(0, at), (at, len(g))], gain
     out = np.zeros_like(g)
     for lo, hi in parts:
         out[lo:hi] = _tree(g[lo:hi].sum(0), h[lo:hi].sum(0), 2)

@@ -5,8 +5,10 @@ host the distinct documents that hold a line are counted. A line above the limit
 host; a document of which less than ``min_left`` of its words remain is depleted and rejected.
 
 Copies must not make their own text look like a template. So equal texts count as one document, and a line goes only if
-at least half of the documents that hold it also belong to different families. A family is the smallest line hash of a
-document: edited copies of one text nearly always share it, unrelated documents with a common footer do not.
+there are at least half as many families as documents that hold it. A document's family is the least of its line hashes,
+each divided by the line's words, so that mostly a long line decides: edited copies of one text nearly always share it,
+unrelated documents with a common footer do not. Families are taken by three hashes; one that tells documents apart is
+enough, so that a footer with a very small hash isn't missed.
 
 Edge cases: null or empty text has no words and fails the base rule; a null host is one host; lines without a word are
 ignored; equal rows get equal verdicts; an empty table gives an empty result; further columns are left alone.
@@ -14,13 +16,14 @@ ignored; equal rows get equal verdicts; an empty table gives an empty result; fu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import NON_WHITE, WHITE, join_rows, quoted, row_key, words_of
 from rowtide.session import broadcast_if_small, materialize
 
 WINDOW = 8
+DIGITS = 10  # hexadecimal digits of each of the three hashes of a line
 SYMBOLS = "#*$%&|<>"
 _FROM = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789"
 _TO = "abcdefghijklmnopqrstuvwxyz000000000"
@@ -54,6 +57,12 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         F.expr(f"case when size(_words) >= {WINDOW} then transform(sequence(1, size(_words) - {WINDOW - 1}), i -> xxhash64(slice(_words, i, {WINDOW}))) else cast(array() as array<bigint>) end"),
     )
     normal = F.transform("_lines", lambda x: F.translate(F.trim(F.regexp_replace(x, WHITE, " ")), _FROM, _TO))
+
+    def bits(digest: Column, at: int) -> Column:
+        return F.conv(F.substring(digest, at, DIGITS), 16, 10).cast("long")
+
+    hashed = F.transform(F.transform(normal, lambda x: F.struct(F.md5(x.cast("binary")).alias("m"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w"))), lambda x: F.struct(bits(x["m"], 1).alias("h"), bits(x["m"], 1 + DIGITS).alias("i"), bits(x["m"], 1 + 2 * DIGITS).alias("j"), x["w"].alias("w")))
+    c = c.withColumn("_hashed", hashed).withColumn("_families", F.expr("array(array_min(transform(_hashed, x -> x.h div x.w)), array_min(transform(_hashed, x -> x.i div x.w)), array_min(transform(_hashed, x -> x.j div x.w)))"))
     return c.select(
         "doc_id",
         "_key",
@@ -64,13 +73,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.expr(_repeat_words()).cast("long").alias("n_repeat_words"),
-        F.transform(
-            normal,
-            lambda x: F.struct(
-                F.conv(F.substring(F.md5(x.cast("binary")), 1, 15), 16, 10).cast("long").alias("h"),
-                (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w"),
-            ),
-        ).alias("_hashed"),
+        "_families",
+        F.transform("_hashed", lambda x: F.struct(x["h"].alias("h"), x["w"].alias("w"))).alias("_hashed"),
     )
 
 
@@ -90,21 +94,22 @@ def quality_rules(
     a document keeps at least. The measures are written once (slim rows, no text) and read by all later steps.
     """
     rows = materialize(measure(docs, id_col, text_col, host_col).withColumn("_row", F.monotonically_increasing_id()))
-    lines = rows.select(
-        "_row", "_text", "_host", F.array_min("_hashed.h").alias("_family"), F.explode("_hashed").alias("l")
-    ).select("_row", "_text", "_host", "_family", F.col("l.h").alias("_line"), F.col("l.w").alias("_w"))
+    lines = rows.select("_row", "_text", "_host", "_families", F.explode("_hashed").alias("l")).select("_row", "_text", "_host", "_families", F.col("l.h").alias("_line"), F.col("l.w").alias("_w"))
+    held = lines.groupBy("_host", "_line", "_text").agg(F.lit(1).alias("_one"))
+    common = held.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") >= max_docs)
+    family = lines.join(common, ["_host", "_line"], "left_semi").select("_host", "_line", "_text", F.posexplode("_families").alias("_k", "_family"))
     frequent = (
-        lines.groupBy("_host", "_line", "_family", "_text").agg(F.lit(1).alias("_one"))
-        .groupBy("_host", "_line", "_family").agg(F.count("*").alias("_docs"))
-        .groupBy("_host", "_line").agg(F.sum("_docs").alias("_docs"), F.count("*").alias("_families"))
-        .filter((F.col("_families") >= max_docs) & (2 * F.col("_families") >= F.col("_docs")))
-        .select("_host", "_line")
+        family.groupBy("_host", "_line", "_k", "_family", "_text").agg(F.lit(1).alias("_one"))
+        .groupBy("_host", "_line", "_k", "_family").agg(F.count("*").alias("_docs"))
+        .groupBy("_host", "_line", "_k").agg(F.sum("_docs").alias("_docs"), F.count("*").alias("_n"))
+        .filter((F.col("_n") >= max_docs) & (2 * F.col("_n") >= F.col("_docs")))
+        .select("_host", "_line").distinct()
     )
     removed = lines.join(frequent, ["_host", "_line"], "left_semi").groupBy("_row").agg(F.sum("_w").cast("long").alias("_gone"))
     gone = F.coalesce("_gone", F.lit(0).cast("long"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     return (
-        rows.drop("_hashed", "_text", "_host")
+        rows.drop("_hashed", "_families", "_text", "_host")
         .join(removed, "_row", "left")
         .withColumn("n_removed_words", gone)
         .withColumn("base_failed", failed)
@@ -137,12 +142,16 @@ WITH d AS (
   SELECT rid, host, t, translate(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS l
   FROM (SELECT rid, host, t, unnest(ls) AS x FROM w)
+), lw AS (
+  SELECT rid, host, t, l, md5(l) AS m, length(l) - length(replace(l, ' ', '')) + 1 AS n FROM ln
 ), lh AS (
-  SELECT rid, host, t, l, min(('0x' || substr(md5(l), 1, 15))::BIGINT) OVER (PARTITION BY rid) AS fam,
-         length(l) - length(replace(l, ' ', '')) + 1 AS n FROM ln
+  SELECT rid, host, t, l, n, min(('0x' || substr(m, 1, 10))::BIGINT // n) OVER (PARTITION BY rid) AS fa,
+         min(('0x' || substr(m, 11, 10))::BIGINT // n) OVER (PARTITION BY rid) AS fb,
+         min(('0x' || substr(m, 21, 10))::BIGINT // n) OVER (PARTITION BY rid) AS fc FROM lw
 ), freq AS (
   SELECT host, l FROM lh GROUP BY host, l
-  HAVING count(DISTINCT fam) >= 10 AND 2 * count(DISTINCT fam) >= count(DISTINCT t)
+  HAVING greatest(count(DISTINCT fa), count(DISTINCT fb), count(DISTINCT fc)) >= 10
+     AND 2 * greatest(count(DISTINCT fa), count(DISTINCT fb), count(DISTINCT fc)) >= count(DISTINCT t)
 ), gone AS (
   SELECT rid, sum(n) AS n FROM lh SEMI JOIN freq USING (host, l) GROUP BY rid
 ), m AS (

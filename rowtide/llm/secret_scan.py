@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import join_rows, row_key
+from rowtide.llm.common import fresh, join_rows, row_key
 from rowtide.session import broadcast_if_small, materialize
 
 # Pattern, group that holds the value, and least length of that value, by kind.
@@ -132,8 +132,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         return F.when(x["s"] >= acc["at"], F.struct(out.alias("out"), x["e"].alias("at"))).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["e"]).alias("at")))
 
     masked = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(F.col(text_col), acc["at"] + 1)))
-    text = F.when(spans.isNotNull(), masked).otherwise(F.col(text_col))
-    changed = {text_col: text}
+    done = fresh("_masked", joined.columns)
+    joined = joined.withColumn(done, F.when(spans.isNotNull(), masked).otherwise(F.col(text_col)))
+    changed = {text_col: F.col(done)}
     if length_col in docs.columns:
-        changed[length_col] = F.when(spans.isNotNull(), F.length(text).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+        changed[length_col] = F.when(spans.isNotNull(), F.length(done).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
     return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

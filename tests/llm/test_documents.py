@@ -69,6 +69,7 @@ def test_rules_reject_depleted_and_keep_copies(spark):
     lines = [prose(rng, 12) for _ in range(3)]
     base = [prose(rng, 10) for _ in range(8)]
     rows = [(i, "\n".join([*lines, prose(rng, 8)]), "h") for i in range(20)]
+    rows += [(300 + i, "\n".join([lines[i % 3], prose(rng, 70)]), "h") for i in range(90)]
     rows += [(100 + i, "\n".join(base), "h") for i in range(30)]
     rows += [(200 + i, "\n".join([*base[:i % 8], prose(rng, 10), *base[i % 8 + 1 :]]), "h") for i in range(30)]
     got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
@@ -85,6 +86,21 @@ def test_secrets(odd, odd_rows):
     assert masked[9].text == odd_rows[9][1] and masked[9].n_chars is None
 
 
+def test_redaction_against_plain_python(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = {r.doc_id: r.found for r in secret_scan.scan_secrets(docs).collect()}
+    kinds = list(secret_scan.KINDS)
+    for r in secret_scan.redact(docs).join(docs.select("doc_id", F.col("text").alias("old")), "doc_id").collect():
+        out, at = [], 0
+        for x in found[r.doc_id]:
+            if x.s >= at:
+                out += [r.old[at : x.s], f"[{'example' if x.example else 'secret'}:{kinds[x.k]}]"]
+            at = max(at, x.e)
+        want = "".join(out) + r.old[at:]
+        assert r.text == want and r.n_chars == len(want)
+
+
 def test_secret_positions_and_owners(spark):
     shared, own, token = "a1" * 16, "b2" * 16, "Ab3" * 9
     texts = [f"😀 x{i} token = '{shared}'. {'y' * i}" for i in range(6)] + [f"key {own} secret=abc token=abc12{'' if i else ' '}" for i in range(2)]
