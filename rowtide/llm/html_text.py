@@ -52,6 +52,19 @@ LABELLED = [
     [(0, 0, 16, 15, 0), (0, 0, 22, 0, 1), (0, 0, 50, 0, 1), (0, 0, 18, 17, 0), (0, 0, 10, 10, 0), (-1, 0, 12, 0, 0)],
     [(0, 0, 40, 0, 1)],
     [(0, 0, 3, 0, 1)],
+    [(1, 0, 1, 0, 1)],
+    [(1, 1, 3, 0, 1), (1, 0, 1, 0, 1), (1, 0, 4, 0, 1), (1, 0, 1, 1, 1), (1, 0, 2, 2, 1), (1, 0, 3, 0, 1), (1, 0, 2, 0, 1)],
+    [(1, 1, 1, 0, 1), (1, 0, 5, 5, 1), (1, 0, 9, 6, 1), (1, 0, 1, 0, 1), (1, 0, 200, 0, 1), (1, 0, 2, 0, 1), (-1, 0, 1, 0, 0)],
+    [(-1, 0, 1, 1, 0), (1, 1, 2, 0, 1), (1, 0, 1, 0, 1), (1, 0, 4, 0, 1), (-1, 0, 1, 0, 0)],
+    [(-1, 0, 1, 1, 0), (1, 0, 1, 0, 1), (-1, 0, 7, 0, 0), (1, 0, 3, 0, 1), (1, 0, 8, 4, 1), (-1, 0, 2, 2, 0), (-1, 0, 90, 0, 0)],
+    [(0, 0, 4, 0, 0), (1, 1, 6, 6, 1), (1, 0, 2, 0, 1), (1, 0, 7, 0, 1), (1, 0, 6, 0, 1), (0, 0, 60, 0, 0), (0, 0, 3, 0, 0)],
+    [(0, 1, 3, 0, 0), (0, 0, 120, 2, 0), (1, 0, 10, 0, 1), (1, 0, 11, 1, 1), (1, 0, 5, 0, 1), (0, 0, 11, 0, 0), (0, 0, 12, 1, 0)],
+    [(-1, 0, 5, 0, 0), (-1, 0, 6, 0, 0), (1, 1, 4, 0, 1), (1, 0, 6, 3, 1), (1, 0, 9, 0, 1), (1, 0, 8, 0, 1), (0, 0, 25, 0, 0)],
+    [(0, 0, 1, 0, 0), (0, 0, 4, 4, 0), (0, 0, 3, 3, 0), (0, 1, 6, 0, 1), (0, 0, 50, 2, 1), (0, 0, 14, 5, 1), (0, 0, 44, 0, 1), (0, 0, 2, 0, 0), (0, 0, 5, 5, 0), (0, 0, 1, 0, 0), (0, 0, 2, 2, 0)],
+    [(0, 0, 2, 0, 0), (0, 0, 6, 6, 0), (0, 0, 65, 1, 1), (0, 0, 20, 6, 1), (0, 0, 38, 0, 1), (0, 0, 10, 3, 1), (0, 0, 70, 0, 1), (0, 0, 1, 0, 0), (0, 0, 3, 3, 0), (0, 0, 2, 0, 0), (0, 0, 4, 4, 0)],
+    [(0, 0, 3, 3, 0), (0, 0, 1, 0, 0), (0, 0, 3, 3, 0), (0, 1, 8, 0, 1), (0, 0, 33, 0, 1), (0, 0, 16, 4, 1), (0, 0, 52, 1, 1), (0, 0, 9, 9, 0), (0, 0, 2, 0, 0), (0, 0, 7, 7, 0)],
+    [(0, 0, 3, 3, 0), (0, 0, 3, 2, 0), (0, 1, 3, 0, 1), (0, 0, 40, 0, 1), (0, 0, 40, 1, 1), (0, 0, 2, 2, 0)],
+    [(0, 0, 1, 1, 0), (0, 1, 5, 0, 1), (0, 0, 30, 2, 1), (0, 0, 3, 0, 1), (0, 0, 26, 0, 1), (0, 0, 4, 4, 0), (0, 0, 2, 2, 0)],
     [(-1, 0, 50, 0, 0), (-1, 0, 4, 4, 0), (0, 0, 28, 1, 1), (0, 0, 33, 0, 1), (-1, 0, 9, 0, 0)],
 ]
 
