@@ -60,6 +60,10 @@ LABELLED = [
     [(0, 0, 4, 0, 0), (1, 1, 6, 6, 1), (1, 0, 2, 0, 1), (1, 0, 7, 0, 1), (1, 0, 6, 0, 1), (0, 0, 60, 0, 0), (0, 0, 3, 0, 0)],
     [(0, 1, 3, 0, 0), (0, 0, 120, 2, 0), (1, 0, 10, 0, 1), (1, 0, 11, 1, 1), (1, 0, 5, 0, 1), (0, 0, 11, 0, 0), (0, 0, 12, 1, 0)],
     [(-1, 0, 5, 0, 0), (-1, 0, 6, 0, 0), (1, 1, 4, 0, 1), (1, 0, 6, 3, 1), (1, 0, 9, 0, 1), (1, 0, 8, 0, 1), (0, 0, 25, 0, 0)],
+    [(0, 0, 14, 0, 0), (0, 0, 50, 0, 0), (0, 0, 40, 1, 0), (1, 0, 60, 1, 1), (1, 0, 2, 0, 1), (0, 0, 45, 1, 0), (0, 0, 80, 0, 0), (0, 0, 30, 0, 0)],
+    [(0, 0, 7, 0, 0), (1, 1, 4, 0, 1), (1, 0, 20, 0, 1), (1, 0, 18, 9, 1), (0, 0, 20, 0, 0), (0, 0, 60, 4, 0), (0, 0, 70, 0, 0), (0, 0, 24, 0, 0), (0, 0, 16, 0, 0)],
+    [(0, 0, 22, 0, 0), (0, 0, 33, 0, 0), (0, 0, 5, 0, 0), (0, 0, 28, 0, 0), (1, 0, 90, 0, 1), (0, 0, 3, 0, 0), (0, 0, 55, 0, 0)],
+    [(0, 0, 90, 2, 0), (0, 0, 44, 0, 0), (1, 0, 12, 0, 1), (1, 0, 3, 3, 1), (0, 0, 100, 0, 0), (0, 0, 8, 0, 0), (0, 0, 35, 0, 0)],
     [(0, 0, 1, 0, 0), (0, 0, 4, 4, 0), (0, 0, 3, 3, 0), (0, 1, 6, 0, 1), (0, 0, 50, 2, 1), (0, 0, 14, 5, 1), (0, 0, 44, 0, 1), (0, 0, 2, 0, 0), (0, 0, 5, 5, 0), (0, 0, 1, 0, 0), (0, 0, 2, 2, 0)],
     [(0, 0, 2, 0, 0), (0, 0, 6, 6, 0), (0, 0, 65, 1, 1), (0, 0, 20, 6, 1), (0, 0, 38, 0, 1), (0, 0, 10, 3, 1), (0, 0, 70, 0, 1), (0, 0, 1, 0, 0), (0, 0, 3, 3, 0), (0, 0, 2, 0, 0), (0, 0, 4, 4, 0)],
     [(0, 0, 3, 3, 0), (0, 0, 1, 0, 0), (0, 0, 3, 3, 0), (0, 1, 8, 0, 1), (0, 0, 33, 0, 1), (0, 0, 16, 4, 1), (0, 0, 52, 1, 1), (0, 0, 9, 9, 0), (0, 0, 2, 0, 0), (0, 0, 7, 7, 0)],
