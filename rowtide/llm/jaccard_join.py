@@ -7,8 +7,8 @@
 2. Every document gives its number of n-grams, a set signature and its prefix. Documents with equal sets are one class
    and are searched once.
 3. Prefix n-grams are grouped. Heavy ones are split over chunks of about ``CHUNK`` documents. A list of up to ``SHORT``
-   classes gives all its pairs that pass the length and positional filter; a longer one gives links to its first class
-   and to its neighbours by size.
+   classes gives all its pairs that pass the length and positional filter; a longer one pairs its classes with
+   ``CENTRES`` centres.
 4. Each distinct pair is verified once on whole texts (suffix filter, then the exact intersection).
 5. Long lists: pairs whose classes are still in different components are verified too. So no link between components
    is lost, and groups of thousands of copies never give all their pairs.
@@ -35,6 +35,7 @@ HEAVY = 400_000
 LEAST_HEAVY = 8
 CHUNK = 4096
 SHORT = 32
+CENTRES = 12
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 BLOCK = 1 << 17
 
@@ -183,23 +184,33 @@ def _allowed(na, ia, nb, ib, pct: int):
 
 def _pairs_of(g, chunk, rep, n, pos, pct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (a, b) of the lists of one partition, and which rows belong to lists that aren't done with them."""
-    order = np.lexsort((rep, n, chunk, g))
+    order = np.lexsort((rep, chunk, g))
     g, chunk, rep, n, pos = g[order], chunk[order], rep[order], n[order], pos[order]
-    new = np.r_[True, (g[1:] != g[:-1]) | (chunk[1:] != chunk[:-1])]
-    first = np.flatnonzero(new)
-    size = np.repeat(np.diff(np.r_[first, len(g)]), np.diff(np.r_[first, len(g)]))
-    head = np.repeat(first, np.diff(np.r_[first, len(g)]))
+    first = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (chunk[1:] != chunk[:-1])])
+    each = np.diff(np.r_[first, len(g)])
+    size, head = np.repeat(each, each), np.repeat(first, each)
     done, a_all, b_all = size <= SHORT, [], []
     for d in range(1, SHORT):
-        i = np.flatnonzero((size[:-d] > d) & (head[:-d] == head[d:]) & (done[:-d] | (d <= 2)) if len(g) > d else np.zeros(0, bool))
+        i = np.flatnonzero((size[:-d] > d) & (head[:-d] == head[d:]) & done[:-d]) if len(g) > d else []
         if not len(i):
             break
         ok = i[_allowed(n[i], pos[i], n[i + d], pos[i + d], pct)]
         a_all.append(rep[ok])
         b_all.append(rep[ok + d])
-    i = np.flatnonzero(~done & (head != np.arange(len(g))))
-    ok = i[_allowed(n[i], pos[i], n[head[i]], pos[head[i]], pct)]
-    a, b = np.concatenate([*a_all, rep[ok]]), np.concatenate([*b_all, rep[head[ok]]])
+    # The centres of a long list are the classes with the least hashes. Lists of one group of copies hold nearly the same
+    # classes, so they share most centres, and the pairs grow with the group's size.
+    rank = np.empty(len(g), np.int64)
+    rank[np.lexsort((_mix(rep.astype(np.uint64)), head))] = np.arange(len(g)) - head
+    centre = np.full((len(first), CENTRES), -1)
+    near = np.flatnonzero(~done & (rank < CENTRES))
+    centre[np.searchsorted(first, head[near]), rank[near]] = near
+    for c in centre.T:
+        c = np.repeat(c, each)
+        i = np.flatnonzero(~done & ((rank >= CENTRES) | (rank > rank[c])))
+        ok = i[_allowed(n[i], pos[i], n[c[i]], pos[c[i]], pct)]
+        a_all.append(rep[ok])
+        b_all.append(rep[c[ok]])
+    a, b = np.concatenate(a_all), np.concatenate(b_all)
     left = np.flatnonzero(~done | ((chunk & 1) == 1))
     return a, b, order[left]
 

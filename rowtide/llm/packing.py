@@ -19,13 +19,17 @@ piece and digest; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,66 +37,76 @@ from rowtide.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 400_000
-SPECIAL = "<|endoftext|>"  # separates the words of one call; words that hold a special token are tokenised alone
+CACHE_WORDS = 250_000
 RANK_ROWS = 50_000
+BATCH_CHARS = 1_500_000
+
+# Fixed values of the tokenizer's vocabulary file: its pre-tokens (for words of the plain letters), and the letters of bytes.
+_plain = re.compile("[!-@\\[-~ß-öø-ÿ]*")
+_parts = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+|\n")
+_visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_byte_letter = {b: chr(b) for b in _visible} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _visible)}
+
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Token ids of texts by a word-level cache in front of a tokenizer that splits at white space."""
+    """Token ids of texts, by caches in front of a tokenizer that splits at white space.
+
+    A-Z is lowered first, which the tokenizer does too. Words of ASCII and small Latin-1 letters are cut into the
+    tokenizer's pre-tokens here, and only new pre-tokens go to its merges; all other words go through the whole
+    tokenizer. Both caches are bounded.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(SPECIAL)
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {"": 0}
-        self.first, self.size, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
-
-    def _store(self, word: str, ids: np.ndarray) -> None:
-        i = len(self.index)
-        if i >= len(self.first):
-            self.first, self.size = np.resize(self.first, 2 * i), np.resize(self.size, 2 * i)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.first[i], self.size[i] = self.used, len(ids)
-        self.used += len(ids)
-        self.index[word] = i
+        self.first, self.size, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.known: dict[str, list[int]] = {}
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = np.array(self.tokenizer.encode(f" {SPECIAL} ".join(part), add_special_tokens=False).ids, np.uint32)
-            for word, piece in zip(part, np.split(ids, np.flatnonzero(ids == self.separator)), strict=True):
-                self._store(word, piece[1:] if len(piece) and piece[0] == self.separator else piece)
-        for word in words:
-            if "<|" in word:
-                self._store(word, np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32))
+        plain = [w for w in words if _plain.fullmatch(w)]
+        parts = _parts.findall("\n".join(plain))
+        for part in set(parts).difference(self.known):
+            self.known[part] = [t.id for t in self.model.tokenize("".join(map(_byte_letter.__getitem__, part.encode())))] if part != "\n" else []
+        lists = list(map(self.known.__getitem__, parts))
+        of_part = np.fromiter(map(len, lists), np.int64, len(lists))
+        ends = np.r_[0, np.cumsum(of_part)][[i for i, p in enumerate(parts) if p == "\n"] + [len(parts)]] if plain else np.zeros(0, np.int64)
+        size = [np.diff(ends, prepend=0)]
+        for word in (odd := [w for w in words if not _plain.fullmatch(w)]):
+            lists.append(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        size = np.concatenate([*size, np.fromiter(map(len, lists[len(parts) :]), np.int64, len(odd))])
+        first = len(self.flat) + np.cumsum(size) - size
+        self.index.update(zip([*plain, *odd], range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.first, self.size = np.r_[self.first, first], np.r_[self.size, size]
+        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Texts that may hold special tokens go through the tokenizer; of the others, each distinct word is looked up once."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        seen: set[str] = set()
-        for words in split:
-            seen.update(words)
-        if new := [w for w in seen if w not in self.index]:
+        special = [t is not None and "<|" in t for t in texts]
+        plain = pa.array(["" if s or t is None else t for s, t in zip(special, texts, strict=True)], pa.large_string())
+        spaced = pc.replace_substring(pc.replace_substring(pc.ascii_lower(plain), "\n", " "), "\t", " ")
+        split = pc.split_pattern(spaced, " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if new := [w for w in words if w not in self.index]:
             self._learn(new)
-        out = []
-        for words in split:
-            i = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-            size = self.size[i]
-            ends = np.cumsum(size)
-            out.append(self.flat[np.repeat(self.first[i] - (ends - size), size) + np.arange(ends[-1])])
-        return out
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        size = self.size[at]
+        ends = np.r_[0, np.cumsum(size)]
+        ids = self.flat[np.repeat(self.first[at] - ends[:-1], size) + np.arange(ends[-1])]
+        out = np.split(ids, ends[split.offsets.to_numpy()[1:-1]])
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if s else ids for s, t, ids in zip(special, texts, out, strict=True)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -101,14 +115,21 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def slices(texts: pd.Series) -> Iterator[pd.Series]:
+    """Runs of texts of about ``BATCH_CHARS`` characters."""
+    chars = texts.str.len().fillna(0).cumsum() // BATCH_CHARS
+    for _, part in texts.groupby(chars.to_numpy(), sort=False):
+        yield part
+
+
 def _pieces(path: str, capacity: int, end_id: int) -> Callable:
     @F.pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = encoder(path)
         for texts in batches:
             out = []
-            for at in range(0, len(texts), 64):
-                for ids in own.encode(list(texts.iloc[at : at + 64])):
+            for part in slices(texts):
+                for ids in own.encode(list(part)):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     starts = range(0, len(ids), capacity)
                     out.append([{"piece": k, "start": s, "length": len(ids[s : s + capacity]), "ids_crc32": zlib.crc32(ids[s : s + capacity].tobytes())} for k, s in enumerate(starts)])
