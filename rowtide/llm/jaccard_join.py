@@ -36,9 +36,11 @@ LEAST_HEAVY = 8
 CHUNK = 4096
 SHORT = 32
 CENTRES = 12
+CELLS = 256
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 BLOCK = 1 << 17
 
+_cells = np.arange(CELLS, dtype=np.uint64) * np.uint64((1 << 64) // CELLS)
 _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
 
@@ -138,17 +140,25 @@ def heavy_ngrams(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("df"), "bucket").limit(HEAVY)
 
 
+def _sketch(h: np.ndarray) -> bytes | None:
+    """Counts of a set over ``CELLS`` equal ranges of hashes; None where a count is too large."""
+    count = np.diff(np.searchsorted(h, _cells), append=0)
+    count[-1] = len(h) - np.searchsorted(h, _cells[-1])
+    return count.astype(np.uint16).tobytes() if count.max() < 65536 else None
+
+
 def _signature(heavy, n: int, pct: int) -> Callable:
-    @F.pandas_udf("n long, sign long, prefix array<long>, chunk array<int>")
+    @F.pandas_udf("n long, sign long, prefix array<long>, chunk array<int>, sketch binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bucket, df = heavy.value
         seen = np.zeros(1 << 22, bool)
         seen[bucket & np.uint64((1 << 22) - 1)] = True
         for texts in batches:
-            sizes, signs, prefixes, chunks = [], [], [], []
+            sizes, signs, prefixes, chunks, sketches = [], [], [], [], []
             for text in texts:
                 h = ngrams(text, n)
                 sizes.append(len(h))
+                sketches.append(_sketch(h))
                 if not len(h):
                     signs.append(0)
                     prefixes.append([])
@@ -171,7 +181,7 @@ def _signature(heavy, n: int, pct: int) -> Callable:
                 w = weight[light]
                 split = w > CHUNK
                 chunks.append((np.where(split, sign[0] % np.maximum(-(-w // CHUNK), 1).astype(np.uint64), 0) * 2 + split).astype(np.int32))
-            yield pd.DataFrame({"n": pd.Series(sizes, dtype="int64"), "sign": pd.Series(signs, dtype="int64"), "prefix": prefixes, "chunk": chunks})
+            yield pd.DataFrame({"n": pd.Series(sizes, dtype="int64"), "sign": pd.Series(signs, dtype="int64"), "prefix": prefixes, "chunk": chunks, "sketch": sketches})
 
     return run
 
@@ -225,8 +235,8 @@ def _list_map(pct: int) -> Callable:
         a, b, left = _pairs_of(g, chunk, rep, n, pos, pct)
         lo, hi = np.minimum(a, b), np.maximum(a, b)
         both = np.unique(np.stack([lo, hi], 1), axis=0) if len(lo) else np.empty((0, 2), np.int64)
-        yield pd.DataFrame({"kind": 0, "a": both[:, 0], "b": both[:, 1], "n": 0, "pos": 0})
-        yield pd.DataFrame({"kind": 1, "a": g[left], "b": rep[left], "n": n[left], "pos": pos[left]})
+        yield pd.DataFrame({"kind": 0, "a": both[:, 0], "b": both[:, 1], "chunk": 0, "n": 0, "pos": 0})
+        yield pd.DataFrame({"kind": 1, "a": g[left], "b": rep[left], "chunk": chunk[left], "n": n[left], "pos": pos[left]})
 
     return run
 
@@ -281,12 +291,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(keyed.select("_row", "doc_id", "_key", "s.*"))
     classes = rows.filter(F.col("n") > 0).groupBy("sign", "n").agg(F.min("_row").alias("rep"), F.first(F.struct("prefix", "chunk")).alias("p"))
     postings = classes.select("rep", "n", F.posexplode(F.arrays_zip("p.prefix", "p.chunk")).alias("pos", "x")).select(F.col("x.prefix").alias("g"), F.col("x.chunk").alias("chunk"), "rep", "n", F.col("pos").cast("long").alias("pos"))
-    lists = materialize(postings.repartition("g", "chunk").mapInPandas(_list_map(pct), "kind int, a long, b long, n long, pos long"))
+    lists = materialize(postings.repartition("g", "chunk").mapInPandas(_list_map(pct), "kind int, a long, b long, chunk long, n long, pos long"))
     pairs = lists.filter("kind = 0").select("a", "b").distinct()
     links = materialize(_verified(pairs, docs, rows, id_col, text_col, n, pct))
     labels = components(links)
-    long = lists.filter("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("rep"), "n", "pos")
-    more = _across(long, labels, pairs, pct)
+    long = lists.filter("kind = 1").select(F.col("a").alias("g"), F.col("b").alias("rep"), "chunk", "n", "pos")
+    more = _across(long, labels, rows, pairs, pct)
     if more is not None:
         links = materialize(links.unionByName(_verified(more, docs, rows, id_col, text_col, n, pct)))
         labels = components(links)
@@ -302,30 +312,54 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return labelled.join(least.select("label", "component_id", F.col("k._row").alias("_keep")), "label").select("doc_id", "_key", F.col("n").alias("n_shingles"), "component_id", (F.col("_row") == F.col("_keep")).alias("keeper"))
 
 
-def _across(long: DataFrame, labels: DataFrame, tried: DataFrame, pct: int) -> DataFrame | None:
+def _across_map(pct: int) -> Callable:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(frames)
+        if not sum(map(len, parts)):
+            return
+        f = pd.concat(parts).sort_values(["g", "chunk", "sent"], kind="stable")
+        f = f.drop_duplicates(["g", "chunk", "sent", "rep"])
+        del parts
+        g, chunk, sent, rep, n, pos, label, major = (f[c].to_numpy(np.int64) for c in ("g", "chunk", "sent", "rep", "n", "pos", "label", "major"))
+        full = np.full(CELLS, 65535, np.uint16).tobytes()
+        sketch = np.frombuffer(b"".join(full if x is None else x for x in f["sketch"]), np.uint16).reshape(-1, CELLS)
+        del f
+        first = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (chunk[1:] != chunk[:-1])])
+        found: set[tuple[int, int]] = set()
+        for lo, hi in zip(first, np.r_[first[1:], len(g)], strict=True):
+            cut = lo + int(np.searchsorted(sent[lo:hi], 1))
+            m = np.arange(lo, cut)
+            for o in range(cut, hi):
+                near = m[(label[m] != label[o]) & ((label[m] == major[m]) | (rep[o] < rep[m])) & _allowed(n[m], pos[m], n[o], pos[o], pct)]
+                least = -(-pct * (n[near] + n[o]) // (100 + pct))
+                near = near[np.minimum(sketch[near], sketch[o]).sum(1, dtype=np.int64) >= least]
+                found.update((min(a, rep[o]), max(a, rep[o])) for a in rep[near].tolist())
+        yield pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _across(long: DataFrame, labels: DataFrame, rows: DataFrame, tried: DataFrame, pct: int) -> DataFrame | None:
     """Pairs of long lists whose ends are in different components and that weren't tried; None if there are none.
 
-    Per n-gram the largest component is left as it is: every other member is paired with all members outside of its
-    own component.
+    Per n-gram the largest component is left as it is: every other member meets all members outside of its own
+    component, chunk by chunk. Pairs that the length, positional or suffix filter refuses are never rows; the suffix
+    filter here is the overlap that the two sets' counts over ranges of hashes still allow.
     """
-    known = long.join(labels, F.col("rep") == F.col("node"), "left").select("g", "rep", "n", "pos", F.coalesce("label", "rep").alias("label"))
+    known = long.join(labels, F.col("rep") == F.col("node"), "left").select("g", "chunk", "rep", "n", "pos", F.coalesce("label", "rep").alias("label"))
     mixed = known.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g")
-    rows = materialize(known.join(mixed, "g", "left_semi"))
-    if rows.isEmpty():
+    members = materialize(known.join(mixed, "g", "left_semi"))
+    if members.isEmpty():
         return None
-    count = rows.groupBy("g", "label").agg(F.count("*").alias("c"))
+    count = members.groupBy("g", "label").agg(F.count("*").alias("c"))
     major = count.groupBy("g").agg(F.max_by("label", F.struct("c", "label")).alias("major"))
-    out = rows.join(major, "g")
-    x = out.filter("label <> major").select("g", *[F.col(c).alias(f"{c}_x") for c in ("rep", "n", "pos", "label")])
-    y = out.select("g", "major", *[F.col(c).alias(f"{c}_y") for c in ("rep", "n", "pos", "label")])
-    least = F.ceil(F.lit(pct) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + pct))
-    pairs = x.join(y, "g").filter(
-        (F.col("label_x") != F.col("label_y"))
-        & ((F.col("label_y") == F.col("major")) | (F.col("rep_x") < F.col("rep_y")))
-        & (100 * F.least("n_x", "n_y") >= pct * F.greatest("n_x", "n_y"))
-        & (1 + F.least(F.col("n_x") - F.col("pos_x") - 1, F.col("n_y") - F.col("pos_y") - 1) >= least)
-    )
-    pairs = pairs.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+    sketches = rows.select(F.col("_row").alias("rep"), "sketch")
+    members = members.join(major, "g").join(sketches, "rep")
+    columns = ["g", "chunk", "rep", "n", "pos", "label", "major", "sketch"]
+    places = members.select("g", "chunk").distinct()
+    outside = members.filter("label <> major").drop("chunk").join(places, "g")
+    both = members.select(*columns, F.lit(0).alias("sent")).unionByName(outside.select(*columns, F.lit(1).alias("sent")))
+    pairs = both.repartition("g", "chunk").mapInPandas(_across_map(pct), "a long, b long").distinct()
     return materialize(pairs.join(tried, ["a", "b"], "left_anti"))
 
 
