@@ -73,7 +73,8 @@ class WordEncoder:
         self.known: dict[str, list[int]] = {}
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if _plain.fullmatch(w)]
+        odd = [w for w in words if not _plain.fullmatch(w)]
+        plain = list(set(words).difference(odd)) if odd else words
         parts = _parts.findall("\n".join(plain))
         for part in set(parts).difference(self.known):
             self.known[part] = [t.id for t in self.model.tokenize("".join(map(_byte_letter.__getitem__, part.encode())))] if part != "\n" else []
@@ -81,7 +82,7 @@ class WordEncoder:
         of_part = np.fromiter(map(len, lists), np.int64, len(lists))
         ends = np.r_[0, np.cumsum(of_part)][[i for i, p in enumerate(parts) if p == "\n"] + [len(parts)]] if plain else np.zeros(0, np.int64)
         size = [np.diff(ends, prepend=0)]
-        for word in (odd := [w for w in words if not _plain.fullmatch(w)]):
+        for word in odd:
             lists.append(self.tokenizer.encode(word, add_special_tokens=False).ids)
         size = np.concatenate([*size, np.fromiter(map(len, lists[len(parts) :]), np.int64, len(odd))])
         first = len(self.flat) + np.cumsum(size) - size
@@ -96,7 +97,8 @@ class WordEncoder:
         special = [t is not None and "<|" in t for t in texts]
         plain = pa.array(["" if s or t is None else t for s, t in zip(special, texts, strict=True)], pa.large_string())
         spaced = pc.replace_substring(pc.replace_substring(pc.ascii_lower(plain), "\n", " "), "\t", " ")
-        split = pc.split_pattern(spaced, " ")
+        apart = pc.replace_substring_regex(spaced, "([a-zß-öø-ÿ])([.,])( |$)", r"\1 \2\3")  # a pre-token ends there anyway
+        split = pc.split_pattern(apart, " ")
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         if new := [w for w in words if w not in self.index]:
