@@ -95,11 +95,6 @@ def map_of(columns: dict[str, Column], presence: dict[str, Column] | None = None
     return F.map_concat(*parts) if len(parts) > 1 else parts[0]
 
 
-def encode(df: DataFrame, column: str = "packet") -> Column:
-    """JSON text of a packet struct column; explicit nulls are kept (``ignoreNullFields=false``)."""
-    return F.to_json(F.col(column), JSON_OPTIONS)
-
-
 # ---------------------------------------------------------------- client verbs (build packets from a frame)
 def packets_add(df: DataFrame, seq: Column, columns: list[str] | None = None) -> DataFrame:
     """``add`` per row, data = the given (default: all) columns."""

@@ -4,8 +4,8 @@ Tiers (chosen per packet by ``match_kind``):
 
 * T1  whole primary key given: straight into the fold.
 * keyless add/set with a surrogate key: ids allocated in seq order, data enriched, then T1.
-* ``set`` matched by a unique key: resolved to the primary key by a join with the table (misses get
-  one allocated id per distinct unique value), data enriched, then T1.
+* tables with unique keys, and logs with key-moving updates: owners of unique values and keys are decided in
+  order of seq first (:mod:`rowtide.operators.conflicts`); packets then go on with the key they hit or create.
 * T2  part of a composite key: expanded by a join with the key universe (base keys + keys the log
   inserts); each hit row is an effect of the same seq; the packet outcome aggregates its effects.
 * T3  restriction on non-key columns: barrier segments (see :func:`apply_segmented`).
@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, map_of, rp, rv
 from rowtide.operators.align import _all, _any, prepare
+from rowtide.operators.conflicts import decide, with_new_ids
 from rowtide.operators.fold import DEFAULT_SPAN, fold
 from rowtide.operators.keys import allocate_keys
-from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize, measured_bytes, reuse
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize, measured_bytes
 
 OUTCOMES = ("inserted", "updated", "deleted", "noop", "rejected", "quarantined")
 # Reasons that only ever reject an insert (an integrity error in the reference): rejected, counted.
@@ -53,7 +54,9 @@ def fk_violations(prepared: DataFrame, contract: TableContract, parents: dict[st
     for fk in contract.foreign_keys:
         if not parents or fk.name not in parents:
             continue
-        pk = parents[fk.name].select(*[F.col(p).alias(f"__fk_{c}") for c, p in zip(fk.columns, fk.parent_columns)]).distinct()
+        pk = parents[fk.name].select(*[F.col(p).alias(f"__fk_{c}") for c, p in zip(fk.columns, fk.parent_columns)])
+        written = prepared.select(*[F.col(dv(c)).alias(f"__fk_{c}") for c in fk.columns]).distinct()
+        pk = pk.join(written, [f"__fk_{c}" for c in fk.columns], "left_semi").distinct()
         pk = broadcast_if_small(pk.withColumn("__parent", F.lit(True)), broadcast_bytes) if broadcast_bytes > 0 else pk.withColumn("__parent", F.lit(True))
         writes = _all([F.col(dp(c)) & F.col(dv(c)).isNotNull() for c in fk.columns])
         cond = [F.col(dv(c)) == F.col(f"__fk_{c}") for c in fk.columns]
@@ -125,6 +128,10 @@ def _packet_maps(contract: TableContract, key_cols: bool) -> list[Column]:
     if key_cols:
         data_vals = {c: F.col(c) if c in contract.primary_key else F.col(dv(c)) for c in contract.names}
         data_has = {c: F.lit(True) if c in contract.primary_key else F.col(dp(c)) for c in contract.names}
+        for c in contract.non_key:  # a default taken from the packet (now()) is forwarded, so that replicas agree
+            if contract.has_computed_default(c):
+                data_vals[c] = F.when(F.col(dp(c)), F.col(dv(c))).otherwise(F.col(f"df__{c}"))
+                data_has[c] = F.col(dp(c)) | (F.col("outcome") == "inserted")
         restr = map_of({k: F.col(k) for k in contract.primary_key})
     else:
         data_vals = {c: F.col(dv(c)) for c in contract.names}
@@ -135,41 +142,53 @@ def _packet_maps(contract: TableContract, key_cols: bool) -> list[Column]:
     return [data.alias("data"), F.when(a.isin("update", "delete"), restr).alias("restriction")]
 
 
-def resolve_unique(
-    sets: DataFrame, base: DataFrame, inserted_keys: DataFrame, contract: TableContract, span: int, broadcast_bytes: int
-) -> DataFrame:
-    """``set`` packets identified by a unique key -> the same packets with the primary key filled in.
+def flag_duplicate_seq(prepared: DataFrame, identity: tuple[str, ...] = (), broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``reject_reason = 'duplicate_seq'`` for packets that share a seq: they have no order, so none of them can apply.
 
-    Candidates are base rows and rows the log inserts by key; a unique value without a row gets one
-    allocated id (first packet of that value in seq order inserts, the later ones update). Assumes
-    unique values are not changed inside the log.
+    ``identity``: columns that name a packet together with seq (the target of a forwarded packet).
     """
-    key = list(contract.primary_key)
-    resolved = []
-    for i, uk in enumerate(contract.unique_keys):
-        part = sets.where(F.col("uk_idx") == i)
-        cand = base.select(*uk, *key).unionByName(inserted_keys.select(*uk, *key)).dropDuplicates(list(uk))
-        cand = cand.select(*[F.col(c).alias(f"__u_{c}") for c in uk], *[F.col(k).alias(f"__k_{k}") for k in key])
-        j = part.join(cand, [F.col(dv(c)) == F.col(f"__u_{c}") for c in uk], "left").drop(*[f"__u_{c}" for c in uk])
-        hit = j.where(F.col(f"__k_{key[0]}").isNotNull())
-        miss = j.where(F.col(f"__k_{key[0]}").isNull()).drop(*[f"__k_{k}" for k in key])
-        if contract.surrogate:
-            s = contract.surrogate
-            nulls = _any([F.col(dv(c)).isNull() for c in uk])
-            firsts = miss.where(~nulls).groupBy(*[dv(c) for c in uk]).agg(F.min("seq").alias("seq"))
-            ids = allocate_keys(firsts, base, s, span, broadcast_bytes).select(*[dv(c) for c in uk], F.col(s).alias(f"__k_{s}"))
-            named = miss.where(~nulls).join(ids, [dv(c) for c in uk], "left")
-            lone = allocate_keys(miss.where(nulls).withColumn("__lone", F.lit(True)), base, s, span, broadcast_bytes)
-            lone = lone.withColumnRenamed(s, f"__k_{s}").drop("__lone")
-            hit = hit.unionByName(named).unionByName(lone)
-            resolved.append(hit)
-        else:
-            resolved.append(hit)
-            resolved.append(miss.withColumn("__k_" + key[0], F.lit(None)))
-    out = resolved[0]
-    for r in resolved[1:]:
-        out = out.unionByName(r, allowMissingColumns=True)
-    return _with_assigned_key(out, contract, key)
+    by = ["seq", *identity]
+    twice = prepared.where(F.col("seq").isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    twice = twice.select(*[F.col(c).alias(f"__d_{c}") for c in by], F.lit(True).alias("__twice"))
+    twice = broadcast_if_small(twice, broadcast_bytes) if broadcast_bytes > 0 else twice
+    out = prepared.join(twice, [F.col(c).eqNullSafe(F.col(f"__d_{c}")) for c in by], "left")
+    reason = F.coalesce("reject_reason", F.when(F.col("__twice"), "duplicate_seq"))
+    return out.withColumn("reject_reason", reason).drop("__twice", *[f"__d_{c}" for c in by])
+
+
+def is_move(contract: TableContract) -> Column:
+    """A key-moving update that can be applied: whole key in the restriction, whole new row in the data."""
+    whole = _all([F.col(dp(c)) for c in contract.names]) & ~_any([F.col(dv(k)).isNull() for k in contract.primary_key])
+    key = _all([F.col(rp(k)) & F.col(rv(k)).isNotNull() for k in contract.primary_key])
+    return (F.col("reject_reason") == "key_move") & (F.col("match_kind") == "pk") & whole & key
+
+
+def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract, span: int, broadcast_bytes: int) -> DataFrame:
+    """Classified packets with ``verdict`` and the key columns ``__k_<key>`` they hit or create."""
+    a, cls, mk = F.col("action"), F.col("cls"), F.col("match_kind")
+    by_unique = (mk == "unique") & (a == "set")
+    kind = (
+        F.when(F.col("__move"), F.when(cls == "upd", "move").otherwise("probe"))
+        .when(by_unique, F.when(cls == "ins", "set_unique").when(cls == "upd_only", "only_unique").otherwise("probe_unique"))
+        .when(cls == "ins", a)
+        .when(cls == "upd_only", "only")
+        .when(cls == "upd", "update")
+        .when(cls == "del", "delete")
+        .otherwise("none")
+    )
+    uk_idx = F.lit(None).cast("int")
+    for i in reversed(range(len(contract.unique_keys))):
+        uk_idx = F.when(_all([F.col(dp(c)) for c in contract.unique_keys[i]]), F.lit(i)).otherwise(uk_idx)
+    # kind none: a packet that can't change anything; the fold refuses it on its own key
+    rows = materialize(rows.withColumn("kind", kind).withColumn("uk_idx", uk_idx))
+    decided = with_new_ids(decide(base, rows, contract, broadcast_bytes), rows, base, contract, span, broadcast_bytes)
+    joined = rows.join(decided, "__pid", "left").withColumn("verdict", F.coalesce("verdict", F.lit("go")))
+    parts = F.from_json("k", "array<string>")
+    own = _key_from_packet(contract)
+    for i, k in enumerate(contract.primary_key):
+        given = F.when(F.col("kind") == "none", own[k])
+        joined = joined.withColumn(f"__k_{k}", F.coalesce(parts[i].cast(contract.type_of(k)), given))
+    return joined
 
 
 def expand_partial(partial: DataFrame, universe: DataFrame, contract: TableContract, broadcast_bytes: int) -> DataFrame:
@@ -207,13 +226,16 @@ def apply_changes(
     span: int = DEFAULT_SPAN,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     prepared: DataFrame | None = None,
+    identity: tuple[str, ...] = (),
+    moves: bool = False,
 ) -> ChangeResult:
     """Apply an ordered packet log (``seq, action, data, restriction`` + extra columns) to ``base``.
 
     ``on_error='fail'`` raises :class:`PacketHalt` (one small top-1 job) if any packet would halt,
     like the reference's halting worker; ``'quarantine'`` sets it aside and goes on.
-    Packets with non-key restrictions need :func:`apply_segmented`; here they are quarantined
-    with reason ``needs_barrier``.
+    Packets with non-key restrictions need :func:`rowtide.operators.segmented.apply_log`, which chooses the tier; here
+    they are quarantined with reason ``needs_barrier``. ``moves``: apply key-moving updates (else quarantined).
+    ``identity``: columns that name a packet together with seq.
     """
     key = list(contract.primary_key)
     if prepared is None:
@@ -222,13 +244,17 @@ def apply_changes(
         # started stage, and routing predicates would be pushed into the parsing and repeat it.
         # The raw maps are not needed past alignment (forwarded packets are rebuilt from typed columns).
         prepared = materialize(prepare(packets, contract, strict_restrictions).drop("data", "restriction"))
+        prepared = flag_duplicate_seq(prepared, identity, broadcast_bytes)
+        if contract.foreign_keys and parents:
+            prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
     else:
         # a caller-held prepared log (e.g. one segment of a cached log in apply_segmented)
         prepared = prepared.drop("data", "restriction")
     extras = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
     carry = extras
-    if contract.foreign_keys and parents:
-        prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
+    conflicts = bool(contract.unique_keys) or moves
+    move = F.coalesce(is_move(contract), F.lit(False)) if moves else F.lit(False)
+    prepared = prepared.withColumn("__move", move).withColumn("reject_reason", F.when(~move, F.col("reject_reason")))
     ok = F.col("reject_reason").isNull()
     mk, a = F.col("match_kind"), F.col("action")
     full = ok & (mk == "pk")
@@ -237,38 +263,42 @@ def apply_changes(
     partial = ok & (mk == "pk_partial") & a.isin("set", "update", "delete")
     partial_add = ok & (mk == "pk_partial") & (a == "add")
 
-    t1 = classify(prepared.where(full), contract, F.lit(True))
-    t1_eff = t1.select(*_effect_columns(contract, carry, _key_from_packet(contract)))
-    effects = t1_eff
-    inserted_keys = t1.where(F.col("cls") == "ins").select(
-        *[_key_from_packet(contract)[k].alias(k) for k in key], *[F.col(dv(c)).alias(c) for c in contract.names if c not in key]
-    )
-
-    if contract.surrogate:
-        s = contract.surrogate
-        kl = allocate_keys(prepared.where(keyless), base, s, span, broadcast_bytes).withColumnRenamed(s, f"__k_{s}")
-        kl = classify(_with_assigned_key(kl, contract, [s]), contract, F.lit(True))
-        effects = effects.unionByName(kl.select(*_effect_columns(contract, carry, _key_from_packet(contract))))
-        inserted_keys = inserted_keys.unionByName(
-            kl.where(F.col("cls") == "ins").select(*[F.col(dv(c)).alias(c) for c in contract.names])
-        )
-        no_key = F.lit(False)
-    else:
-        no_key = keyless
-
-    if contract.unique_keys:
-        uk_idx = F.lit(None).cast("int")
-        for i in reversed(range(len(contract.unique_keys))):
-            uk_idx = F.when(_all([F.col(dp(c)) for c in contract.unique_keys[i]]), F.lit(i)).otherwise(uk_idx)
-        uq = prepared.where(by_unique).withColumn("uk_idx", uk_idx)
-        res = classify(resolve_unique(uq, base, inserted_keys, contract, span, broadcast_bytes).drop("uk_idx"), contract,
-                       _all([F.col(dp(k)) & F.col(dv(k)).isNotNull() for k in key]))
-        effects = effects.unionByName(res.select(*_effect_columns(contract, carry, _key_from_packet(contract))))
+    refused = None
+    no_key = F.lit(False)
+    own_key = _key_from_packet(contract)
+    if conflicts:
+        took = full | by_unique | (keyless if contract.surrogate else F.lit(False))
+        pid = F.concat_ws(":", F.col("seq").cast("string"), *[F.col(c).cast("string") for c in identity])
+        rows = classify(prepared.where(took), contract, F.lit(True)).withColumn("__pid", pid)
+        rows = materialize(_resolve_conflicts(rows, base, contract, span, broadcast_bytes))
+        go = (F.col("verdict") == "go") & F.col(f"__k_{key[0]}").isNotNull()
+        found = {k: F.col(f"__k_{k}") for k in key}
+        plain = rows.where(go & (F.col("kind") != "move"))
+        moved = rows.where(go & (F.col("kind") == "move")).withColumn("match_kind", F.lit("move"))
+        gone = moved.withColumn("cls", F.lit("del"))
+        come = moved.withColumn("cls", F.lit("ins")).withColumn("action", F.lit("add"))
+        effects = plain.select(*_effect_columns(contract, carry, found))
+        effects = effects.unionByName(gone.select(*_effect_columns(contract, carry, {k: F.col(rv(k)) for k in key})))
+        effects = effects.unionByName(come.select(*_effect_columns(contract, carry, {k: F.col(dv(k)) for k in key})))
+        inserted_keys = effects.where(F.col("cls") == "ins").select(*key)
+        refused = rows.where(~go | (F.col("kind") == "move"))
+        no_key = keyless if contract.surrogate is None else no_key
     else:
+        t1 = classify(prepared.where(full), contract, F.lit(True))
+        effects = t1.select(*_effect_columns(contract, carry, own_key))
+        inserted_keys = t1.where(F.col("cls") == "ins").select(*[own_key[k].alias(k) for k in key])
+        if contract.surrogate:
+            s = contract.surrogate
+            kl = allocate_keys(prepared.where(keyless), base, s, span, broadcast_bytes).withColumnRenamed(s, f"__k_{s}")
+            kl = classify(_with_assigned_key(kl, contract, [s]), contract, F.lit(True))
+            effects = effects.unionByName(kl.select(*_effect_columns(contract, carry, own_key)))
+            inserted_keys = inserted_keys.unionByName(kl.where(F.col("cls") == "ins").select(*[F.col(dv(c)).alias(c) for c in key]))
+        else:
+            no_key = keyless
         no_key = no_key | by_unique
 
     if len(key) > 1:
-        universe = base.select(*key).unionByName(inserted_keys.select(*key))
+        universe = base.select(*key).unionByName(inserted_keys.select(*key)).distinct()
         part = classify(prepared.where(partial), contract, F.lit(False))
         expanded = expand_partial(part, universe, contract, broadcast_bytes)
         exp_keys = {k: F.col(f"__k_{k}") for k in key}
@@ -278,18 +308,18 @@ def apply_changes(
     folded = result.effects
 
     # ---- per-packet outcomes
-    direct = folded.where(F.col("match_kind") != "pk_partial").select(
+    direct = folded.where(~F.col("match_kind").isin("pk_partial", "move")).select(
         "seq", "action", "match_kind", *key, "outcome", "reason",
         F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"),
         *_packet_maps(contract, True), *carry,
     )
     pri = (F.when(F.col("outcome") == "quarantined", 4).when(F.col("outcome").isin("updated", "deleted"), 3)
            .when(F.col("outcome") == "rejected", 2).otherwise(1))
-    agg = folded.where(F.col("match_kind") == "pk_partial").groupBy("seq").agg(
+    agg = folded.where(F.col("match_kind") == "pk_partial").groupBy("seq", *identity).agg(
         F.max_by(F.struct("outcome", "reason"), pri).alias("o"),
         F.sum(F.when(F.col("outcome").isin("updated", "deleted"), 1).otherwise(0)).alias("rows"),
     )
-    part_out = prepared.where(partial).select("seq", "action", "match_kind", *_packet_maps(contract, False), *carry).join(agg, "seq", "left").select(
+    part_out = prepared.where(partial).select("seq", "action", "match_kind", *_packet_maps(contract, False), *carry).join(agg, ["seq", *identity], "left").select(
         "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key],
         F.coalesce(F.col("o.outcome"), F.when(F.col("action") == "set", "rejected").otherwise("noop")).alias("outcome"),
         F.when(F.col("o").isNotNull(), F.col("o.reason")).when(F.col("action") == "set", "partial_key").alias("reason"),
@@ -303,6 +333,25 @@ def apply_changes(
         F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
     )
     outcomes = direct.unionByName(part_out).unionByName(bad)
+    if refused is not None:
+        v, nn = F.col("verdict"), F.coalesce("pre_reason", F.lit("not_null"))
+        done = v == "go"
+        outcome = (
+            F.when(done & (F.col("kind") == "move"), "updated")
+            .when(v.isin("halt_unique", "halt_key"), "quarantined")
+            .when(v == "noop", "noop")
+            .otherwise("rejected")
+        )
+        reason = (
+            F.when(v.isin("duplicate_unique", "halt_unique"), "duplicate_unique")
+            .when(v.isin("halt_key", "duplicate_key"), "duplicate_key")
+            .when((v == "noop") | done & (F.col("kind") == "move"), None)
+            .otherwise(nn)
+        )
+        outcomes = outcomes.unionByName(refused.select(
+            "seq", "action", "match_kind", *[F.col(f"__k_{k}").alias(k) for k in key], outcome.alias("outcome"), reason.alias("reason"),
+            F.when(outcome == "updated", 1).otherwise(0).alias("rows"), *_packet_maps(contract, False), *carry,
+        ))
     if on_error == "fail":
         # the reference's worker stops at a halting packet: the whole batch fails, nothing is applied
         first = outcomes.where(F.col("outcome") == "quarantined").select("seq", "reason").orderBy("seq").limit(1).collect()

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.operators.apply import ChangeResult, apply_changes
+from rowtide.operators.apply import ChangeResult
+from rowtide.operators.segmented import apply_log
 from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 TARGET = "__target"
@@ -45,7 +46,8 @@ def enabled_targets(routes: DataFrame) -> DataFrame:
 
 def target_contract(contract: TableContract) -> TableContract:
     """The contract with the target name prepended to the key: one fold serves every replica."""
-    return replace(contract, columns=((TARGET, "string"), *contract.columns), primary_key=(TARGET, *contract.primary_key))
+    unique = tuple((TARGET, *uk) for uk in contract.unique_keys)  # unique within a replica
+    return replace(contract, columns=((TARGET, "string"), *contract.columns), primary_key=(TARGET, *contract.primary_key), unique_keys=unique)
 
 
 def apply_targets(bases: DataFrame, fanned: DataFrame, contract: TableContract, **kw) -> ChangeResult:
@@ -65,9 +67,9 @@ def apply_targets(bases: DataFrame, fanned: DataFrame, contract: TableContract,
         "restriction",
         F.when(a.isin("update", "delete"), F.map_concat(F.coalesce(F.col("restriction"), empty), t)).otherwise(F.col("restriction")),
     )
-    keep = ["seq", "action", "data", "restriction", "target"]
     tc = target_contract(contract)
     base = bases.select(F.col("target").alias(TARGET), *contract.names)
-    res = apply_changes(base, pk.select(*keep), tc, **kw)
+    # further packet columns go along: computed defaults read them
+    res = apply_log(base, pk.drop("destination", "queue"), tc, **kw, identity=("target",))
     table = res.table.withColumnRenamed(TARGET, "target")
     return ChangeResult(res.outcomes, res.effects.withColumnRenamed(TARGET, "target"), table)

@@ -87,9 +87,3 @@ def allocate_keys(
     return ranked.join(F.broadcast(start), "__one").withColumn(surrogate, F.col("__start") + F.col("rank")).drop(
         "__start", "rank", "__one"
     )
-
-
-def enrich_keys(packets: DataFrame, key_columns: list[str]) -> DataFrame:
-    """Put engine-assigned key values into ``data`` so that replicas insert the same ids."""
-    entries = [x for k in key_columns for x in (F.lit(k), F.col(k).cast("string"))]
-    return packets.withColumn("data", F.map_concat(F.coalesce(F.col("data"), F.create_map().cast("map<string,string>")), F.create_map(*entries)))

@@ -1,10 +1,10 @@
-"""Slow tiers: barrier segments (predicates on non-key columns) and key-moving updates.
+"""Tier dispatch for a whole log: folds, key-moving updates, and barriers (predicates on non-key columns).
 
 A packet whose restriction names a non-key column can hit rows whose value was written by earlier
 packets of the same log, so it cannot be folded per key. The log is cut at such *barrier* packets;
 each segment is folded, each barrier is applied to the whole intermediate table as one set-based
-update/delete, and the table is checkpointed between steps (shared checkpoint folder, lineage cut).
-The number of barriers is bounded by ``max_barriers``; this is the documented slow path.
+update/delete, written to the shared checkpoint folder (lineage cut). Segments without packets are skipped, so a run of
+barriers costs one table write each. This is the documented slow path.
 """
 
 from __future__ import annotations
@@ -17,20 +17,19 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, rp, rv
 from rowtide.operators.align import prepare
-from rowtide.operators.apply import ChangeResult, PacketHalt, apply_changes
-from rowtide.session import cache_scope, materialize, reuse
+from rowtide.operators.apply import ChangeResult, PacketHalt, _packet_maps, apply_changes, fk_violations, flag_duplicate_seq, is_move
+from rowtide.session import DEFAULT_BROADCAST_BYTES, materialize
 
-DEFAULT_MAX_BARRIERS = 64
 
-
-def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
+def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract, carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply one prepared update/delete packet with a non-key restriction to the whole table.
 
     The one-row packet is joined on a constant (broadcast hash join); the predicate is the AND of
     ``col = value`` over its restriction columns (SQL ``=``: NULL never matches).
-    Returns (new table, outcome row with the number of rows hit).
+    Returns (new table, outcome row with the number of rows hit and the packet to forward).
     """
-    b = barrier.withColumn("__one", F.lit(1))  # one packet (seq is unique): a proven broadcast bound
+    carry = carry or []
+    b = barrier.withColumn("__one", F.lit(1))  # one packet (packets that share a seq are refused): a proven bound
     j = state.withColumn("__one", F.lit(1)).join(F.broadcast(b), "__one")
     match = reduce(
         lambda x, y: x & y,
@@ -39,7 +38,8 @@ def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract)
     match = F.coalesce(match, F.lit(False))
     nn_null = reduce(lambda x, y: x | y, [F.col(dp(c)) & F.col(dv(c)).isNull() for c in contract.non_key if c in contract.required], F.lit(False))
     is_delete = F.col("action") == "delete"
-    halts = (F.col("action") == "update") & nn_null
+    fk_bad = F.col("fk_bad") if "fk_bad" in barrier.columns else F.lit(False)
+    halts = (F.col("action") == "update") & (nn_null | fk_bad)
     kept = j.where(~(is_delete & match))
     cols = [
         F.col(c) if c in contract.primary_key else
@@ -49,99 +49,82 @@ def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract)
     new_state = kept.select(*cols)
     # a global aggregate has exactly one row, also over an empty table: every barrier gets its outcome
     hit = j.agg(F.count_if(match).alias("rows")).withColumn("__one", F.lit(1))
-    counted = b.select("seq", "action", halts.alias("halts"), "__one").join(hit, "__one")
+    known = [c for c in barrier.columns if c in carry]
+    why = F.when(fk_bad, "foreign_key").otherwise("not_null")
+    counted = b.select("seq", "action", halts.alias("halts"), why.alias("why"), *_packet_maps(contract, False), *known, "__one").join(hit, "__one")
     outcome = counted.select(
         "seq", "action", F.lit("non_key").alias("match_kind"),
         *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in contract.primary_key],
         F.when(F.col("rows") == 0, "noop").when(F.col("halts"), "quarantined")
         .when(F.col("action") == "delete", "deleted").otherwise("updated").alias("outcome"),
-        F.when((F.col("rows") > 0) & F.col("halts"), "not_null").alias("reason"),
-        F.when(F.col("halts"), 0).otherwise(F.col("rows")).cast("int").alias("rows"),
+        F.when((F.col("rows") > 0) & F.col("halts"), F.col("why")).alias("reason"),
+        F.when(F.col("halts"), 0).otherwise(F.col("rows")).cast("int").alias("rows"), "data", "restriction", *known,
     )
     return new_state, outcome
 
 
-def apply_segmented(
-    base: DataFrame, packets: DataFrame, contract: TableContract, *, max_barriers: int = DEFAULT_MAX_BARRIERS,
-    strict_restrictions: bool = True, **kw,
+def apply_log(
+    base: DataFrame, packets: DataFrame, contract: TableContract, *, strict_restrictions: bool = True,
+    parents: dict[str, DataFrame] | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, identity: tuple[str, ...] = (), **kw,
 ) -> ChangeResult:
-    """Apply a log that contains barrier packets: fold the segments between barriers, barriers as set operations."""
-    prepared = reuse(prepare(packets, contract, strict_restrictions))
-    is_barrier = F.col("reject_reason").isNull() & (F.col("match_kind") == "non_key")
-    # the barrier positions only (bounded by max_barriers), never the log itself
-    seqs = [r[0] for r in prepared.where(is_barrier).select("seq").orderBy("seq").limit(max_barriers + 1).collect()]
-    if len(seqs) > max_barriers:
-        raise ValueError(f"more than {max_barriers} barrier packets; raise max_barriers or split the log")
+    """Apply any log: one outcome per packet, each packet in the tier it needs.
+
+    Without barriers this is one :func:`apply_changes`. Packets that no state can save are reported once, with the first
+    segment. The positions of the barriers are read one by one; the log itself stays distributed.
+    """
+    prepared = flag_duplicate_seq(materialize(prepare(packets, contract, strict_restrictions)), identity, broadcast_bytes)
+    if contract.foreign_keys and parents:
+        prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
+    prepared = materialize(prepared)
+    fine = F.col("reject_reason").isNull()
+    is_barrier = fine & F.coalesce(F.col("match_kind") == "non_key", F.lit(False))
+    moving = F.coalesce(is_move(contract), F.lit(False))
+    if identity and not prepared.where(is_barrier).isEmpty():
+        raise ValueError("barrier packets of several targets: apply the targets one by one")
+    seen = prepared.agg(F.count_if(is_barrier).alias("barriers"), F.count_if(moving).alias("moves")).first()
+    kw |= {"moves": seen["moves"] > 0, "strict_restrictions": strict_restrictions, "broadcast_bytes": broadcast_bytes, "identity": identity}
+    if not seen["barriers"]:
+        return apply_changes(base, packets, contract, prepared=prepared, **kw)
+    carry = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
     state = base.select(*contract.names)
-    outs, effects = [], []
-    lo = None
-    for b in seqs + [None]:
-        cond = ~is_barrier
-        if lo is not None:
-            cond = cond & (F.col("seq") > lo)
-        if b is not None:
-            cond = cond & (F.col("seq") < b)
-        with cache_scope():
-            res = apply_changes(state, packets, contract, prepared=prepared.where(cond), strict_restrictions=strict_restrictions, **kw)
-            state = materialize(res.table)
-            # outcomes / effects stay lazy: if read later they recompute from the checkpointed state
-            outs.append(res.outcomes.select(*[c for c in res.outcomes.columns if c not in ("data", "restriction")]))
+    outs, effects, lo = [], [], None
+    in_order = fine | moving
+    barriers = (r[0] for r in prepared.where(is_barrier).select("seq").orderBy("seq").toLocalIterator())
+    for b in [*barriers, None]:
+        cond = ~is_barrier & in_order
+        cond = cond & (F.col("seq") > lo) if lo is not None else cond
+        cond = cond & (F.col("seq") < b) if b is not None else cond
+        cond = cond | ~in_order if lo is None else cond
+        part = prepared.where(cond)
+        if not part.isEmpty():
+            res = apply_changes(state, packets, contract, prepared=part, **kw)
+            state = res.table
+            outs.append(materialize(res.outcomes))
             effects.append(res.effects)
         if b is not None:
-            state, o = apply_barrier(state, prepared.where(F.col("seq") == b), contract)
-            state = materialize(state)
+            state, o = apply_barrier(state, prepared.where(is_barrier & (F.col("seq") == b)), contract, carry)
             o = materialize(o)  # one row
-            if kw.get("on_error") == "fail" and o.where(F.col("outcome") == "quarantined").limit(1).count():
-                raise PacketHalt(f"packet {b} halts the batch: not_null")
+            if kw.get("on_error") == "fail" and not o.where(F.col("outcome") == "quarantined").isEmpty():
+                raise PacketHalt(f"packet {b} halts the batch: {o.first()['reason']}")
             outs.append(o)
+        state = materialize(state)
         lo = b
     outcomes = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), outs)
+    if not effects:
+        effects = [apply_changes(base.limit(0), packets, contract, prepared=prepared.limit(0), **kw).effects]
     eff = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), effects)
     return ChangeResult(outcomes, eff, state)
 
 
-def normalise_moves(packets: DataFrame, contract: TableContract) -> DataFrame:
-    """Key-moving updates with whole-row images -> ``delete(old)`` at 2*seq and ``add(new)`` at 2*seq+1.
-
-    Every other packet moves to 2*seq. ``move_seq`` links the two halves.
-    """
-    key = list(contract.primary_key)
-    moving = (F.col("action") == "update") & reduce(
-        lambda x, y: x | y,
-        [F.col("data").getItem(k).isNotNull() & (F.col("data").getItem(k) != F.col("restriction").getItem(k)) for k in key],
-    )
-    moving = F.coalesce(moving, F.lit(False))
-    p = packets.withColumn("move_seq", F.when(moving, F.col("seq")))
-    still = p.where(F.col("move_seq").isNull()).withColumn("seq", F.col("seq") * 2)
-    moves = p.where(F.col("move_seq").isNotNull())
-    dels = moves.select(
-        (F.col("seq") * 2).alias("seq"), F.lit("delete").alias("action"), F.lit(None).cast("map<string,string>").alias("data"),
-        "restriction", *[c for c in p.columns if c not in ("seq", "action", "data", "restriction")],
-    )
-    adds = moves.select(
-        (F.col("seq") * 2 + 1).alias("seq"), F.lit("add").alias("action"), "data",
-        F.lit(None).cast("map<string,string>").alias("restriction"),
-        *[c for c in p.columns if c not in ("seq", "action", "data", "restriction")],
-    )
-    return still.unionByName(dels).unionByName(adds)
+def apply_segmented(base: DataFrame, packets: DataFrame, contract: TableContract, **kw) -> ChangeResult:
+    """Apply a log that contains barrier packets: see :func:`apply_log`."""
+    return apply_log(base, packets, contract, **kw)
 
 
-def apply_key_moves(base: DataFrame, packets: DataFrame, contract: TableContract, max_rounds: int = 4, **kw) -> ChangeResult:
-    """Apply a log with key-moving updates.
+def apply_key_moves(base: DataFrame, packets: DataFrame, contract: TableContract, **kw) -> ChangeResult:
+    """Apply a log with key-moving updates (whole-row images): see :mod:`rowtide.operators.conflicts`.
 
-    A move only happens if the old row is live (else the update hits nothing) and the new key is
-    free (else the update fails and halts). After each fold, moves whose delete half was a no-op or
-    whose add half was refused are withdrawn and the log is folded again (few rounds in practice).
+    A move happens if the old row is live (else it hits nothing) and the new key is free (else it halts), both as of
+    its seq; chains and swaps settle in one pass.
     """
-    p = normalise_moves(packets, contract)
-    for _ in range(max_rounds):
-        res = apply_changes(base, p, contract, **kw)
-        o = res.outcomes
-        bad = o.where(
-            F.col("move_seq").isNotNull()
-            & (((F.col("action") == "delete") & (F.col("outcome") == "noop")) | ((F.col("action") == "add") & (F.col("outcome") == "rejected")))
-        ).select("move_seq").distinct()
-        if bad.isEmpty():
-            return res
-        p = materialize(p.join(bad, "move_seq", "left_anti"))
-    raise RuntimeError("key moves did not settle; use apply_segmented for chained moves")
+    return apply_log(base, packets, contract, **kw)

@@ -269,8 +269,6 @@ FROM ({ORDER_IMAGES_SQL}) WHERE op = 'UPDATE'"""
 UNION ALL
 SELECT 'public', 'customer', CAST(c_custkey AS BIGINT), 'UPDATE', NULL, NULL, 'missing_registry'
 FROM customer WHERE c_mktsegment = '{fx.CUSTOMER_CHANGED_SEGMENT}'"""
-    q["parse_packets"] = f"""SELECT pos, seq, action, d_value AS value, dp_segment AS has_segment, d_segment AS segment,
-       CASE WHEN rp_user_id THEN (SELECT NULL) END AS r_user_id_x, n_restriction FROM ({JSON_VIEW_SQL})"""
     q["parse_packets"] = f"""SELECT pos, seq, action,
        CASE WHEN dp_value AND NOT bad_value THEN d_value END AS value,
        dp_segment AS has_segment, d_segment AS segment,

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.operators.apply import ChangeResult, apply_changes
+from rowtide.operators.apply import ChangeResult
 from rowtide.operators.distribute import accepted, apply_targets, enabled_targets, fan_out
+from rowtide.operators.segmented import apply_log
 from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 # A processor turns (base, packets, contract) into a ChangeResult; the default is the fold.
@@ -31,17 +32,18 @@ def run_destination(
     contract: TableContract,
     destination: str,
     target_bases: DataFrame,
-    processor: Processor = apply_changes,
+    processor: Processor = apply_log,
     target_processor: Processor | None = None,
     **kw,
 ) -> PipelineResult:
     """Destination apply -> accepted stream -> fan-out -> enabled targets apply.
 
-    ``processor`` is any DataFrame callable with the signature of :func:`apply_changes`
+    ``processor`` is any DataFrame callable with the signature of :func:`apply_log`
     (``DataFrame.transform`` style plug-in); targets use ``target_processor`` or the same.
     """
     dest = processor(base, packets, contract, **kw)
-    fwd = fan_out(accepted(dest.outcomes).select("seq", "action", "data", "restriction"), routes.where(F.col("destination") == destination), destination)
+    extra = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction") and c in dest.outcomes.columns]
+    fwd = fan_out(accepted(dest.outcomes).select("seq", "action", "data", "restriction", *extra), routes.where(F.col("destination") == destination), destination)
     live = enabled_targets(routes.where(F.col("destination") == destination)).select("target")
     # the enabled-target list is configuration; broadcast after its size is measured
     live = broadcast_if_small(live, kw.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES))

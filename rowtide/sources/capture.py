@@ -10,17 +10,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.contract import TableContract
 from rowtide.functions.packets import map_of, packet_struct
-from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize
 
 
 def capture_diff(old: DataFrame, new: DataFrame, contract: TableContract, seq: Column | None = None) -> DataFrame:
     """Row images ``op`` (INSERT/UPDATE/DELETE), ``old`` and ``new`` row structs, and ``seq``.
 
-    ``seq`` defaults to the first key column (each key changes once in a diff, so any unique order
-    is valid).
+    ``seq`` defaults to the key if it is one integer column, else to its place in key order (each key changes
+    once in a diff, so any unique order is valid).
     """
     key = list(contract.primary_key)
     o = old.select(*[F.col(c).alias(f"__o_{c}") for c in contract.names], F.lit(True).alias("__in_old"))
@@ -38,7 +39,12 @@ def capture_diff(old: DataFrame, new: DataFrame, contract: TableContract, seq: C
     new_row = F.when(F.col("__in_new"), F.struct(*[F.col(f"__n_{c}").alias(c) for c in contract.names]))
     images = j.select(op.alias("op"), old_row.alias("old"), new_row.alias("new")).where(F.col("op").isNotNull())
     if seq is None:
-        seq = F.coalesce(F.col(f"new.{key[0]}"), F.col(f"old.{key[0]}")).cast("bigint")
+        first = F.coalesce(F.col(f"new.{key[0]}"), F.col(f"old.{key[0]}"))
+        if len(key) == 1 and isinstance(contract.spark_type(key[0]), (T.ShortType, T.IntegerType, T.LongType)):
+            seq = first.cast("bigint")
+        else:  # any other key: numbered in key order, by sorted partitions; written, so that every reader sees the same numbers
+            order = [F.coalesce(F.col(f"new.{k}"), F.col(f"old.{k}")) for k in key]
+            return materialize(images.orderBy(*order).withColumn("seq", F.monotonically_increasing_id()))
     return images.withColumn("seq", seq)
 
 

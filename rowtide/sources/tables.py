@@ -9,14 +9,6 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 
 
-def qualified_name(name: str) -> tuple[str, str]:
-    """``schema.table`` -> (schema, table); a bare name lives in ``public``."""
-    if "." in name:
-        schema, table = name.split(".", 1)
-        return schema, table
-    return "public", name
-
-
 def read_table(spark: SparkSession, path: str, contract: TableContract | None = None) -> DataFrame:
     """Scan a table (Parquet file or folder) and project it onto the contract's columns and types."""
     df = spark.read.parquet(path)
@@ -43,8 +35,17 @@ def last_seq(spark: SparkSession, root: str, version: int) -> int | None:
     return None if row is None else row["max_seq"]
 
 
-def write_snapshot(df: DataFrame, root: str, version: int, max_seq: int | None = None) -> str:
-    """Write ``df`` as version ``version``, then its commit marker.
+def applied(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
+    """Has this micro-batch of this stream been committed?"""
+    try:
+        marks = spark.read.schema("max_seq bigint, stream string, batch bigint").parquet(f"{root.rstrip('/')}/_progress")
+        return not marks.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def write_snapshot(df: DataFrame, root: str, version: int, max_seq: int | None = None, stream: str | None = None, batch: int | None = None) -> str:
+    """Write ``df`` as version ``version``, then its commit marker with the micro-batch (stream, batch) that made it.
 
     Rewriting the same version (a replayed batch) is idempotent; readers only see committed versions.
     """
@@ -52,7 +53,8 @@ def write_snapshot(df: DataFrame, root: str, version: int, max_seq: int | None =
     path = f"{root}/v={int(version)}"
     df.write.mode("overwrite").parquet(path)
     spark = df.sparkSession
-    spark.createDataFrame([(max_seq,)], "max_seq bigint").write.mode("overwrite").parquet(f"{root}/_progress/v={int(version)}")
+    mark = spark.createDataFrame([(max_seq, stream, batch)], "max_seq bigint, stream string, batch bigint")
+    mark.coalesce(1).write.mode("overwrite").parquet(f"{root}/_progress/v={int(version)}")
     return path
 
 

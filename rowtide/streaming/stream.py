@@ -1,23 +1,27 @@
 """Continuous destination: a packet stream applied micro-batch by micro-batch with ``foreachBatch``.
 
-State is the table itself: micro-batch ``n`` reads snapshot ``v=n`` (``v=0`` is written from the
-initial base) and writes ``v=n+1``. A replayed batch (restart after a failure between the write and
-the stream checkpoint commit) rewrites the same version from the same input: effectively once.
-Arrival order is the truth, so a micro-batch whose smallest seq is not above the last applied seq is
-late; it is not applied and its packets go to the outcome log with ``reason = 'late_batch'``.
+State is the table itself: a micro-batch reads the current snapshot and writes the next version. Its commit marker names
+the stream (its checkpoint folder) and the batch, so a replayed batch that was committed is skipped, one that wasn't is
+written again, and a new stream goes on from the current version. Arrival order is the truth: batches apply in order of
+arrival, packets inside a batch in order of seq; a packet with a smaller seq than an earlier batch's applies late, not never.
+With routes, every batch also forwards its accepted packets (JSON files by target) and applies them to the replicas.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.contract import TableContract
-from rowtide.operators.apply import apply_changes
-from rowtide.session import cache_scope, reuse
-from rowtide.sources.packets import read_packets
-from rowtide.sources.tables import current_version, last_seq, read_snapshot, write_snapshot
+from rowtide.operators.apply import ChangeResult
+from rowtide.operators.segmented import apply_log
+from rowtide.plans.pipeline import run_destination
+from rowtide.session import materialize
+from rowtide.sources.packets import encode_packets, read_packets
+from rowtide.sources.tables import applied, current_version, last_seq, read_snapshot, write_snapshot
 
 
 def stream_destination(
@@ -29,32 +33,46 @@ def stream_destination(
     checkpoint_location: str,
     max_files_per_trigger: int | None = 1,
     available_now: bool = True,
+    routes: DataFrame | None = None,
+    destination: str | None = None,
+    target_bases: DataFrame | None = None,
     **kw,
 ) -> StreamingQuery:
-    """Start the stream: JSON packet files at ``source_path`` -> snapshots under ``root``."""
+    """Start the stream: JSON packet files at ``source_path`` -> snapshots under ``root``.
+
+    ``routes`` (with ``destination`` and ``target_bases``): forwarded packets go to ``root/_queues/batch=n/target=...``,
+    replicas of the enabled targets are snapshots under ``root/_targets``.
+    """
     root = root.rstrip("/")
+    replicas = f"{root}/_targets"
     if current_version(spark, root) is None:
         write_snapshot(base.select(*contract.names), root, 0)
+    if routes is not None and current_version(spark, replicas) is None:
+        write_snapshot(target_bases.select("target", *contract.names), replicas, 0)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        with cache_scope():
-            _apply_batch(batch, batch_id)
-
-    def _apply_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = reuse(batch)
-        # micro-batch n starts from version n; a replayed batch re-derives the same version n+1
-        version = min(current_version(spark, root), batch_id)
-        state = read_snapshot(spark, root, version)
-        stats = batch.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
-        last = last_seq(spark, root, version)
-        if stats["lo"] is not None and last is not None and stats["lo"] <= last:
-            batch.withColumn("reason", F.lit("late_batch")).write.mode("overwrite").parquet(f"{root}/_late/batch={batch_id}")
-            write_snapshot(state, root, version + 1, last)
-        else:
-            res = apply_changes(state, batch, contract, **kw)
-            res.outcomes.drop("data", "restriction").write.mode("overwrite").parquet(f"{root}/_outcomes/batch={batch_id}")
-            hi = stats["hi"] if stats["hi"] is not None else last
-            write_snapshot(res.table, root, version + 1, hi)
+        name = f"batch={batch_id}-{hashlib.sha256(checkpoint_location.encode()).hexdigest()[:8]}"
+        batch = materialize(batch)
+        if routes is None:
+            if not applied(spark, root, checkpoint_location, batch_id):
+                step(apply_log(read_snapshot(spark, root), batch, contract, **kw), batch, batch_id, name)
+            return
+        if applied(spark, replicas, checkpoint_location, batch_id):
+            return
+        done = applied(spark, root, checkpoint_location, batch_id)
+        version = current_version(spark, root) - int(done)
+        res = run_destination(read_snapshot(spark, root, version), batch, routes, contract, destination, read_snapshot(spark, replicas), **kw)
+        sent = encode_packets(res.forwarded.select("target", "seq", "action", "data", "restriction"))
+        sent.select("target", F.col("body").alias("value")).write.mode("overwrite").partitionBy("target").text(f"{root}/_queues/{name}")
+        if not done:
+            step(res.destination, batch, batch_id, name)
+        write_snapshot(res.targets.table, replicas, current_version(spark, replicas) + 1, None, checkpoint_location, batch_id)
+
+    def step(res: ChangeResult, batch: DataFrame, batch_id: int, name: str) -> None:
+        res.outcomes.drop("data", "restriction").write.mode("overwrite").parquet(f"{root}/_outcomes/{name}")
+        version = current_version(spark, root)
+        top = [x for x in (batch.agg(F.max("seq")).first()[0], last_seq(spark, root, version)) if x is not None]
+        write_snapshot(res.table, root, version + 1, max(top, default=None), checkpoint_location, batch_id)
 
     packets = read_packets(spark, source_path, streaming=True, max_files_per_trigger=max_files_per_trigger)
     writer = packets.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
