@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.session import scratch_path
+from rowtide.session import broadcast_if_small, scratch_path
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 8 << 20
@@ -118,11 +118,12 @@ def _write_map(folder: str, roll: int):
 
 
 def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """Adds ``payload`` (bytes) and ``refers_to`` (null for responses). Payloads aren't shuffled for it while the repeated digests are few."""
+    """Adds ``payload`` (bytes) and ``refers_to`` (null for responses). Payloads aren't shuffled for it while the repeated digests are few
+    (measured); beyond the bound Spark joins by the digest."""
     rows = pages.withColumn("payload", F.coalesce(F.col("html"), F.lit("")).cast("binary")).drop("html")
     rows = rows.withColumns({"_sha": F.unhex(F.sha1("payload")), "_long": F.octet_length("payload") >= least})
     groups = rows.filter("_long").groupBy("_sha").agg(F.max("page_id").alias("_top"), F.count("*").alias("_n")).filter("_n > 1").select("_sha", "_top", F.lit(True).alias("_long"))
-    joined = rows.join(groups, ["_sha", "_long"], "left")
+    joined = rows.join(broadcast_if_small(groups), ["_sha", "_long"], "left")
     refers = F.when(F.col("_top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_top")), F.col("_top"))
     return joined.withColumn("refers_to", refers).drop("_sha", "_long", "_top")
 
