@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.session import broadcast_if_small, scratch_path
+from rowtide.session import broadcast_if_small, materialize, scratch_path
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 8 << 20
@@ -211,9 +211,10 @@ def _read_map(folder: str):
 
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every record; a revisit has its response's bytes."""
-    spread = manifest.select("file").repartition("file")
+    spread = manifest.select("file").repartition(max(1, manifest.count()))  # a task per file
     rows = spread.mapInPandas(_read_map(f"{folder}/data"), "page_id string, record_type string, payload_digest string, own_bytes long, refers_to string")
     rows = rows.withColumns({"page_id": F.col("page_id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
+    rows = materialize(rows)  # slim; both sides of the join below read it, the archives are read once
     full = rows.filter("record_type = 'response'").groupBy(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_sha")).agg(F.max("own_bytes").alias("_bytes"))
     joined = rows.join(full, (F.col("refers_to") == F.col("_id")) & (F.col("payload_digest") == F.col("_sha")), "left")
     return joined.select("page_id", F.when(F.col("own_bytes") >= 0, F.col("own_bytes")).otherwise(F.col("_bytes")).alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
