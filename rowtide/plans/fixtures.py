@@ -14,7 +14,7 @@ from rowtide.functions.packets import map_of
 from rowtide.sources.tables import read_table
 
 # ---- fixed values of the fixtures (must equal the oracle SQL)
-ACCOUNT_SEGMENTS_IN_BASE = ("AUTOMOBILE", "BUILDING", "MACHINERY")
+NEW_ACCOUNT_K = 3  # events whose props.k is a multiple name an account that the base lacks: the negative id
 EVENT_ACTIONS = {"signup": "add", "click": "set", "purchase": "set", "view": "update", "error": "delete"}
 DEFAULT_SEGMENT = "DEF"
 
@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ------------------------------------------------------------------ accounts (events -> packets)
 def accounts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.where(F.col("c_mktsegment").isin(*ACCOUNT_SEGMENTS_IN_BASE)).select(
+    return c.select(
         F.col("c_custkey").cast("bigint").alias("user_id"),
         F.col("c_acctbal").alias("value"),
         F.col("c_mktsegment").alias("segment"),
@@ -55,7 +55,7 @@ def accounts_log_columns(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"),
         mapping[action].alias("action"),
         F.col("ts"),
-        F.col("user_id"),
+        F.when(k % NEW_ACCOUNT_K == 0, -F.col("user_id")).otherwise(F.col("user_id")).alias("user_id"),
         F.col("value"),
         action.isin("signup", "click", "view").alias("has_value"),
         ((action == "purchase") | ((action == "signup") & (F.col("value") >= 50))).alias("has_segment"),
@@ -93,7 +93,7 @@ LINES = TableContract(
     primary_key=("l_orderkey", "l_linenumber"),
     required=frozenset({"tax"}),
 )
-LINE_ADDED = 3  # line number missing from the base, added back by full-key sets
+LINE_ADDED = 9  # line number that no order has, added by full-key sets
 LINE_ADD_PRIORITIES = ("1-URGENT", "2-HIGH")
 LINE_FLAT_PRIORITY = "5-LOW"
 LINE_FLAT_TAX = 0.25
@@ -105,13 +105,12 @@ def lines_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         li.groupBy("l_orderkey", "l_linenumber")
         .agg(F.min("l_tax").alias("tax"))
-        .where(F.col("l_linenumber") != LINE_ADDED)
         .select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"), "tax")
     )
 
 
 def lines_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: (0) full-key set of line 3 for urgent/high orders; (1) a packet naming only the
+    """Per order: (0) full-key set of a new line for urgent/high orders; (1) a packet naming only the
     order (F: delete, P: update tax, O: set tax); (2) a flat-tax set naming only the order for low
     priority orders. seq = o_orderkey * 10 + i."""
     o = table(spark, sf_dir, "orders")
@@ -296,17 +295,17 @@ def page_set(spark, sf_dir):
 
 # ------------------------------------------------------------------ surrogate keys (documents)
 SURROGATES = TableContract(
-    name="surrogate_test",
-    columns=(("surrogate_id", "bigint"), ("description", "string")),
-    primary_key=("surrogate_id",),
-    required=frozenset({"description"}),
-    surrogate="surrogate_id",
+    name="notes",
+    columns=(("note_id", "bigint"), ("body", "string")),
+    primary_key=("note_id",),
+    required=frozenset({"body"}),
+    surrogate="note_id",
 )
 DOCS_ADD_LANGS = ("en", "de")  # these documents arrive as add, the others as keyless set
 
 
 def surrogate_base(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("bigint").alias("surrogate_id"), F.col("text").alias("description"))
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("bigint").alias("note_id"), F.col("text").alias("body"))
 
 
 def docs_add(spark, sf_dir):
@@ -314,7 +313,7 @@ def docs_add(spark, sf_dir):
     return d.select(
         F.col("doc_id").alias("seq"),
         F.when(F.col("lang").isin(*DOCS_ADD_LANGS), "add").otherwise("set").alias("action"),
-        map_of({"description": F.col("text")}).alias("data"),
+        map_of({"body": F.col("text")}).alias("data"),
         F.lit(None).cast("map<string,string>").alias("restriction"),
     )
 
@@ -350,7 +349,6 @@ def empty_like(spark, contract: TableContract) -> DataFrame:
 # ------------------------------------------------------------------ barriers (restrictions on non-key columns)
 # priority names used as segment values by the order sets; barrier of region r restricts on the r-th one
 BARRIER_SEGMENTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-BARRIER_SET_STATUS = "F"
 
 
 def barrier_log(spark, sf_dir, on: str) -> DataFrame:
@@ -358,7 +356,7 @@ def barrier_log(spark, sf_dir, on: str) -> DataFrame:
     seq = (2r+1) * max(o_orderkey) * 10 + 5: even regions update c_acctbal, odd regions delete, restricted
     on c_nationkey (``on='nation'``: immutable column) or on c_mktsegment (``on='segment'``: mutable)."""
     o = table(spark, sf_dir, "orders")
-    sets = o.where(F.col("o_orderstatus") == BARRIER_SET_STATUS).select(
+    sets = o.select(
         (F.col("o_orderkey") * 10).alias("seq"), F.lit("set").alias("action"),
         map_of({"c_custkey": F.col("o_custkey"), "c_mktsegment": F.col("o_orderpriority")}).alias("data"),
         F.lit(None).cast("map<string,string>").alias("restriction"),
@@ -379,7 +377,6 @@ def barrier_log(spark, sf_dir, on: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ key moves
-MOVE_PRIORITY = "2-HIGH"
 MOVE_STATUS = "P"  # these orders move to key + (max + 1)
 GHOST_STATUS = "O"  # these packets try to move a key that does not exist
 
@@ -387,7 +384,7 @@ GHOST_STATUS = "O"  # these packets try to move a key that does not exist
 def key_move_log(spark, sf_dir) -> DataFrame:
     old = snap_old(spark, sf_dir)
     off = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))  # one row
-    o = old.where(F.col("o_orderpriority") == MOVE_PRIORITY).withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
+    o = old.withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
     ghost = F.col("o_orderstatus") == GHOST_STATUS
     moving = (F.col("o_orderstatus") == MOVE_STATUS) | ghost
     o = o.where(moving)
@@ -396,3 +393,28 @@ def key_move_log(spark, sf_dir) -> DataFrame:
     row = {c: (new_key if c == "o_orderkey" else F.col(c)) for c in ORDERS.names}
     return o.select(F.col("o_orderkey").alias("seq"), F.lit("update").alias("action"), map_of(row).alias("data"),
                     map_of({"o_orderkey": old_key}).alias("restriction"))
+
+
+# ------------------------------------------------------------------ unique keys in one log
+TWIN_SUFFIX = "#twin"
+GONE_SUFFIX = "#gone"
+
+
+def unique_log(spark, sf) -> DataFrame:
+    """Four packets per page, seq = page_id * 10 + i: (0) every third page: keyless add of a twin url; (1) set of the twin
+    url (hits it or creates it); (2) the page itself takes another url; (3) set of the old url, free now: a new row; and
+    (4) an add by key of the twin url, which is taken."""
+    p = pages_base(spark, sf)
+    k, no = F.col("page_id"), F.lit(None).cast("map<string,string>")
+    twin, html = F.concat("url", F.lit(TWIN_SUFFIX)), F.concat(F.lit("n"), F.col("page_id").cast("string"))
+
+    def packet(i: int, action: str, data, restriction=no, rows=p) -> DataFrame:
+        return rows.select((k * 10 + i).alias("seq"), F.lit(action).alias("action"), map_of(data).alias("data"), restriction.alias("restriction"))
+
+    return (
+        packet(0, "add", {"url": twin, "html": html}, rows=p.where(k % 3 == 0))
+        .unionByName(packet(1, "set", {"url": twin, "html": F.concat(html, F.lit("s"))}))
+        .unionByName(packet(2, "update", {"url": F.concat("url", F.lit(GONE_SUFFIX))}, map_of({"page_id": k}), rows=p.where(k % 3 == 1)))
+        .unionByName(packet(3, "set", {"url": F.col("url"), "html": html}, rows=p.where(k % 3 == 1)))
+        .unionByName(packet(4, "add", {"page_id": -k - 1, "url": twin, "html": html}))
+    )

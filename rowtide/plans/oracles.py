@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from rowtide.plans import fixtures as fx
 from rowtide.plans.fixtures import (
-    ACCOUNT_SEGMENTS_IN_BASE, DEFAULT_SEGMENT, LINE_ADD_PRIORITIES, LINE_ADDED, LINE_ADDED_TAX, LINE_FLAT_PRIORITY, LINE_FLAT_TAX,
+    DEFAULT_SEGMENT, LINE_ADD_PRIORITIES, LINE_ADDED, LINE_ADDED_TAX, LINE_FLAT_PRIORITY, LINE_FLAT_TAX,
 )
 
 MIN_SEQ = "(-9223372036854775807 - 1)"
@@ -35,15 +35,15 @@ ACCOUNTS_SPEC = FoldSpec(key=["user_id"], cols=["value", "segment"], not_null=["
 
 ACCOUNTS_BASE_SQL = f"""
 SELECT CAST(c_custkey AS BIGINT) AS user_id, c_acctbal AS value, c_mktsegment AS segment
-FROM customer WHERE c_mktsegment IN ({_in_list(ACCOUNT_SEGMENTS_IN_BASE)})
+FROM customer
 """
 
 # flat log: seq, action, ts, key, p_<col>, v_<col>
-ACCOUNTS_LOG_SQL = """
+ACCOUNTS_LOG_SQL = f"""
 SELECT event_id AS seq,
        CASE event_type WHEN 'signup' THEN 'add' WHEN 'click' THEN 'set' WHEN 'purchase' THEN 'set'
                        WHEN 'view' THEN 'update' WHEN 'error' THEN 'delete' END AS action,
-       ts, user_id, TRUE AS key_ok,
+       ts, CASE WHEN CAST(json_extract(props, '$.k') AS INT) % {fx.NEW_ACCOUNT_K} = 0 THEN -user_id ELSE user_id END AS user_id, TRUE AS key_ok,
        event_type IN ('signup', 'click', 'view') AS p_value,
        value AS v_value,
        (event_type = 'purchase' OR (event_type = 'signup' AND value >= 50)) AS p_segment,
@@ -147,7 +147,7 @@ LINES_SPEC = FoldSpec(key=["l_orderkey", "l_linenumber"], cols=["tax"], not_null
 
 LINES_BASE_SQL = f"""
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INT) AS l_linenumber, min(l_tax) AS tax
-FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING l_linenumber <> {LINE_ADDED}
+FROM lineitem GROUP BY l_orderkey, l_linenumber
 """
 
 # packets: seq, action, l_orderkey (given), full (whole key given), l_linenumber, p_tax, v_tax
@@ -269,11 +269,11 @@ FROM ({ORDER_IMAGES_SQL}) WHERE op = 'UPDATE'"""
 UNION ALL
 SELECT 'public', 'customer', CAST(c_custkey AS BIGINT), 'UPDATE', NULL, NULL, 'missing_registry'
 FROM customer WHERE c_mktsegment = '{fx.CUSTOMER_CHANGED_SEGMENT}'"""
-    q["parse_packets"] = f"""SELECT pos, seq, action,
+    q["parse_packets"] = f"""SELECT pos, v.seq, v.action,
        CASE WHEN dp_value AND NOT bad_value THEN d_value END AS value,
        dp_segment AS has_segment, d_segment AS segment,
        CASE WHEN rp_user_id THEN l.user_id END AS r_user_id, n_restriction
-FROM ({JSON_VIEW_SQL}) v JOIN events l ON l.event_id = v.pos"""
+FROM ({JSON_VIEW_SQL}) v JOIN ({ACCOUNTS_LOG_SQL}) l ON l.seq = v.pos"""
     q["validate_packets"] = f"""SELECT pos, seq,
   CASE WHEN malformed OR action NOT IN ('add', 'set', 'update', 'delete') THEN NULL
        WHEN action IN ('add', 'set') THEN 'pk'
@@ -294,11 +294,9 @@ FROM ({JSON_VIEW_SQL}) WHERE NOT malformed"""
     q["read_packets"] = f"""SELECT seq, action, malformed FROM ({JSON_VIEW_SQL})"""
     q["packets_from_frame"] = f"""
 SELECT CAST(c_custkey AS BIGINT) AS user_id, c_acctbal AS value, c_mktsegment AS segment FROM customer
-WHERE c_mktsegment IN ({_in_list(ACCOUNT_SEGMENTS_IN_BASE)}) AND c_mktsegment NOT IN ('{fx.VERB_DELETE_SEGMENT}', '{fx.VERB_UPDATE_SEGMENT}')
+WHERE c_mktsegment NOT IN ('{fx.VERB_DELETE_SEGMENT}', '{fx.VERB_UPDATE_SEGMENT}')
 UNION ALL
-SELECT CAST(c_custkey AS BIGINT), c_acctbal + 1, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPDATE_SEGMENT}'
-UNION ALL
-SELECT CAST(c_custkey AS BIGINT), c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPSERT_SEGMENT}'"""
+SELECT CAST(c_custkey AS BIGINT), c_acctbal + 1, c_mktsegment FROM customer WHERE c_mktsegment = '{fx.VERB_UPDATE_SEGMENT}'"""
 
     acc_oc = fold_outcomes_sql(A, B, L, "*")
     q["accepted_stream"] = fold_outcomes_sql(A, B, L, "seq, action, user_id, outcome", "outcome NOT IN ('rejected', 'quarantined')")
@@ -368,11 +366,11 @@ SELECT CAST(page_id AS BIGINT) AS page_id, url, CASE WHEN {miss} THEN html ELSE
 UNION ALL
 SELECT (SELECT max(page_id) FROM pages) + row_number() OVER (ORDER BY page_id), url || '{fx.PAGE_URL_SUFFIX}', html || '{fx.PAGE_HTML_SUFFIX}'
 FROM pages WHERE {miss}"""
-    alloc = "SELECT doc_id AS seq, CAST((SELECT max(item_id) FROM benchmark) + row_number() OVER (ORDER BY doc_id) AS BIGINT) AS surrogate_id, text FROM documents"
-    q["allocate_surrogate"] = f"SELECT seq, surrogate_id FROM ({alloc})"
-    q["enrich_returned_key"] = f"SELECT seq, surrogate_id FROM ({alloc})"
-    q["apply_set_insert"] = f"""SELECT CAST(item_id AS BIGINT) AS surrogate_id, text AS description FROM benchmark
-UNION ALL SELECT surrogate_id, text FROM ({alloc})"""
+    alloc = "SELECT doc_id AS seq, CAST((SELECT max(item_id) FROM benchmark) + row_number() OVER (ORDER BY doc_id) AS BIGINT) AS note_id, text FROM documents"
+    q["allocate_surrogate"] = f"SELECT seq, note_id FROM ({alloc})"
+    q["enrich_returned_key"] = f"SELECT seq, note_id FROM ({alloc})"
+    q["apply_set_insert"] = f"""SELECT CAST(item_id AS BIGINT) AS note_id, text AS body FROM benchmark
+UNION ALL SELECT note_id, text FROM ({alloc})"""
     parents = f"SELECT doc_id FROM documents WHERE lang <> '{fx.PARENT_MISSING_LANG}'"
     child = f"SELECT CAST(doc_id AS BIGINT) AS doc_id, quality, toxic FROM labels WHERE doc_id IN ({parents})"
     q["reject_fk"] = f"SELECT doc_id AS seq, CAST(doc_id AS BIGINT) AS doc_id FROM labels WHERE doc_id NOT IN ({parents})"
@@ -401,7 +399,7 @@ WHERE NOT malformed AND k <> {fx.JSON_UNKNOWN_ACTION_K}
     sets = f"""SELECT o_orderkey * 10 AS seq, 'set' AS action, CAST(o_custkey AS BIGINT) AS c_custkey, TRUE AS key_ok,
   FALSE AS p_c_name, CAST(NULL AS VARCHAR) AS v_c_name, FALSE AS p_c_nationkey, CAST(NULL AS INT) AS v_c_nationkey,
   FALSE AS p_c_acctbal, CAST(NULL AS DOUBLE) AS v_c_acctbal, TRUE AS p_c_mktsegment, o_orderpriority AS v_c_mktsegment
-FROM orders WHERE o_orderstatus = '{fx.BARRIER_SET_STATUS}'"""
+FROM orders"""
     top = "(SELECT max(o_orderkey) FROM orders)"
 
     def barrier_sql(on: str) -> str:
@@ -427,9 +425,21 @@ FROM orders WHERE o_orderstatus = '{fx.BARRIER_SET_STATUS}'"""
     q["restrict_non_key"] = barrier_sql("nation")
     q["apply_barriers"] = barrier_sql("segment")
     off = "(SELECT max(o_orderkey) + 1 FROM orders)"
-    q["apply_key_move"] = f"""SELECT CASE WHEN o_orderpriority = '{fx.MOVE_PRIORITY}' AND o_orderstatus = '{fx.MOVE_STATUS}'
+    q["apply_key_move"] = f"""SELECT CASE WHEN o_orderstatus = '{fx.MOVE_STATUS}'
   THEN o_orderkey + {off} ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders"""
     strict_valid = f"""SELECT * FROM ({lenient}) WHERE NOT (k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update')"""
     q["pipeline_stream"] = fold_table_sql(A, B, strict_valid)
+    q["key_move_outcomes"] = f"""SELECT o_orderkey AS seq, CASE WHEN o_orderstatus = '{fx.GHOST_STATUS}' THEN 'noop' ELSE 'updated' END AS outcome
+FROM orders WHERE o_orderstatus IN ('{fx.GHOST_STATUS}', '{fx.MOVE_STATUS}')"""
+    q["outcomes_complete"] = "SELECT event_id AS pos, 1 AS outcomes FROM events"
+    q["stream_late_packets"] = fold_table_sql(A, B, f"""SELECT * REPLACE (seq + CASE WHEN seq < (SELECT (min(event_id) + max(event_id)) // 2 FROM events)
+  THEN 1000000000000 ELSE 0 END AS seq) FROM ({strict_valid})""")
+    q["stream_restart"] = q["pipeline_stream"]
+    made = f"""SELECT page_id * 10 AS seq, url || '{fx.TWIN_SUFFIX}' AS url, 'n' || page_id || 's' AS html FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT page_id * 10 + 1, url || '{fx.TWIN_SUFFIX}', 'n' || page_id || 's' FROM pages WHERE page_id % 3 <> 0
+UNION ALL SELECT page_id * 10 + 3, url, 'n' || page_id FROM pages WHERE page_id % 3 = 1"""
+    q["apply_unique_mixed"] = f"""SELECT CAST(page_id AS BIGINT) AS page_id, CASE WHEN page_id % 3 = 1 THEN url || '{fx.GONE_SUFFIX}' ELSE url END AS url, html FROM pages
+UNION ALL SELECT (SELECT max(page_id) FROM pages) + row_number() OVER (ORDER BY seq), url, html FROM ({made})"""
+    q["reject_duplicate_unique"] = "SELECT page_id * 10 + 4 AS seq, 'add' AS action FROM pages"
     return q

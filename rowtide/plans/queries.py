@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.packets import unknown_keys
 from rowtide.operators.constraints import cascade_update, check_restrict, quarantine
 from rowtide.operators.keys import profile_keys
-from rowtide.operators.segmented import apply_key_moves, apply_segmented
+from rowtide.operators.segmented import apply_key_moves, apply_log, apply_segmented
 from rowtide.functions.packets import packets_delete, packets_update, packets_upsert
 from rowtide.operators.align import prepare
 from rowtide.operators.apply import apply_changes
@@ -347,13 +347,13 @@ def _docs(spark, sf):
 
 def allocate_surrogate(spark, sf):
     """K3: keyless inserts get max(id) + rank in seq order (gapless, no one-partition window)."""
-    return _docs(spark, sf).effects.select("seq", "surrogate_id")
+    return _docs(spark, sf).effects.select("seq", "note_id")
 
 
 def enrich_returned_key(spark, sf):
     """K4: the allocated key travels in the forwarded packet so that replicas agree."""
     o = accepted(_docs(spark, sf).outcomes)
-    return o.select("seq", F.col("data").getItem("surrogate_id").cast("bigint").alias("surrogate_id"))
+    return o.select("seq", F.col("data").getItem("note_id").cast("bigint").alias("note_id"))
 
 
 def apply_set_insert(spark, sf):
@@ -424,27 +424,66 @@ def apply_key_move(spark, sf):
     return apply_key_moves(fx.snap_old(spark, sf), fx.key_move_log(spark, sf), fx.ORDERS).table
 
 
+def key_move_outcomes(spark, sf):
+    """A10: one outcome per moving packet, also for those that hit nothing."""
+    return apply_key_moves(fx.snap_old(spark, sf), fx.key_move_log(spark, sf), fx.ORDERS).outcomes.select("seq", "outcome")
+
+
+def apply_unique_mixed(spark, sf):
+    """Keyless adds, sets by url and changed urls in one log; owners as of each packet, ids over all new rows."""
+    return apply_log(fx.pages_base(spark, sf), fx.unique_log(spark, sf), fx.PAGES).table
+
+
+def reject_duplicate_unique(spark, sf):
+    """An add whose unique value another row has."""
+    o = apply_log(fx.pages_base(spark, sf), fx.unique_log(spark, sf), fx.PAGES).outcomes
+    return o.where(F.col("reason") == "duplicate_unique").select("seq", "action")
+
+
+def outcomes_complete(spark, sf):
+    """Every packet of the log, malformed ones included, has exactly one outcome."""
+    o = apply_log(fx.accounts_base(spark, sf), parse_packets(fx.json_log(spark, sf)), fx.ACCOUNTS).outcomes
+    return o.groupBy("pos").agg(F.count(F.lit(1)).cast("int").alias("outcomes"))
+
+
 # ---------------------------------------------------------------- streaming
 STREAM_SLICES = 4
 
 
-def pipeline_stream(spark, sf):
-    """The JSON packet log arrives as files in seq order; each arrival is one micro-batch run
-    (availableNow) of the same stream; the final snapshot equals the one-batch result."""
-    src, root, ckpt = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-table"), scratch_path(spark, "stream-ckpt")
+def _stream(spark, sf, slices, order, checkpoints=1):
+    """The JSON log as files, one micro-batch run per slice, in the given order of slices; the last snapshot."""
+    src, root = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-table")
+    ckpt = [(scratch_path(spark, "stream-ckpt"), f"{src}/{i}") for i in range(checkpoints)]
     log = fx.json_log(spark, sf)
     bounds = log.agg(F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) // STREAM_SLICES + 1
+    step = (hi - lo) // slices + 1 if slices != 2 else (lo + hi) // 2 - lo
     base = fx.accounts_base(spark, sf)
-    for i in range(STREAM_SLICES):
-        part = log.where((F.col("pos") >= lo + i * step) & (F.col("pos") < lo + (i + 1) * step))
-        write_packets(part, src)
-        q = stream_destination(spark, src, base, fx.ACCOUNTS, root, ckpt, max_files_per_trigger=None)
-        q.awaitTermination()
+    for n, i in enumerate(order):
+        last = i == slices - 1
+        part = log.where((F.col("pos") >= lo + i * step) & (F.lit(last) | (F.col("pos") < lo + (i + 1) * step)))
+        folder, files = ckpt[n * checkpoints // len(order)]
+        write_packets(part, files)
+        stream_destination(spark, files, base, fx.ACCOUNTS, root, folder, max_files_per_trigger=None).awaitTermination()
     return read_snapshot(spark, root)
 
 
+def pipeline_stream(spark, sf):
+    """The JSON packet log arrives as files in seq order; each arrival is one micro-batch run
+    (availableNow) of the same stream; the final snapshot equals the one-batch result."""
+    return _stream(spark, sf, STREAM_SLICES, range(STREAM_SLICES))
+
+
+def stream_late_packets(spark, sf):
+    """The first half of the log arrives after the second; arrival order counts, nothing is dropped."""
+    return _stream(spark, sf, 2, (1, 0))
+
+
+def stream_restart(spark, sf):
+    """A second stream with a new checkpoint goes on from the table's current version."""
+    return _stream(spark, sf, 2, (0, 1), checkpoints=2)
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -496,5 +535,11 @@ def queries() -> dict[str, Query]:
         "restrict_non_key": restrict_non_key,
         "apply_barriers": apply_barriers,
         "apply_key_move": apply_key_move,
+        "key_move_outcomes": key_move_outcomes,
+        "apply_unique_mixed": apply_unique_mixed,
+        "reject_duplicate_unique": reject_duplicate_unique,
+        "outcomes_complete": outcomes_complete,
         "pipeline_stream": pipeline_stream,
+        "stream_late_packets": stream_late_packets,
+        "stream_restart": stream_restart,
     }

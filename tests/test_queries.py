@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rowtide.plans.oracles import oracle_sql
+from rowtide.plans.queries import queries
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, rows_of
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = queries()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):

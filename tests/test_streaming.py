@@ -1,4 +1,4 @@
-"""Stream = batch, late micro-batches are set aside, and a restarted stream does not re-apply."""
+"""Stream = batch, late packets apply when they arrive, a restart re-applies nothing, replicas follow."""
 
 import tempfile
 
@@ -21,7 +21,7 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_stream_equals_batch_and_rejects_late_batches(spark):
+def test_stream_equals_batch_and_applies_late_packets(spark):
     d = tempfile.mkdtemp(prefix="rowtide-stream-")
     src, root, ckpt = f"{d}/src", f"{d}/table", f"{d}/ckpt"
     packets = to_df(spark, random_log(11, 300, 20))
@@ -38,9 +38,29 @@ def test_stream_equals_batch_and_rejects_late_batches(spark):
     stream_destination(spark, src, base, C, root, ckpt, max_files_per_trigger=None).awaitTermination()
     assert _rows(read_snapshot(spark, root)) == want
 
-    # packets older than the last applied seq arrive late: set aside, table unchanged
-    write_packets(encode_packets(packets.where(F.col("seq") < 50)), src)
+    # packets older than the last applied seq arrive late: applied to the table as it is now, together with newer ones
+    late = packets.where(F.col("seq") < 50).unionByName(spark.createDataFrame([(5000, "set", {"k": "77", "v": "7.0"}, None)], packets.select("seq", "action", "data", "restriction").schema), allowMissingColumns=True)
+    write_packets(encode_packets(late), src)
     stream_destination(spark, src, base, C, root, ckpt, max_files_per_trigger=None).awaitTermination()
-    assert _rows(read_snapshot(spark, root)) == want
-    late = spark.read.parquet(f"{root}/_late")
-    assert late.count() == packets.where(F.col("seq") < 50).count()
+    then = read_snapshot(spark, root)
+    assert (77, 7.0, "D") in _rows(then)
+    assert _rows(then) == _rows(apply_changes(spark.createDataFrame(want, C.schema), late, C).table)
+
+    # a new stream on the same table goes on from its current version
+    write_packets(encode_packets(packets.where(F.col("seq") < 0).unionByName(late.where("seq = 5000").withColumn("seq", F.lit(1).cast("long")).withColumn("action", F.lit("delete")).withColumn("data", F.lit(None).cast("map<string,string>")).withColumn("restriction", F.create_map(F.lit("k"), F.lit("77"))))), f"{d}/src2")
+    stream_destination(spark, f"{d}/src2", base, C, root, f"{d}/ckpt2", max_files_per_trigger=None).awaitTermination()
+    assert _rows(read_snapshot(spark, root)) == [r for r in _rows(then) if r[0] != 77]
+
+
+def test_stream_forwards_to_replicas(spark):
+    d = tempfile.mkdtemp(prefix="rowtide-stream-")
+    routes = spark.createDataFrame([("t", "a", "q", "t", True), ("t", "b", "q", "t", False)], "destination string, target string, queue string, table_name string, enabled boolean")
+    base = spark.createDataFrame([(1, 1.0, "B")], C.schema)
+    log = [(1, "add", {"k": "2", "v": "2"}, None), (2, "add", {"k": "1", "v": "9"}, None), (3, "update", {"v": "5"}, {"k": "1"})]
+    for i, row in enumerate(log):
+        write_packets(encode_packets(spark.createDataFrame([row], "seq long, action string, data map<string,string>, restriction map<string,string>")), f"{d}/src")
+        stream_destination(spark, f"{d}/src", base, C, f"{d}/t", f"{d}/c", max_files_per_trigger=None, routes=routes, destination="t", target_bases=spark.createDataFrame([], "target string, k long, v double, s string")).awaitTermination()
+    assert _rows(read_snapshot(spark, f"{d}/t")) == [(1, 5.0, "B"), (2, 2.0, "D")]
+    assert [tuple(r) for r in read_snapshot(spark, f"{d}/t/_targets").select("target", "k", "v").collect()] == [("a", 2, 2.0)]
+    sent = spark.read.option("basePath", f"{d}/t/_queues").text(f"{d}/t/_queues/*")
+    assert sorted((r.target, r.value[:8]) for r in sent.collect()) == [("a", '{"seq":1'), ("a", '{"seq":3'), ("b", '{"seq":1'), ("b", '{"seq":3')]
