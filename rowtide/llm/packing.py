@@ -21,10 +21,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,9 +38,10 @@ from rowtide.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+CACHE_PARTS = 400_000
 RANK_ROWS = 50_000
-BATCH_CHARS = 1_500_000
+BATCH_CHARS = 1_000_000
 
 # Fixed values of the tokenizer's vocabulary file: its pre-tokens (for words of the plain letters), and the letters of bytes.
 _plain = re.compile("[!-@\\[-~ß-öø-ÿ]*")
@@ -65,30 +67,30 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {"\n": b""}
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {"": 0}
         self.first, self.size, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
-        self.known: dict[str, list[int]] = {}
 
     def _learn(self, words: list[str]) -> None:
         odd = [w for w in words if not _plain.fullmatch(w)]
         plain = list(set(words).difference(odd)) if odd else words
         parts = _parts.findall("\n".join(plain))
+        if len(self.known) > CACHE_PARTS:
+            self.known = {"\n": b""}
+        tokenize, letter = self.model.tokenize, _byte_letter.__getitem__
         for part in set(parts).difference(self.known):
-            self.known[part] = [t.id for t in self.model.tokenize("".join(map(_byte_letter.__getitem__, part.encode())))] if part != "\n" else []
-        lists = list(map(self.known.__getitem__, parts))
-        of_part = np.fromiter(map(len, lists), np.int64, len(lists))
-        ends = np.r_[0, np.cumsum(of_part)][[i for i, p in enumerate(parts) if p == "\n"] + [len(parts)]] if plain else np.zeros(0, np.int64)
-        size = [np.diff(ends, prepend=0)]
-        for word in odd:
-            lists.append(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        size = np.concatenate([*size, np.fromiter(map(len, lists[len(parts) :]), np.int64, len(odd))])
-        first = len(self.flat) + np.cumsum(size) - size
+            self.known[part] = array("I", [t.id for t in tokenize("".join(map(letter, part.encode())))]).tobytes()
+        ids = list(map(self.known.__getitem__, parts))
+        ends = np.r_[0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]
+        cut = [i for i, p in enumerate(parts) if p == "\n"] + [len(parts)] if plain else []
+        ids += [array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes() for w in odd]
+        size = np.r_[np.diff(ends[cut], prepend=0), np.fromiter(map(len, ids[len(parts) :]), np.int64, len(odd))] // 4
         self.index.update(zip([*plain, *odd], range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.first, self.size = np.r_[self.first, first], np.r_[self.size, size]
-        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())]
+        self.first, self.size = np.r_[self.first, len(self.flat) + np.cumsum(size) - size], np.r_[self.size, size]
+        self.flat = np.r_[self.flat, np.frombuffer(b"".join(ids), np.uint32)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Texts that may hold special tokens go through the tokenizer; of the others, each distinct word is looked up once."""
@@ -101,9 +103,12 @@ class WordEncoder:
         split = pc.split_pattern(apart, " ")
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if new := [w for w in words if w not in self.index]:
+        place = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        if len(gaps := np.flatnonzero(place < 0)):
+            new = [words[i] for i in gaps.tolist()]
             self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+            place[gaps] = list(map(self.index.__getitem__, new))
+        at = place[coded.indices.to_numpy()]
         size = self.size[at]
         ends = np.r_[0, np.cumsum(size)]
         ids = self.flat[np.repeat(self.first[at] - ends[:-1], size) + np.arange(ends[-1])]
