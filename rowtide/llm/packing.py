@@ -38,8 +38,8 @@ from rowtide.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 400_000
-CACHE_PARTS = 400_000
+CACHE_WORDS = 250_000
+CACHE_PARTS = 250_000
 RANK_ROWS = 50_000
 BATCH_CHARS = 1_000_000
 
