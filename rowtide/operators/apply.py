@@ -149,6 +149,8 @@ def flag_duplicate_seq(prepared: DataFrame, identity: tuple[str, ...] = (), broa
     """
     by = ["seq", *identity]
     twice = prepared.where(F.col("seq").isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    if twice.isEmpty():
+        return prepared
     twice = twice.select(*[F.col(c).alias(f"__d_{c}") for c in by], F.lit(True).alias("__twice"))
     twice = broadcast_if_small(twice, broadcast_bytes) if broadcast_bytes > 0 else twice
     out = prepared.join(twice, [F.col(c).eqNullSafe(F.col(f"__d_{c}")) for c in by], "left")

@@ -72,10 +72,11 @@ def apply_log(
     Without barriers this is one :func:`apply_changes`. Packets that no state can save are reported once, with the first
     segment. The positions of the barriers are read one by one; the log itself stays distributed.
     """
-    prepared = flag_duplicate_seq(materialize(prepare(packets, contract, strict_restrictions)), identity, broadcast_bytes)
+    parsed = materialize(prepare(packets, contract, strict_restrictions))
+    prepared = flag_duplicate_seq(parsed, identity, broadcast_bytes)
     if contract.foreign_keys and parents:
         prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
-    prepared = materialize(prepared)
+    prepared = prepared if prepared is parsed else materialize(prepared)
     fine = F.col("reject_reason").isNull()
     is_barrier = fine & F.coalesce(F.col("match_kind") == "non_key", F.lit(False))
     moving = F.coalesce(is_move(contract), F.lit(False))
