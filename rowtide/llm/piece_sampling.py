@@ -19,16 +19,19 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
+LITERAL = "\n\n"  # stands for a literal SPACE; no word looks like this
 ALPHA = 1.0
 FALLBACK = 1e-9
-CLASSES = (8, 16, 32, 48)
+CLASSES = (4, 6, 8, 10, 12, 16, 24, 48)
 BASE = 0x9E3779B97F4A7C15
 CELLS = 600_000
 BATCH_CHARS = 2_000_000
@@ -159,19 +162,15 @@ class Lattice:
 
     def sample(self, texts: list[str | None], keys: np.ndarray) -> list[np.ndarray]:
         """Piece ids of each text."""
-        number: dict[str | None, int] = {}
-        at, row, place = [], [], []
-        for r, text in enumerate(texts):
-            if not text:
-                continue
-            found = self._with_literal(text) if SPACE in text else _word.findall(SPACE + text.replace(" ", SPACE))
-            at += [number.setdefault(w, len(number)) for w in found]
-            row += [r] * len(found)
-            place += range(len(found))
-        if not at:
+        split = [[] if not t else self._with_literal(t) if SPACE in t else _word.findall(SPACE + t.replace(" ", SPACE)) for t in texts]
+        count = np.fromiter(map(len, split), np.int64, len(split))
+        if not count.sum():
             return [np.empty(0, np.int64) for _ in texts]
-        words, at, row, place = list(number), np.array(at), np.array(row), np.array(place)
-        size = np.array([len(w) if w is not None else 0 for w in words])
+        coded = pa.array(chain.from_iterable(split), pa.large_string()).dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(texts)), count)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+        size = np.array([0 if w == LITERAL else len(w) for w in words])
         steps = np.zeros(len(at), np.int64)
         made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         low = 0
@@ -199,7 +198,7 @@ class Lattice:
                     occ, w, e, step = occ[left], w[left], e[left], step + 1
         for o in np.flatnonzero((size[at] > CLASSES[-1]) | (size[at] == 0)):
             word = words[at[o]]
-            drawn = [-1 - ord(SPACE)] if word is None else self.sample_long(word, int(keys[row[o]]), int(place[o]))
+            drawn = [-1 - ord(SPACE)] if word == LITERAL else self.sample_long(word, int(keys[row[o]]), int(place[o]))
             steps[o] = len(drawn)
             made.append((np.full(len(drawn), o), np.arange(len(drawn))[::-1], np.array(drawn, np.int64)))
         first = np.cumsum(steps) - steps
@@ -211,14 +210,17 @@ class Lattice:
         return [self._with_bytes(out[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     @staticmethod
-    def _with_literal(text: str) -> list[str | None]:
-        """Words of a text that holds ``▁`` itself; None stands for that character."""
-        found: list[str | None] = []
+    def _with_literal(text: str) -> list[str]:
+        """Words of a text that holds ``▁`` itself, which becomes the word LITERAL."""
+        found: list[str] = []
         for k, part in enumerate(f" {text}".split(SPACE)):
-            found += [None] * (k > 0) + _word.findall(part.replace(" ", SPACE))
+            found += [LITERAL] * (k > 0) + _word.findall(part.replace(" ", SPACE))
         return found
 
     def _with_bytes(self, ids: np.ndarray) -> np.ndarray:
+        """Negative ids (characters outside of the vocabulary) become the pieces of their bytes."""
+        single = (ids < 0) & (ids >= -128)
+        ids[single] = self.byte[-1 - ids[single]]
         if not (ids < 0).any():
             return ids
         return np.concatenate([np.array(self.bytes_of(chr(-1 - i)) if i < 0 else [i], np.int64) for i in ids.tolist()])
