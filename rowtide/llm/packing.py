@@ -20,12 +20,11 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -38,8 +37,7 @@ from rowtide.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 250_000
-CACHE_PARTS = 250_000
+CACHE_WORDS = 300_000
 RANK_ROWS = 50_000
 BATCH_CHARS = 1_000_000
 
@@ -50,15 +48,19 @@ _visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _byte_letter = {b: chr(b) for b in _visible} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _visible)}
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Token ids of texts, by caches in front of a tokenizer that splits at white space.
+    """Token ids of texts, by a bounded word cache in front of a tokenizer that splits at white space.
 
     A-Z is lowered first, which the tokenizer does too. Words of ASCII and small Latin-1 letters are cut into the
     tokenizer's pre-tokens here, and only new pre-tokens go to its merges; all other words go through the whole
-    tokenizer. Both caches are bounded.
+    tokenizer. Ids are kept as little-endian bytes, so a text is the join of its words.
     """
 
     def __init__(self, path: str):
@@ -66,36 +68,33 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {"\n": b""}
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {"": 0}
-        self.first, self.size, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words: list[str]) -> None:
-        odd = [w for w in words if not _plain.fullmatch(w)]
-        plain = list(set(words).difference(odd)) if odd else words
-        parts = _parts.findall("\n".join(plain))
-        if len(self.known) > CACHE_PARTS:
-            self.known = {"\n": b""}
-        tokenize, letter = self.model.tokenize, _byte_letter.__getitem__
-        for part in set(parts).difference(self.known):
-            self.known[part] = array("I", [t.id for t in tokenize("".join(map(letter, part.encode())))]).tobytes()
-        ids = list(map(self.known.__getitem__, parts))
-        ends = np.r_[0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]
-        cut = [i for i, p in enumerate(parts) if p == "\n"] + [len(parts)] if plain else []
-        ids += [array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes() for w in odd]
-        size = np.r_[np.diff(ends[cut], prepend=0), np.fromiter(map(len, ids[len(parts) :]), np.int64, len(odd))] // 4
-        self.index.update(zip([*plain, *odd], range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.first, self.size = np.r_[self.first, len(self.flat) + np.cumsum(size) - size], np.r_[self.size, size]
-        self.flat = np.r_[self.flat, np.frombuffer(b"".join(ids), np.uint32)]
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        self.tokenize = self.tokenizer.model.tokenize
+        self.known: dict[str, bytes] = {"": b""}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        found = self.known.get(part)
+        if found is None:
+            letters = part if part.isascii() else "".join(map(_byte_letter.__getitem__, part.encode()))
+            found = self.known[part] = pack_ids([t.id for t in self.tokenize(letters)])
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if not _plain.fullmatch(word):
+            found = self._whole(word)
+        elif word.isalpha():
+            return self._part(word)
+        else:
+            found = b"".join(map(self._part, _parts.findall(word)))
+        self.known[word] = found
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
         """Texts that may hold special tokens go through the tokenizer; of the others, each distinct word is looked up once."""
-        if len(self.index) > CACHE_WORDS:
-            self.clear()
+        if len(self.known) > CACHE_WORDS:
+            self.known = {"": b""}
         special = [t is not None and "<|" in t for t in texts]
         plain = pa.array(["" if s or t is None else t for s, t in zip(special, texts, strict=True)], pa.large_string())
         spaced = pc.replace_substring(pc.replace_substring(pc.ascii_lower(plain), "\n", " "), "\t", " ")
@@ -103,17 +102,12 @@ class WordEncoder:
         split = pc.split_pattern(apart, " ")
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        place = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        if len(gaps := np.flatnonzero(place < 0)):
-            new = [words[i] for i in gaps.tolist()]
-            self._learn(new)
-            place[gaps] = list(map(self.index.__getitem__, new))
-        at = place[coded.indices.to_numpy()]
-        size = self.size[at]
-        ends = np.r_[0, np.cumsum(size)]
-        ids = self.flat[np.repeat(self.first[at] - ends[:-1], size) + np.arange(ends[-1])]
-        out = np.split(ids, ends[split.offsets.to_numpy()[1:-1]])
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if s else ids for s, t, ids in zip(special, texts, out, strict=True)]
+        ids = list(map(self.known.get, words))
+        for i, found in enumerate(ids):
+            if found is None:
+                ids[i] = self._word(words[i])
+        at, ends = coded.indices.to_numpy().tolist(), split.offsets.to_numpy().tolist()
+        return [self._whole(t) if s else b"".join([ids[k] for k in at[a:b]]) for s, t, a, b in zip(special, texts, ends, ends[1:])]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -137,9 +131,9 @@ def _pieces(path: str, capacity: int, end_id: int) -> Callable:
             out = []
             for part in slices(texts):
                 for ids in own.encode(list(part)):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    starts = range(0, len(ids), capacity)
-                    out.append([{"piece": k, "start": s, "length": len(ids[s : s + capacity]), "ids_crc32": zlib.crc32(ids[s : s + capacity].tobytes())} for k, s in enumerate(starts)])
+                    ids += pack_ids([end_id])
+                    cuts = [ids[4 * s : 4 * (s + capacity)] for s in range(0, len(ids) // 4, capacity)]
+                    out.append([{"piece": k, "start": k * capacity, "length": len(c) // 4, "ids_crc32": zlib.crc32(c)} for k, c in enumerate(cuts)])
             yield pd.Series(out)
 
     return run
