@@ -10,6 +10,12 @@ each divided by the line's words, so that mostly a long line decides: edited cop
 unrelated documents with a common footer do not. Families are taken by three hashes; one that tells documents apart is
 enough, so that a footer with a very small hash isn't missed.
 
+Pages that are mostly template take their family from a template line. So documents of a host that hold the same set of
+common lines (common: held by ``max_docs`` texts) make a group, whose families are taken from the other lines only. All
+common lines go from the documents of a group that has ``max_docs`` families, and at least half as many as there are texts
+that hold the rarest line of the set. An edited copy lacks the lines that its edit replaced, so that edits in different
+places give different sets, most of which don't reach half; a copy that has all lines of its text has no others and stays.
+
 Edge cases: null or empty text has no words and fails the base rule; a null host is one host; lines without a word are
 ignored; equal rows get equal verdicts; an empty table gives an empty result; further columns are left alone.
 """
@@ -78,6 +84,24 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     )
 
 
+def _templates(rows: DataFrame, common: DataFrame, max_docs: int) -> DataFrame:
+    """``_row`` of the documents whose common lines many others hold as well, with unrelated other lines."""
+    lines = rows.select("_row", "_host", F.explode(F.array_distinct("_hashed")).alias("l")).select("_row", "_host", F.col("l.h").alias("_line"), F.col("l.w").alias("_w"))
+    shared = F.col("_docs").isNotNull()
+    others = [F.min(F.when(~shared, F.shiftrightunsigned(F.xxhash64("_line", F.lit(k)), 24) / F.col("_w"))) for k in range(3)]
+    sets = lines.join(common, ["_host", "_line"], "left").groupBy("_row", "_host").agg(
+        F.bit_xor(F.when(shared, F.xxhash64("_line"))).alias("_set"), F.min("_docs").alias("_docs"), F.array(*[F.coalesce(x, F.lit(-1.0)) for x in others]).alias("_others")
+    )
+    sets = materialize(sets.filter(F.col("_docs").isNotNull()))
+    families = sets.select("_host", "_set", "_docs", F.posexplode("_others").alias("_k", "_family"))
+    groups = (
+        families.groupBy("_host", "_set", "_docs", "_k", "_family").agg(F.lit(1).alias("_one"))
+        .groupBy("_host", "_set", "_docs", "_k").agg(F.count("*").alias("_n"))
+        .filter((F.col("_n") >= max_docs) & (2 * F.col("_n") >= F.col("_docs")))
+    )
+    return sets.join(groups, ["_host", "_set", "_docs"], "left_semi").filter(~F.forall("_others", lambda x: x < 0)).select("_row")
+
+
 def quality_rules(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -96,7 +120,7 @@ def quality_rules(
     rows = materialize(measure(docs, id_col, text_col, host_col).withColumn("_row", F.monotonically_increasing_id()))
     lines = rows.select("_row", "_text", "_host", "_families", F.explode("_hashed").alias("l")).select("_row", "_text", "_host", "_families", F.col("l.h").alias("_line"), F.col("l.w").alias("_w"))
     held = lines.groupBy("_host", "_line", "_text").agg(F.lit(1).alias("_one"))
-    common = held.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") >= max_docs)
+    common = broadcast_if_small(held.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") >= max_docs))
     family = lines.join(common, ["_host", "_line"], "left_semi").select("_host", "_line", "_text", F.posexplode("_families").alias("_k", "_family"))
     frequent = (
         family.groupBy("_host", "_line", "_k", "_family", "_text").agg(F.lit(1).alias("_one"))
@@ -105,7 +129,10 @@ def quality_rules(
         .filter((F.col("_n") >= max_docs) & (2 * F.col("_n") >= F.col("_docs")))
         .select("_host", "_line").distinct()
     )
-    removed = lines.join(frequent, ["_host", "_line"], "left_semi").groupBy("_row").agg(F.sum("_w").cast("long").alias("_gone"))
+    frequent = broadcast_if_small(frequent)
+    gone = lines.join(frequent, ["_host", "_line"], "left_semi").select("_row", "_w")
+    pages = lines.join(broadcast_if_small(_templates(rows, common, max_docs)), "_row", "left_semi").join(common, ["_host", "_line"], "left_semi")
+    removed = gone.unionByName(pages.join(frequent, ["_host", "_line"], "left_anti").select("_row", "_w")).groupBy("_row").agg(F.sum("_w").cast("long").alias("_gone"))
     gone = F.coalesce("_gone", F.lit(0).cast("long"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     return (

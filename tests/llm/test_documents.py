@@ -77,6 +77,18 @@ def test_rules_reject_depleted_and_keep_copies(spark):
     assert all(got[i].kept for i in got if i >= 100)
 
 
+def test_rules_reject_template_pages(spark):
+    rng = random.Random(6)
+    template = [prose(rng, 15) for _ in range(6)]
+    rows = [(i, "\n".join([*template[:3], prose(rng, 5), *template[3:], prose(rng, 5)]), "h") for i in range(1000)]
+    base = [prose(rng, 10) for _ in range(12)]
+    rows += [(2000 + i, "\n".join([*base[: i % 12], prose(rng, 10), *base[i % 12 + 1 :]]), "h") for i in range(240)]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not any(got[i].kept or got[i].base_failed for i in range(1000))
+    assert all(got[i].n_removed_words == 90 for i in range(1000))
+    assert all(r.kept and r.n_removed_words == 0 for i, r in got.items() if i >= 2000)
+
+
 def test_secrets(odd, odd_rows):
     got = secret_scan.report(secret_scan.scan_secrets(odd)).collect()
     assert Counter((r.doc_id, r.base_sha256) for r in got) == Counter((d, brute.base_digest(t or "")) for d, t, *_ in odd_rows)
