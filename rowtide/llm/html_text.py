@@ -2,7 +2,7 @@
 
 A page becomes a flat list of text blocks. A block's features are its words and link density, those of its neighbours,
 whether it stands in a container that is named as content or as something else (menu, footer, advert, comments ...),
-whether the page has a content container at all, and whether it is a heading. A decision tree, trained on the small
+how much of the page's text stands in content containers, and whether it is a heading. A decision tree, trained on the small
 labelled table below, keeps or drops each block.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page
@@ -34,12 +34,15 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES = {"li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 NOT_CONTENT_WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer gdpr legal login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets".split())
 CONTENT_WORDS = set("article articlebody content entry main mainbody post postbody story".split())
+WRAPPER_WORDS = {"wrap", "wrapper", "container", "layout", "inner", "outer"}
+LAYOUT_WORDS = {"has", "with", "without", "no", "category", "tag"}  # first words of names that tell of something else on the page
 ROLES = {"main": 1, "article": 1, "navigation": -1, "banner": -1, "contentinfo": -1, "complementary": -1, "search": -1, "form": -1, "dialog": -1, "alert": -1}
 
-FEATURES = ["zone", "page_has_content", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after"]
+FEATURES = ["zone", "page_in_elements", "page_in_content", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after"]
 
 # The labelled table: pages as lists of blocks in order. A block is (zone, heading, words, words in links, label);
-# zone 1: in a content container, -1: in a container named otherwise, 0: neither.
+# zone 1: in a content element or role, 0.5: in a container that only its class or id names as content, -1: in a container
+# named otherwise, 0: neither.
 LABELLED = [
     [(-1, 0, 6, 6, 0), (-1, 0, 12, 0, 0), (1, 1, 9, 0, 1), (1, 0, 80, 2, 1), (1, 0, 1, 0, 1), (1, 0, 40, 0, 1), (-1, 0, 14, 1, 0)],
     [(-1, 0, 1, 1, 0), (-1, 0, 1, 1, 0), (0, 0, 9, 0, 0), (1, 1, 5, 0, 1), (1, 0, 3, 0, 1), (1, 0, 3, 3, 1), (1, 0, 120, 8, 1), (-1, 0, 60, 0, 0), (-1, 0, 20, 1, 0)],
@@ -70,19 +73,53 @@ LABELLED = [
     [(0, 0, 3, 3, 0), (0, 0, 3, 2, 0), (0, 1, 3, 0, 1), (0, 0, 40, 0, 1), (0, 0, 40, 1, 1), (0, 0, 2, 2, 0)],
     [(0, 0, 1, 1, 0), (0, 1, 5, 0, 1), (0, 0, 30, 2, 1), (0, 0, 3, 0, 1), (0, 0, 26, 0, 1), (0, 0, 4, 4, 0), (0, 0, 2, 2, 0)],
     [(-1, 0, 50, 0, 0), (-1, 0, 4, 4, 0), (0, 0, 28, 1, 1), (0, 0, 33, 0, 1), (-1, 0, 9, 0, 0)],
+    [(0, 0, 3, 3, 0), (0, 0, 2, 2, 0), (1, 1, 7, 0, 1), (0, 0, 60, 1, 1), (0, 0, 45, 0, 1), (0, 0, 80, 2, 1), (0, 0, 6, 5, 0), (0, 0, 3, 3, 0)],
+    [(-1, 0, 6, 6, 0), (1, 1, 5, 0, 1), (1, 0, 4, 1, 1), (0, 0, 90, 0, 1), (0, 0, 30, 0, 1), (0, 0, 120, 3, 1), (0, 0, 40, 1, 1), (-1, 0, 14, 1, 0)],
+    [(0, 0, 8, 8, 0), (1, 1, 9, 0, 1), (1, 0, 3, 0, 1), (0, 0, 35, 0, 1), (0, 1, 4, 0, 1), (0, 0, 70, 2, 1), (0, 0, 55, 0, 1), (0, 0, 5, 5, 0), (0, 0, 2, 2, 0)],
+    [(1, 1, 6, 6, 1), (0, 0, 200, 4, 1), (0, 0, 150, 0, 1), (-1, 0, 30, 2, 0), (0, 0, 4, 4, 0)],
+    [(-1, 0, 6, 6, 0), (0.5, 1, 5, 0, 1), (0.5, 0, 4, 1, 1), (0, 0, 90, 0, 1), (0, 0, 30, 0, 1), (0, 0, 40, 1, 1), (0, 0, 3, 3, 0)],
+    [(0, 0, 2, 2, 0), (0.5, 1, 7, 0, 1), (0.5, 0, 30, 0, 1), (0, 0, 80, 1, 1), (0, 0, 25, 0, 1), (0, 0, 120, 0, 1), (0, 0, 60, 2, 1), (0, 0, 4, 4, 0)],
+    [(0, 0, 3, 3, 0), (0.5, 1, 5, 0, 1), (0.5, 0, 40, 0, 1), (0, 0, 45, 0, 1), (0, 1, 4, 0, 1), (0, 0, 60, 0, 1), (0, 0, 30, 3, 1), (0, 0, 5, 5, 0)],
+    [(0, 0, 4, 4, 0), (0.5, 0, 60, 0, 1), (0, 0, 70, 0, 1), (0, 0, 9, 0, 1), (0, 0, 61, 1, 1), (-1, 0, 20, 0, 0), (0, 0, 6, 5, 0)],
+    [(0, 0, 5, 5, 0), (0.5, 1, 6, 0, 1), (0.5, 0, 80, 2, 1), (0.5, 0, 3, 0, 1), (0.5, 0, 40, 0, 1), (0, 0, 60, 0, 0), (0, 0, 9, 3, 0)],
+    [(-1, 0, 9, 0, 0), (0.5, 0, 15, 0, 1), (0.5, 0, 90, 1, 1), (0.5, 0, 2, 2, 1), (0, 0, 30, 0, 0), (0, 0, 70, 1, 0), (0, 0, 2, 2, 0)],
+    [(0, 0, 12, 0, 0), (0.5, 1, 4, 0, 1), (0.5, 0, 200, 4, 1), (0.5, 0, 1, 0, 1), (0, 0, 45, 0, 0), (0, 1, 3, 0, 0), (0, 0, 8, 8, 0)],
+    [(0, 0, 2, 2, 0), (0.5, 1, 2, 0, 1), (0, 0, 62, 0, 1), (0, 0, 58, 1, 1), (0, 0, 2, 2, 0)],
+    [(0.5, 1, 1, 0, 1), (0, 0, 40, 0, 1), (0, 0, 8, 0, 1), (0, 0, 90, 2, 1), (0, 0, 35, 0, 1), (0, 0, 1, 1, 0)],
+    [(0, 0, 1, 1, 0), (0, 0, 2, 2, 0), (0, 1, 2, 0, 1), (0, 0, 75, 0, 1), (0, 0, 12, 0, 1), (0, 0, 30, 1, 1), (0, 0, 10, 0, 1), (0, 0, 3, 3, 0), (0, 0, 1, 1, 0)],
+    [(0.5, 1, 3, 0, 1), (0, 0, 300, 3, 1), (0, 0, 4, 4, 0)],
+    [(0.5, 1, 4, 0, 1), (0, 0, 7, 0, 1), (0, 0, 11, 0, 1)],
+    [(0, 0, 55, 0, 1), (0, 0, 70, 0, 1)],
+    [(0, 0, 110, 1, 1), (0, 0, 5, 0, 1), (0, 0, 45, 0, 1), (0, 0, 9, 9, 0)],
+    [(0, 0, 4, 4, 0), (0, 0, 50, 0, 1), (0, 0, 6, 0, 1), (0, 0, 6, 0, 1), (0, 0, 64, 2, 1), (0, 0, 2, 2, 0)],
+    [(0, 0, 7, 0, 0), (0.5, 0, 30, 0, 1), (0.5, 0, 5, 0, 1), (0, 0, 22, 0, 0), (0, 0, 2, 2, 0)],
+    [(0, 0, 3, 0, 0), (0.5, 1, 1, 0, 1), (0.5, 0, 60, 0, 1), (0.5, 0, 60, 0, 1), (0.5, 0, 1, 0, 1), (0, 0, 60, 0, 0)],
+    [(-1, 0, 3, 0, 0), (0.5, 0, 4, 0, 1), (0.5, 0, 12, 0, 1), (-1, 0, 50, 0, 0), (0, 0, 5, 0, 0)],
+    [(0, 0, 1, 1, 0), (0.5, 1, 2, 0, 1), (0.5, 0, 25, 0, 1), (0, 0, 95, 0, 1), (0, 0, 8, 0, 1), (0, 0, 40, 0, 1), (0, 0, 2, 2, 0)],
 ]
 
 
+def _names(attrs: dict[str, str | None]) -> set[str]:
+    """Words of an element's class and id names, without names of the page's layout; a wrapper of content and more is neither."""
+    out: set[str] = set()
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if len(words) > 1 and words[0] in LAYOUT_WORDS or words and words[-1] in WRAPPER_WORDS and CONTENT_WORDS & set(words) and NOT_CONTENT_WORDS & set(words):
+            continue
+        out.update(words)
+    return out
+
+
 class Blocks(HTMLParser):
     """Flat text blocks of a page: (text, words, words in links, zone, heading)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, int, int]] = []
-        self.open: list[tuple[str, int, bool]] = []  # tag, zone, dropped
+        self.blocks: list[tuple[str, int, int, float, int]] = []
+        self.open: list[tuple[str, float, bool, bool]] = []  # tag, zone, dropped, whether the zone comes from a name alone
         self.text: list[str] = []
         self.linked: list[str] = []
-        self.links = self.dropped = self.good = self.bad = self.headings = 0
+        self.links = self.dropped = self.good = self.fair = self.bad = self.headings = 0
 
     def parse_html_declaration(self, i: int) -> int:
         return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
@@ -90,20 +127,22 @@ class Blocks(HTMLParser):
     def flush(self) -> None:
         words = "".join(self.text).split()
         if words:
-            zone = -1 if self.bad else 1 if self.good else 0
+            zone = -1 if self.bad else 1 if self.good else 0.5 if self.fair else 0
             self.blocks.append((" ".join(words), len(words), min(len(words), len("".join(self.linked).split())), zone, int(self.headings > 0)))
         self.text, self.linked = [], []
 
-    def _push(self, tag: str, zone: int, drop: bool) -> None:
-        self.open.append((tag, zone, drop))
+    def _push(self, tag: str, zone: float, drop: bool, named: bool = False) -> None:
+        self.open.append((tag, zone, drop, named))
         self.good += zone == 1
+        self.fair += zone == 0.5
         self.bad += zone == -1
         self.dropped += drop
         self.headings += tag in HEADINGS
 
     def _pop(self) -> None:
-        tag, zone, drop = self.open.pop()
+        tag, zone, drop, _ = self.open.pop()
         self.good -= zone == 1
+        self.fair -= zone == 0.5
         self.bad -= zone == -1
         self.dropped -= drop
         self.headings -= tag in HEADINGS
@@ -124,22 +163,34 @@ class Blocks(HTMLParser):
                 self._pop()
             while self.open and self.open[-1][0] in CLOSES.get(tag, ()):
                 self._pop()
-        drop, zone = tag in DROPPED, 0
+        drop, zone, named, main = tag in DROPPED, 0, False, tag == "main"
         if tag in CONTENT:
             zone = 1
-        elif tag in NOT_CONTENT or tag == "header" and not self.good:
+        elif tag in NOT_CONTENT or tag == "header" and not self.good and not self.fair:
             zone = -1
         if attrs and tag not in ("body", "html"):
             found = dict(attrs)
             style = (found.get("style") or "").replace(" ", "").lower()
             drop |= "hidden" in found or (found.get("aria-hidden") or "").lower() == "true" or "display:none" in style
-            names = {w for key in ("class", "id") for w in re.split(r"[^a-z]+", (found.get(key) or "").lower())}
+            names = _names(found)
             role = ROLES.get((found.get("role") or "").lower(), 0)
-            if role < 0 or names & NOT_CONTENT_WORDS:
+            main |= (found.get("role") or "").lower() == "main"
+            if role < 0:
                 zone = -1
+            elif names & NOT_CONTENT_WORDS and not main:
+                if tag != "article":
+                    named = zone >= 0
+                    zone = -1
+                elif not names & CONTENT_WORDS:
+                    zone = 0
             elif not zone and (role > 0 or names & CONTENT_WORDS):
-                zone = 1
-        self._push(tag, zone, drop)
+                zone = 1 if role > 0 else 0.5
+        if main:  # what holds the main part is a wrapper, whatever its name
+            for i, (t, z, d, by_name) in enumerate(self.open):
+                if by_name:
+                    self.open[i] = (t, 0, d, False)
+                    self.bad -= z == -1
+        self._push(tag, zone, drop, named)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a slash closes nothing but void elements, which aren't opened
@@ -163,7 +214,7 @@ class Blocks(HTMLParser):
                 self.linked.append(data + " ")
 
 
-def page_blocks(html: str | None) -> list[tuple[str, int, int, int, int]]:
+def page_blocks(html: str | None) -> list[tuple[str, int, int, float, int]]:
     parser = Blocks()
     parser.feed(html or "")
     parser.close()
@@ -171,13 +222,15 @@ def page_blocks(html: str | None) -> list[tuple[str, int, int, int, int]]:
     return parser.blocks
 
 
-def block_features(blocks: list[tuple[int, int, int, int]]) -> np.ndarray:
+def block_features(blocks: list[tuple[float, int, int, int]]) -> np.ndarray:
     """Feature rows of one page's blocks, given as (zone, heading, words, words in links)."""
     b = np.array(blocks, float).reshape(-1, 4)
     density = b[:, 3] / np.maximum(b[:, 2], 1)
     before, after = lambda x: np.r_[0.0, x[:-1]], lambda x: np.r_[x[1:], 0.0]
-    page = np.full(len(b), float((b[:, 0] == 1).any()))
-    return np.stack([b[:, 0], page, b[:, 1], b[:, 2], density, before(b[:, 2]), before(density), after(b[:, 2]), after(density)], 1)
+    plain = (b[:, 2] - b[:, 3]) * (b[:, 1] == 0)  # words of text that are neither links nor headings
+    total = max(plain[b[:, 0] >= 0].sum(), 1)
+    elements, content = (np.full(len(b), plain[at].sum() / total) for at in (b[:, 0] == 1, b[:, 0] > 0))
+    return np.stack([b[:, 0], elements, content, b[:, 1], b[:, 2], density, before(b[:, 2]), before(density), after(b[:, 2]), after(density)], 1)
 
 
 def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple:

@@ -50,6 +50,29 @@ def test_page_without_containers():
     assert text_of(html) == "\n".join(["Title of it", para.strip(), para + "link"])
 
 
+LONG = " ".join(["word"] * 60)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body><div><a>Home</a> <a>News</a></div><h1 class='entry-title'>The title</h1><div>{LONG}</div><div>{LONG} <a>link</a></div><div><a>About</a> <a>Terms</a></div></body>", f"The title\n{LONG}\n{LONG} link"),
+        (f"<body><div class='post-title'><h2>The title</h2></div><div class='entry-meta'>by Ann</div><div>{LONG}</div><div>{LONG}</div><div class='footer'>f</div></body>", f"The title\nby Ann\n{LONG}\n{LONG}"),
+        (f"<h1 class='entry-title'>T</h1><p class='entry-lead'>{LONG}</p><div>{LONG}</div><div>{LONG}</div><div>{LONG} <a>x</a></div><div><a>About</a></div>", f"T\n{LONG}\n{LONG}\n{LONG}\n{LONG} x"),
+        (f"<div>short words here</div><div class='post'><h1>T</h1><p>{LONG}</p><p>{LONG}</p><p>x</p></div><div>{LONG}</div>", f"T\n{LONG}\n{LONG}\nx"),
+        (f"<article class='post legal'><h1>T</h1><p>{LONG}</p><p>short one</p></article><div>other words</div>", f"T\n{LONG}\nshort one"),
+        (f"<main class='login'><p>{LONG}</p><p>short one</p></main>", f"{LONG}\nshort one"),
+        (f"<article class='legal'><p>{LONG}</p><p>{LONG}</p></article>", f"{LONG}\n{LONG}"),
+        (f"<div class='content-sidebar-wrap'><div class='entry'><p>{LONG}</p><p>short</p></div><div class='sidebar'>side words</div></div>", f"{LONG}\nshort"),
+        (f"<div class='has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<div class='sidebar-page'><main><p>{LONG}</p></main><div class='sidebar'>{LONG}</div></div>", LONG),
+        (f"<div class='sidebar-wrapper'>{LONG}</div><article><p>{LONG} x</p><div class='entry-footer'>more</div></article>", f"{LONG} x"),
+    ],
+)
+def test_names_are_weak(html, want):
+    assert text_of(html) == want
+
+
 def test_extract_frame(spark):
     rows = [(1, "u", "<article>x</article>", "f", 9), (1, "u", "<article>x</article>", "f", 9), (None, None, None, None, None), (2, "v", "<p>" + "y " * 200000 + "</p>", "g", 1)]
     got = html_text.extract(spark.createDataFrame(rows, PAGES)).collect()
