@@ -52,12 +52,10 @@ class Lists:
         start = 0
         while start < n:
             end = min(n, max(depth, 2 * start)) if len(used) else n
-            if len(used) * (end - start) * 4 > n or not len(used):
-                end, rows = n, np.flatnonzero(~met)  # the lists together are as long as the block: read what is left at once
-            else:
-                up, down = self.falling[start:end][:, used[sign]], self.falling[n - end : n - start][:, used[~sign]]
-                rows = np.unique(np.concatenate([up.ravel(), down.ravel()]))
-                rows = rows[~met[rows]]
+            fresh = np.full(n, not len(used))  # a query of zeros has no lists
+            fresh[self.falling[start:end][:, used[sign]]] = True
+            fresh[self.falling[n - end : n - start][:, used[~sign]]] = True
+            rows = np.flatnonzero(fresh & ~met)
             met[rows] = True
             rows = rows[self.ids[rows] != own]
             ids, scores = np.r_[best_id, self.ids[rows]], np.r_[best, self.vectors[rows] @ query]
@@ -66,6 +64,8 @@ class Lists:
                 ids, scores = ids[scores >= cut], scores[scores >= cut]
             top = np.lexsort((ids, -scores))[:k]
             best_id, best = ids[top], scores[top]
+            if met.all():
+                break
             if end < n and len(best) == k:
                 edge = np.where(sign, self.vectors[self.falling[end - 1, used], used], self.vectors[self.falling[n - end, used], used])
                 if best[-1] > int(edge @ query[used]):

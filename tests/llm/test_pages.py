@@ -166,6 +166,28 @@ def test_threshold_stops_early():
     assert sum(read) < 2000
 
 
+def test_threshold_stops_early_in_many_dimensions():
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-20, 21, (8000, 64))
+    query = rng.integers(1, 9, 64) * rng.choice([-1, 1], 64)
+    vectors[:10] = np.sign(query) * rng.integers(100, 200, (10, 64))
+    read = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, key):
+            if isinstance(key, np.ndarray) and key.ndim == 1:
+                read.append(len(key))
+            return super().__getitem__(key)
+
+    lists = topk.Lists(np.arange(8000), vectors)
+    lists.vectors = lists.vectors.view(Counted)
+    ids, scores = lists.search(query, -1, 5)
+    full = vectors @ query
+    order = np.lexsort((np.arange(8000), -full))[:5]
+    assert ids.tolist() == order.tolist() and scores.tolist() == full[order].tolist()
+    assert sum(read) < 3000
+
+
 def test_warc_files(spark):
     rng = random.Random(4)
     big = "b" * 1500
