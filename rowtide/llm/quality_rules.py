@@ -29,7 +29,7 @@ from rowtide.llm.common import NON_WHITE, WHITE, join_rows, quoted, row_key, wor
 from rowtide.session import broadcast_if_small, materialize
 
 WINDOW = 8
-DIGITS = 10  # hexadecimal digits of each of the three hashes of a line
+DIGITS = 10  # hexadecimal digits of each of the three hashes of a line that families are taken from
 SYMBOLS = "#*$%&|<>"
 _FROM = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789"
 _TO = "abcdefghijklmnopqrstuvwxyz000000000"
@@ -48,7 +48,7 @@ def _repeat_words() -> str:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Row-local measures of every document: base counts, and its normalised lines as (hash, words)."""
+    """Row-local measures of every document: base counts, and its normalised lines as (64-bit hash, words)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     a = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -67,7 +67,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     def bits(digest: Column, at: int) -> Column:
         return F.conv(F.substring(digest, at, DIGITS), 16, 10).cast("long")
 
-    hashed = F.transform(F.transform(normal, lambda x: F.struct(F.md5(x.cast("binary")).alias("m"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w"))), lambda x: F.struct(bits(x["m"], 1).alias("h"), bits(x["m"], 1 + DIGITS).alias("i"), bits(x["m"], 1 + 2 * DIGITS).alias("j"), x["w"].alias("w")))
+    hashed = F.transform(F.transform(normal, lambda x: F.struct(F.xxhash64(x).alias("l"), F.md5(x.cast("binary")).alias("m"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w"))), lambda x: F.struct(x["l"].alias("l"), bits(x["m"], 1).alias("h"), bits(x["m"], 1 + DIGITS).alias("i"), bits(x["m"], 1 + 2 * DIGITS).alias("j"), x["w"].alias("w")))
     c = c.withColumn("_hashed", hashed).withColumn("_families", F.expr("array(array_min(transform(_hashed, x -> x.h div x.w)), array_min(transform(_hashed, x -> x.i div x.w)), array_min(transform(_hashed, x -> x.j div x.w)))"))
     return c.select(
         "doc_id",
@@ -80,13 +80,13 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.expr(_repeat_words()).cast("long").alias("n_repeat_words"),
         "_families",
-        F.transform("_hashed", lambda x: F.struct(x["h"].alias("h"), x["w"].alias("w"))).alias("_hashed"),
+        F.transform("_hashed", lambda x: F.struct(x["l"].alias("l"), x["w"].alias("w"))).alias("_hashed"),
     )
 
 
 def _templates(rows: DataFrame, common: DataFrame, max_docs: int) -> DataFrame:
     """``_row`` of the documents whose common lines many others hold as well, with unrelated other lines."""
-    lines = rows.select("_row", "_host", F.explode(F.array_distinct("_hashed")).alias("l")).select("_row", "_host", F.col("l.h").alias("_line"), F.col("l.w").alias("_w"))
+    lines = rows.select("_row", "_host", F.explode(F.array_distinct("_hashed")).alias("l")).select("_row", "_host", F.col("l.l").alias("_line"), F.col("l.w").alias("_w"))
     shared = F.col("_docs").isNotNull()
     others = [F.min(F.when(~shared, F.shiftrightunsigned(F.xxhash64("_line", F.lit(k)), 24) / F.col("_w"))) for k in range(3)]
     sets = lines.join(common, ["_host", "_line"], "left").groupBy("_row", "_host").agg(
@@ -118,7 +118,7 @@ def quality_rules(
     a document keeps at least. The measures are written once (slim rows, no text) and read by all later steps.
     """
     rows = materialize(measure(docs, id_col, text_col, host_col).withColumn("_row", F.monotonically_increasing_id()))
-    lines = rows.select("_row", "_text", "_host", "_families", F.explode("_hashed").alias("l")).select("_row", "_text", "_host", "_families", F.col("l.h").alias("_line"), F.col("l.w").alias("_w"))
+    lines = rows.select("_row", "_text", "_host", "_families", F.explode("_hashed").alias("l")).select("_row", "_text", "_host", "_families", F.col("l.l").alias("_line"), F.col("l.w").alias("_w"))
     held = lines.groupBy("_host", "_line", "_text").agg(F.lit(1).alias("_one"))
     common = broadcast_if_small(held.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") >= max_docs))
     family = lines.join(common, ["_host", "_line"], "left_semi").select("_host", "_line", "_text", F.posexplode("_families").alias("_k", "_family"))

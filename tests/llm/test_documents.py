@@ -89,6 +89,12 @@ def test_rules_reject_template_pages(spark):
     assert all(r.kept and r.n_removed_words == 0 for i, r in got.items() if i >= 2000)
 
 
+def test_lines_are_known_by_64_bits(spark):
+    docs = spark.createDataFrame([(0, "\n".join(f"line {chr(97 + i)}" for i in range(26)), "h")], "doc_id long, text string, source string")
+    lines = [x["l"] for x in quality_rules.measure(docs).first()["_hashed"]]
+    assert len(set(lines)) == 26 and max(abs(x) for x in lines) >= 2**60
+
+
 def test_secrets(odd, odd_rows):
     got = secret_scan.report(secret_scan.scan_secrets(odd)).collect()
     assert Counter((r.doc_id, r.base_sha256) for r in got) == Counter((d, brute.base_digest(t or "")) for d, t, *_ in odd_rows)
