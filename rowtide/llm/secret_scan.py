@@ -27,7 +27,7 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
     "vendor": (r"gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{20,}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1),
-    "generic": (r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,80}[0-9])(?=[a-z0-9_-]{0,80}[A-Z])(?=[A-Z0-9_-]{0,80}[a-z])[A-Za-z0-9_-]{24,}", 0, 24),
+    "generic": (r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[a-z0-9_-]*+[A-Z])(?=[A-Z0-9_-]*+[a-z])[A-Za-z0-9_-]{24,}", 0, 24),
 }
 BASE = ("assign", "access", "hex")
 _SPAN = "array<struct<s:int,k:int,e:int,v:bigint>>"

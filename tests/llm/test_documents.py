@@ -119,6 +119,13 @@ def test_redaction_against_plain_python(spark):
         assert r.text == want and r.n_chars == len(want)
 
 
+def test_generic_tokens_with_a_late_digit(spark):
+    tokens = ["aB" * 60 + "7", "z7" * 60 + "B", "B7" * 60 + "a", "x" * 100000 + "B7", "aB" * 60, "-" * 90 + "aB7"]
+    docs = spark.createDataFrame([(i, f"see {t} here", "h") for i, t in enumerate(tokens)], "doc_id long, text string, source string")
+    got = {r.doc_id: [(x.s, x.e) for x in r["_maybe"]] for r in secret_scan.candidates(docs).collect()}
+    assert got == {i: [] if i == 4 else [(4, 4 + len(t))] for i, t in enumerate(tokens)}
+
+
 def test_secret_positions_and_owners(spark):
     shared, own, token = "a1" * 16, "b2" * 16, "Ab3" * 9
     texts = [f"😀 x{i} token = '{shared}'. {'y' * i}" for i in range(6)] + [f"key {own} secret=abc token=abc12{'' if i else ' '}" for i in range(2)]
