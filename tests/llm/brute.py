@@ -55,3 +55,40 @@ def components(rows):
                 a, b = find(d), find(o)
                 root[max(a, b)] = min(a, b)
     return {d: find(d) for d in sets}
+
+
+def word_runs(w, least=24):
+    """(start, length, period) of maximal stretches of smallest period q and of max(least, 3 * q) words or more."""
+    out = []
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i < len(w) - q:
+            j = i
+            while j < len(w) - q and w[j] == w[j + q]:
+                j += 1
+            n = j + q - i
+            if j > i and n >= max(least, 3 * q) and not any(all(w[x] == w[x + d] for x in range(i, i + n - d)) for d in range(1, q)):
+                out.append((i, n, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def nearest_entry(part, book):
+    return min((sum((a - b) ** 2 for a, b in zip(part, e, strict=True)), k) for k, e in enumerate(book))
+
+
+def vector_codes(vectors, parts=16, entries=64, rounds=2):
+    """vectors: lists of integers in order of their ids. Entry numbers and error per vector, final codebooks."""
+    w = len(vectors[0]) // parts
+    cut = [[v[p * w : (p + 1) * w] for p in range(parts)] for v in vectors]
+    books = [[v[p] for v in cut[:entries]] for p in range(parts)]
+    for _ in range(rounds):
+        new = []
+        for p, book in enumerate(books):
+            held = defaultdict(list)
+            for v in cut:
+                held[nearest_entry(v[p], book)[1]].append(v[p])
+            new.append([[sum(x) // len(held[k]) for x in zip(*held[k], strict=True)] if held[k] else e for k, e in enumerate(book)])
+        books = new
+    best = [[nearest_entry(v[p], book) for p, book in enumerate(books)] for v in cut]
+    return [("".join(f"{k:02x}" for _, k in b), sum(d for d, _ in b)) for b in best], books
