@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import chat, html_text, jaccard_join, packing, piece_sampling, quality_model, quality_rules, secret_scan, topk, warc
+from rowtide.llm import chat, html_text, jaccard_join, packing, periodic_runs, piece_sampling, quality_model, quality_rules, secret_scan, topk, url_filter, vector_codes, warc
 from rowtide.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -61,14 +61,28 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("_key", "keeper")
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report_runs(table(spark, sf_dir, "documents"), repeat=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_html_text, op2_quality_rules, op3_chat, op4_quality_model, op5_top_k, op6_warc, op7_piece_sampling, op8_secret_scan, op9_best_fit_packing, op10_jaccard_join, pipeline)
+    found = (op1_html_text, op2_quality_rules, op3_chat, op4_quality_model, op5_top_k, op6_warc, op7_piece_sampling, op8_secret_scan, op9_best_fit_packing, op10_jaccard_join)
+    found += (op11_url_filter, op12_vector_codes, op13_periodic_runs, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.ORACLE_SQL, "op3_chat": chat.ORACLE_SQL, "op5_top_k": topk.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}
+    own = {"op2_quality_rules": quality_rules, "op3_chat": chat, "op5_top_k": topk, "op6_warc": warc, "op10_jaccard_join": jaccard_join, "op12_vector_codes": vector_codes}
+    return {name: module.ORACLE_SQL for name, module in own.items()}
