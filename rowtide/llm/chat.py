@@ -2,8 +2,9 @@
 
 A turn is a list of parts: text, image, audio or document. A visitor flattens the parts in order into one string; parts
 other than text become placeholders, with a record of the attachment (its place, kind, reference) and the number of
-tokens that the placeholder expands to. Turns are marked with control strings. Where a text holds a control string, or
-the escape character, the escape character is put before it; reading back removes it, so texts come back exactly.
+tokens that the placeholder expands to. Turns are marked with control strings. Adjacent texts are one text; where it
+holds a control string, the escape character is put behind its first character, so that no control string stays whole, and
+the escape character itself is doubled. Reading back undoes both, so texts come back exactly, apart from placeholders.
 
 Turns are formatted row by row. A conversation is read back as a stream of its turns in order; a task holds one batch
 and the running digests, never a whole conversation.
@@ -32,14 +33,15 @@ ESCAPE = "\\"
 PATCH, IMAGE_TOKENS, AUDIO_TOKENS_PER_S, PAGE_TOKENS = 28, 256, 25, 512
 
 _special = re.compile("|".join(map(re.escape, [ESCAPE, *CONTROL])))
-_token = re.compile(r"\\(?:" + "|".join(map(re.escape, [ESCAPE, *CONTROL])) + ")|" + "|".join(map(re.escape, [TURN, BODY, END, IMAGE, AUDIO, DOCUMENT])))
+_token = re.compile(r"\\.|" + "|".join(map(re.escape, [TURN, BODY, END, IMAGE, AUDIO, DOCUMENT])), re.DOTALL)
+_kind_of = {IMAGE: "image", AUDIO: "audio", DOCUMENT: "document"}
 
 PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
 _SEGMENT = "segment string, start int, end int, n_tokens long, attachments array<struct<place:int,kind:string,ref:string,tokens:long>>"
 
 
 def escape(text: str) -> str:
-    return _special.sub(lambda m: ESCAPE + m.group(), text)
+    return _special.sub(lambda m: m.group()[0] + ESCAPE + m.group()[1:], text)
 
 
 class Flatten:
@@ -47,6 +49,7 @@ class Flatten:
 
     def __init__(self, count_text: Callable[[str], int] = lambda text: len(text.split())):
         self.out: list[str] = []
+        self.text: list[str] = []  # of the text parts since the last placeholder
         self.attachments: list[tuple[int, str, str | None, int]] = []
         self.n_tokens = 0
         self.count_text = count_text
@@ -58,9 +61,13 @@ class Flatten:
         raise ValueError(f"unknown kind of part: {part['kind']}")
 
     def visit_text(self, part: dict) -> None:
-        text = part.get("text") or ""
+        self.text.append(part.get("text") or "")
+
+    def close_text(self) -> None:
+        text = "".join(self.text)
         self.out.append(escape(text))
         self.n_tokens += self.count_text(text)
+        self.text = []
 
     def visit_image(self, part: dict) -> None:
         sized = part.get("width") and part.get("height")
@@ -73,6 +80,7 @@ class Flatten:
         self._attach(DOCUMENT, part, max(1, part.get("pages") or 0) * PAGE_TOKENS)
 
     def _attach(self, mark: str, part: dict, tokens: int) -> None:
+        self.close_text()
         self.attachments.append((len(self.attachments), part["kind"], part.get("ref"), tokens))
         self.out.append(mark)
         self.n_tokens += tokens
@@ -83,13 +91,14 @@ def format_turn(role: str, parts: list[dict]) -> tuple[str, int, int, int, list]
     visitor = Flatten()
     for part in parts:
         visitor.visit(part)
+    visitor.close_text()
     head, content = f"{TURN}{escape(role)}{BODY}", "".join(visitor.out)
     return head + content + END, len(head), len(head) + len(content), visitor.n_tokens, visitor.attachments
 
 
-def read_turns(text: str) -> Iterator[tuple[str, str, int, int]]:
-    """Role, unescaped content and the content's span for every turn of a formatted string; placeholders stay as they are."""
-    role, held, at, start = "", [], 0, 0
+def read_turns(text: str) -> Iterator[tuple[str, list[tuple[str, str]], int, int]]:
+    """Role, parts (kind and, of texts, the unescaped text) and the content's span for every turn of a formatted string."""
+    role, parts, held, at, start = "", [], [], 0, 0
     for m in _token.finditer(text):
         held.append(text[at : m.start()])
         at = m.end()
@@ -99,12 +108,14 @@ def read_turns(text: str) -> Iterator[tuple[str, str, int, int]]:
         elif found == TURN:
             held = []
         elif found == BODY:
-            role, held, start = "".join(held), [], at
-        elif found == END:
-            yield role, "".join(held), start, m.start()
-            held = []
+            role, parts, held, start = "".join(held), [], [], at
         else:
-            held.append(found)
+            parts.append(("text", "".join(held)))
+            held = []
+            if found == END:
+                yield role, [p for p in parts if p != ("text", "")], start, m.start()
+            else:
+                parts.append((_kind_of[found], found))
 
 
 def _format(role: pd.Series, parts: pd.Series) -> pd.DataFrame:
@@ -137,7 +148,8 @@ def _read_map(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if state is not None:
                     done.append(row())
                 state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            for role, text, start, end in read_turns(segment):
+            for role, parts, start, end in read_turns(segment):
+                text = "".join(t for _, t in parts)
                 state[1] += 1
                 state[2].update(f"{role}\n{text}\n".encode())
                 if (start, end) == (lo, hi):
