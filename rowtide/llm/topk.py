@@ -9,12 +9,14 @@ step to step. Each block gives its k best; a rank over these few rows gives the
 Blocks of queries meet blocks of candidates by a join on the candidate block, so every task holds one block of each.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components take no part; vectors meet only
-vectors of their own length; of several rows with one id the one with the smallest vector counts; a null id is a
-candidate of no query and no query itself; ties go to the smaller id; an empty table gives an empty result.
+vectors of their own length; rows that share an id are candidates each, but not of queries with that id, and queries each if
+their vectors differ; a null id is a candidate of no query and no query itself; components saturate at 2^26 after scaling,
+so that scores of up to 2,048 dimensions don't overflow; ties go to the smaller id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +29,13 @@ from rowtide.session import materialize
 BLOCK = 8192
 QUERY_BLOCK = 512
 SCALE = 256
+LIMIT = 1 << 26
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component as a double."""
-    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    top = F.lit(float(LIMIT))
+    return F.transform(vector, lambda x: F.floor(F.greatest(F.least(F.lit(float(scale)) * x.cast("double"), top), -top)))
 
 
 class Lists:
@@ -99,8 +103,9 @@ def _search_map(k: int):
                 queries = _unpack(row.q_vectors, row.q_count)
                 for query_id, query in zip(np.frombuffer(row.q_ids, np.int64).tolist(), queries, strict=True):
                     ids, scores = lists.search(query, query_id, k)
-                    out += [(query_id, i, s) for i, s in zip(ids.tolist(), scores.tolist(), strict=True)]
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
+                    which = int.from_bytes(hashlib.blake2b(query.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    out += [(query_id, which, i, s) for i, s in zip(ids.tolist(), scores.tolist(), strict=True)]
+                yield pd.DataFrame(out, columns=["query_id", "which", "vec_id", "score"], dtype="int64")
 
     return run
 
@@ -110,19 +115,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     fine = F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.filter(F.coalesce(fine, F.lit(False)) & F.col(id_col).isNotNull())
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("q"))
-    rows = rows.groupBy("vec_id").agg(F.min(F.struct("v", "q")).alias("r")).select("vec_id", "r.v", "r.q", F.size("r.v").alias("dim"))
-    rows = materialize(rows)
-    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("q").alias("nq"))
+    rows = materialize(rows.withColumn("dim", F.size("v")))
+    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("q").alias("nq"))  # rows, ids may repeat
     blocks = rows.join(F.broadcast(sizes), "dim")  # a row per vector length
-    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / BLOCK)))
+    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.ceil(F.col("n") / BLOCK)))
     candidates = blocks.groupBy("dim", "block").applyInPandas(_pack, _PACKED)
-    asked = blocks.filter("q").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("nq") / QUERY_BLOCK)))
+    asked = blocks.filter("q").dropDuplicates(["vec_id", "v"]).withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.ceil(F.col("nq") / QUERY_BLOCK)))
     queries = asked.groupBy("dim", "block").applyInPandas(_pack, _PACKED)
     queries = queries.select("dim", F.col("count").alias("q_count"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")).join(F.broadcast(sizes), "dim")
     sent = queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BLOCK) - 1))).drop("n", "nq")
     met = sent.join(candidates, ["dim", "block"]).select("dim", "block", "count", "ids", "vectors", "q_count", "q_ids", "q_vectors")
-    found = met.mapInPandas(_search_map(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.mapInPandas(_search_map(k), "query_id long, which long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
