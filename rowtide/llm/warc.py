@@ -133,7 +133,8 @@ def _shards(rows: DataFrame, target: int) -> tuple[DataFrame, int]:
     low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
     low, high = (0, 0) if low is None else (low, high)
     width = max(1, -(-(high - low + 1) // RANGES))
-    part = F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)), F.lit(0)).cast("long")
+    exact = "decimal(20,0)"  # ids may lie more than 2^63 apart
+    part = F.coalesce(F.floor((F.col("page_id").cast(exact) - F.lit(low).cast(exact)) / F.lit(width).cast(exact)), F.lit(0)).cast("long")
     sizes = rows.groupBy(part.alias("r")).agg(F.sum(F.octet_length("html") + 600).alias("b")).orderBy("r").collect()  # at most RANGES rows
     bounds, held = [], 0
     for r in sizes:
