@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import join_rows, quoted, row_key
-from rowtide.operators.components import components
+from rowtide.llm.links import components
 from rowtide.session import broadcast_if_small, materialize
 
 COUNT_BITS = 36
@@ -37,21 +37,11 @@ CHUNK = 4096
 SHORT = 32
 CENTRES = 12
 CELLS = 256
-BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 BLOCK = 1 << 17
+FLUSH = 4_000_000  # n-grams that a counting task holds
+PART_BYTES = 32_000_000  # of text per part of the counts
 
 _cells = np.arange(CELLS, dtype=np.uint64) * np.uint64((1 << 64) // CELLS)
-_powers = np.ones(1, np.uint64)
-_inverse = np.ones(1, np.uint64)
-
-
-def _grow(n: int) -> None:
-    global _powers, _inverse
-    if len(_powers) < n:
-        m = max(n, 1 << 16)
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.r_[np.uint64(1), np.full(m, BASE, np.uint64)], dtype=np.uint64)
-            _inverse = np.cumprod(np.r_[np.uint64(1), np.full(m, pow(BASE, -1, 1 << 64), np.uint64)], dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,27 +50,45 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+LETTERS = 1 << 6  # places of a word whose (place, byte) values are looked up
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+_letters = _mix((np.arange(LETTERS * 256, dtype=np.uint64) + np.uint64(1)) * _GOLD)
+
+
+def _word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash per word: the mixed sum of a mixed value per (place in the word, byte)."""
+    place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.r_[starts, len(raw)]))
+    code = place * 256 + raw
+    values = _letters[np.minimum(code, LETTERS * 256 - 1)]
+    far = np.flatnonzero(place >= LETTERS)
+    values[far] = _mix((code[far].astype(np.uint64) + np.uint64(1)) * _GOLD)
+    total = np.r_[np.uint64(0), np.cumsum(values, dtype=np.uint64)]
+    return _mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * _GOLD)
+
+
 def ngrams(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams (words by ASCII white space, A-Z lowered)."""
+    """Sorted distinct 64-bit hashes of the word n-grams (words by ASCII white space, A-Z lowered).
+
+    Hashes of the words are weighted by their place in the n-gram, summed and mixed again: there is no algebra between
+    different texts that would make their sums meet, other than by chance.
+    """
     data = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
     if not data:
         return np.empty(0, np.uint64)
     raw = np.frombuffer(data, np.uint8)
     gaps = np.flatnonzero(raw == 32)
     starts, ends = np.r_[0, gaps + 1], np.r_[gaps, len(raw)]
-    if len(starts) > n:
-        starts, ends = starts[: len(starts) - n + 1], ends[n - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    parts = []
+    words = []
     for i in range(0, len(starts), BLOCK):  # bounded working memory for very long texts
         s, e = starts[i : i + BLOCK], ends[i : i + BLOCK]
-        lo, hi = s[0], e[-1]
-        _grow(int(hi - lo) + 1)
-        total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((raw[lo:hi].astype(np.uint64) + np.uint64(1)) * _powers[: hi - lo], out=total[1:])
-        parts.append(_mix((total[e - lo] - total[s - lo]) * _inverse[s - lo]))
-    return np.unique(np.concatenate(parts))
+        words.append(_word_hashes(raw[s[0] : e[-1]], s - s[0], e - s[0]))
+    hashes = np.concatenate(words)
+    width = min(n, len(hashes))
+    count = len(hashes) - width + 1
+    total = np.full(count, width, np.uint64)
+    for j in range(width):
+        total += _mix(hashes[j : j + count] + np.uint64((j + 1) * int(_GOLD) % (1 << 64)))
+    return np.unique(_mix(total))
 
 
 def needed(size: int, pct: int) -> int:
@@ -114,7 +122,7 @@ def _count_map(n: int, part_bits: int) -> Callable:
             for text in frame["text"]:
                 held.append(ngrams(text, n))
                 size += len(held[-1])
-                if size > 8_000_000:
+                if size > FLUSH:
                     yield flush()
                     size = 0
         if size:
@@ -133,8 +141,8 @@ def _count_reduce(frame: pd.DataFrame) -> pd.DataFrame:
 
 def heavy_ngrams(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     """The ``HEAVY`` most frequent n-gram buckets with their counts over all documents."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part_bits = max(6, (partitions - 1).bit_length())
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    part_bits = max(6, (total // PART_BYTES).bit_length())  # the parts grow with the table
     packed = docs.select(F.col(text_col).alias("text")).mapInPandas(_count_map(n, part_bits), "part int, blob binary")
     counts = packed.groupBy("part").applyInPandas(_count_reduce, "bucket long, df long")
     return counts.orderBy(F.desc("df"), "bucket").limit(HEAVY)

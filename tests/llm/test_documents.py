@@ -280,3 +280,37 @@ def test_pipeline_against_its_parts(spark):
     assert clean
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
+
+
+def test_thue_morse_words_are_no_copies(spark):
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{word} c d e f"), (2, f"{other} c d e f")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()} == {1: 1, 2: 2}
+
+
+def test_other_tokenizer_files_are_used_whole():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    texts = ["It's a test, isn't it?", "Don\u2019t  stop\tnow\n", "\u00c4\u00e9 <|endoftext|> x", None, ""]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        plain = Tokenizer.from_file(path)
+        got = packing.encoder(path).encode(pa.array(texts))
+        assert got == [packing.pack_ids(plain.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
+def test_pieces_by_the_tokenizer(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = sorted(tuple(r) for r in packing.pack_documents(docs, PATH).select("doc_id", "piece", "start", "length", "ids_crc32").collect())
+    want = []
+    for d in docs.collect():
+        ids = [*plain.encode(d.text or "", add_special_tokens=False).ids, 0]
+        want += [(d.doc_id, k, s, len(ids[s : s + 2048]), zlib.crc32(packing.pack_ids(ids[s : s + 2048]))) for k, s in enumerate(range(0, len(ids), 2048))]
+    assert got == sorted(want)
