@@ -110,6 +110,11 @@ def _names(attrs: dict[str, str | None]) -> set[str]:
     return out
 
 
+def _hidden(attrs: dict[str, str | None]) -> bool:
+    style = (attrs.get("style") or "").replace(" ", "").lower()
+    return "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
+
+
 class Blocks(HTMLParser):
     """Flat text blocks of a page: (text, words, words in links, zone, heading)."""
 
@@ -120,6 +125,8 @@ class Blocks(HTMLParser):
         self.text: list[str] = []
         self.linked: list[str] = []
         self.links = self.dropped = self.good = self.fair = self.bad = self.headings = 0
+        self.articles = 0  # that stand in no other content element
+        self.carded: list[bool] = []  # which blocks stand in these
 
     def parse_html_declaration(self, i: int) -> int:
         return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
@@ -129,6 +136,7 @@ class Blocks(HTMLParser):
         if words:
             zone = -1 if self.bad else 1 if self.good else 0.5 if self.fair else 0
             self.blocks.append((" ".join(words), len(words), min(len(words), len("".join(self.linked).split())), zone, int(self.headings > 0)))
+            self.carded.append(self.good == 1 and any(o[0] == "article" and o[1] == 1 for o in self.open))
         self.text, self.linked = [], []
 
     def _push(self, tag: str, zone: float, drop: bool, named: bool = False) -> None:
@@ -149,13 +157,15 @@ class Blocks(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
-            self.text.append(" " if tag in ("br", "wbr", "hr") else "")
+            self.text.append(" " if tag in ("br", "hr") else "")
             if tag == "hr":
                 self.flush()
             return
         if tag == "a":
             self.links += 1
         if tag not in BLOCKS and tag not in DROPPED:
+            if _hidden(dict(attrs)) or any(o[0] == tag for o in self.open):
+                self._push(tag, 0, _hidden(dict(attrs)))  # an inline element; its like inside of it are counted
             return
         if tag in BLOCKS:
             self.flush()
@@ -170,8 +180,7 @@ class Blocks(HTMLParser):
             zone = -1
         if attrs and tag not in ("body", "html"):
             found = dict(attrs)
-            style = (found.get("style") or "").replace(" ", "").lower()
-            drop |= "hidden" in found or (found.get("aria-hidden") or "").lower() == "true" or "display:none" in style
+            drop |= _hidden(found)
             names = _names(found)
             role = ROLES.get((found.get("role") or "").lower(), 0)
             main |= (found.get("role") or "").lower() == "main"
@@ -190,6 +199,7 @@ class Blocks(HTMLParser):
                 if by_name:
                     self.open[i] = (t, 0, d, False)
                     self.bad -= z == -1
+        self.articles += tag == "article" and zone == 1 and not self.good
         self._push(tag, zone, drop, named)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -200,7 +210,7 @@ class Blocks(HTMLParser):
             self.links = max(0, self.links - 1)
         if tag in BLOCKS:
             self.flush()
-        if tag in BLOCKS or tag in DROPPED:
+        if tag in BLOCKS or tag in DROPPED or any(o[0] == tag for o in self.open):
             for i in range(len(self.open) - 1, -1, -1):
                 if self.open[i][0] == tag:
                     while len(self.open) > i:
@@ -219,7 +229,12 @@ def page_blocks(html: str | None) -> list[tuple[str, int, int, float, int]]:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    return parser.blocks
+    blocks = parser.blocks
+    plain = [(w - k) * (z >= 0) for _, w, k, z, _ in blocks]
+    if parser.articles > 1 and 2 * sum(n for n, c in zip(plain, parser.carded, strict=True) if c) < sum(plain):
+        # several articles that together hold less text than the rest of the page are teasers: being in one says nothing
+        blocks = [(t, w, k, 0 if c else z, h) for (t, w, k, z, h), c in zip(blocks, parser.carded, strict=True)]
+    return blocks
 
 
 def block_features(blocks: list[tuple[float, int, int, int]]) -> np.ndarray:

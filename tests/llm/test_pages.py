@@ -224,3 +224,13 @@ def test_warc_files(spark):
         assert (got[i].payload_bytes, got[i].payload_digest) == (len(body), hashlib.sha1(body).hexdigest())
     assert {i: (r.record_type, r.refers_to) for i, r in got.items() if r.record_type == "revisit"} == {99: ("revisit", 101), 100: ("revisit", 101)}
     assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_hidden_inline_text_and_teasers():
+    tree = html_text.default_tree()
+    page = "<article><p>see <span hidden>a<span>b</span>c</span>super<wbr>cali <b style='display: none'>x</b>end of the text, with more words here</p></article>"
+    assert html_text.main_text(page, tree)[0] == "see supercali end of the text, with more words here"
+    body = [" ".join([f"word{i}"] * 60) for i in range(5)]
+    cards = "".join(f"<article><h3><a href=x>Teaser number {i}</a></h3></article>" for i in range(4))
+    kept = html_text.main_text("<body>" + "".join(f"<div>{b}</div>" for b in body) + cards + "</body>", tree)[0].split("\n")
+    assert kept[:5] == body
