@@ -66,6 +66,17 @@ def unknown_keys(map_col: str, contract: TableContract) -> Column:
     return F.coalesce(F.array_except(F.map_keys(F.col(map_col)), known), F.array().cast("array<string>"))
 
 
+def extra_entries(map_col: str, contract: TableContract) -> Column:
+    """The map's entries of unknown columns; NULL without any."""
+    rest = F.map_filter(F.col(map_col), lambda k, v: ~k.isin(contract.names))
+    return F.when(F.size(unknown_keys(map_col, contract)) > 0, rest)
+
+
+def with_extra(known: Column, extra: str) -> Column:
+    """A map of known columns and the entries that came with them."""
+    return F.when(F.col(extra).isNull(), known).otherwise(F.map_concat(known, F.col(extra)))
+
+
 def to_text(c: Column) -> Column:
     """A typed value as packet text; timestamps keep microseconds."""
     return c.cast("string")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.functions.packets import ACTIONS, dp, dv, has, raw, rp, rv, typed, unknown_keys
+from rowtide.functions.packets import ACTIONS, dp, dv, extra_entries, has, raw, rp, rv, typed, unknown_keys
 
 ENVELOPE = ("seq", "action", "data", "restriction")
 
@@ -27,8 +27,8 @@ def _all(cols: list[Column]) -> Column:
 def align_columns(packets: DataFrame, contract: TableContract) -> DataFrame:
     """Wide form: per contract column a presence flag and a typed value, for data and restriction.
 
-    Unknown columns are dropped (kept as name lists for validation); values are cast with
-    ``try_cast`` so one bad value cannot fail the job.
+    Unknown columns are no part of it: their names are listed for validation, their entries are kept as they came, to be
+    forwarded. Values are cast with ``try_cast`` so one bad value cannot fail the job.
     """
     extra = [c for c in packets.columns if c not in ENVELOPE]
     cols: list[Column] = [F.col(c) for c in ENVELOPE] + [F.col(c) for c in extra]
@@ -43,6 +43,8 @@ def align_columns(packets: DataFrame, contract: TableContract) -> DataFrame:
         unknown_keys("data", contract).alias("unknown_data"),
         unknown_keys("restriction", contract).alias("unknown_restriction"),
         _any(bad_parts).alias("bad_value"),
+        extra_entries("data", contract).alias("extra_data"),
+        extra_entries("restriction", contract).alias("extra_restriction"),
     ]
     return packets.select(*cols)
 

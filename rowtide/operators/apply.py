@@ -8,7 +8,9 @@ Tiers (chosen per packet by ``match_kind``):
   order of seq first (:mod:`rowtide.operators.conflicts`); packets then go on with the key they hit or create.
 * T2  part of a composite key: expanded by a join with the key universe (base keys + keys the log
   inserts); each hit row is an effect of the same seq; the packet outcome aggregates its effects.
-* T3  restriction on non-key columns: barrier segments (see :func:`apply_segmented`).
+* T3  restriction on non-key columns: the rows hit come from the rows' versions (:mod:`rowtide.operators.versions`) and
+  are effects like those of T2.
+* Logs that move keys, or mix unique keys with T2 or T3, are folded by row life (:mod:`rowtide.operators.lives`).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.functions.packets import dp, dv, map_of, rp, rv
+from rowtide.functions.packets import dp, dv, map_of, rp, rv, with_extra
 from rowtide.operators.align import _all, _any, prepare
 from rowtide.operators.conflicts import decide, with_new_ids
 from rowtide.operators.fold import DEFAULT_SPAN, fold
@@ -41,6 +43,8 @@ class ChangeResult:
     outcomes: DataFrame  # one row per packet
     effects: DataFrame  # one row per (packet, table row) reaching the fold
     table: DataFrame  # new snapshot
+    history: tuple[DataFrame, DataFrame, TableContract] | None = None  # rows before, folded effects and their contract (by key or by life)
+    prepared: DataFrame | None = None  # the aligned log
 
 
 def fk_violations(prepared: DataFrame, contract: TableContract, parents: dict[str, DataFrame] | None,
@@ -72,6 +76,7 @@ def classify(df: DataFrame, contract: TableContract, key_ok: Column) -> DataFram
     nn_null = _any([F.col(dp(c)) & F.col(dv(c)).isNull() for c in nn])
     nn_missing = _any([~F.col(dp(c)) for c in nn if c not in contract.defaults])
     fk_bad = F.col("fk_bad") if "fk_bad" in df.columns else F.lit(False)
+    refused = F.col("refused") if "refused" in df.columns else F.lit(False)
     a = F.col("action")
     cls = (
         F.when((a == "add") & key_ok & ~nn_null & ~fk_bad & ~nn_missing, "ins")
@@ -81,10 +86,12 @@ def classify(df: DataFrame, contract: TableContract, key_ok: Column) -> DataFram
         .when(a == "set", "ins")
         .when((a == "update") & (nn_null | fk_bad), "halt")
         .when(a == "update", "upd")
+        .when(refused, "halt")
         .otherwise("del")
     )
     pre = (
-        F.when((a == "add") & ~key_ok, "null_key")
+        F.when(refused, "restrict")
+        .when((a == "add") & ~key_ok, "null_key")
         .when(fk_bad, "foreign_key")
         .when(nn_null | nn_missing, "not_null")
         .when((a == "set") & ~key_ok, "partial_key")
@@ -99,7 +106,7 @@ def _effect_columns(contract: TableContract, carry: list[str], key_from: dict[st
         cols += [F.col(dp(c)), F.col(dv(c))]
         if contract.has_computed_default(c):
             cols.append(contract.default(c).alias(f"df__{c}"))
-    cols += [F.col(c) for c in carry]
+    cols += [F.col(c) for c in ("extra_data", "extra_restriction", *carry)]
     return cols
 
 
@@ -120,7 +127,7 @@ def _with_assigned_key(df: DataFrame, contract: TableContract, assigned: list[st
 def _packet_maps(contract: TableContract, key_cols: bool) -> list[Column]:
     """``data`` / ``restriction`` maps of the packet to forward, rebuilt from the typed columns.
 
-    Unknown columns are not forwarded (every receiver would drop them); an engine-assigned key is.
+    Columns unknown here are forwarded as they came (a receiver's table may have them), and so is an engine-assigned key.
     ``key_cols``: the rows carry the resolved key in plain key columns (fold effects) instead of
     the restriction columns.
     """
@@ -139,7 +146,7 @@ def _packet_maps(contract: TableContract, key_cols: bool) -> list[Column]:
         restr = map_of({c: F.col(rv(c)) for c in contract.names}, {c: F.col(rp(c)) for c in contract.names})
     upd_has = {c: (F.lit(False) if c in contract.primary_key else h) for c, h in data_has.items()} if key_cols else data_has
     data = F.when(a.isin("add", "set"), map_of(data_vals, data_has)).when(a == "update", map_of(data_vals, upd_has))
-    return [data.alias("data"), F.when(a.isin("update", "delete"), restr).alias("restriction")]
+    return [with_extra(data, "extra_data").alias("data"), F.when(a.isin("update", "delete"), with_extra(restr, "extra_restriction")).alias("restriction")]
 
 
 def flag_duplicate_seq(prepared: DataFrame, identity: tuple[str, ...] = (), broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
@@ -159,18 +166,28 @@ def flag_duplicate_seq(prepared: DataFrame, identity: tuple[str, ...] = (), broa
 
 
 def is_move(contract: TableContract) -> Column:
-    """A key-moving update that can be applied: whole key in the restriction, whole new row in the data."""
-    whole = _all([F.col(dp(c)) for c in contract.names]) & ~_any([F.col(dv(k)).isNull() for k in contract.primary_key])
-    key = _all([F.col(rp(k)) & F.col(rv(k)).isNotNull() for k in contract.primary_key])
-    return (F.col("reject_reason") == "key_move") & (F.col("match_kind") == "pk") & whole & key
+    """An update that can move keys: it writes key columns, and no NULL into them."""
+    null = _any([F.col(dp(k)) & F.col(dv(k)).isNull() for k in contract.primary_key])
+    return F.coalesce((F.col("reject_reason") == "key_move") & F.col("match_kind").isin("pk", "pk_partial", "non_key") & ~null, F.lit(False))
 
 
-def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract, span: int, broadcast_bytes: int) -> DataFrame:
-    """Classified packets with ``verdict`` and the key columns ``__k_<key>`` they hit or create."""
+def is_open_move(contract: TableContract) -> Column:
+    """A move whose new key depends on the row: data and restriction don't name all of it."""
+    named = _all([F.col(dp(k)) | F.col(rp(k)) for k in contract.primary_key])
+    return is_move(contract) & ~named
+
+
+def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract, span: int, broadcast_bytes: int,
+                       hits: DataFrame | None = None, by_life: bool = False, open_moves: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Classified packets with ``verdict``, ``life`` and the key columns ``__k_<key>`` they hit or create; all verdicts.
+
+    ``by_life``: rows carry ``__move``, and packets that would halt look up the life they hit.
+    """
     a, cls, mk = F.col("action"), F.col("cls"), F.col("match_kind")
     by_unique = (mk == "unique") & (a == "set")
     kind = (
-        F.when(F.col("__move"), F.when(cls == "upd", "move").otherwise("probe"))
+        F.when(F.col("__move") & (cls == "upd") if by_life else F.lit(False), "move")
+        .when((cls == "halt") & ~by_unique if by_life else F.lit(False), "look")
         .when(by_unique, F.when(cls == "ins", "set_unique").when(cls == "upd_only", "only_unique").otherwise("probe_unique"))
         .when(cls == "ins", a)
         .when(cls == "upd_only", "only")
@@ -183,14 +200,14 @@ def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract
         uk_idx = F.when(_all([F.col(dp(c)) for c in contract.unique_keys[i]]), F.lit(i)).otherwise(uk_idx)
     # kind none: a packet that can't change anything; the fold refuses it on its own key
     rows = materialize(rows.withColumn("kind", kind).withColumn("uk_idx", uk_idx))
-    decided = with_new_ids(decide(base, rows, contract, broadcast_bytes), rows, base, contract, span, broadcast_bytes)
+    decided = materialize(with_new_ids(decide(base, rows, contract, broadcast_bytes, hits, open_moves), rows, base, contract, span, broadcast_bytes))
     joined = rows.join(decided, "__pid", "left").withColumn("verdict", F.coalesce("verdict", F.lit("go")))
     parts = F.from_json("k", "array<string>")
     own = _key_from_packet(contract)
     for i, k in enumerate(contract.primary_key):
         given = F.when(F.col("kind") == "none", own[k])
         joined = joined.withColumn(f"__k_{k}", F.coalesce(parts[i].cast(contract.type_of(k)), given))
-    return joined
+    return joined, decided
 
 
 def expand_partial(partial: DataFrame, universe: DataFrame, contract: TableContract, broadcast_bytes: int) -> DataFrame:
@@ -217,6 +234,37 @@ def expand_partial(partial: DataFrame, universe: DataFrame, contract: TableContr
     return out
 
 
+def spread_outcomes(packets: DataFrame, folded: DataFrame, contract: TableContract, identity: tuple[str, ...], carry: list[str]) -> DataFrame:
+    """One outcome per packet that may hit any number of rows, from its effects."""
+    o = F.col("outcome")
+    pri = F.when(o == "quarantined", 4).when(o.isin("updated", "deleted"), 3).when(o == "rejected", 2).otherwise(1)
+    agg = folded.groupBy("seq", *identity).agg(
+        F.max_by(F.struct("outcome", "reason"), pri).alias("o"), F.sum(F.when(o.isin("updated", "deleted"), 1).otherwise(0)).alias("rows"),
+    )
+    packets = packets.select("seq", "action", "match_kind", *_packet_maps(contract, False), *carry)
+    return packets.join(agg, ["seq", *identity], "left").select(
+        "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in contract.primary_key],
+        F.coalesce(F.col("o.outcome"), F.when(F.col("action") == "set", "rejected").otherwise("noop")).alias("outcome"),
+        F.when(F.col("o").isNotNull(), F.col("o.reason")).when(F.col("action") == "set", "partial_key").alias("reason"),
+        F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), "data", "restriction", *carry,
+    )
+
+
+def unsaved(packets: DataFrame, contract: TableContract, carry: list[str], outcome: Column, reason: Column) -> DataFrame:
+    """Outcomes of packets that no state can save."""
+    return packets.select(
+        "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in contract.primary_key],
+        outcome.alias("outcome"), reason.alias("reason"), F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
+    )
+
+
+def stop_at_halt(outcomes: DataFrame) -> None:
+    """The reference's worker stops at a halting packet: the whole batch fails, nothing is applied."""
+    first = outcomes.where(F.col("outcome") == "quarantined").select("seq", "reason").orderBy("seq").limit(1).collect()
+    if first:
+        raise PacketHalt(f"packet {first[0]['seq']} halts the batch: {first[0]['reason']}")
+
+
 def apply_changes(
     base: DataFrame,
     packets: DataFrame,
@@ -229,15 +277,15 @@ def apply_changes(
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     prepared: DataFrame | None = None,
     identity: tuple[str, ...] = (),
-    moves: bool = False,
+    hits: DataFrame | None = None,
 ) -> ChangeResult:
     """Apply an ordered packet log (``seq, action, data, restriction`` + extra columns) to ``base``.
 
     ``on_error='fail'`` raises :class:`PacketHalt` (one small top-1 job) if any packet would halt,
     like the reference's halting worker; ``'quarantine'`` sets it aside and goes on.
-    Packets with non-key restrictions need :func:`rowtide.operators.segmented.apply_log`, which chooses the tier; here
-    they are quarantined with reason ``needs_barrier``. ``moves``: apply key-moving updates (else quarantined).
-    ``identity``: columns that name a packet together with seq.
+    Packets with non-key restrictions and key moves need :func:`rowtide.operators.segmented.apply_log`, which chooses the
+    tier. ``hits``: the rows that non-key restrictions hit (key columns, ``__p_seq`` and ``__p_<identity>``); without it such
+    packets are quarantined with reason ``needs_barrier``. ``identity``: columns that name a packet together with seq.
     """
     key = list(contract.primary_key)
     if prepared is None:
@@ -254,9 +302,7 @@ def apply_changes(
         prepared = prepared.drop("data", "restriction")
     extras = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
     carry = extras
-    conflicts = bool(contract.unique_keys) or moves
-    move = F.coalesce(is_move(contract), F.lit(False)) if moves else F.lit(False)
-    prepared = prepared.withColumn("__move", move).withColumn("reject_reason", F.when(~move, F.col("reject_reason")))
+    conflicts = bool(contract.unique_keys)
     ok = F.col("reject_reason").isNull()
     mk, a = F.col("match_kind"), F.col("action")
     full = ok & (mk == "pk")
@@ -272,18 +318,12 @@ def apply_changes(
         took = full | by_unique | (keyless if contract.surrogate else F.lit(False))
         pid = F.concat_ws(":", F.col("seq").cast("string"), *[F.col(c).cast("string") for c in identity])
         rows = classify(prepared.where(took), contract, F.lit(True)).withColumn("__pid", pid)
-        rows = materialize(_resolve_conflicts(rows, base, contract, span, broadcast_bytes))
+        rows = materialize(_resolve_conflicts(rows, base, contract, span, broadcast_bytes)[0])
         go = (F.col("verdict") == "go") & F.col(f"__k_{key[0]}").isNotNull()
         found = {k: F.col(f"__k_{k}") for k in key}
-        plain = rows.where(go & (F.col("kind") != "move"))
-        moved = rows.where(go & (F.col("kind") == "move")).withColumn("match_kind", F.lit("move"))
-        gone = moved.withColumn("cls", F.lit("del"))
-        come = moved.withColumn("cls", F.lit("ins")).withColumn("action", F.lit("add"))
-        effects = plain.select(*_effect_columns(contract, carry, found))
-        effects = effects.unionByName(gone.select(*_effect_columns(contract, carry, {k: F.col(rv(k)) for k in key})))
-        effects = effects.unionByName(come.select(*_effect_columns(contract, carry, {k: F.col(dv(k)) for k in key})))
+        effects = rows.where(go).select(*_effect_columns(contract, carry, found))
         inserted_keys = effects.where(F.col("cls") == "ins").select(*key)
-        refused = rows.where(~go | (F.col("kind") == "move"))
+        refused = rows.where(~go)
         no_key = keyless if contract.surrogate is None else no_key
     else:
         t1 = classify(prepared.where(full), contract, F.lit(True))
@@ -304,59 +344,41 @@ def apply_changes(
         part = classify(prepared.where(partial), contract, F.lit(False))
         expanded = expand_partial(part, universe, contract, broadcast_bytes)
         exp_keys = {k: F.col(f"__k_{k}") for k in key}
-        effects = effects.unionByName(expanded.select(*_effect_columns(contract, carry, exp_keys)))
+        # written once: the fold reads the effects several times, the join runs once
+        effects = effects.unionByName(materialize(expanded.select(*_effect_columns(contract, carry, exp_keys))))
+
+    restricted = ok & (mk == "non_key")
+    if hits is not None:
+        pred = classify(prepared.where(restricted), contract, F.lit(True))
+        named = hits.select(*[F.col(k).alias(f"__k_{k}") for k in key], *[F.col(f"__p_{c}") for c in ("seq", *identity)])
+        hit = pred.join(named, [F.col(c) == F.col(f"__p_{c}") for c in ("seq", *identity)])
+        effects = effects.unionByName(hit.select(*_effect_columns(contract, carry, {k: F.col(f"__k_{k}") for k in key})))
 
     result = fold(base, effects, contract, span, broadcast_bytes)
     folded = result.effects
 
     # ---- per-packet outcomes
-    direct = folded.where(~F.col("match_kind").isin("pk_partial", "move")).select(
+    spread = F.col("match_kind").isin("pk_partial", "non_key")  # packets with any number of effects
+    direct = folded.where(~spread).select(
         "seq", "action", "match_kind", *key, "outcome", "reason",
         F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"),
         *_packet_maps(contract, True), *carry,
     )
-    pri = (F.when(F.col("outcome") == "quarantined", 4).when(F.col("outcome").isin("updated", "deleted"), 3)
-           .when(F.col("outcome") == "rejected", 2).otherwise(1))
-    agg = folded.where(F.col("match_kind") == "pk_partial").groupBy("seq", *identity).agg(
-        F.max_by(F.struct("outcome", "reason"), pri).alias("o"),
-        F.sum(F.when(F.col("outcome").isin("updated", "deleted"), 1).otherwise(0)).alias("rows"),
-    )
-    part_out = prepared.where(partial).select("seq", "action", "match_kind", *_packet_maps(contract, False), *carry).join(agg, ["seq", *identity], "left").select(
-        "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key],
-        F.coalesce(F.col("o.outcome"), F.when(F.col("action") == "set", "rejected").otherwise("noop")).alias("outcome"),
-        F.when(F.col("o").isNotNull(), F.col("o.reason")).when(F.col("action") == "set", "partial_key").alias("reason"),
-        F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), "data", "restriction", *carry,
-    )
-    bad = prepared.where(~ok | no_key | partial_add | (ok & (mk == "non_key"))).select(
-        "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key],
-        F.when(ok & (mk == "non_key"), "quarantined").when(ok | (F.col("reject_reason") == "null_key"), "rejected")
-        .otherwise("quarantined").alias("outcome"),
-        F.when(ok & (mk == "non_key"), "needs_barrier").when(ok, "null_key").otherwise(F.col("reject_reason")).alias("reason"),
-        F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
+    part_out = spread_outcomes(prepared.where(partial | restricted if hits is not None else partial), folded.where(spread), contract, identity, carry)
+    bad = unsaved(
+        prepared.where(~ok | no_key | partial_add | (restricted if hits is None else F.lit(False))), contract, carry,
+        F.when(restricted, "quarantined").when(ok | (F.col("reject_reason") == "null_key"), "rejected").otherwise("quarantined"),
+        F.when(restricted, "needs_barrier").when(ok, "null_key").otherwise(F.col("reject_reason")),
     )
     outcomes = direct.unionByName(part_out).unionByName(bad)
     if refused is not None:
         v, nn = F.col("verdict"), F.coalesce("pre_reason", F.lit("not_null"))
-        done = v == "go"
-        outcome = (
-            F.when(done & (F.col("kind") == "move"), "updated")
-            .when(v.isin("halt_unique", "halt_key"), "quarantined")
-            .when(v == "noop", "noop")
-            .otherwise("rejected")
-        )
-        reason = (
-            F.when(v.isin("duplicate_unique", "halt_unique"), "duplicate_unique")
-            .when(v.isin("halt_key", "duplicate_key"), "duplicate_key")
-            .when((v == "noop") | done & (F.col("kind") == "move"), None)
-            .otherwise(nn)
-        )
+        outcome = F.when(v == "halt_unique", "quarantined").otherwise("rejected")
+        reason = F.when(v.isin("duplicate_unique", "halt_unique"), "duplicate_unique").when(v == "duplicate_key", "duplicate_key").otherwise(nn)
         outcomes = outcomes.unionByName(refused.select(
             "seq", "action", "match_kind", *[F.col(f"__k_{k}").alias(k) for k in key], outcome.alias("outcome"), reason.alias("reason"),
-            F.when(outcome == "updated", 1).otherwise(0).alias("rows"), *_packet_maps(contract, False), *carry,
+            F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
         ))
     if on_error == "fail":
-        # the reference's worker stops at a halting packet: the whole batch fails, nothing is applied
-        first = outcomes.where(F.col("outcome") == "quarantined").select("seq", "reason").orderBy("seq").limit(1).collect()
-        if first:
-            raise PacketHalt(f"packet {first[0]['seq']} halts the batch: {first[0]['reason']}")
-    return ChangeResult(outcomes, folded, result.table)
+        stop_at_halt(outcomes)
+    return ChangeResult(outcomes, folded, result.table, (base, folded, contract), prepared)

@@ -1,131 +1,126 @@
-"""Tier dispatch for a whole log: folds, key-moving updates, and barriers (predicates on non-key columns).
-
-A packet whose restriction names a non-key column can hit rows whose value was written by earlier
-packets of the same log, so it cannot be folded per key. The log is cut at such *barrier* packets;
-each segment is folded, each barrier is applied to the whole intermediate table as one set-based
-update/delete, written to the shared checkpoint folder (lineage cut). Segments without packets are skipped, so a run of
-barriers costs one table write each. This is the documented slow path.
+"""Tier dispatch for a whole log: folds, key moves, and restrictions on any columns.
+
+A packet whose restriction names other columns than the key can hit rows whose values were written by earlier packets of
+the same log, and may itself write what a later one looks for. All such packets are found together, in rounds: fold the log
+with the rows they are known to hit, match their restrictions with the versions of all rows as of each packet
+(:mod:`rowtide.operators.versions`), and fold again, until the hits stay as they are. What a packet hits depends on earlier
+packets only, so after n rounds all chains of n such packets are right, and rows that stay are the result of applying
+the packets one by one. Logs in which they can't touch what others look for settle after one round.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.contract import TableContract
-from rowtide.functions.packets import dp, dv, rp, rv
+from rowtide.functions.packets import dp, rp, rv
 from rowtide.operators.align import prepare
-from rowtide.operators.apply import ChangeResult, PacketHalt, _packet_maps, apply_changes, fk_violations, flag_duplicate_seq, is_move
+from rowtide.operators.apply import ChangeResult, apply_changes, fk_violations, flag_duplicate_seq, is_move, is_open_move, stop_at_halt
+from rowtide.operators.fold import DEFAULT_SPAN
+from rowtide.operators.lives import LIFE, apply_lives, is_spread, life_contract, spread_predicates, with_life
+from rowtide.operators.versions import find_hits, patterns, qp, with_restriction
 from rowtide.session import DEFAULT_BROADCAST_BYTES, materialize
 
 
-def apply_barrier(state: DataFrame, barrier: DataFrame, contract: TableContract, carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Apply one prepared update/delete packet with a non-key restriction to the whole table.
+def _no_hits(prepared: DataFrame, contract: TableContract, names: list[str]) -> DataFrame:
+    fields = [T.StructField(k, contract.spark_type(k)) for k in contract.primary_key]
+    fields += [T.StructField(f"__p_{n}", prepared.schema[n].dataType) for n in names]
+    return prepared.sparkSession.createDataFrame([], T.StructType(fields))
 
-    The one-row packet is joined on a constant (broadcast hash join); the predicate is the AND of
-    ``col = value`` over its restriction columns (SQL ``=``: NULL never matches).
-    Returns (new table, outcome row with the number of rows hit and the packet to forward).
-    """
-    carry = carry or []
-    b = barrier.withColumn("__one", F.lit(1))  # one packet (packets that share a seq are refused): a proven bound
-    j = state.withColumn("__one", F.lit(1)).join(F.broadcast(b), "__one")
-    match = reduce(
-        lambda x, y: x & y,
-        [~F.col(rp(c)) | (F.col(c) == F.col(rv(c))) for c in contract.names],
-    )
-    match = F.coalesce(match, F.lit(False))
-    nn_null = reduce(lambda x, y: x | y, [F.col(dp(c)) & F.col(dv(c)).isNull() for c in contract.non_key if c in contract.required], F.lit(False))
-    is_delete = F.col("action") == "delete"
-    fk_bad = F.col("fk_bad") if "fk_bad" in barrier.columns else F.lit(False)
-    halts = (F.col("action") == "update") & (nn_null | fk_bad)
-    kept = j.where(~(is_delete & match))
-    cols = [
-        F.col(c) if c in contract.primary_key else
-        F.when(match & ~halts & F.col(dp(c)), F.col(dv(c))).otherwise(F.col(c)).cast(contract.type_of(c)).alias(c)
-        for c in contract.names
-    ]
-    new_state = kept.select(*cols)
-    # a global aggregate has exactly one row, also over an empty table: every barrier gets its outcome
-    hit = j.agg(F.count_if(match).alias("rows")).withColumn("__one", F.lit(1))
-    known = [c for c in barrier.columns if c in carry]
-    why = F.when(fk_bad, "foreign_key").otherwise("not_null")
-    counted = b.select("seq", "action", halts.alias("halts"), why.alias("why"), *_packet_maps(contract, False), *known, "__one").join(hit, "__one")
-    outcome = counted.select(
-        "seq", "action", F.lit("non_key").alias("match_kind"),
-        *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in contract.primary_key],
-        F.when(F.col("rows") == 0, "noop").when(F.col("halts"), "quarantined")
-        .when(F.col("action") == "delete", "deleted").otherwise("updated").alias("outcome"),
-        F.when((F.col("rows") > 0) & F.col("halts"), F.col("why")).alias("reason"),
-        F.when(F.col("halts"), 0).otherwise(F.col("rows")).cast("int").alias("rows"), "data", "restriction", *known,
-    )
-    return new_state, outcome
+
+def _rounds(step: Callable[[DataFrame], tuple[ChangeResult, DataFrame]], find: Callable[[DataFrame], DataFrame], hits: DataFrame, once: bool) -> ChangeResult:
+    """Fold and match until the hits are those of the round before; ``once``: the first match is known to be final."""
+    result, folded = step(hits)
+    while True:
+        found = find(folded)
+        if found.exceptAll(hits).isEmpty() and hits.exceptAll(found).isEmpty():
+            return result
+        hits = found
+        result, folded = step(hits)
+        if once:
+            return result
 
 
 def apply_log(
-    base: DataFrame, packets: DataFrame, contract: TableContract, *, strict_restrictions: bool = True,
-    parents: dict[str, DataFrame] | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, identity: tuple[str, ...] = (), **kw,
+    base: DataFrame, packets: DataFrame, contract: TableContract, *, strict_restrictions: bool = True, on_error: str = "quarantine",
+    parents: dict[str, DataFrame] | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, identity: tuple[str, ...] = (),
+    span: int = DEFAULT_SPAN, orphans: DataFrame | None = None, refused: DataFrame | None = None,
 ) -> ChangeResult:
     """Apply any log: one outcome per packet, each packet in the tier it needs.
 
-    Without barriers this is one :func:`apply_changes`. Packets that no state can save are reported once, with the first
-    segment. The positions of the barriers are read one by one; the log itself stays distributed.
+    Logs of whole keys (and of parts of a key, without unique keys) are one :func:`apply_changes`. Logs that move keys, or
+    mix unique keys with packets of any number of rows, go by row life; other restrictions by key. ``orphans``: seqs of packets
+    that write a foreign key without a parent; ``refused``: seqs of deletes that another table refuses.
     """
-    parsed = materialize(prepare(packets, contract, strict_restrictions))
+    parsed = materialize(prepare(packets, contract, strict_restrictions).drop("data", "restriction"))
     prepared = flag_duplicate_seq(parsed, identity, broadcast_bytes)
     if contract.foreign_keys and parents:
         prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
+    for seqs, flag in ((orphans, "fk_bad"), (refused, "refused")):
+        if seqs is not None:
+            marked = seqs.select(F.col("seq").alias("__seq"), F.lit(True).alias("__flag"))
+            flagged = F.coalesce("__flag", F.col(flag) if flag in prepared.columns else F.lit(False))
+            prepared = prepared.join(marked, F.col("seq") == F.col("__seq"), "left").withColumn(flag, flagged).drop("__seq", "__flag")
     prepared = prepared if prepared is parsed else materialize(prepared)
-    fine = F.col("reject_reason").isNull()
-    is_barrier = fine & F.coalesce(F.col("match_kind") == "non_key", F.lit(False))
-    moving = F.coalesce(is_move(contract), F.lit(False))
-    if identity and not prepared.where(is_barrier).isEmpty():
-        raise ValueError("barrier packets of several targets: apply the targets one by one")
-    seen = prepared.agg(F.count_if(is_barrier).alias("barriers"), F.count_if(moving).alias("moves")).first()
-    kw |= {"moves": seen["moves"] > 0, "strict_restrictions": strict_restrictions, "broadcast_bytes": broadcast_bytes, "identity": identity}
-    if not seen["barriers"]:
-        return apply_changes(base, packets, contract, prepared=prepared, **kw)
-    carry = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
-    state = base.select(*contract.names)
-    outs, effects, lo = [], [], None
-    in_order = fine | moving
-    barriers = (r[0] for r in prepared.where(is_barrier).select("seq").orderBy("seq").toLocalIterator())
-    for b in [*barriers, None]:
-        cond = ~is_barrier & in_order
-        cond = cond & (F.col("seq") > lo) if lo is not None else cond
-        cond = cond & (F.col("seq") < b) if b is not None else cond
-        cond = cond | ~in_order if lo is None else cond
-        part = prepared.where(cond)
-        if not part.isEmpty():
-            res = apply_changes(state, packets, contract, prepared=part, **kw)
-            state = res.table
-            outs.append(materialize(res.outcomes))
-            effects.append(res.effects)
-        if b is not None:
-            state, o = apply_barrier(state, prepared.where(is_barrier & (F.col("seq") == b)), contract, carry)
-            o = materialize(o)  # one row
-            if kw.get("on_error") == "fail" and not o.where(F.col("outcome") == "quarantined").isEmpty():
-                raise PacketHalt(f"packet {b} halts the batch: {o.first()['reason']}")
-            outs.append(o)
-        state = materialize(state)
-        lo = b
-    outcomes = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), outs)
-    if not effects:
-        effects = [apply_changes(base.limit(0), packets, contract, prepared=prepared.limit(0), **kw).effects]
-    eff = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), effects)
-    return ChangeResult(outcomes, eff, state)
+    barrier = F.coalesce(F.col("reject_reason").isNull() & (F.col("match_kind") == "non_key"), F.lit(False))
+    a, names = F.col("action"), ["seq", *identity]
+    seen = prepared.agg(
+        F.count_if(barrier).alias("barriers"), F.count_if(is_move(contract)).alias("moves"), F.count_if(is_open_move(contract)).alias("open_moves"), F.count_if(is_spread(contract)).alias("spread"),
+        F.count_if(barrier & (a == "delete")).alias("deletes"), F.count_if(~barrier & a.isin("add", "set")).alias("inserts"),
+        *[F.count_if(barrier & F.col(dp(c))).alias(f"w_{c}") for c in contract.names],
+    ).first()
+    options = {"span": span, "broadcast_bytes": broadcast_bytes}
+    extras = [c for c in packets.columns if c not in ("seq", "action", "data", "restriction")]
+
+    if seen["moves"] or contract.unique_keys and seen["spread"]:
+        lives, predicates = life_contract(contract), spread_predicates(prepared, contract)
+        predicates = materialize(predicates.select(*names, *[qp(c) for c in contract.names], *[f"q__{c}" for c in contract.names]))
+        sets, rows = patterns(predicates, contract), with_life(base, contract)
+
+        def step(hits: DataFrame) -> tuple[ChangeResult, DataFrame]:
+            return apply_lives(base, prepared, contract, hits, carry=extras, identity=identity, open_moves=seen["open_moves"] > 0, **options)
+
+        def find(folded: DataFrame) -> DataFrame:
+            if not sets:
+                return _no_hits(prepared, lives, names)
+            return find_hits(rows, folded, predicates.withColumns({qp(LIFE): F.lit(False)}), lives, sets, names, **options)
+
+        result = _rounds(step, find, _no_hits(prepared, lives, names), False)
+    elif seen["barriers"]:
+        predicates = with_restriction(prepared.where(barrier), contract, {c: (F.col(rp(c)), F.col(rv(c))) for c in contract.names})
+        predicates = materialize(predicates.select(*names, *[qp(c) for c in contract.names], *[f"q__{c}" for c in contract.names]))
+        sets = patterns(predicates, contract)
+        written = any(seen[f"w_{c}"] for s in sets for c in s if c not in contract.primary_key)
+        once = not written and not (seen["deletes"] and seen["inserts"])
+
+        def step(hits: DataFrame) -> tuple[ChangeResult, DataFrame]:
+            res = apply_changes(base, packets, contract, prepared=prepared, identity=identity, hits=hits, **options)
+            return res, res.effects
+
+        def find(folded: DataFrame) -> DataFrame:
+            return find_hits(base, folded, predicates, contract, sets, names, **options)
+
+        result = _rounds(step, find, _no_hits(prepared, contract, names), once)
+    else:
+        result = apply_changes(base, packets, contract, prepared=prepared, identity=identity, **options)
+    if on_error == "fail":
+        stop_at_halt(result.outcomes)
+    return result
 
 
 def apply_segmented(base: DataFrame, packets: DataFrame, contract: TableContract, **kw) -> ChangeResult:
-    """Apply a log that contains barrier packets: see :func:`apply_log`."""
+    """Apply a log that contains restrictions on non-key columns: see :func:`apply_log`."""
     return apply_log(base, packets, contract, **kw)
 
 
 def apply_key_moves(base: DataFrame, packets: DataFrame, contract: TableContract, **kw) -> ChangeResult:
-    """Apply a log with key-moving updates (whole-row images): see :mod:`rowtide.operators.conflicts`.
+    """Apply a log with key-moving updates (whole or partial images): see :mod:`rowtide.operators.lives`.
 
     A move happens if the old row is live (else it hits nothing) and the new key is free (else it halts), both as of
-    its seq; chains and swaps settle in one pass.
+    its seq; columns that the packet doesn't name move with the row.
     """
     return apply_log(base, packets, contract, **kw)

@@ -107,8 +107,8 @@ def test_moves_chain_swap_and_ghost(spark):
     base = [(1, "one"), (3, "three"), (5, "five")]
     move = lambda s, a, b, v: (s, "update", {"k": str(b), "a": v}, {"k": str(a)})
     table, out = run(spark, ROWS, base, [move(1, 9, 2, "ghost"), move(2, 3, 2, "three"), move(3, 1, 5, "one"), move(4, 5, 6, "five"), move(5, 1, 5, "one"), move(6, 6, 1, "five"), (7, "update", {"k": "8"}, {"k": "1"})])
-    assert table == [(1, "five"), (2, "three"), (5, "one")]
-    assert {s: o for s, (o, _) in out.items()} == {1: "noop", 2: "updated", 3: "quarantined", 4: "updated", 5: "updated", 6: "updated", 7: "quarantined"}
+    assert table == [(2, "three"), (5, "one"), (8, "five")]  # the last move names the key only: the other columns follow
+    assert {s: o for s, (o, _) in out.items()} == {1: "noop", 2: "updated", 3: "quarantined", 4: "updated", 5: "updated", 6: "updated", 7: "updated"}
 
 
 def test_shared_seq_has_no_order(spark):
