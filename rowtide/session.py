@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,30 +65,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_SCOPES: list[list[DataFrame]] = []
-
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Keep a result that several branches of a plan read (memory, spilling to disk).
-
-    Lost blocks are recomputed from lineage, so a lost executor costs time, not the job.
-    Inside :func:`cache_scope` the frame is released when the scope ends.
-    """
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if _SCOPES:
-        _SCOPES[-1].append(out)
-    return out
+_SCOPES = threading.local()  # a stream's micro-batches run in threads of their own
 
 
 @contextmanager
-def cache_scope():
-    """Release every frame persisted by :func:`reuse` inside the block (one micro-batch, one segment)."""
-    _SCOPES.append([])
+def scratch_scope(spark: SparkSession):
+    """Remove, at the end of the block, the tables that :func:`materialize` wrote inside it (one micro-batch)."""
+    outer, _SCOPES.paths = getattr(_SCOPES, "paths", None), []
     try:
         yield
     finally:
-        for df in _SCOPES.pop():
-            df.unpersist()
+        conf = spark._jsc.hadoopConfiguration()
+        for path in _SCOPES.paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        _SCOPES.paths = outer
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -99,6 +90,8 @@ def materialize(df: DataFrame) -> DataFrame:
     folded effects, measured broadcast sides, and between iterations / micro-batches.
     """
     path = scratch_path(df.sparkSession, "table")
+    if getattr(_SCOPES, "paths", None) is not None:
+        _SCOPES.paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

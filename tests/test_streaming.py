@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 from rowtide.operators.apply import apply_changes
 from rowtide.sources.packets import encode_packets, write_packets
-from rowtide.sources.tables import read_snapshot
+from rowtide.sources.tables import current_mark, read_snapshot
 from rowtide.streaming.stream import stream_destination
 from tests.test_fold import random_log, to_df
 
@@ -64,3 +64,66 @@ def test_stream_forwards_to_replicas(spark):
     assert [tuple(r) for r in read_snapshot(spark, f"{d}/t/_targets").select("target", "k", "v").collect()] == [("a", 2, 2.0)]
     sent = spark.read.option("basePath", f"{d}/t/_queues").text(f"{d}/t/_queues/*")
     assert sorted((r.target, r.value[:8]) for r in sent.collect()) == [("a", '{"seq":1'), ("a", '{"seq":3'), ("b", '{"seq":1'), ("b", '{"seq":3')]
+
+
+DDL = "seq long, action string, data map<string,string>, restriction map<string,string>"
+ROUTE_DDL = "destination string, target string, queue string, table_name string, enabled boolean"
+
+
+def _send(spark, d, log, **kw):
+    write_packets(encode_packets(spark.createDataFrame(log, DDL)), f"{d}/src")
+    q = stream_destination(spark, f"{d}/src", spark.createDataFrame([(i, float(i), "B") for i in range(400)], C.schema), C, f"{d}/t", f"{d}/c", max_files_per_trigger=None, **kw)
+    if q is not None:
+        q.awaitTermination()
+
+
+def test_a_batch_writes_the_buckets_it_touches(spark):
+    import glob
+
+    d = tempfile.mkdtemp(prefix="rowtide-stream-")
+    before = set(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/table-*"))
+    log = [(1, "update", {"v": "-1"}, {"k": "7"}), (2, "delete", None, {"k": "8"}), (3, "add", {"k": "1000", "v": "1"}, None), (4, "update", {"v": "0"}, {"k": "5000"})]
+    _send(spark, d, log)
+    mark = current_mark(spark, f"{d}/t")
+    assert mark.version == 1 and sum(v == 1 for v in mark.buckets) <= 4 and sum(v == 0 for v in mark.buckets) >= 60
+    assert len(glob.glob(f"{d}/t/data/v=1/__bucket=*")) <= 4
+    want = {i: float(i) for i in range(400)} | {7: -1.0, 1000: 1.0}
+    del want[8]
+    assert {r.k: r.v for r in read_snapshot(spark, f"{d}/t").collect()} == want
+    # a restriction on another column reads the whole table and writes the buckets of the rows it hits
+    _send(spark, d, [(10, "update", {"s": "x"}, {"v": "3"}), (11, "delete", None, {"v": "4"})])
+    mark = current_mark(spark, f"{d}/t")
+    assert mark.version == 2 and sum(v == 2 for v in mark.buckets) in (1, 2)
+    del want[4]
+    assert {r.k: r.v for r in read_snapshot(spark, f"{d}/t").collect()} == want
+    # a key move and the removal of all rows
+    _send(spark, d, [(20, "update", {"k": "2000"}, {"k": "7"})])
+    assert {r.k: r.v for r in read_snapshot(spark, f"{d}/t").collect()} == {2000 if k == 7 else k: v for k, v in want.items()}
+    _send(spark, d, [(30 + i, "delete", None, {"k": str(k)}) for i, k in enumerate([*(k for k in want if k != 7), 2000])])
+    assert read_snapshot(spark, f"{d}/t").collect() == [] and set(current_mark(spark, f"{d}/t").buckets) == {-1}
+    assert set(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/table-*")) <= before
+
+
+def test_targets_catch_up_from_their_own_offset(spark):
+    d = tempfile.mkdtemp(prefix="rowtide-stream-")
+
+    def routes(**enabled):
+        return spark.createDataFrame([("t", t, "q", "t", on) for t, on in enabled.items()], ROUTE_DDL)
+
+    kw = {"destination": "t", "target_bases": spark.createDataFrame([], "target string, k long, v double, s string")}
+    _send(spark, d, [(1, "add", {"k": "1000", "v": "2"}, None)], routes=routes(a=True, b=False), **kw)
+    _send(spark, d, [(2, "add", {"k": "1001", "v": "3"}, None), (3, "add", {"k": "5", "v": "0"}, None)], routes=routes(a=True, b=False), **kw)
+
+    def rows():
+        return sorted(tuple(r)[:3] for r in read_snapshot(spark, f"{d}/t/_targets").collect())
+
+    assert rows() == [("a", 1000, 2.0), ("a", 1001, 3.0)]
+    assert current_mark(spark, f"{d}/t/_targets").offsets == {"a": 2}
+    _send(spark, d, [(4, "update", {"v": "9"}, {"k": "1000"})], routes=routes(a=False, b=True), **kw)
+    assert rows() == [("a", 1000, 2.0), ("a", 1001, 3.0), ("b", 1000, 9.0), ("b", 1001, 3.0)]
+    _send(spark, d, [(5, "delete", None, {"k": "1001"})], routes=routes(a=True, b=True), **kw)
+    assert rows() == [("a", 1000, 9.0), ("b", 1000, 9.0)]
+    assert current_mark(spark, f"{d}/t/_targets").offsets == {"a": 4, "b": 4}
+    version = current_mark(spark, f"{d}/t").version
+    _send(spark, d, [(6, "delete", None, {"k": "1000"})], routes=routes(a=True, b=True), destination_enabled=False, **kw)
+    assert current_mark(spark, f"{d}/t").version == version and len(rows()) == 2
