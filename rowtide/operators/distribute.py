@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from rowtide.operators.apply import ChangeResult
 from rowtide.operators.segmented import apply_log
 from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
+# A processor turns (base, packets, contract) into a ChangeResult; the default is the fold.
+Processor = Callable[..., ChangeResult]
 TARGET = "__target"
 ROUTES_DDL = "destination string, target string, queue string, table_name string, enabled boolean"
 
@@ -72,4 +76,38 @@ def apply_targets(bases: DataFrame, fanned: DataFrame, contract: TableContract,
     # further packet columns go along: computed defaults read them
     res = apply_log(base, pk.drop("destination", "queue"), tc, **kw, identity=("target",))
     table = res.table.withColumnRenamed(TARGET, "target")
-    return ChangeResult(res.outcomes, res.effects.withColumnRenamed(TARGET, "target"), table)
+    return ChangeResult(res.outcomes, res.effects.drop("target").withColumnRenamed(TARGET, "target"), table)
+
+
+def apply_each_target(
+    bases: DataFrame, fanned: DataFrame, contract: TableContract, contracts: dict[str, TableContract] | None = None,
+    processors: dict[str, Processor] | None = None, **kw,
+) -> ChangeResult:
+    """:func:`apply_targets` where targets have tables or functions of their own.
+
+    ``contracts``: the table of a target, where it isn't ``contract``; its columns are read from the whole forwarded packet.
+    ``processors``: the function of a target, with the signature of :func:`apply_log`, where it isn't the default. Targets that
+    share both go in one job, so there are as many jobs as different tables and functions (configuration).
+    ``bases`` holds the columns of all tables; a table's own are read from it.
+    """
+    contracts, processors = contracts or {}, processors or {}
+    named = sorted({*contracts, *processors})
+    if not named:
+        return apply_targets(bases, fanned, contract, **kw)
+    groups: dict[tuple, list[str]] = {}
+    for t in named:
+        own = t if t in processors else None  # a function sees its own target only
+        groups.setdefault((id(contracts.get(t, contract)), own), []).append(t)
+    rest = ~F.col("target").isin(named)
+    parts = [apply_targets(bases.where(rest).select("target", *contract.names), fanned.where(rest), contract, **kw)]
+    for targets in groups.values():
+        table, chosen = contracts.get(targets[0], contract), F.col("target").isin(targets)
+        own, packets = bases.where(chosen).select("target", *table.names), fanned.where(chosen)
+        if targets[0] in processors:
+            res = processors[targets[0]](own.drop("target"), packets.drop("target", "destination", "queue"), table, **kw)
+            name = F.lit(targets[0])
+            parts.append(ChangeResult(res.outcomes.withColumn("target", name), res.effects.withColumn("target", name), res.table.withColumn("target", name)))
+        else:
+            parts.append(apply_targets(own, packets, table, **kw))
+    joined = [reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) for frames in zip(*[(p.outcomes, p.effects, p.table) for p in parts], strict=True)]
+    return ChangeResult(*joined)

@@ -234,7 +234,6 @@ def json_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ client verbs on a frame
-VERB_UPSERT_SEGMENT = "HOUSEHOLD"
 VERB_DELETE_SEGMENT = "AUTOMOBILE"
 VERB_UPDATE_SEGMENT = "BUILDING"
 
@@ -262,6 +261,18 @@ def accounts_target_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts_base(spark, sf_dir).withColumn("target", F.lit("replica_a"))
 
 
+# a replica with one more column: the time stamp that update packets carry and the destination doesn't know
+STAMPED_ACCOUNTS = TableContract(
+    name="accounts", columns=(*ACCOUNTS.columns, ("timestamp", "timestamp_ntz")), primary_key=ACCOUNTS.primary_key, required=ACCOUNTS.required, defaults=ACCOUNTS.defaults,
+)
+TARGET_ROUTES = [("accounts", t, f"/queue/accounts.{t}", "public.accounts", True) for t in ("replica_a", "replica_b", "replica_c")]
+
+
+def stamped_target_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = accounts_base(spark, sf_dir).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    return base.withColumn("target", F.explode(F.array(*[F.lit(r[1]) for r in TARGET_ROUTES])))
+
+
 # ------------------------------------------------------------------ pages (unique-key upsert)
 PAGES = TableContract(
     name="pages",
@@ -327,8 +338,6 @@ LABELS = TableContract(
     foreign_keys=(ForeignKey(("doc_id",), ("doc_id",), "documents"),),
 )
 PARENT_MISSING_LANG = "de"  # German documents are not in the parent table
-PARENT_DELETE_SOURCES = ("src1", "src2")
-PARENT_MOVE_LANG = "fr"
 
 
 def label_parents(spark, sf_dir):
@@ -342,6 +351,32 @@ def label_add(spark, sf_dir):
                       F.lit(None).cast("map<string,string>").alias("restriction"))
 
 
+RELATED_LABELS = TableContract(
+    name="labels", columns=(("label_id", "bigint"), ("doc_id", "bigint"), ("quality", "int")), primary_key=("label_id",),
+    foreign_keys=(ForeignKey(("doc_id",), ("doc_id",), "documents"),),
+)
+DOCUMENTS = TableContract(name="documents", columns=(("doc_id", "bigint"), ("lang", "string")), primary_key=("doc_id",))
+
+
+def documents_base(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang")
+
+
+def related_logs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Documents and their labels in one order, seq = doc_id * 10 + i: (1) even documents get their label; (3) every document is
+    deleted, which its label refuses; (5) the labels of odd documents come too late; (7) documents take a key beyond
+    all others, which their labels follow."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    k, no = F.col("doc_id"), F.lit(None).cast("map<string,string>")
+    off = docs.agg((F.max("doc_id") + 1).alias("__off")).withColumn("__one", F.lit(1))  # one row
+    d = docs.withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
+    row = map_of({"label_id": k, "doc_id": k, "quality": F.col("quality")})
+    child = labels.select((k * 10 + F.when(k % 2 == 0, 1).otherwise(5)).alias("seq"), F.lit("add").alias("action"), row.alias("data"), no.alias("restriction"))
+    drop = docs.select((k * 10 + 3).alias("seq"), F.lit("delete").alias("action"), no.alias("data"), map_of({"doc_id": k}).alias("restriction"))
+    move = d.select((k * 10 + 7).alias("seq"), F.lit("update").alias("action"), map_of({"doc_id": k + F.col("__off")}).alias("data"), map_of({"doc_id": k}).alias("restriction"))
+    return drop.unionByName(move), child
+
+
 def empty_like(spark, contract: TableContract) -> DataFrame:
     return spark.createDataFrame([], contract.schema)
 
@@ -385,16 +420,66 @@ def key_move_log(spark, sf_dir) -> DataFrame:
     old = snap_old(spark, sf_dir)
     off = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))  # one row
     o = old.withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
-    ghost = F.col("o_orderstatus") == GHOST_STATUS
-    moving = (F.col("o_orderstatus") == MOVE_STATUS) | ghost
-    o = o.where(moving)
+    ghost, moving = F.col("o_orderstatus") == GHOST_STATUS, F.col("o_orderstatus") == MOVE_STATUS
     old_key = F.when(ghost, F.col("o_orderkey") + 2 * F.col("__off")).otherwise(F.col("o_orderkey"))
-    new_key = F.when(ghost, F.col("o_orderkey") + 3 * F.col("__off")).otherwise(F.col("o_orderkey") + F.col("__off"))
+    new_key = F.when(ghost, F.col("o_orderkey") + 3 * F.col("__off")).when(moving, F.col("o_orderkey") + F.col("__off")).otherwise(F.col("o_orderkey"))
     row = {c: (new_key if c == "o_orderkey" else F.col(c)) for c in ORDERS.names}
     return o.select(F.col("o_orderkey").alias("seq"), F.lit("update").alias("action"), map_of(row).alias("data"),
                     map_of({"o_orderkey": old_key}).alias("restriction"))
 
 
+MOVED_PRIORITY = "MOVED"
+LOST_PRIORITY = "LOST"
+
+
+def key_move_partial_log(spark, sf_dir) -> DataFrame:
+    """Three packets per order, seq = o_orderkey * 4 + i: (0) orders of one status move their key, naming nothing else; all
+    orders (1) get a new priority by the key that they have now, and (2) another one by a key that is free."""
+    old = snap_old(spark, sf_dir)
+    off = old.agg((F.max("o_orderkey") + 1).alias("__off")).withColumn("__one", F.lit(1))  # one row
+    o = old.withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one")
+    k, moving = F.col("o_orderkey"), F.col("o_orderstatus") == MOVE_STATUS
+    now, free = k + F.when(moving, F.col("__off")).otherwise(0), k + F.when(moving, F.lit(0)).otherwise(F.col("__off"))
+
+    def packet(i: int, rows: DataFrame, data: dict, key: Column) -> DataFrame:
+        return rows.select((k * 4 + i).alias("seq"), F.lit("update").alias("action"), map_of(data).alias("data"), map_of({"o_orderkey": key}).alias("restriction"))
+
+    return (
+        packet(0, o.where(moving), {"o_orderkey": k + F.col("__off")}, k)
+        .unionByName(packet(1, o, {"o_orderpriority": F.lit(MOVED_PRIORITY)}, now))
+        .unionByName(packet(2, o, {"o_orderpriority": F.lit(LOST_PRIORITY)}, free))
+    )
+
+
+ORDER_ROUTES = [("orders", "replica_a", "/queue/orders.replica_a", "public.orders", True)]
+CUSTOMER_ROUTES = [("customers", "replica_a", "/queue/customers.replica_a", "public.customer", True), ("customers", "replica_b", "/queue/customers.replica_b", "public.customer", True)]
+
+
+def customer_target_bases(spark, sf_dir):
+    """replica_a starts from the destination's base, replica_b lacks the customers of odd nations."""
+    c = customer_old(spark, sf_dir)
+    return c.withColumn("target", F.lit("replica_a")).unionByName(c.where(F.col("c_nationkey") % 2 == 0).withColumn("target", F.lit("replica_b")))
+
+
+NAMED_CUSTOMERS = TableContract(name="public.customer", columns=CUSTOMERS.columns, primary_key=("c_custkey",), unique_keys=(("c_name",),))
+
+
+def named_customer_log(spark, sf_dir) -> DataFrame:
+    """A unique column in every tier: (1) per nation, all its customers take one name, which halts unless there is one; (2)
+    customers of odd nations are deleted by nation; (3) every customer is added again under a negative key, with its old
+    name: refused where another row still has it; (4) a restriction to NULL, which hits nothing."""
+    nations = table(spark, sf_dir, "nation")
+    n, no = F.col("n_nationkey"), F.lit(None).cast("map<string,string>")
+    by = map_of({"c_nationkey": n})
+    rename = nations.select(n.cast("bigint").alias("seq"), F.lit("update").alias("action"), map_of({"c_name": F.col("n_name")}).alias("data"), by.alias("restriction"))
+    drop = nations.where(n % 2 == 1).select((n + 1000).cast("bigint").alias("seq"), F.lit("delete").alias("action"), no.alias("data"), by.alias("restriction"))
+    c = customer_old(spark, sf_dir)
+    again = {x: (-F.col("c_custkey") - 1 if x == "c_custkey" else F.col(x)) for x in CUSTOMERS.names}
+    add = c.select((F.col("c_custkey") + 10_000).alias("seq"), F.lit("add").alias("action"), map_of(again).alias("data"), no.alias("restriction"))
+    nothing = nations.select((n + 2000).cast("bigint").alias("seq"), F.lit("delete").alias("action"), no.alias("data"), map_of({"c_name": F.lit(None).cast("string")}).alias("restriction"))
+    return rename.unionByName(drop).unionByName(add).unionByName(nothing)
+
+
 # ------------------------------------------------------------------ unique keys in one log
 TWIN_SUFFIX = "#twin"
 GONE_SUFFIX = "#gone"

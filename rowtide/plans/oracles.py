@@ -326,6 +326,13 @@ WHERE l.outcome NOT IN ('rejected', 'quarantined')"""
        CASE WHEN action = 'delete' THEN TRUE ELSE p_segment END AS p_segment,
        CASE WHEN action = 'delete' THEN '{fx.SOFT_DELETE_SEGMENT}' ELSE v_segment END AS v_segment FROM ({L})"""
     q["custom_processor"] = fold_table_sql(A, B, soft)
+    stamped = FoldSpec(key=A.key, cols=[*A.cols, "timestamp"], not_null=A.not_null, defaults=A.defaults)
+    stamp_log = f"SELECT *, action = 'update' AS p_timestamp, CAST(ts AS TIMESTAMP) AS v_timestamp FROM ({fwd_log})"
+    soft_fwd = soft.replace(f"FROM ({L})", f"FROM ({fwd_log})")
+    none = "CAST(NULL AS TIMESTAMP) AS timestamp"
+    q["target_tables"] = f"""SELECT 'replica_a' AS target, {cols}, {none} FROM ({rep_a})
+UNION ALL SELECT 'replica_b', {cols}, timestamp FROM ({fold_table_sql(stamped, f"SELECT *, {none} FROM ({B})", stamp_log)})
+UNION ALL SELECT 'replica_c', {cols}, {none} FROM ({fold_table_sql(A, B, soft_fwd)})"""
     counters = """count(*) FILTER (WHERE action = 'add') AS "add", count(*) FILTER (WHERE action = 'delete') AS "delete",
        count(*) FILTER (WHERE action = 'set') AS "set", count(*) FILTER (WHERE action = 'update') AS "update",
        count(*) FILTER (WHERE action = 'add' AND outcome = 'rejected') AS errors,
@@ -376,10 +383,20 @@ UNION ALL SELECT note_id, text FROM ({alloc})"""
     q["reject_fk"] = f"SELECT doc_id AS seq, CAST(doc_id AS BIGINT) AS doc_id FROM labels WHERE doc_id NOT IN ({parents})"
     q["restrict_parent_delete"] = f"""SELECT doc_id AS seq, doc_id,
   CASE WHEN doc_id IN (SELECT doc_id FROM ({child})) THEN 'refused' ELSE 'deleted' END AS outcome
-FROM documents WHERE source IN ({_in_list(fx.PARENT_DELETE_SOURCES)})"""
+FROM documents"""
     q["cascade_parent_key"] = f"""SELECT CAST(COALESCE(m.new_doc_id, c.doc_id) AS BIGINT) AS doc_id, c.quality, c.toxic FROM ({child}) c
 LEFT JOIN (SELECT doc_id AS old_doc_id, doc_id + (SELECT max(doc_id) + 1 FROM documents) AS new_doc_id
-           FROM documents WHERE lang = '{fx.PARENT_MOVE_LANG}') m ON m.old_doc_id = c.doc_id"""
+           FROM documents) m ON m.old_doc_id = c.doc_id"""
+    doc_off = "(SELECT max(doc_id) + 1 FROM documents)"
+    q["fk_two_tables"] = f"""SELECT CAST(doc_id AS BIGINT) AS label_id, CAST(doc_id + {doc_off} AS BIGINT) AS doc_id, quality
+FROM labels WHERE doc_id % 2 = 0 AND doc_id IN (SELECT doc_id FROM documents)"""
+    q["fk_two_tables_outcomes"] = f"""WITH kept AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0 AND doc_id IN (SELECT doc_id FROM labels))
+SELECT doc_id * 10 + 3 AS seq, 'delete' AS action, CASE WHEN doc_id IN (FROM kept) THEN 'quarantined' ELSE 'deleted' END AS outcome,
+  CASE WHEN doc_id IN (FROM kept) THEN 'restrict' END AS reason FROM documents
+UNION ALL SELECT doc_id * 10 + 7, 'update', CASE WHEN doc_id IN (FROM kept) THEN 'updated' ELSE 'noop' END, NULL FROM documents
+UNION ALL SELECT doc_id * 10 + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 5 END, 'add',
+  CASE WHEN doc_id % 2 = 0 AND doc_id IN (SELECT doc_id FROM documents) THEN 'inserted' ELSE 'rejected' END,
+  CASE WHEN NOT (doc_id % 2 = 0 AND doc_id IN (SELECT doc_id FROM documents)) THEN 'foreign_key' END FROM labels"""
     q["quarantine"] = f"""SELECT pos, CASE WHEN malformed THEN 'malformed'
        WHEN action NOT IN ('add', 'set', 'update', 'delete') THEN 'unknown_action'
        WHEN bad_value THEN 'bad_value'
@@ -402,8 +419,7 @@ WHERE NOT malformed AND k <> {fx.JSON_UNKNOWN_ACTION_K}
 FROM orders"""
     top = "(SELECT max(o_orderkey) FROM orders)"
 
-    def barrier_sql(on: str) -> str:
-        state = cust
+    def barrier_sql(on: str, state: str = cust) -> str:
         for r in range(5):
             b = f"((2 * {r} + 1) * {top} * 10 + 5)"
             lo = f"((2 * {r - 1} + 1) * {top} * 10 + 5)" if r > 0 else None
@@ -428,14 +444,35 @@ FROM orders"""
     q["apply_key_move"] = f"""SELECT CASE WHEN o_orderstatus = '{fx.MOVE_STATUS}'
   THEN o_orderkey + {off} ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders"""
+    q["key_move_partial"] = f"""SELECT CASE WHEN o_orderstatus = '{fx.MOVE_STATUS}' THEN o_orderkey + {off} ELSE o_orderkey END AS o_orderkey,
+  o_custkey, o_orderstatus, o_totalprice, o_orderdate, '{fx.MOVED_PRIORITY}' AS o_orderpriority FROM orders"""
+    q["pipeline_key_move"] = f"""SELECT w.worker, t.* FROM ({q["key_move_partial"]}) t, (VALUES ('orders'), ('replica_a')) w(worker)"""
+    q["pipeline_barriers"] = f"""SELECT w.worker, t.* FROM ({q["apply_barriers"]}) t, (VALUES ('customers'), ('replica_a')) w(worker)
+UNION ALL SELECT 'replica_b', t.* FROM ({barrier_sql("segment", f"SELECT * FROM ({cust}) WHERE c_nationkey % 2 = 0")}) t"""
+    q["restrict_null"] = "SELECT n_nationkey + 2000 AS seq, 'noop' AS outcome FROM nation"
+    held = f"SELECT *, count(*) OVER (PARTITION BY c_nationkey) = 1 AS renamed, c_nationkey % 2 = 1 AS dropped FROM ({cust})"
+    q["unique_all_tiers"] = f"""SELECT c_custkey, CASE WHEN renamed THEN (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) ELSE c_name END AS c_name,
+  c_nationkey, c_acctbal, c_mktsegment FROM ({held}) WHERE NOT dropped
+UNION ALL SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, c_mktsegment FROM ({held}) WHERE dropped OR renamed"""
+    q["unique_all_tiers_outcomes"] = f"""WITH per AS (SELECT n_nationkey AS n, count(c_custkey) AS c FROM nation LEFT JOIN ({cust}) ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT CAST(n AS BIGINT) AS seq, 'update' AS action, CASE c WHEN 0 THEN 'noop' WHEN 1 THEN 'updated' ELSE 'quarantined' END AS outcome,
+  CASE WHEN c > 1 THEN 'duplicate_unique' END AS reason, CASE WHEN c = 1 THEN 1 ELSE 0 END AS rows FROM per
+UNION ALL SELECT n + 1000, 'delete', CASE c WHEN 0 THEN 'noop' ELSE 'deleted' END, NULL, c FROM per WHERE n % 2 = 1
+UNION ALL SELECT n + 2000, 'delete', 'noop', NULL, 0 FROM per
+UNION ALL SELECT c_custkey + 10000, 'add', CASE WHEN dropped OR renamed THEN 'inserted' ELSE 'rejected' END,
+  CASE WHEN NOT (dropped OR renamed) THEN 'duplicate_unique' END, CASE WHEN dropped OR renamed THEN 1 ELSE 0 END FROM ({held})"""
     strict_valid = f"""SELECT * FROM ({lenient}) WHERE NOT (k = {fx.JSON_UNKNOWN_RESTRICTION_K} AND action = 'update')"""
     q["pipeline_stream"] = fold_table_sql(A, B, strict_valid)
     q["key_move_outcomes"] = f"""SELECT o_orderkey AS seq, CASE WHEN o_orderstatus = '{fx.GHOST_STATUS}' THEN 'noop' ELSE 'updated' END AS outcome
-FROM orders WHERE o_orderstatus IN ('{fx.GHOST_STATUS}', '{fx.MOVE_STATUS}')"""
+FROM orders"""
     q["outcomes_complete"] = "SELECT event_id AS pos, 1 AS outcomes FROM events"
     q["stream_late_packets"] = fold_table_sql(A, B, f"""SELECT * REPLACE (seq + CASE WHEN seq < (SELECT (min(event_id) + max(event_id)) // 2 FROM events)
   THEN 1000000000000 ELSE 0 END AS seq) FROM ({strict_valid})""")
     q["stream_restart"] = q["pipeline_stream"]
+    sent = f"""SELECT l.* FROM ({strict_valid}) l WHERE l.seq IN (
+  SELECT seq FROM ({fold_outcomes_sql(A, B, strict_valid, "seq, outcome")}) WHERE outcome NOT IN ('rejected', 'quarantined'))"""
+    q["target_catch_up"] = f"""SELECT 'replica_a' AS target, {cols} FROM ({fold_table_sql(A, B, sent)})
+UNION ALL SELECT 'replica_b', {cols} FROM ({fold_table_sql(A, empty_base, sent)})"""
     made = f"""SELECT page_id * 10 AS seq, url || '{fx.TWIN_SUFFIX}' AS url, 'n' || page_id || 's' AS html FROM pages WHERE page_id % 3 = 0
 UNION ALL SELECT page_id * 10 + 1, url || '{fx.TWIN_SUFFIX}', 'n' || page_id || 's' FROM pages WHERE page_id % 3 <> 0
 UNION ALL SELECT page_id * 10 + 3, url, 'n' || page_id FROM pages WHERE page_id % 3 = 1"""

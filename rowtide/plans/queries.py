@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.packets import unknown_keys
 from rowtide.operators.constraints import cascade_update, check_restrict, quarantine
 from rowtide.operators.keys import profile_keys
+from rowtide.operators.related import apply_related
 from rowtide.operators.segmented import apply_key_moves, apply_log, apply_segmented
 from rowtide.functions.packets import packets_delete, packets_update, packets_upsert
 from rowtide.operators.align import prepare
@@ -224,7 +225,7 @@ def packets_from_frame(spark, sf):
     c = fx.table(spark, sf, "customer").select(
         F.col("c_custkey").cast("bigint").alias("user_id"), F.col("c_acctbal").alias("value"), F.col("c_mktsegment").alias("segment"))
     seq = F.col("user_id")
-    up = packets_upsert(c.where(F.col("segment") == fx.VERB_UPSERT_SEGMENT), seq)
+    up = packets_upsert(c.where(~F.col("segment").isin(fx.VERB_DELETE_SEGMENT, fx.VERB_UPDATE_SEGMENT)), seq)
     de = packets_delete(c.where(F.col("segment") == fx.VERB_DELETE_SEGMENT), seq, ["user_id"])
     upd = packets_update(c.where(F.col("segment") == fx.VERB_UPDATE_SEGMENT).withColumn("value", F.col("value") + 1), seq,
                          ["user_id"], ["value"])
@@ -287,6 +288,18 @@ def custom_processor(spark, sf):
     return _accounts_pipeline(spark, sf, processor=_soft_delete).destination.table
 
 
+def target_tables(spark, sf):
+    """A replica with the destination's table, one with one more column (filled from the whole forwarded packet), and
+    one with a function of its own."""
+    from rowtide.operators.distribute import ROUTES_DDL
+
+    res = run_destination(
+        fx.accounts_base(spark, sf), fx.accounts_log(spark, sf), spark.createDataFrame(fx.TARGET_ROUTES, ROUTES_DDL), fx.ACCOUNTS, "accounts",
+        fx.stamped_target_bases(spark, sf), target_contracts={"replica_b": fx.STAMPED_ACCOUNTS}, target_processors={"replica_c": _soft_delete},
+    )
+    return res.targets.table.select("target", *fx.STAMPED_ACCOUNTS.names)
+
+
 # ---------------------------------------------------------------- statistics
 def worker_stats_q(spark, sf):
     """O1: counters per worker (destination + enabled targets)."""
@@ -376,7 +389,7 @@ def reject_fk(spark, sf):
 def restrict_parent_delete(spark, sf):
     """Deleting a document that still has a label is refused (ON DELETE RESTRICT)."""
     child = _labels(spark, sf).table
-    d = fx.table(spark, sf, "documents").where(F.col("source").isin(*fx.PARENT_DELETE_SOURCES))
+    d = fx.table(spark, sf, "documents")
     return check_restrict(d.select(F.col("doc_id").alias("seq"), "doc_id"), child, fx.LABELS.foreign_keys[0]).select("seq", "doc_id", "outcome")
 
 
@@ -386,11 +399,27 @@ def cascade_parent_key(spark, sf):
     docs = fx.table(spark, sf, "documents")
     off = docs.agg((F.max("doc_id") + 1).alias("__off")).withColumn("__one", F.lit(1))
     # ``off`` is a one-row aggregate: a proven broadcast bound
-    moves = docs.where(F.col("lang") == fx.PARENT_MOVE_LANG).withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one").select(
+    moves = docs.withColumn("__one", F.lit(1)).join(F.broadcast(off), "__one").select(
         F.col("doc_id").alias("old_doc_id"), (F.col("doc_id") + F.col("__off")).alias("new_doc_id"))
     return cascade_update(child, moves, fx.LABELS.foreign_keys[0])
 
 
+def _related(spark, sf):
+    parents, children = fx.related_logs(spark, sf)
+    return apply_related(fx.documents_base(spark, sf), fx.empty_like(spark, fx.RELATED_LABELS), parents, children, fx.DOCUMENTS, fx.RELATED_LABELS, fx.RELATED_LABELS.foreign_keys[0])
+
+
+def fk_two_tables(spark, sf):
+    """Labels after one log with their documents: orphans rejected, deletes refused, new keys followed."""
+    return _related(spark, sf).child.table
+
+
+def fk_two_tables_outcomes(spark, sf):
+    """The outcome of every packet of both tables."""
+    res = _related(spark, sf)
+    return res.parent.outcomes.select("seq", "action", "outcome", "reason").unionByName(res.child.outcomes.select("seq", "action", "outcome", "reason"))
+
+
 def _json_apply(spark, sf, strict=True):
     pk = parse_packets(fx.json_log(spark, sf))
     pk = pk.withColumn("n_unknown_r", F.size(unknown_keys("restriction", fx.ACCOUNTS)))
@@ -410,17 +439,61 @@ def restrict_unknown_col(spark, sf):
 
 # ---------------------------------------------------------------- slow tiers
 def restrict_non_key(spark, sf):
-    """F3 (+F6): update/delete restricted on an immutable non-key column (c_nationkey), barrier path."""
+    """F3 (+F6): update/delete restricted on an non-key column that no packet writes (c_nationkey)."""
     return apply_segmented(fx.customer_old(spark, sf), fx.barrier_log(spark, sf, "nation"), fx.CUSTOMERS).table
 
 
 def apply_barriers(spark, sf):
-    """Restrictions on a column the log itself rewrites (c_mktsegment): order matters, barrier path."""
+    """Restrictions on a column the log itself rewrites (c_mktsegment): order matters."""
     return apply_segmented(fx.customer_old(spark, sf), fx.barrier_log(spark, sf, "segment"), fx.CUSTOMERS).table
 
 
+def restrict_null(spark, sf):
+    """a restriction to NULL hits nothing, not even NULLs."""
+    o = apply_log(fx.customer_old(spark, sf), fx.named_customer_log(spark, sf), fx.NAMED_CUSTOMERS).outcomes
+    return o.where(F.col("seq").between(2000, 9999)).select("seq", "outcome")
+
+
+def unique_all_tiers(spark, sf):
+    """A unique column written and freed by restrictions on other columns, and by whole rows, in one log."""
+    return apply_log(fx.customer_old(spark, sf), fx.named_customer_log(spark, sf), fx.NAMED_CUSTOMERS).table
+
+
+def unique_all_tiers_outcomes(spark, sf):
+    """Which of these packets are refused or halt."""
+    o = apply_log(fx.customer_old(spark, sf), fx.named_customer_log(spark, sf), fx.NAMED_CUSTOMERS).outcomes
+    return o.select("seq", "action", "outcome", "reason", F.col("rows").cast("long").alias("rows"))
+
+
+def key_move_partial(spark, sf):
+    """A3, A10: updates that name a new key and nothing else; the row's values follow, later packets find it there."""
+    return apply_log(fx.snap_old(spark, sf), fx.key_move_partial_log(spark, sf), fx.ORDERS).table
+
+
+def _workers(res, name, contract):
+    d = res.destination.table.select(F.lit(name).alias("worker"), *contract.names)
+    return d.unionByName(res.targets.table.select(F.col("target").alias("worker"), *contract.names))
+
+
+def pipeline_key_move(spark, sf):
+    """Key moves at the destination and its replica."""
+    from rowtide.operators.distribute import ROUTES_DDL
+
+    old = fx.snap_old(spark, sf)
+    res = run_destination(old, fx.key_move_partial_log(spark, sf), spark.createDataFrame(fx.ORDER_ROUTES, ROUTES_DDL), fx.ORDERS, "orders", old.withColumn("target", F.lit("replica_a")))
+    return _workers(res, "orders", fx.ORDERS)
+
+
+def pipeline_barriers(spark, sf):
+    """Restrictions on a column that the log rewrites, at the destination and two replicas with different rows."""
+    from rowtide.operators.distribute import ROUTES_DDL
+
+    res = run_destination(fx.customer_old(spark, sf), fx.barrier_log(spark, sf, "segment"), spark.createDataFrame(fx.CUSTOMER_ROUTES, ROUTES_DDL), fx.CUSTOMERS, "customers", fx.customer_target_bases(spark, sf))
+    return _workers(res, "customers", fx.CUSTOMERS)
+
+
 def apply_key_move(spark, sf):
-    """A10: whole-row updates that change the key (capture images) -> delete + conditional insert."""
+    """A10: whole-row updates that change the key (capture images)."""
     return apply_key_moves(fx.snap_old(spark, sf), fx.key_move_log(spark, sf), fx.ORDERS).table
 
 
@@ -484,6 +557,22 @@ def stream_restart(spark, sf):
     return _stream(spark, sf, 2, (0, 1), checkpoints=2)
 
 
+def target_catch_up(spark, sf):
+    """D3: a replica that is disabled for the first half of the log applies it from its queue once it is enabled."""
+    from rowtide.operators.distribute import ROUTES_DDL
+
+    src, root, ckpt = (scratch_path(spark, f"catch-up-{x}") for x in ("src", "table", "ckpt"))
+    log = fx.json_log(spark, sf)
+    bounds = log.agg(F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
+    half = (bounds["lo"] + bounds["hi"]) // 2
+    base, replicas = fx.accounts_base(spark, sf), fx.accounts_target_bases(spark, sf)
+    for enabled, part in ((False, log.where(F.col("pos") < half)), (True, log.where(F.col("pos") >= half))):
+        routes = spark.createDataFrame([("accounts", "replica_a", "a", "public.accounts", True), ("accounts", "replica_b", "b", "public.accounts", enabled)], ROUTES_DDL)
+        write_packets(part, src)
+        stream_destination(spark, src, base, fx.ACCOUNTS, root, ckpt, None, routes=routes, destination="accounts", target_bases=replicas).awaitTermination()
+    return read_snapshot(spark, f"{root}/_targets")
+
+
 def queries() -> dict[str, Query]:
     return {
         "apply_mixed_log": apply_mixed_log,
@@ -517,6 +606,7 @@ def queries() -> dict[str, Query]:
         "apply_targets": apply_targets_q,
         "pipeline_batch": pipeline_batch,
         "custom_processor": custom_processor,
+        "target_tables": target_tables,
         "worker_stats": worker_stats_q,
         "sampled_counters": sampled_counters,
         "counter_deltas": counter_deltas_q,
@@ -530,10 +620,18 @@ def queries() -> dict[str, Query]:
         "reject_fk": reject_fk,
         "restrict_parent_delete": restrict_parent_delete,
         "cascade_parent_key": cascade_parent_key,
+        "fk_two_tables": fk_two_tables,
+        "fk_two_tables_outcomes": fk_two_tables_outcomes,
         "quarantine": quarantine_q,
         "restrict_unknown_col": restrict_unknown_col,
         "restrict_non_key": restrict_non_key,
         "apply_barriers": apply_barriers,
+        "restrict_null": restrict_null,
+        "unique_all_tiers": unique_all_tiers,
+        "unique_all_tiers_outcomes": unique_all_tiers_outcomes,
+        "key_move_partial": key_move_partial,
+        "pipeline_key_move": pipeline_key_move,
+        "pipeline_barriers": pipeline_barriers,
         "apply_key_move": apply_key_move,
         "key_move_outcomes": key_move_outcomes,
         "apply_unique_mixed": apply_unique_mixed,
@@ -542,4 +640,5 @@ def queries() -> dict[str, Query]:
         "pipeline_stream": pipeline_stream,
         "stream_late_packets": stream_late_packets,
         "stream_restart": stream_restart,
+        "target_catch_up": target_catch_up,
     }
