@@ -6,8 +6,8 @@ Tiers (chosen per packet by ``match_kind``):
 * keyless add/set with a surrogate key: ids allocated in seq order, data enriched, then T1.
 * tables with unique keys, and logs with key-moving updates: owners of unique values and keys are decided in
   order of seq first (:mod:`rowtide.operators.conflicts`); packets then go on with the key they hit or create.
-* T2  part of a composite key: expanded by a join with the key universe (base keys + keys the log
-  inserts); each hit row is an effect of the same seq; the packet outcome aggregates its effects.
+* T2  part of a composite key: looked up per row in linear space (:mod:`rowtide.operators.prefixes`); mixed with T3 or unique
+  keys, expanded by a join with the key universe (base keys + keys the log inserts).
 * T3  restriction on non-key columns: the rows hit come from the rows' versions (:mod:`rowtide.operators.versions`) and
   are effects like those of T2.
 * Logs that move keys, or mix unique keys with T2 or T3, are folded by row life (:mod:`rowtide.operators.lives`).
@@ -25,8 +25,9 @@ from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, map_of, rp, rv, with_extra
 from rowtide.operators.align import _all, _any, prepare
 from rowtide.operators.conflicts import decide, with_new_ids
-from rowtide.operators.fold import DEFAULT_SPAN, fold
+from rowtide.operators.fold import DEFAULT_SPAN, FoldResult, fold
 from rowtide.operators.keys import allocate_keys
+from rowtide.operators.prefixes import Prefixes, fold_with_prefixes
 from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize, measured_bytes
 
 OUTCOMES = ("inserted", "updated", "deleted", "noop", "rejected", "quarantined")
@@ -339,13 +340,18 @@ def apply_changes(
             no_key = keyless
         no_key = no_key | by_unique
 
+    prefixes = None
     if len(key) > 1:
-        universe = base.select(*key).unionByName(inserted_keys.select(*key)).distinct()
         part = classify(prepared.where(partial), contract, F.lit(False))
-        expanded = expand_partial(part, universe, contract, broadcast_bytes)
-        exp_keys = {k: F.col(f"__k_{k}") for k in key}
-        # written once: the fold reads the effects several times, the join runs once
-        effects = effects.unionByName(materialize(expanded.select(*_effect_columns(contract, carry, exp_keys))))
+        if conflicts or hits is not None:
+            universe = base.select(*key).unionByName(inserted_keys.select(*key)).distinct()
+            expanded = expand_partial(part, universe, contract, broadcast_bytes)
+            exp_keys = {k: F.col(f"__k_{k}") for k in key}
+            # written once: the fold reads the effects several times, the join runs once
+            effects = effects.unionByName(materialize(expanded.select(*_effect_columns(contract, carry, exp_keys))))
+        else:
+            given = {k: F.coalesce(F.when(a == "set", F.col(dp(k))).otherwise(F.col(rp(k))), F.lit(False)) for k in key}
+            prefixes = Prefixes(part, contract, given, {k: F.when(a == "set", F.col(dv(k))).otherwise(F.col(rv(k))) for k in key}, identity, span, broadcast_bytes)
 
     restricted = ok & (mk == "non_key")
     if hits is not None:
@@ -354,17 +360,36 @@ def apply_changes(
         hit = pred.join(named, [F.col(c) == F.col(f"__p_{c}") for c in ("seq", *identity)])
         effects = effects.unionByName(hit.select(*_effect_columns(contract, carry, {k: F.col(f"__k_{k}") for k in key})))
 
-    result = fold(base, effects, contract, span, broadcast_bytes)
-    folded = result.effects
+    by_prefix = None
+    if prefixes is not None and prefixes.sets:
+        log_keys = effects.select(*key).distinct()
+        log_keys = broadcast_if_small(log_keys, broadcast_bytes) if broadcast_bytes > 0 else log_keys
+        direct_effects = fold_with_prefixes(base, effects, base.select(*key).join(log_keys, key, "left_semi"), prefixes)
+        lives = materialize(prefixes.lives(base, direct_effects))
+        by_prefix = materialize(prefixes.outcomes(prefixes.counts(lives)))
+        # not run unless it is read: one row per packet and row hit
+        hit = prefixes.hits(lives).select(*_effect_columns(contract, carry, {k: F.col(f"__k_{k}") for k in key}))
+        done = F.when(F.col("cls") == "halt", "quarantined").when(F.col("cls") == "del", "deleted").otherwise("updated")
+        hit = hit.withColumns({"live_before": F.lit(True), "outcome": done, "reason": F.when(F.col("cls") == "halt", F.col("pre_reason"))})
+        result = FoldResult(direct_effects.unionByName(hit, allowMissingColumns=True), prefixes.table(base, direct_effects))
+        folded, direct_rows = result.effects, direct_effects
+    else:
+        result = fold(base, effects, contract, span, broadcast_bytes)
+        folded = direct_rows = result.effects
 
     # ---- per-packet outcomes
     spread = F.col("match_kind").isin("pk_partial", "non_key")  # packets with any number of effects
-    direct = folded.where(~spread).select(
+    direct = direct_rows.where(~spread).select(
         "seq", "action", "match_kind", *key, "outcome", "reason",
         F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"),
         *_packet_maps(contract, True), *carry,
     )
-    part_out = spread_outcomes(prepared.where(partial | restricted if hits is not None else partial), folded.where(spread), contract, identity, carry)
+    if by_prefix is not None:
+        part_out = by_prefix.select(
+            "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key], "outcome", "reason", "rows", *_packet_maps(contract, False), *carry,
+        )
+    else:
+        part_out = spread_outcomes(prepared.where(partial | restricted if hits is not None else partial), folded.where(spread), contract, identity, carry)
     bad = unsaved(
         prepared.where(~ok | no_key | partial_add | (restricted if hits is None else F.lit(False))), contract, carry,
         F.when(restricted, "quarantined").when(ok | (F.col("reject_reason") == "null_key"), "rejected").otherwise("quarantined"),

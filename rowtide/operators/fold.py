@@ -69,14 +69,22 @@ def reason_of(cls: Column, action: Column, live: Column, pre: Column) -> Column:
 
 
 def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span: int = DEFAULT_SPAN) -> DataFrame:
-    """Add ``live_before`` and ``b_live`` (row present in the base) to every effect row."""
-    lv = F.when(F.col("cls") == "ins", F.lit(True)).when(F.col("cls") == "del", F.lit(False))
+    """Add ``live_before`` and ``b_live`` (row present in the base) to every effect row.
+
+    ``pd``, if it is a column of ``effects``, is the seq of the last delete before the effect that isn't an effect itself.
+    """
+    others = "pd" in effects.columns
+
+    def known(live: bool, seq: Column) -> Column:
+        return F.struct(seq.cast("long").alias("s"), F.lit(live).alias("v")) if others else F.lit(live)
+
+    lv = F.when(F.col("cls") == "ins", known(True, F.col("seq"))).when(F.col("cls") == "del", known(False, F.col("seq")))
     e = effects.withColumn("bkt", F.expr(f"seq div {int(span)}")).withColumn("lv", lv)
 
     chunks = e.groupBy(*key, "bkt").agg(
         F.max_by("lv", F.when(F.col("lv").isNotNull(), F.col("seq"))).alias("last_lv")
     )
-    sentinels = base_hits.select(*key, F.lit(BASE_BUCKET).cast("long").alias("bkt"), F.lit(True).alias("last_lv"))
+    sentinels = base_hits.select(*key, F.lit(BASE_BUCKET).cast("long").alias("bkt"), known(True, F.lit(MIN_SEQ)).alias("last_lv"))
     w = Window.partitionBy(*key).orderBy("bkt")
     carry = (
         chunks.unionByName(sentinels)
@@ -84,7 +92,7 @@ def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span:
             *key,
             "bkt",
             F.coalesce(
-                F.last("last_lv", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)
+                F.last("last_lv", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), known(False, F.lit(MIN_SEQ))
             ).alias("carry"),
             F.max(F.col("bkt") == BASE_BUCKET).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(
                 "b_live"
@@ -100,8 +108,11 @@ def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span:
         seeds, allowMissingColumns=True
     )
     wc = Window.partitionBy(*key, "bkt").orderBy("seq")
+    live = F.last("lv", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1))
+    if others:
+        live = live["v"] & ~F.coalesce(F.col("pd") > live["s"], F.lit(False))
     return (
-        u.withColumn("live_before", F.last("lv", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)))
+        u.withColumn("live_before", live)
         .withColumn("b_live", F.first("b_live").over(wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .where(~F.col("is_seed"))
         .drop("is_seed", "lv", "bkt")

@@ -80,6 +80,32 @@ def test_composite_keys_with_a_unique_column(spark):
     same(spark, PAIRS, [(i, j, f"u{4 * i + j}", f"g{j}") for i in (1, 2) for j in (1, 2, 3)], log, broadcast_bytes=0)
 
 
+GRID = TableContract(name="g", columns=(("o", "bigint"), ("n", "bigint"), ("t", "string"), ("w", "string")), primary_key=("o", "n"), required=frozenset({"t"}), defaults={"w": "d"})
+
+
+@pytest.mark.parametrize("seed, span, broadcast", [(1, 3, 0), (2, 1 << 20, 1 << 20)])
+def test_parts_of_keys(spark, seed, span, broadcast):
+    rng = random.Random(seed)
+    o, n, log = (lambda: str(rng.randint(1, 4))), (lambda: str(rng.randint(1, 4))), []
+    for seq in range(1, 121):
+        kind = rng.choice(["add", "set", "update", "delete", "by_o", "by_n", "set_o", "set_n", "halt", *(["del_o", "del_n"] if rng.random() < 0.5 else [])])
+        log.append({
+            "add": (seq, "add", {"o": o(), "n": n(), "t": f"a{seq}"}, None),
+            "set": (seq, "set", {"o": o(), "n": n()} | ({"t": f"s{seq}"} if rng.random() < 0.6 else {"w": f"s{seq}"}), None),
+            "update": (seq, "update", {"t": f"u{seq}"}, {"o": o(), "n": n()}),
+            "delete": (seq, "delete", None, {"o": o(), "n": n()}),
+            "by_o": (seq, "update", {"t": f"p{seq}"}, {"o": o()}),
+            "by_n": (seq, "update", {"w": rng.choice([None, f"q{seq}"])}, {"n": n()}),
+            "set_o": (seq, "set", {"o": o(), "w": f"r{seq}"}, None),
+            "set_n": (seq, "set", {"n": n(), "t": rng.choice([None, f"x{seq}"])}, None),
+            "halt": (seq, "update", {"t": None}, {"o": o()}),
+            "del_o": (seq, "delete", None, {"o": o()}),
+            "del_n": (seq, "delete", None, {"n": n()}),
+        }[kind])
+    base = [(i, j, "b", None) for i in (1, 2, 3) for j in (1, 2, 5)]
+    same(spark, GRID, base, log, span=span, broadcast_bytes=broadcast)
+
+
 def test_moves_of_a_part_of_the_key(spark):
     base = [(1, 1, "a", "x"), (1, 2, "b", "x"), (2, 1, "c", "y"), (5, 2, "d", "y")]
     log = [(1, "update", {"o": "5"}, {"o": "1"}), (2, "delete", None, {"n": "2", "g": "y"}), (3, "update", {"o": "5"}, {"o": "1"}), (4, "update", {"g": "z"}, {"o": "5"}), (5, "update", {"n": "3"}, {"g": "z"}), (6, "update", {"o": "7", "g": "w"}, {"u": "b"})]
