@@ -64,7 +64,7 @@ def test_two_tables_in_one_log(spark, column):
     rng = random.Random(5)
     parents, children = [(i, "v") for i in range(1, 6)], [(1, 1, 2), (2, 1, None), (3, 1, 3)]
     k, log = (lambda: str(rng.randint(1, 7))), []
-    for seq in range(1, 36):
+    for seq in range(1, 25):
         kind = rng.choice(["add", "del", "del", "move", "child", "child", "child_del", "child_drop", *(["child_upd"] if column == "p" else [])])
         log.append({
             "add": (seq, "parent", rng.choice(["add", "set"]), {"id": k()}, None),

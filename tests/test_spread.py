@@ -54,14 +54,14 @@ def plain_log(rng, n, moves):
 def test_plain_rows(spark, seed, moves, span, broadcast):
     rng = random.Random(seed)
     base = [(i, f"g{i % 4 + 1}", 7, "b") for i in range(1, 8)]
-    same(spark, PLAIN, base, plain_log(rng, 36, moves), span=span, broadcast_bytes=broadcast)
+    same(spark, PLAIN, base, plain_log(rng, 28, moves), span=span, broadcast_bytes=broadcast)
 
 
 def test_composite_keys_with_a_unique_column(spark):
     rng = random.Random(1)
     o, n, u, g = (lambda: str(rng.randint(1, 3))), (lambda: str(rng.randint(1, 4))), (lambda: f"u{rng.randint(1, 14)}"), (lambda: f"g{rng.randint(1, 3)}")
     log = []
-    for seq in range(1, 41):
+    for seq in range(1, 31):
         kind = rng.choice(["add", "set", "update", "part", "part_set", "del_part", "by_g", "del_g", "by_u", "move", "move_part"])
         log.append({
             "add": (seq, "add", {"o": o(), "n": n(), "u": u(), "g": g()}, None),
@@ -139,7 +139,7 @@ def test_a_thousand_restrictions_take_few_rounds(spark, monkeypatch):
 @pytest.mark.parametrize("contract", [PLAIN, PAIRS])
 def test_replicas_equal_the_destination(spark, contract):
     if contract is PLAIN:
-        base, log = [(i, f"g{i % 4 + 1}", 7, "b") for i in range(1, 8)], plain_log(random.Random(7), 18, True)
+        base, log = [(i, f"g{i % 4 + 1}", 7, "b") for i in range(1, 8)], plain_log(random.Random(7), 12, True)
     else:
         base = [(1, 1, "a", "x"), (1, 2, "b", "x"), (2, 1, "c", "y")]
         log = [(1, "update", {"n": "5"}, {"o": "1", "n": "2"}), (2, "set", {"o": "1", "g": "w"}, None), (3, "update", {"u": "d"}, {"g": "y"}), (4, "update", {"u": "b"}, {"g": "y"}), (5, "delete", None, {"g": "w", "n": "1"}), (6, "add", {"o": "9", "n": "9", "u": "a"}, None)]

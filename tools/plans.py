@@ -16,6 +16,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from rowtide.operators.align import prepare  # noqa: E402
 from rowtide.operators.apply import classify, _effect_columns, _key_from_packet  # noqa: E402
 from rowtide.operators.fold import fold_effects, merge_into_base, summarize  # noqa: E402
+from rowtide.functions.packets import rp, rv  # noqa: E402
+from rowtide.operators.versions import match, version_intervals, with_restriction  # noqa: E402
 from rowtide.plans import fixtures as fx  # noqa: E402
 from rowtide.session import local_session  # noqa: E402
 
@@ -56,6 +58,17 @@ def main():
     print(condensed(summarize(folded, c)))
     print("```\n\n## Merge into the base (broadcast summary: the base is scanned, never shuffled)\n\n```")
     print(condensed(merge_into_base(base, summarize(folded, c), c, broadcast_bytes=0).hint("broadcast")))
+    print("```\n\n## Restrictions on a column: rows hit, as of each packet (customers log; one round)\n")
+    print("Base rows without changes of the column are streamed past the restrictions; the changed ones come from the chunked")
+    print("scan. One join per set of restricted columns, whatever the number of packets.\n\n```")
+    cust = fx.CUSTOMERS
+    prepared = prepare(fx.barrier_log(spark, sf, "segment"), cust)
+    full = classify(prepared.where("match_kind = 'pk'"), cust, F.lit(True)).select(*_effect_columns(cust, [], _key_from_packet(cust)))
+    rows = fx.customer_old(spark, sf)
+    done = fold_effects(full, rows.select("c_custkey"), cust)
+    wide = with_restriction(prepared.where("match_kind = 'non_key'"), cust, {x: (F.col(rp(x)), F.col(rv(x))) for x in cust.names})
+    intervals = version_intervals(rows, done, cust, ["c_mktsegment"], broadcast_bytes=0)
+    print(condensed(match(intervals, wide, cust, ["c_mktsegment"], ["seq"], broadcast_bytes=0)))
     print("```")
 
 
