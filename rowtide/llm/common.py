@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +47,22 @@ def join_rows(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how
     renamed = found.select(*[F.col(c).alias(n) for c, n in names.items()])
     keyed = docs.withColumn(key, row_key(id_col, text_col))
     return keyed.join(renamed, F.col(id_col).eqNullSafe(F.col(names["doc_id"])) & (F.col(key) == F.col(names["_key"])), how), names
+
+
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system: workers stay, beside the JVM, when their stage is over."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, with :func:`release_memory` at the end."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+
+    return wrapped

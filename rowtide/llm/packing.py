@@ -33,11 +33,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import releasing
 from rowtide.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 RANK_ROWS = 50_000
 BATCH_BYTES = 2_000_000
 GATHER_WORDS = 1 << 18
@@ -136,8 +137,9 @@ class WordEncoder:
                 ids[i] = known[word] = found
         return ids
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text (null: none). Texts that may hold special tokens go through the tokenizer."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self.by_word:
             return [self._whole(t) for t in texts.to_pylist()]
@@ -205,7 +207,7 @@ def _pieces(path: str, capacity: int, end_id: int) -> Callable:
 def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: the tokens of every document and the end id, cut at the capacity."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_pieces(path, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(releasing(_pieces(path, capacity, end_id)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
