@@ -19,14 +19,14 @@ n-gram; equal rows are one class; a null id is never the smallest; an empty tabl
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import join_rows, quoted, row_key
+from rowtide.llm.common import join_rows, quoted, release_memory, releasing, row_key
 from rowtide.llm.links import components
 from rowtide.session import broadcast_if_small, materialize
 
@@ -38,6 +38,7 @@ SHORT = 32
 CENTRES = 12
 CELLS = 256
 BLOCK = 1 << 17
+SLICE_BYTES = 500_000
 FLUSH = 4_000_000  # n-grams that a counting task holds
 PART_BYTES = 32_000_000  # of text per part of the counts
 
@@ -52,43 +53,65 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 LETTERS = 1 << 6  # places of a word whose (place, byte) values are looked up
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_letters = _mix((np.arange(LETTERS * 256, dtype=np.uint64) + np.uint64(1)) * _GOLD)
+_weights = _mix(np.arange(1, 65, dtype=np.uint64) * _GOLD) | np.uint64(1)
+_letters = _mix((np.arange((LETTERS + 1) * 256, dtype=np.uint64) + np.uint64(1)) * _GOLD)
 
 
 def _word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash per word: the mixed sum of a mixed value per (place in the word, byte)."""
-    place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.r_[starts, len(raw)]))
-    code = place * 256 + raw
-    values = _letters[np.minimum(code, LETTERS * 256 - 1)]
+    place = np.arange(len(raw), dtype=np.int32) - np.repeat(starts.astype(np.int32), np.diff(np.r_[starts, len(raw)]))
+    values = _letters[(np.minimum(place, LETTERS) << 8) | raw]
     far = np.flatnonzero(place >= LETTERS)
-    values[far] = _mix((code[far].astype(np.uint64) + np.uint64(1)) * _GOLD)
-    total = np.r_[np.uint64(0), np.cumsum(values, dtype=np.uint64)]
-    return _mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * _GOLD)
+    if len(far):
+        values[far] = _mix((place[far].astype(np.uint64) * np.uint64(256) + raw[far] + np.uint64(1)) * _GOLD)
+    values[ends[:-1]] = 0  # the spaces
+    return _mix(np.add.reduceat(values, starts) + (ends - starts).astype(np.uint64) * _GOLD)
 
 
-def ngrams(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams (words by ASCII white space, A-Z lowered).
+def ngrams_of(texts: Iterable[str | None], n: int = 5) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its word n-grams (words by ASCII white space, A-Z lowered).
 
     Hashes of the words are weighted by their place in the n-gram, summed and mixed again: there is no algebra between
-    different texts that would make their sums meet, other than by chance.
+    different texts that would make their sums meet, other than by chance. Texts go through in slices of ``SLICE_BYTES``.
     """
-    data = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
-    if not data:
-        return np.empty(0, np.uint64)
-    raw = np.frombuffer(data, np.uint8)
+    held, size = [], 0
+    for text in texts:
+        held.append(b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()))
+        size += len(held[-1])
+        if size > SLICE_BYTES:
+            yield from _ngrams(held, n)
+            held, size = [], 0
+    yield from _ngrams(held, n)
+
+
+def _ngrams(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
+    words = np.array([t.count(b" ") + 1 if t else 0 for t in texts], np.int64)
+    raw = np.frombuffer(b" ".join(t for t in texts if t), np.uint8)
     gaps = np.flatnonzero(raw == 32)
     starts, ends = np.r_[0, gaps + 1], np.r_[gaps, len(raw)]
-    words = []
-    for i in range(0, len(starts), BLOCK):  # bounded working memory for very long texts
+    parts = [np.empty(0, np.uint64)]
+    for i in range(0, len(starts) if len(raw) else 0, BLOCK):  # bounded working memory for very long texts
         s, e = starts[i : i + BLOCK], ends[i : i + BLOCK]
-        words.append(_word_hashes(raw[s[0] : e[-1]], s - s[0], e - s[0]))
-    hashes = np.concatenate(words)
-    width = min(n, len(hashes))
-    count = len(hashes) - width + 1
-    total = np.full(count, width, np.uint64)
-    for j in range(width):
-        total += _mix(hashes[j : j + count] + np.uint64((j + 1) * int(_GOLD) % (1 << 64)))
-    return np.unique(_mix(total))
+        parts.append(_word_hashes(raw[s[0] : e[-1]], s - s[0], e - s[0]))
+    hashes = np.concatenate(parts)
+
+    def combined(h: np.ndarray, width: int) -> np.ndarray:
+        count = len(h) - width + 1
+        total = np.full(max(count, 0), width, np.uint64)
+        for j in range(width if count > 0 else 0):
+            total += h[j : j + count] * _weights[j % len(_weights)]
+        return _mix(total)
+
+    whole = combined(hashes, n)  # those that reach into the next text aren't used
+    at = 0
+    for w in words.tolist():
+        yield np.unique(whole[at : at + w - n + 1]) if w >= n else combined(hashes[at : at + w], w) if w else np.empty(0, np.uint64)
+        at += w
+
+
+def ngrams(text: str | None, n: int = 5) -> np.ndarray:
+    """:func:`ngrams_of` one text."""
+    return next(iter(ngrams_of([text], n)))
 
 
 def needed(size: int, pct: int) -> int:
@@ -119,9 +142,9 @@ def _count_map(n: int, part_bits: int) -> Callable:
 
         size = 0
         for frame in frames:
-            for text in frame["text"]:
-                held.append(ngrams(text, n))
-                size += len(held[-1])
+            for grams in ngrams_of(frame["text"], n):
+                held.append(grams)
+                size += len(grams)
                 if size > FLUSH:
                     yield flush()
                     size = 0
@@ -143,7 +166,7 @@ def heavy_ngrams(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     """The ``HEAVY`` most frequent n-gram buckets with their counts over all documents."""
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     part_bits = max(6, (total // PART_BYTES).bit_length())  # the parts grow with the table
-    packed = docs.select(F.col(text_col).alias("text")).mapInPandas(_count_map(n, part_bits), "part int, blob binary")
+    packed = docs.select(F.col(text_col).alias("text")).mapInPandas(releasing(_count_map(n, part_bits)), "part int, blob binary")
     counts = packed.groupBy("part").applyInPandas(_count_reduce, "bucket long, df long")
     return counts.orderBy(F.desc("df"), "bucket").limit(HEAVY)
 
@@ -163,8 +186,7 @@ def _signature(heavy, n: int, pct: int) -> Callable:
         seen[bucket & np.uint64((1 << 22) - 1)] = True
         for texts in batches:
             sizes, signs, prefixes, chunks, sketches = [], [], [], [], []
-            for text in texts:
-                h = ngrams(text, n)
+            for h in ngrams_of(texts, n):
                 sizes.append(len(h))
                 sketches.append(_sketch(h))
                 if not len(h):
@@ -190,6 +212,7 @@ def _signature(heavy, n: int, pct: int) -> Callable:
                 split = w > CHUNK
                 chunks.append((np.where(split, sign[0] % np.maximum(-(-w // CHUNK), 1).astype(np.uint64), 0) * 2 + split).astype(np.int32))
             yield pd.DataFrame({"n": pd.Series(sizes, dtype="int64"), "sign": pd.Series(signs, dtype="int64"), "prefix": prefixes, "chunk": chunks, "sketch": sketches})
+        release_memory()
 
     return run
 
@@ -282,7 +305,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame, id_col: str, t
     texts = keyed.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_k") == F.col("_key"))).select("_row", "text").dropDuplicates(["_row"])
     one = pairs.join(texts.select(F.col("_row").alias("b"), F.col("text").alias("tb")), "b")
     two = one.join(texts.select(F.col("_row").alias("a"), F.col("text").alias("ta")), "a")
-    return two.select("a", "b", "ta", "tb").mapInPandas(_verify_map(n, pct), "u long, v long")
+    return two.select("a", "b", "ta", "tb").mapInPandas(releasing(_verify_map(n, pct)), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, pct: int = 80) -> DataFrame:
@@ -299,7 +322,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(keyed.select("_row", "doc_id", "_key", "s.*"))
     classes = rows.filter(F.col("n") > 0).groupBy("sign", "n").agg(F.min("_row").alias("rep"), F.first(F.struct("prefix", "chunk")).alias("p"))
     postings = classes.select("rep", "n", F.posexplode(F.arrays_zip("p.prefix", "p.chunk")).alias("pos", "x")).select(F.col("x.prefix").alias("g"), F.col("x.chunk").alias("chunk"), "rep", "n", F.col("pos").cast("long").alias("pos"))
-    lists = materialize(postings.repartition("g", "chunk").mapInPandas(_list_map(pct), "kind int, a long, b long, chunk long, n long, pos long"))
+    lists = materialize(postings.repartition("g", "chunk").mapInPandas(releasing(_list_map(pct)), "kind int, a long, b long, chunk long, n long, pos long"))
     pairs = lists.filter("kind = 0").select("a", "b").distinct()
     links = materialize(_verified(pairs, docs, rows, id_col, text_col, n, pct))
     labels = components(links)
@@ -367,7 +390,7 @@ def _across(long: DataFrame, labels: DataFrame, rows: DataFrame, tried: DataFram
     places = members.select("g", "chunk").distinct()
     outside = members.filter("label <> major").drop("chunk").join(places, "g")
     both = members.select(*columns, F.lit(0).alias("sent")).unionByName(outside.select(*columns, F.lit(1).alias("sent")))
-    pairs = both.repartition("g", "chunk").mapInPandas(_across_map(pct), "a long, b long").distinct()
+    pairs = both.repartition("g", "chunk").mapInPandas(releasing(_across_map(pct)), "a long, b long").distinct()
     return materialize(pairs.join(tried, ["a", "b"], "left_anti"))
 
 
