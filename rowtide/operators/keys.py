@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize, measured_bytes
 
 DEFAULT_SPAN = 1 << 20
 
@@ -46,14 +46,16 @@ def _gid(cols: list[str], cand: tuple[str, ...]) -> int:
 
 
 def rank_by_seq(df: DataFrame, span: int = DEFAULT_SPAN, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Add ``rank`` = 1-based position of each row in ``seq`` order, without a one-partition window.
+    """Add ``rank`` = 1-based position of each row in ``seq`` order, without a one-partition window; rows without seq have none.
 
-    Rows are bucketed by seq range; bucket sizes (partial aggregate) are prefix-summed in two levels
-    (buckets within a super bucket, then super buckets), the offsets joined back, and a window
-    partitioned by bucket numbers the rows inside it (at most ``span`` rows per window partition).
+    Only the seqs are ranked: a table of one narrow row per seq, bucketed by seq range. Bucket sizes (partial aggregate) are
+    prefix-summed in two levels (buckets within a super bucket, then super buckets), the offsets joined back, and a window
+    partitioned by bucket numbers the seqs inside it (at most ``span`` of them per window partition). The rows themselves,
+    however wide, get their rank by a join on seq and go through no window, except rows that share a seq.
     """
-    b = df.withColumn("__bkt", F.expr(f"seq div {int(span)}"))
-    counts = b.groupBy("__bkt").agg(F.count(F.lit(1)).alias("__n")).withColumn("__sb", F.expr("__bkt div 4096"))
+    seqs = df.where(F.col("seq").isNotNull()).groupBy(F.col("seq").alias("__at")).agg(F.count(F.lit(1)).alias("__k"))
+    b = seqs.withColumn("__bkt", F.expr(f"__at div {int(span)}"))
+    counts = b.groupBy("__bkt").agg(F.sum("__k").alias("__n")).withColumn("__sb", F.expr("__bkt div 4096"))
     inner = Window.partitionBy("__sb").orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__off_in", F.coalesce(F.sum("__n").over(inner), F.lit(0)))
     supers = counts.groupBy("__sb").agg(F.sum("__n").alias("__sn"))
@@ -62,12 +64,15 @@ def rank_by_seq(df: DataFrame, span: int = DEFAULT_SPAN, broadcast_bytes: int =
     supers = supers.withColumn("__off_sb", F.coalesce(F.sum("__sn").over(outer), F.lit(0)))
     offsets = counts.join(supers, "__sb").select("__bkt", (F.col("__off_in") + F.col("__off_sb")).alias("__off"))
     offsets = broadcast_if_small(offsets, broadcast_bytes) if broadcast_bytes > 0 else offsets
-    w = Window.partitionBy("__bkt").orderBy("seq")
-    return (
-        b.join(offsets, "__bkt")
-        .withColumn("rank", (F.col("__off") + F.row_number().over(w)).cast("long"))
-        .drop("__bkt", "__off")
-    )
+    w = Window.partitionBy("__bkt").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("__off") + F.coalesce(F.sum("__k").over(w), F.lit(0))
+    ranks = materialize(b.join(offsets, "__bkt").select("__at", "__k", before.alias("__before")))
+    shared = not ranks.where("__k > 1").isEmpty()
+    if 0 < measured_bytes(ranks) <= broadcast_bytes:
+        ranks = F.broadcast(ranks)
+    place = F.row_number().over(Window.partitionBy("seq").orderBy("seq")) if shared else F.lit(1)
+    ranked = df.join(ranks.drop("__k"), F.col("seq") == F.col("__at"))
+    return ranked.withColumn("rank", (F.col("__before") + place).cast("long")).drop("__at", "__before")
 
 
 def allocate_keys(
