@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, map_of, rp, rv, with_extra
 from rowtide.operators.align import _all, _any, prepare
-from rowtide.operators.conflicts import decide, with_new_ids
+from rowtide.operators.conflicts import decide, named_key, with_new_ids
 from rowtide.operators.fold import DEFAULT_SPAN, FoldResult, fold
 from rowtide.operators.keys import allocate_keys
 from rowtide.operators.prefixes import Prefixes, fold_with_prefixes
@@ -179,10 +179,11 @@ def is_open_move(contract: TableContract) -> Column:
 
 
 def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract, span: int, broadcast_bytes: int,
-                       hits: DataFrame | None = None, by_life: bool = False, open_moves: bool = False) -> tuple[DataFrame, DataFrame]:
+                       hits: DataFrame | None = None, by_life: bool = False, open_moves: bool = False, by_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """Classified packets with ``verdict``, ``life`` and the key columns ``__k_<key>`` they hit or create; all verdicts.
 
-    ``by_life``: rows carry ``__move``, and packets that would halt look up the life they hit.
+    ``by_life``: rows carry ``__move``, and packets that would halt look up the life they hit. ``by_key``: nothing but moves of
+    whole keys ties keys together, so packets that name a key no move names aren't replayed: their life is that key.
     """
     a, cls, mk = F.col("action"), F.col("cls"), F.col("match_kind")
     by_unique = (mk == "unique") & (a == "set")
@@ -200,11 +201,18 @@ def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract
     for i in reversed(range(len(contract.unique_keys))):
         uk_idx = F.when(_all([F.col(dp(c)) for c in contract.unique_keys[i]]), F.lit(i)).otherwise(uk_idx)
     # kind none: a packet that can't change anything; the fold refuses it on its own key
-    rows = materialize(rows.withColumn("kind", kind).withColumn("uk_idx", uk_idx))
-    decided = materialize(with_new_ids(decide(base, rows, contract, broadcast_bytes, hits, open_moves), rows, base, contract, span, broadcast_bytes))
-    joined = rows.join(decided, "__pid", "left").withColumn("verdict", F.coalesce("verdict", F.lit("go")))
-    parts = F.from_json("k", "array<string>")
+    rows = rows.withColumn("kind", kind).withColumn("uk_idx", uk_idx)
+    if not by_life:  # by life, rows are columns of an aligned log that is written already
+        rows = materialize(rows)
+    decided = materialize(with_new_ids(decide(base, rows, contract, broadcast_bytes, hits, open_moves, by_key), rows, base, contract, span, broadcast_bytes))
+    joined = rows.join(decided.withColumn("__replayed", F.lit(True)), "__pid", "left").withColumn("verdict", F.coalesce("verdict", F.lit("go")))
     own = _key_from_packet(contract)
+    if by_key:  # no packet hits or creates another key than the one it names
+        alone = F.when(F.col("__replayed").isNull() & (F.col("kind") != "none"), named_key(contract))
+        joined = joined.withColumn("life", F.coalesce("life", alone)).withColumns({f"__k_{k}": own[k].cast(contract.type_of(k)) for k in contract.primary_key})
+        return joined.drop("__replayed"), decided
+    joined = joined.drop("__replayed")
+    parts = F.from_json("k", "array<string>")
     for i, k in enumerate(contract.primary_key):
         given = F.when(F.col("kind") == "none", own[k])
         joined = joined.withColumn(f"__k_{k}", F.coalesce(parts[i].cast(contract.type_of(k)), given))

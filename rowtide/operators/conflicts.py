@@ -58,7 +58,7 @@ def _nodes(keys: list[Column], contract: TableContract, value: dict[str, Column]
     for i, uk in enumerate(contract.unique_keys):
         c = uk[-1]
         parts.append(F.when(given[c] & value[c].isNotNull(), F.xxhash64(F.lit(f"u{i}"), value[c].cast("string"))))
-    return F.array_compact(F.array(*parts))
+    return F.array_except(F.array(*parts), F.array(F.lit(None).cast("long")))  # without the nulls, and without a lambda, which isn't compiled
 
 
 _EVENT_COLUMNS = ("seq", "pid", "kind", "k", "k2", "life", "has", "vals", "new_vals", "nodes")
@@ -67,6 +67,8 @@ _EVENT_COLUMNS = ("seq", "pid", "kind", "k", "k2", "life", "has", "vals", "new_v
 def _replay_map(unique: list[list[int]]):
     """The sequential rule, over events sorted by component, seq and packet; ``unique``: places of the columns of each unique key."""
 
+    nothing = ([], [], [])  # no unique columns: the events come without their values
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         comp, rows, lives, place, owner, group = None, {}, {}, {}, [], []
 
@@ -101,7 +103,7 @@ def _replay_map(unique: list[list[int]]):
             for (k, row, life), (_, e) in zip(old, here, strict=True):
                 if e.kind == "hit_delete":
                     continue
-                new = [v if h else o for h, v, o in zip(e.has, e.vals, row, strict=True)]
+                new = [v if h else o for h, v, o in zip(e.has, e.vals, row, strict=True)] if unique else []
                 key = k if e.k2 is None else json.dumps([b if a is None else a for a, b in zip(json.loads(e.k2), json.loads(k), strict=True)], separators=(",", ":"), ensure_ascii=False)
                 if key in rows or taken(new, key):
                     verdict = "halt_key" if key in rows else "halt_unique"
@@ -126,7 +128,7 @@ def _replay_map(unique: list[list[int]]):
                 if e.kind.startswith("hit_"):
                     group.append(e)
                     continue
-                has, vals, new = list(e.has), list(e.vals), list(e.new_vals)
+                has, vals, new = (list(e.has), list(e.vals), list(e.new_vals)) if unique else nothing
                 k, verdict, created = e.k, "go", False
                 if e.kind == "base":
                     put(k, new, k)
@@ -173,6 +175,12 @@ def _replay_map(unique: list[list[int]]):
     return run
 
 
+def named_key(contract: TableContract) -> Column:
+    """The whole key that a packet names: in its data (add, set), or in its restriction."""
+    data_key = F.when(F.greatest(*[F.col(dp(k)) for k in contract.primary_key], F.lit(False)) & ~F.greatest(*[F.col(dv(k)).isNull() for k in contract.primary_key], F.lit(False)), _json_key([F.col(dv(k)) for k in contract.primary_key]))
+    return F.when(F.col("action").isin("add", "set"), data_key).otherwise(_json_key([F.col(rv(k)) for k in contract.primary_key]))
+
+
 def new_key(contract: TableContract) -> Column:
     """The key of a row after a key move; null where neither data nor restriction names a column."""
     return _json_key([F.when(F.col(dp(k)), F.col(dv(k))).otherwise(F.col(rv(k))) for k in contract.primary_key])
@@ -189,28 +197,32 @@ def _written(packets: DataFrame, contract: TableContract, kind: Column, k: Colum
     return packets.select(*[cols[c].alias(c) for c in _EVENT_COLUMNS])
 
 
-def decide(base: DataFrame, packets: DataFrame, contract: TableContract, broadcast_bytes: int, hits: DataFrame | None = None, open_moves: bool = False) -> DataFrame:
+def decide(base: DataFrame, packets: DataFrame, contract: TableContract, broadcast_bytes: int, hits: DataFrame | None = None, open_moves: bool = False, by_key: bool = False) -> DataFrame:
     """``__pid, verdict, k, created, life`` for classified full-key, keyless and unique-key packets and moves.
 
     ``packets``: prepared columns, ``cls``, ``__pid`` (unique text), ``kind`` (add, set, update, only, delete, move, look,
     set_unique, only_unique, probe_unique, none; ``only`` can't insert, ``look`` and ``probe`` change nothing) and, for the ``_unique``
     ones, ``uk_idx``. ``hits``: prepared columns, ``cls``, ``__pid``, ``__life`` and ``__moves`` per row that a packet with
     any number of rows hits; its verdict is go, halt_key or halt_unique. ``open_moves``: some moves name a part of the new key
-    only. ``k``: the key hit or created, as a JSON array, or
-    ``new:<pid>``.
+    only. ``by_key``: no unique keys, ``hits`` or keyless packets; only packets that name a key from or to which a packet moves are
+    decided, the others don't depend on any other key. ``k``: the key hit or created, as a JSON array, or ``new:<pid>``.
     """
     key, ucols = list(contract.primary_key), unique_columns(contract)
-    data_key = F.when(F.greatest(*[F.col(dp(k)) for k in key], F.lit(False)) & ~F.greatest(*[F.col(dv(k)).isNull() for k in key], F.lit(False)), _json_key([F.col(dv(k)) for k in key]))
-    restr_key = _json_key([F.col(rv(k)) for k in key])
     kind = F.col("kind")
-    k = F.when(kind.isin("add", "set"), data_key).when(kind.isin("update", "only", "delete", "move", "look"), F.when(F.col("action") == "set", data_key).otherwise(restr_key))
-    k2 = F.when(kind == "move", new_key(contract))
+    named = F.when(kind.isin("add", "set", "update", "only", "delete", "move", "look"), named_key(contract))
+    packets = packets.withColumns({"__ek": named, "__ek2": F.when(kind == "move", new_key(contract))})
+    if by_key:  # all that is told of a packet, written once: the kind and the keys are long expressions, and are used several times below
+        packets = materialize(packets.select("seq", "__pid", "kind", "uk_idx", "__ek", "__ek2"))
+    k, k2 = F.col("__ek"), F.col("__ek2")
     made = F.concat(F.lit("n:"), F.col("__pid"))
     node = [k, k2, F.when(kind.isin("add", "set", "set_unique"), made)]
     end = key[-1]
     last = [F.when(F.col(dp(end)), F.col(dv(end))), F.when(F.col(rp(end)), F.col(rv(end)))] if open_moves else []
     no = F.lit(None).cast("string")
     log = _written(packets.where(kind != "none"), contract, kind, k, F.when(kind.endswith("_unique"), F.col("uk_idx").cast("string")).otherwise(k2), no, node, last)
+    if by_key:
+        ends = packets.where(kind == "move").select(F.explode(F.array(k, k2)).alias("k")).distinct()
+        log = log.join(broadcast_if_small(ends, broadcast_bytes) if broadcast_bytes > 0 else ends, "k", "left_semi").select(*_EVENT_COLUMNS)
     if hits is not None:
         writes = F.greatest(*[F.col(dp(c)) for c in ucols], F.col("__moves"), F.lit(False))
         tells = hits.where((F.col("cls") == "del") | F.col("cls").isin("upd", "upd_only") & writes)
@@ -235,10 +247,11 @@ def decide(base: DataFrame, packets: DataFrame, contract: TableContract, broadca
     labels = components(links)
     comp = F.coalesce("label", F.col("nodes")[0], F.xxhash64("pid"))
     placed = events.withColumn("n", F.get("nodes", F.lit(0))).join(labels, F.col("n") == F.col("node"), "left").withColumn("comp", comp)
-    ordered = placed.select("comp", *_EVENT_COLUMNS[:-1]).repartition("comp").sortWithinPartitions("comp", "seq", "pid")
+    told = [c for c in _EVENT_COLUMNS[:-1] if ucols or c not in ("has", "vals", "new_vals")]
+    ordered = placed.select("comp", *told).repartition("comp").sortWithinPartitions("comp", "seq", "pid")
     places = [[ucols.index(c) for c in uk] for uk in contract.unique_keys]
     found = ordered.mapInPandas(_replay_map(places), "pid string, verdict string, k string, created boolean, life string")
-    if hits is not None:  # the rows that a packet deletes may lie in several components
+    if hits is not None or by_key:  # the rows that a packet deletes may lie in several components; moves may share a seq
         found = found.groupBy("pid").agg(F.max_by(F.struct("verdict", "k", "created", "life"), F.col("verdict") != "go").alias("r")).select("pid", "r.*")
     return materialize(found.withColumnRenamed("pid", "__pid"))
 

@@ -75,9 +75,12 @@ def _maps(contract: TableContract) -> list[Column]:
 
 def apply_lives(
     base: DataFrame, prepared: DataFrame, contract: TableContract, hits: DataFrame, *, carry: list[str], identity: tuple[str, ...] = (),
-    span: int = DEFAULT_SPAN, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, open_moves: bool = False,
+    span: int = DEFAULT_SPAN, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, open_moves: bool = False, none_spread: bool = False,
 ) -> tuple[ChangeResult, DataFrame]:
-    """One round: the result if spread packets hit ``hits`` (``__life, __p_seq, __p_<identity>``), and the folded effects by life."""
+    """One round: the result if spread packets hit ``hits`` (``__life, __p_seq, __p_<identity>``), and the folded effects by life.
+
+    ``none_spread``: the log is known to hold no spread packets.
+    """
     key, lives, move = list(contract.primary_key), life_contract(contract), is_move(contract)
     ok, mk, a, spread = may_apply(contract), F.col("match_kind"), F.col("action"), is_spread(contract)
     keyless = ok & ((a == "add") & mk.isin("none", "unique") | (a == "set") & (mk == "none"))
@@ -88,10 +91,13 @@ def apply_lives(
     named = prepared.withColumns({"__pid": pid, "__move": move, "__moves": move & (mk != "pk")})
 
     hit = classify(named.where(spread), contract, F.lit(False)).join(hits, [F.col(c) == F.col(f"__p_{c}") for c in names]).drop(*[f"__p_{c}" for c in names])
-    hit = materialize(hit)
+    hit = hit.limit(0) if none_spread else materialize(hit)
     rows = classify(named.where(took), contract, F.lit(True))
-    rows, decided = _resolve_conflicts(rows, base, contract, span, broadcast_bytes, hit, True, open_moves)
-    rows = materialize(rows)
+    by_key = none_spread and not contract.unique_keys and contract.surrogate is None
+    rows, decided = _resolve_conflicts(rows, base, contract, span, broadcast_bytes, None if by_key else hit, True, open_moves, by_key)
+    # the packets that are decided one by one restrict nothing but the key, or aren't restricted
+    unused = {rp(c): F.lit(False) for c in contract.non_key} | {rv(c): F.lit(None).cast(contract.type_of(c)) for c in contract.non_key}
+    rows = materialize(rows.drop(*unused, "unknown_data", "unknown_restriction", "bad_value", "reject_reason", "kind", "uk_idx", "__move", "__moves", "created")).withColumns(unused)
     go = F.col("verdict") == "go"
 
     # the key columns are written by inserts, and by moves as far as they name them

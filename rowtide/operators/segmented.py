@@ -82,14 +82,15 @@ def apply_log(
         sets, rows = patterns(predicates, contract), with_life(base, contract)
 
         def step(hits: DataFrame) -> tuple[ChangeResult, DataFrame]:
-            return apply_lives(base, prepared, contract, hits, carry=extras, identity=identity, open_moves=seen["open_moves"] > 0, **options)
+            return apply_lives(base, prepared, contract, hits, carry=extras, identity=identity, open_moves=seen["open_moves"] > 0, none_spread=not seen["spread"], **options)
 
         def find(folded: DataFrame) -> DataFrame:
             if not sets:
                 return _no_hits(prepared, lives, names)
             return find_hits(rows, folded, predicates.withColumns({qp(LIFE): F.lit(False)}), lives, sets, names, **options)
 
-        result = _rounds(step, find, _no_hits(prepared, lives, names), False)
+        none = _no_hits(prepared, lives, names)
+        result = _rounds(step, find, none, False) if seen["spread"] else step(none)[0]
     elif seen["barriers"]:
         predicates = with_restriction(prepared.where(barrier), contract, {c: (F.col(rp(c)), F.col(rv(c))) for c in contract.names})
         predicates = materialize(predicates.select(*names, *[qp(c) for c in contract.names], *[f"q__{c}" for c in contract.names]))
