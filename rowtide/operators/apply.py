@@ -15,7 +15,8 @@ Tiers (chosen per packet by ``match_kind``):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cache, cached_property
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ from rowtide.contract import TableContract
 from rowtide.functions.packets import dp, dv, map_of, rp, rv, with_extra
 from rowtide.operators.align import _all, _any, prepare
 from rowtide.operators.conflicts import decide, named_key, with_new_ids
-from rowtide.operators.fold import DEFAULT_SPAN, FoldResult, fold
+from rowtide.operators.fold import DEFAULT_SPAN, effect_counts, fold
 from rowtide.operators.keys import allocate_keys
 from rowtide.operators.prefixes import Prefixes, fold_with_prefixes
 from rowtide.session import DEFAULT_BROADCAST_BYTES, broadcast_if_small, materialize, measured_bytes
@@ -39,13 +40,39 @@ class PacketHalt(RuntimeError):
     """A packet that stops the batch under ``on_error='fail'``."""
 
 
-@dataclass
+Part = DataFrame | Callable[[], DataFrame]
+
+
 class ChangeResult:
-    outcomes: DataFrame  # one row per packet
-    effects: DataFrame  # one row per (packet, table row) reaching the fold
-    table: DataFrame  # new snapshot
-    history: tuple[DataFrame, DataFrame, TableContract] | None = None  # rows before, folded effects and their contract (by key or by life)
-    prepared: DataFrame | None = None  # the aligned log
+    """What a log does. A part that is given as a function is made when it is first read, like any DataFrame that nobody reads."""
+
+    def __init__(self, outcomes: Part, effects: Part, table: Part, history: tuple[DataFrame, Part, TableContract] | None = None, prepared: DataFrame | None = None):
+        self._outcomes, self._effects, self._table, self._history = outcomes, effects, table, history
+        self.prepared = prepared  # the aligned log
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """One row per packet."""
+        return _made(self._outcomes)
+
+    @cached_property
+    def effects(self) -> DataFrame:
+        """One row per (packet, table row) reaching the fold."""
+        return _made(self._effects)
+
+    @cached_property
+    def table(self) -> DataFrame:
+        """The new snapshot."""
+        return _made(self._table)
+
+    @cached_property
+    def history(self) -> tuple[DataFrame, DataFrame, TableContract] | None:
+        """Rows before, folded effects and their contract (by key or by life)."""
+        return self._history and (self._history[0], _made(self._history[1]), self._history[2])
+
+
+def _made(part: Part) -> DataFrame:
+    return part() if callable(part) else part
 
 
 def fk_violations(prepared: DataFrame, contract: TableContract, parents: dict[str, DataFrame] | None,
@@ -204,7 +231,9 @@ def _resolve_conflicts(rows: DataFrame, base: DataFrame, contract: TableContract
     rows = rows.withColumn("kind", kind).withColumn("uk_idx", uk_idx)
     if not by_life:  # by life, rows are columns of an aligned log that is written already
         rows = materialize(rows)
-    decided = materialize(with_new_ids(decide(base, rows, contract, broadcast_bytes, hits, open_moves, by_key), rows, base, contract, span, broadcast_bytes))
+    decided = decide(base, rows, contract, broadcast_bytes, hits, open_moves, by_key)
+    if contract.surrogate is not None:
+        decided = materialize(with_new_ids(decided, rows, base, contract, span, broadcast_bytes))
     joined = rows.join(decided.withColumn("__replayed", F.lit(True)), "__pid", "left").withColumn("verdict", F.coalesce("verdict", F.lit("go")))
     own = _key_from_packet(contract)
     if by_key:  # no packet hits or creates another key than the one it names
@@ -302,10 +331,11 @@ def apply_changes(
         # tier branch below. A lazily filled cache would be computed again by each concurrently
         # started stage, and routing predicates would be pushed into the parsing and repeat it.
         # The raw maps are not needed past alignment (forwarded packets are rebuilt from typed columns).
-        prepared = materialize(prepare(packets, contract, strict_restrictions).drop("data", "restriction"))
-        prepared = flag_duplicate_seq(prepared, identity, broadcast_bytes)
+        parsed = materialize(prepare(packets, contract, strict_restrictions).drop("data", "restriction"))
+        prepared = flag_duplicate_seq(parsed, identity, broadcast_bytes)
         if contract.foreign_keys and parents:
             prepared = fk_violations(prepared, contract, parents, broadcast_bytes)
+        prepared = prepared if prepared is parsed else materialize(prepared)
     else:
         # a caller-held prepared log (e.g. one segment of a cached log in apply_segmented)
         prepared = prepared.drop("data", "restriction")
@@ -370,48 +400,58 @@ def apply_changes(
 
     by_prefix = None
     if prefixes is not None and prefixes.sets:
-        log_keys = effects.select(*key).distinct()
-        log_keys = broadcast_if_small(log_keys, broadcast_bytes) if broadcast_bytes > 0 else log_keys
-        direct_effects = fold_with_prefixes(base, effects, base.select(*key).join(log_keys, key, "left_semi"), prefixes)
-        lives = materialize(prefixes.lives(base, direct_effects))
-        by_prefix = materialize(prefixes.outcomes(prefixes.counts(lives)))
-        # not run unless it is read: one row per packet and row hit
-        hit = prefixes.hits(lives).select(*_effect_columns(contract, carry, {k: F.col(f"__k_{k}") for k in key}))
-        done = F.when(F.col("cls") == "halt", "quarantined").when(F.col("cls") == "del", "deleted").otherwise("updated")
-        hit = hit.withColumns({"live_before": F.lit(True), "outcome": done, "reason": F.when(F.col("cls") == "halt", F.col("pre_reason"))})
-        result = FoldResult(direct_effects.unionByName(hit, allowMissingColumns=True), prefixes.table(base, direct_effects))
-        folded, direct_rows = result.effects, direct_effects
+        log_keys, most = effect_counts(effects, key, broadcast_bytes)
+        prefixes.weigh(log_keys, most)
+        direct_rows = fold_with_prefixes(base, effects, base.select(*key).join(log_keys.select(*key), key, "left_semi"), prefixes)
+        lives = cache(lambda: materialize(prefixes.lives(base, direct_rows)))
+        by_prefix = cache(lambda: materialize(prefixes.outcomes(prefixes.counts(lives()))))
+
+        def folded() -> DataFrame:
+            # one row per packet and row hit
+            hit = prefixes.hits(lives()).select(*_effect_columns(contract, carry, {k: F.col(f"__k_{k}") for k in key}))
+            done = F.when(F.col("cls") == "halt", "quarantined").when(F.col("cls") == "del", "deleted").otherwise("updated")
+            hit = hit.withColumns({"live_before": F.lit(True), "outcome": done, "reason": F.when(F.col("cls") == "halt", F.col("pre_reason"))})
+            return direct_rows.unionByName(hit, allowMissingColumns=True)
+
+        def table() -> DataFrame:
+            return prefixes.table(base, direct_rows)
     else:
         result = fold(base, effects, contract, span, broadcast_bytes)
         folded = direct_rows = result.effects
 
-    # ---- per-packet outcomes
-    spread = F.col("match_kind").isin("pk_partial", "non_key")  # packets with any number of effects
-    direct = direct_rows.where(~spread).select(
-        "seq", "action", "match_kind", *key, "outcome", "reason",
-        F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"),
-        *_packet_maps(contract, True), *carry,
-    )
-    if by_prefix is not None:
-        part_out = by_prefix.select(
-            "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key], "outcome", "reason", "rows", *_packet_maps(contract, False), *carry,
+        def table() -> DataFrame:
+            return result.table
+
+    def outcomes() -> DataFrame:
+        spread = F.col("match_kind").isin("pk_partial", "non_key")  # packets with any number of effects
+        direct = direct_rows.where(~spread).select(
+            "seq", "action", "match_kind", *key, "outcome", "reason",
+            F.when(F.col("outcome").isin("inserted", "updated", "deleted"), 1).otherwise(0).alias("rows"),
+            *_packet_maps(contract, True), *carry,
         )
-    else:
-        part_out = spread_outcomes(prepared.where(partial | restricted if hits is not None else partial), folded.where(spread), contract, identity, carry)
-    bad = unsaved(
-        prepared.where(~ok | no_key | partial_add | (restricted if hits is None else F.lit(False))), contract, carry,
-        F.when(restricted, "quarantined").when(ok | (F.col("reject_reason") == "null_key"), "rejected").otherwise("quarantined"),
-        F.when(restricted, "needs_barrier").when(ok, "null_key").otherwise(F.col("reject_reason")),
-    )
-    outcomes = direct.unionByName(part_out).unionByName(bad)
-    if refused is not None:
-        v, nn = F.col("verdict"), F.coalesce("pre_reason", F.lit("not_null"))
-        outcome = F.when(v == "halt_unique", "quarantined").otherwise("rejected")
-        reason = F.when(v.isin("duplicate_unique", "halt_unique"), "duplicate_unique").when(v == "duplicate_key", "duplicate_key").otherwise(nn)
-        outcomes = outcomes.unionByName(refused.select(
-            "seq", "action", "match_kind", *[F.col(f"__k_{k}").alias(k) for k in key], outcome.alias("outcome"), reason.alias("reason"),
-            F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
-        ))
+        if by_prefix is not None:
+            part_out = by_prefix().select(
+                "seq", "action", "match_kind", *[F.lit(None).cast(contract.type_of(k)).alias(k) for k in key], "outcome", "reason", "rows", *_packet_maps(contract, False), *carry,
+            )
+        else:
+            part_out = spread_outcomes(prepared.where(partial | restricted if hits is not None else partial), folded.where(spread), contract, identity, carry)
+        bad = unsaved(
+            prepared.where(~ok | no_key | partial_add | (restricted if hits is None else F.lit(False))), contract, carry,
+            F.when(restricted, "quarantined").when(ok | (F.col("reject_reason") == "null_key"), "rejected").otherwise("quarantined"),
+            F.when(restricted, "needs_barrier").when(ok, "null_key").otherwise(F.col("reject_reason")),
+        )
+        outcomes = direct.unionByName(part_out).unionByName(bad)
+        if refused is not None:
+            v, nn = F.col("verdict"), F.coalesce("pre_reason", F.lit("not_null"))
+            outcome = F.when(v == "halt_unique", "quarantined").otherwise("rejected")
+            reason = F.when(v.isin("duplicate_unique", "halt_unique"), "duplicate_unique").when(v == "duplicate_key", "duplicate_key").otherwise(nn)
+            outcomes = outcomes.unionByName(refused.select(
+                "seq", "action", "match_kind", *[F.col(f"__k_{k}").alias(k) for k in key], outcome.alias("outcome"), reason.alias("reason"),
+                F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
+            ))
+        return outcomes
+
+    res = ChangeResult(outcomes, folded, table, (base, folded, contract), prepared)
     if on_error == "fail":
-        stop_at_halt(outcomes)
-    return ChangeResult(outcomes, folded, result.table, (base, folded, contract), prepared)
+        stop_at_halt(res.outcomes)
+    return res

@@ -258,8 +258,6 @@ def decide(base: DataFrame, packets: DataFrame, contract: TableContract, broadca
 
 def with_new_ids(decided: DataFrame, packets: DataFrame, base: DataFrame, contract: TableContract, span: int, broadcast_bytes: int) -> DataFrame:
     """``decided`` with every ``new:`` key replaced by its allocated surrogate id, in order of seq over all new rows."""
-    if contract.surrogate is None:
-        return decided
     new = decided.where("created").join(packets.select("__pid", "seq"), "__pid").select("seq", "k")
     ids = allocate_keys(new, base, contract.surrogate, span, broadcast_bytes).select(F.col("k").alias("__new"), F.to_json(F.array(F.col(contract.surrogate).cast("string"))).alias("__id"))
     joined = decided.join(materialize(ids), F.col("k") == F.col("__new"), "left")

@@ -75,8 +75,9 @@ def apply_targets(bases: DataFrame, fanned: DataFrame, contract: TableContract,
     base = bases.select(F.col("target").alias(TARGET), *contract.names)
     # further packet columns go along: computed defaults read them
     res = apply_log(base, pk.drop("destination", "queue"), tc, **kw, identity=("target",))
-    table = res.table.withColumnRenamed(TARGET, "target")
-    return ChangeResult(res.outcomes, res.effects.drop("target").withColumnRenamed(TARGET, "target"), table)
+    return ChangeResult(
+        lambda: res.outcomes, lambda: res.effects.drop("target").withColumnRenamed(TARGET, "target"), lambda: res.table.withColumnRenamed(TARGET, "target"),
+    )
 
 
 def apply_each_target(

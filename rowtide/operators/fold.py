@@ -13,12 +13,17 @@ between packets of a key is one bit, "is the row live", so the fold is a last-no
    in one window partition - seeded with the carry row;
 5. outcome per effect; final row values per key by ``max_by`` over writes, again partial-aggregated.
 
+Where no key has more than ``span`` effects (counted with the distinct keys of the log), a window per key holds no more
+rows than one per bucket would: steps 2 and 3 are left out, and the base row itself is the seed.
+
 No Python UDF, no collect; one full shuffle of the log (step 4).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,10 +73,10 @@ def reason_of(cls: Column, action: Column, live: Column, pre: Column) -> Column:
     )
 
 
-def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span: int = DEFAULT_SPAN) -> DataFrame:
+def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span: int = DEFAULT_SPAN, calm: bool = False) -> DataFrame:
     """Add ``live_before`` and ``b_live`` (row present in the base) to every effect row.
 
-    ``pd``, if it is a column of ``effects``, is the seq of the last delete before the effect that isn't an effect itself.
+    ``calm``: no key is known to have more than ``span`` effects. ``pd``, if it is a column of ``effects``, is the seq of the last delete before the effect that isn't an effect itself.
     """
     others = "pd" in effects.columns
 
@@ -79,6 +84,15 @@ def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span:
         return F.struct(seq.cast("long").alias("s"), F.lit(live).alias("v")) if others else F.lit(live)
 
     lv = F.when(F.col("cls") == "ins", known(True, F.col("seq"))).when(F.col("cls") == "del", known(False, F.col("seq")))
+    if calm:
+        rows = base_hits.select(*key, F.lit(MIN_SEQ).cast("long").alias("seq"), known(True, F.lit(MIN_SEQ)).alias("lv"), F.lit(True).alias("is_seed"))
+        u = effects.withColumns({"lv": lv, "is_seed": F.lit(False)}).unionByName(rows, allowMissingColumns=True)
+        w = Window.partitionBy(*key).orderBy("seq", F.desc("is_seed"))
+        live = F.coalesce(F.last("lv", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), known(False, F.lit(MIN_SEQ)))
+        if others:
+            live = live["v"] & ~F.coalesce(F.col("pd") > live["s"], F.lit(False))
+        u = u.withColumns({"live_before": live, "b_live": F.max("is_seed").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+        return u.where(~F.col("is_seed")).drop("is_seed", "lv")
     e = effects.withColumn("bkt", F.expr(f"seq div {int(span)}")).withColumn("lv", lv)
 
     chunks = e.groupBy(*key, "bkt").agg(
@@ -120,11 +134,11 @@ def live_before(effects: DataFrame, base_hits: DataFrame, key: list[str], span:
 
 
 def fold_effects(
-    effects: DataFrame, base_hits: DataFrame, contract: TableContract, span: int = DEFAULT_SPAN
+    effects: DataFrame, base_hits: DataFrame, contract: TableContract, span: int = DEFAULT_SPAN, calm: bool = False
 ) -> DataFrame:
     """Per effect row: ``outcome`` in inserted/updated/deleted/noop/rejected/quarantined and ``reason``."""
     key = list(contract.primary_key)
-    lb = live_before(effects, base_hits, key, span)
+    lb = live_before(effects, base_hits, key, span, calm)
     cls, action, live = F.col("cls"), F.col("action"), F.col("live_before")
     return lb.withColumn("outcome", outcome_of(cls, action, live)).withColumn(
         "reason", reason_of(cls, action, live, F.col("pre_reason"))
@@ -210,7 +224,19 @@ def merge_into_base(
 @dataclass
 class FoldResult:
     effects: DataFrame  # one row per effect with outcome / reason
-    table: DataFrame  # the new snapshot
+    make_table: Callable[[], DataFrame]
+
+    @cached_property
+    def table(self) -> DataFrame:
+        """The new snapshot; its summary is written once it is read, which rounds that are folded again never do."""
+        return self.make_table()
+
+
+def effect_counts(effects: DataFrame, key: list[str], broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """The distinct keys of the effects with ``__n``, their number of effects (broadcast where small), and the largest of these."""
+    keys = effects.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    keys = broadcast_if_small(keys, broadcast_bytes) if broadcast_bytes > 0 else materialize(keys)
+    return keys, keys.agg(F.max("__n")).first()[0] or 0
 
 
 def fold(
@@ -227,14 +253,11 @@ def fold(
     broadcast when their measured size allows); untouched rows pass through the final merge.
     """
     key = list(contract.primary_key)
-    log_keys = effects.select(*key).distinct()
-    if broadcast_bytes > 0:
-        log_keys = broadcast_if_small(log_keys, broadcast_bytes)
-    hits = base.select(*key).join(log_keys, key, "left_semi")
-    folded = fold_effects(effects, hits, contract, span)
+    log_keys, most = effect_counts(effects, key, broadcast_bytes)
+    hits = base.select(*key).join(log_keys.select(*key), key, "left_semi")
+    folded = fold_effects(effects, hits, contract, span, most <= span)
     if materialize_effects:
         # written once to the checkpoint folder: outcomes and the summary both read it, and the
         # plans built on top of it stay small
         folded = materialize(folded)
-    table = merge_into_base(base, summarize(folded, contract), contract, broadcast_bytes)
-    return FoldResult(folded, table)
+    return FoldResult(folded, lambda: merge_into_base(base, summarize(folded, contract), contract, broadcast_bytes))

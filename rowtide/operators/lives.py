@@ -142,4 +142,4 @@ def apply_lives(
         outcome.alias("outcome"), reason.alias("reason"), F.lit(0).alias("rows"), *_packet_maps(contract, False), *carry,
     ))
     shown = folded.withColumns({k: F.col(f"__o_{k}") for k in key}).drop(LIFE, *[f"__o_{k}" for k in key], *[f"__r_{k}" for k in key])
-    return ChangeResult(outcomes, shown, result.table.select(*contract.names), (before, folded, lives), prepared), folded
+    return ChangeResult(outcomes, shown, lambda: result.table.select(*contract.names), (before, folded, lives), prepared), folded

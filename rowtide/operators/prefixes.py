@@ -28,11 +28,17 @@ def _bucket(span: int) -> Column:
     return F.expr(f"seq div {int(span)}")
 
 
-def _scan(events: DataFrame, marks: DataFrame, by: list[str], span: int, value: Column, chunk: Column, over: Column, last: bool) -> DataFrame:
-    """``events`` with ``__found``: ``over`` of the marks' values before (``last``) or after them in order of seq, per ``by``."""
+def _scan(events: DataFrame, marks: DataFrame, by: list[str], span: int, value: Column, chunk: Column, over: Column, last: bool, calm: bool) -> DataFrame:
+    """``events`` with ``__found``: ``over`` of the marks' values before (``last``) or after them in order of seq, per ``by``.
+
+    ``calm``: no value of ``by`` is known to have more than ``span`` rows, so that one window per value is enough.
+    """
     u = events.withColumn("__m", F.lit(None).cast("long")).unionByName(marks.select(*by, "seq", value.cast("long").alias("__m")), allowMissingColumns=True)
     u = u.withColumn("bkt", _bucket(span)).withColumn("__is_mark", F.col("__m").isNotNull())
     order = F.asc if last else F.desc
+    if calm:
+        w = Window.partitionBy(*by).orderBy(order("seq"), "__is_mark").rowsBetween(Window.unboundedPreceding, -1)
+        return u.withColumn("__found", over.over(w)).where(~F.col("__is_mark")).drop("__m", "bkt", "__is_mark")
     chunks = u.groupBy(*by, "bkt").agg(chunk.alias("__m"))
     w = Window.partitionBy(*by).orderBy(order("bkt")).rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.select(*by, "bkt", over.over(w).alias("__carry"))
@@ -43,19 +49,19 @@ def _scan(events: DataFrame, marks: DataFrame, by: list[str], span: int, value:
     return full.where(~F.col("__is_mark")).drop("__m", "bkt", "__is_mark")
 
 
-def last_before(events: DataFrame, marks: DataFrame, by: list[str], span: int) -> DataFrame:
+def last_before(events: DataFrame, marks: DataFrame, by: list[str], span: int, calm: bool = False) -> DataFrame:
     """``__found``: the largest seq of ``marks`` below the event's."""
-    return _scan(events, marks, by, span, F.col("seq"), F.max("__m"), F.max("__m"), True)
+    return _scan(events, marks, by, span, F.col("seq"), F.max("__m"), F.max("__m"), True, calm)
 
 
-def first_after(events: DataFrame, marks: DataFrame, by: list[str], span: int) -> DataFrame:
+def first_after(events: DataFrame, marks: DataFrame, by: list[str], span: int, calm: bool = False) -> DataFrame:
     """``__found``: the smallest seq of ``marks`` above the event's."""
-    return _scan(events, marks, by, span, F.col("seq"), F.min("__m"), F.min("__m"), False)
+    return _scan(events, marks, by, span, F.col("seq"), F.min("__m"), F.min("__m"), False, calm)
 
 
-def sum_before(events: DataFrame, deltas: DataFrame, by: list[str], span: int) -> DataFrame:
+def sum_before(events: DataFrame, deltas: DataFrame, by: list[str], span: int, calm: bool = False) -> DataFrame:
     """``__found``: the sum of ``deltas.__n`` below the event's seq."""
-    return _scan(events, deltas, by, span, F.col("__n"), F.sum("__m"), F.sum("__m"), True)
+    return _scan(events, deltas, by, span, F.col("__n"), F.sum("__m"), F.sum("__m"), True, calm)
 
 
 def _least(a: Column, b: Column) -> Column:
@@ -72,9 +78,31 @@ class Prefixes:
         self.contract, self.key, self.span, self.bytes = contract, list(contract.primary_key), span, broadcast_bytes
         self.names = ["seq", *identity]
         named = partial.select(*partial.columns, *[given[k].alias(f"__g_{k}") for k in self.key], *[value[k].alias(f"__v_{k}") for k in self.key])
-        self.packets = materialize(named)
+        self.packets = named  # columns of an aligned log that is written already
         flags = self.packets.select(*[F.col(f"__g_{k}") for k in self.key]).distinct().collect()  # at most 2^columns rows
         self.sets = sorted([k for k in self.key if r[f"__g_{k}"]] for r in flags)
+        self.sums = {tuple(cols): self._small(self._summary(cols)) for cols in self.sets}
+        self.calm: dict[tuple[str, ...], bool] = {}
+
+    def _summary(self, cols: list[str]) -> DataFrame:
+        """Per prefix: number of packets, first and last delete, the last write of every column."""
+        writes = [F.max_by(F.struct(F.col("seq").alias("s"), F.col(dv(c)).alias("v")), F.when(F.col("cls").isin("upd", "upd_only") & F.col(dp(c)), F.col("seq"))).alias(f"p__{c}") for c in self.contract.non_key]
+        gone = F.when(F.col("cls") == "del", F.col("seq"))
+        return self.of(cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"), F.min(gone).alias("__d_first"), F.max(gone).alias("__d"), *writes)
+
+    def weigh(self, effect_keys: DataFrame, most: int) -> None:
+        """Find out which scans need no chunks: ``effect_keys`` with their number ``__n`` of full-key effects, at most ``most``.
+
+        A prefix sees its packets, its effects, and at most a birth and a death for each of these, one birth for all base rows.
+        """
+        self.calm = {tuple(self.key): most <= self.span}
+        for cols in self.sets:
+            rows = effect_keys.select(*cols, (2 * F.col("__n")).alias("__n")).unionByName(self.sums[tuple(cols)].select(*cols, (2 * F.col("__n")).alias("__n")))
+            top = rows.groupBy(*cols).agg(F.sum("__n").alias("__n")).agg(F.max("__n")).first()[0] or 0
+            self.calm[tuple(cols)] = top < self.span
+
+    def _is_calm(self, cols: list[str]) -> bool:
+        return self.calm.get(tuple(cols), False)
 
     def of(self, cols: list[str]) -> DataFrame:
         """Packets that name exactly ``cols``, with these as columns."""
@@ -89,7 +117,7 @@ class Prefixes:
         """Adds ``pd``: the last partial delete of the row before the effect."""
         out = effects.withColumn("pd", F.lit(None).cast("long"))
         for cols in self.sets:
-            out = last_before(out, self.deletes(cols), cols, self.span).withColumn("pd", F.greatest("pd", "__found")).drop("__found")
+            out = last_before(out, self.deletes(cols), cols, self.span, self._is_calm(cols)).withColumn("pd", F.greatest("pd", "__found")).drop("__found")
         return out
 
     def _small(self, df: DataFrame) -> DataFrame:
@@ -115,10 +143,8 @@ class Prefixes:
         best = {c: F.when(F.col(f"w__{c}.s") >= F.col("__birth"), F.col(f"w__{c}")) for c in contract.non_key}
         rows = rows.withColumns({f"b__{c}": best[c] for c in best})
         for cols in self.sets:
-            p = self.of(cols)
-            writes = [F.max_by(F.struct(F.col("seq").alias("s"), F.col(dv(c)).alias("v")), F.when(F.col("cls").isin("upd", "upd_only") & F.col(dp(c)), F.col("seq"))).alias(f"p__{c}") for c in contract.non_key]
-            seen = p.groupBy(*cols).agg(F.max(F.when(F.col("cls") == "del", F.col("seq"))).alias("__d"), *writes)
-            rows = rows.join(self._small(seen), cols, "left").withColumn("__dmax", F.greatest("__dmax", "__d"))
+            seen = self.sums[tuple(cols)].drop("__n", "__d_first")
+            rows = rows.join(seen, cols, "left").withColumn("__dmax", F.greatest("__dmax", "__d"))
             for c in contract.non_key:
                 later = F.col(f"p__{c}.s") > F.coalesce(F.col(f"b__{c}.s"), F.col("__birth"))
                 rows = rows.withColumn(f"b__{c}", F.when(F.coalesce(later, F.lit(False)), F.col(f"p__{c}")).otherwise(F.col(f"b__{c}")))
@@ -133,13 +159,13 @@ class Prefixes:
         key = self.key
         ends = folded.where(F.col("outcome") == "deleted").select(*key, "seq")
         born = folded.where(F.col("outcome") == "inserted").select(*key, "seq")
-        born = first_after(born, ends, key, self.span).withColumnRenamed("__found", "__death")
+        born = first_after(born, ends, key, self.span, self._is_calm(key)).withColumnRenamed("__found", "__death")
         first = base.select(*key).join(self._small(ends.groupBy(*key).agg(F.min("seq").alias("__death"))), key, "left")
         first = first.withColumns({"seq": F.lit(MIN_SEQ).cast("long"), "__named": F.lit(False)})
         for cols in self.sets:
-            born = first_after(born, self.deletes(cols), cols, self.span).withColumn("__death", _least(F.col("__death"), F.col("__found"))).drop("__found")
-            earliest = self.of(cols).groupBy(*cols).agg(F.min(F.when(F.col("cls") == "del", F.col("seq"))).alias("__found"), F.lit(True).alias("__hit"))
-            first = first.join(self._small(earliest), cols, "left")
+            born = first_after(born, self.deletes(cols), cols, self.span, self._is_calm(cols)).withColumn("__death", _least(F.col("__death"), F.col("__found"))).drop("__found")
+            earliest = self.sums[tuple(cols)].select(*cols, F.col("__d_first").alias("__found"), F.lit(True).alias("__hit"))
+            first = first.join(earliest, cols, "left")
             first = first.withColumns({"__death": _least(F.col("__death"), F.col("__found")), "__named": F.col("__named") | F.col("__hit").isNotNull()}).drop("__found", "__hit")
         first = first.where("__named").drop("__named")
         return first.unionByName(born).select(*key, F.col("seq").alias("__birth"), "__death")
@@ -149,11 +175,10 @@ class Prefixes:
         parts = []
         for cols in self.sets:
             packets = self.of(cols).select(*cols, *self.names)
-            named = self._small(packets.select(*cols).distinct())
-            below = lives.join(named, cols, "left_semi")
-            deltas = below.select(*cols, F.col("__birth").alias("seq"), F.lit(1).alias("__n")).unionByName(below.where("__death is not null").select(*cols, F.col("__death").alias("seq"), F.lit(-1).alias("__n")))
-            deltas = deltas.groupBy(*cols, "seq").agg(F.sum("__n").alias("__n"))
-            parts.append(sum_before(packets, deltas, cols, self.span).select(*self.names, F.coalesce("__found", F.lit(0)).alias("rows")))
+            below = lives.join(self.sums[tuple(cols)].select(*cols), cols, "left_semi")
+            ends = F.array(F.struct(F.col("__birth").alias("seq"), F.lit(1).alias("__n")), F.struct(F.col("__death").alias("seq"), F.lit(-1).alias("__n")))
+            deltas = below.select(*cols, F.inline(ends)).where("seq is not null").groupBy(*cols, "seq").agg(F.sum("__n").alias("__n"))
+            parts.append(sum_before(packets, deltas, cols, self.span, self._is_calm(cols)).select(*self.names, F.coalesce("__found", F.lit(0)).alias("rows")))
         return reduce(lambda a, b: a.unionByName(b), parts)
 
     def hits(self, lives: DataFrame) -> DataFrame:
@@ -178,4 +203,4 @@ class Prefixes:
 
 def fold_with_prefixes(base: DataFrame, effects: DataFrame, base_hits: DataFrame, prefixes: Prefixes) -> DataFrame:
     """Outcomes of the full-key effects among partial deletes, written once."""
-    return materialize(fold_effects(prefixes.with_last_delete(effects), base_hits, prefixes.contract, prefixes.span).drop("pd"))
+    return materialize(fold_effects(prefixes.with_last_delete(effects), base_hits, prefixes.contract, prefixes.span, prefixes._is_calm(prefixes.key)).drop("pd"))

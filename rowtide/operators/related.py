@@ -9,7 +9,7 @@ moved, then match children's writes with the parents' versions, and parents' del
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from rowtide.contract import ForeignKey, TableContract
 from rowtide.functions.packets import dp, dv, map_of
 from rowtide.operators.apply import ChangeResult
 from rowtide.operators.segmented import apply_log
-from rowtide.operators.versions import version_intervals
+from rowtide.operators.versions import same_rows, version_intervals
 from rowtide.session import DEFAULT_BROADCAST_BYTES, materialize
 
 ENVELOPE = ("seq", "action", "data", "restriction")
@@ -68,10 +68,6 @@ def _covered(asked: DataFrame, held: DataFrame, names: list[str]) -> DataFrame:
     return met.select(F.explode(F.filter("__seqs", lambda s: (s > F.col("lo")) & (s <= F.col("hi")))).alias("seq")).distinct()
 
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-
-
 def apply_related(
     parent_base: DataFrame, child_base: DataFrame, parent_log: DataFrame, child_log: DataFrame, parent: TableContract, child: TableContract,
     fk: ForeignKey, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, **kw,
@@ -101,6 +97,7 @@ def apply_related(
         deletes = parents.history[1].where((F.col("action") == "delete") & F.col("outcome").isin("deleted", "quarantined"))
         deletes = _rows_at(deletes, lived, parents, names)
         now_refused = materialize(_covered(deletes, _versions(children, list(fk.columns), names, **options), names))
-        if _same(now_orphans, orphans) and _same(now_refused, refused):
-            return RelatedResult(parents, replace(children, outcomes=children.outcomes.join(moves.select("seq"), "seq", "left_anti")))
+        if same_rows(now_orphans, orphans) and same_rows(now_refused, refused):
+            own = ChangeResult(lambda: children.outcomes.join(moves.select("seq"), "seq", "left_anti"), lambda: children.effects, lambda: children.table, children.history, children.prepared)
+            return RelatedResult(parents, own)
         orphans, refused = now_orphans, now_refused

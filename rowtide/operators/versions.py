@@ -4,7 +4,8 @@ A restriction on columns that the log itself writes can't be folded per key: the
 packets. It is still local to a row, though, so it is answered from the row's versions:
 
 1. The folded effects give, per row, the values of the restricted columns after every change: a last-non-null scan,
-   chunked by seq like the fold's liveness scan, so that a hot key never fills one window partition.
+   chunked by seq like the fold's liveness scan where a key has more than ``span`` changes, so that a hot key never
+   fills one window partition.
 2. Consecutive changes bound the intervals ``(lo, hi]`` in which the values stand; the base row gives the interval
    before the first change, and for untouched rows the only one.
 3. Restrictions are grouped by their values into sorted arrays of seqs (chunked as well) and met with the intervals by
@@ -63,12 +64,26 @@ def version_intervals(base: DataFrame, folded: DataFrame, contract: TableContrac
     scan = ["live", *[f"s__{c}" for c in moving]]
     e = materialize(changes(folded, contract, moving).withColumn("bkt", F.expr(f"seq div {int(span)}")))
 
-    firsts = e.groupBy(*key).agg(F.min("seq").alias("__first"))
+    firsts = e.groupBy(*key).agg(F.min("seq").alias("__first"), F.count(F.lit(1)).alias("__n"))
     firsts = broadcast_if_small(firsts, broadcast_bytes) if broadcast_bytes > 0 else materialize(firsts)
-    rows = base.select(*key, *moving).join(firsts, key, "left")
+    calm = (firsts.agg(F.max("__n")).first()[0] or 0) <= span
+    rows = base.select(*key, *moving).join(firsts.drop("__n"), key, "left")
     shown = [*key, *moving]
     before = rows.select(*shown, F.lit(MIN_SEQ).cast("long").alias("lo"), F.coalesce("__first", F.lit(MAX_SEQ)).alias("hi"))
 
+    if calm:
+        start = rows.where(F.col("__first").isNotNull()).select(
+            *key, F.lit(MIN_SEQ).cast("long").alias("seq"), F.lit(True).alias("live"),
+            *[F.struct(F.col(c).cast(contract.type_of(c)).alias("v")).alias(f"s__{c}") for c in moving], F.lit(True).alias("is_seed"),
+        )
+        u = e.drop("bkt").withColumn("is_seed", F.lit(False)).unionByName(start)
+        w = Window.partitionBy(*key).orderBy("seq", F.desc("is_seed"))
+        so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        next_seq = F.coalesce(F.lead("seq").over(w), F.lit(MAX_SEQ)).alias("hi")
+        after = u.select(*key, "is_seed", F.col("seq").alias("lo"), *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in scan], next_seq)
+        after = after.where(~F.col("is_seed") & F.coalesce("live", F.lit(False)))
+        return before.unionByName(after.select(*key, *[F.col(f"s__{c}")["v"].alias(c) for c in moving], "lo", "hi"))
+
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in scan]
     chunks = e.groupBy(*key, "bkt").agg(*last, F.min("seq").alias("first_seq"))
     start = rows.where(F.col("__first").isNotNull()).select(
@@ -114,6 +129,20 @@ def match(intervals: DataFrame, predicates: DataFrame, contract: TableContract,
     return met.select(*key, F.explode(inside).alias("p")).select(*key, *[F.col(f"p.{n}").alias(f"__p_{n}") for n in names])
 
 
+def base_hits(base: DataFrame, predicates: DataFrame, contract: TableContract, sets: list[list[str]], names: list[str],
+              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """All (row, packet) hits of ``predicates`` if the log changed nothing: the first guess of the rounds."""
+    cols = sorted({c for s in sets for c in s} - set(contract.primary_key))
+    always = base.select(*contract.primary_key, *cols, F.lit(MIN_SEQ).cast("long").alias("lo"), F.lit(MAX_SEQ).cast("long").alias("hi"))
+    return materialize(reduce(lambda a, b: a.unionByName(b), [match(always, predicates, contract, s, names, broadcast_bytes) for s in sets]))
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> bool:
+    """Do both hold the same rows, each as often? One shuffle."""
+    sides = a.withColumn("__side", F.lit(1)).unionByName(b.withColumn("__side", F.lit(-1)))
+    return sides.groupBy(*a.columns).agg(F.sum("__side").alias("__more")).where("__more <> 0").isEmpty()
+
+
 def find_hits(base: DataFrame, folded: DataFrame, predicates: DataFrame, contract: TableContract, sets: list[list[str]], names: list[str],
               span: int = DEFAULT_SPAN, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """All (row, packet) hits of ``predicates`` on the versions of the rows, written once."""
