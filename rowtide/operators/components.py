@@ -30,9 +30,12 @@ def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["u", "v"], dtype="int64")
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _settled(edges: DataFrame) -> bool:
+    """Does every node link to one smaller node that links to none? Then a step would change nothing."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    seen = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where((F.col("out") > 1) | (F.col("out") > 0) & (F.col("into") > 0)).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -40,20 +43,16 @@ def components(links: DataFrame) -> DataFrame:
 
     Every step groups by a node with partial aggregation and joins the minima back, so a node with very many
     neighbours is never held in memory. The edges are written to the shared folder once per step; the loop ends when
-    a step changes nothing. Links with a null end or to itself say nothing. No links: an empty result.
+    a step would change nothing. Links with a null end or to itself say nothing. No links: an empty result.
     """
     edges = links.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = materialize(edges.mapInPandas(_contract, "u long, v long").distinct())
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter((F.col("v") > F.col("u")) & (F.col("v") != F.col("m"))).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter(F.col("u") != F.col("v"))
         edges = materialize(small.distinct())
-        last, state = state, _state(edges)
-        if last == state:
-            break
     label = edges.groupBy("u").agg(F.min("v").alias("label"))
     return label.select(F.col("u").alias("node"), "label").unionByName(label.select(F.col("label").alias("node"), "label").distinct())

@@ -4,8 +4,10 @@ A packet whose restriction names other columns than the key can hit rows whose v
 the same log, and may itself write what a later one looks for. All such packets are found together, in rounds: fold the log
 with the rows they are known to hit, match their restrictions with the versions of all rows as of each packet
 (:mod:`rowtide.operators.versions`), and fold again, until the hits stay as they are. What a packet hits depends on earlier
-packets only, so after n rounds all chains of n such packets are right, and rows that stay are the result of applying
-the packets one by one. Logs in which they can't touch what others look for settle after one round.
+packets only, so after n rounds all chains of n such packets are right, whatever the first guess was, and rows that stay are
+the result of applying the packets one by one. Logs in which they can't touch what others look for settle after one round.
+By row life, the first guess is what the restrictions hit in the base table: where the log changes none of these rows before
+its packet, the first round only confirms it.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from rowtide.operators.align import prepare
 from rowtide.operators.apply import ChangeResult, apply_changes, fk_violations, flag_duplicate_seq, is_move, is_open_move, stop_at_halt
 from rowtide.operators.fold import DEFAULT_SPAN
 from rowtide.operators.lives import LIFE, apply_lives, is_spread, life_contract, spread_predicates, with_life
-from rowtide.operators.versions import find_hits, patterns, qp, with_restriction
+from rowtide.operators.versions import base_hits, find_hits, patterns, qp, same_rows, with_restriction
 from rowtide.session import DEFAULT_BROADCAST_BYTES, materialize
 
 
@@ -37,7 +39,7 @@ def _rounds(step: Callable[[DataFrame], tuple[ChangeResult, DataFrame]], find: C
     result, folded = step(hits)
     while True:
         found = find(folded)
-        if found.exceptAll(hits).isEmpty() and hits.exceptAll(found).isEmpty():
+        if same_rows(found, hits):
             return result
         hits = found
         result, folded = step(hits)
@@ -89,8 +91,11 @@ def apply_log(
                 return _no_hits(prepared, lives, names)
             return find_hits(rows, folded, predicates.withColumns({qp(LIFE): F.lit(False)}), lives, sets, names, **options)
 
-        none = _no_hits(prepared, lives, names)
-        result = _rounds(step, find, none, False) if seen["spread"] else step(none)[0]
+        if sets:
+            guess = base_hits(rows, predicates.withColumns({qp(LIFE): F.lit(False)}), lives, sets, names, broadcast_bytes)
+        else:
+            guess = _no_hits(prepared, lives, names)
+        result = _rounds(step, find, guess, False) if seen["spread"] else step(guess)[0]
     elif seen["barriers"]:
         predicates = with_restriction(prepared.where(barrier), contract, {c: (F.col(rp(c)), F.col(rv(c))) for c in contract.names})
         predicates = materialize(predicates.select(*names, *[qp(c) for c in contract.names], *[f"q__{c}" for c in contract.names]))
