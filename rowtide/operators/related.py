@@ -5,6 +5,7 @@ a parent's new key is written to its children (CASCADE). Each table's answers de
 packets only, so both are applied in rounds until the answers stay: apply the parents with the deletes known to be refused,
 apply the children with the writes known to lack a parent and with one restriction on the foreign key per parent that
 moved, then match children's writes with the parents' versions, and parents' deletes with the children's, by intervals of seq.
+The answers that stay are the same whatever the first ones were; the first ones are what the packets say by themselves.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from rowtide.contract import ForeignKey, TableContract
 from rowtide.functions.packets import dp, dv, map_of
 from rowtide.operators.apply import ChangeResult
+from rowtide.operators.fold import MIN_SEQ
 from rowtide.operators.segmented import apply_log
 from rowtide.operators.versions import same_rows, version_intervals
 from rowtide.session import DEFAULT_BROADCAST_BYTES, materialize
@@ -68,6 +70,34 @@ def _covered(asked: DataFrame, held: DataFrame, names: list[str]) -> DataFrame:
     return met.select(F.explode(F.filter("__seqs", lambda s: (s > F.col("lo")) & (s <= F.col("hi")))).alias("seq")).distinct()
 
 
+def _first_guess(parent_base: DataFrame, child_base: DataFrame, parent_log: DataFrame, child_log: DataFrame, parent: TableContract, fk: ForeignKey, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Seqs of the deletes that are refused and of the writes without a parent, as far as whole keys in the packets tell.
+
+    A delete is taken as refused if a child refers to the key before it; a parent as live from its first row or write until the
+    first delete that isn't refused. Moves and restrictions on other columns are left to the rounds.
+    """
+    start, seq = F.lit(MIN_SEQ).cast("long").alias("seq"), F.col("seq").cast("long")
+
+    def named(log: DataFrame, packet_map: str, cols: tuple[str, ...], actions: tuple[str, ...]) -> DataFrame:
+        typed = [F.col(packet_map).getItem(c).try_cast(parent.type_of(p)).alias(n) for c, p, n in zip(cols, fk.parent_columns, names, strict=True)]
+        given = log.where(F.col("action").isin(*actions) & F.col("seq").isNotNull()).select(seq.alias("seq"), *typed)
+        return given.dropna(subset=names)
+
+    def held(base: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+        return base.select(start, *[F.col(c).cast(parent.type_of(p)).alias(n) for c, p, n in zip(cols, fk.parent_columns, names, strict=True)])
+
+    writes = named(child_log, "data", fk.columns, ("add", "set", "update"))
+    refers = held(child_base, fk.columns).unionByName(writes).groupBy(*names).agg(F.min("seq").alias("__ref"))
+    deletes = named(parent_log, "restriction", fk.parent_columns, ("delete",)).join(refers, names, "left")
+    deletes = materialize(deletes.withColumn("__refused", F.coalesce(F.col("__ref") < F.col("seq"), F.lit(False))))
+    made = held(parent_base, fk.parent_columns).unionByName(named(parent_log, "data", fk.parent_columns, ("add", "set", "update")))
+    made = made.groupBy(*names).agg(F.min("seq").alias("__made"), F.max("seq").alias("__remade"))
+    gone = deletes.where(~F.col("__refused")).groupBy(*names).agg(F.min("seq").alias("__gone"))
+    met = writes.join(made, names, "left").join(gone, names, "left")
+    missing = F.col("__made").isNull() | (F.col("__made") >= F.col("seq")) | (F.col("__gone") < F.col("seq")) & (F.col("__remade") < F.col("__gone"))
+    return materialize(deletes.where("__refused").select("seq").distinct()), materialize(met.where(F.coalesce(missing, F.lit(False))).select("seq").distinct())
+
+
 def apply_related(
     parent_base: DataFrame, child_base: DataFrame, parent_log: DataFrame, child_log: DataFrame, parent: TableContract, child: TableContract,
     fk: ForeignKey, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, **kw,
@@ -81,8 +111,7 @@ def apply_related(
     names = [f"__f{i}" for i in range(len(fk.columns))]
     cols = list(fk.parent_columns)
     refers = reduce(lambda a, b: a & b, [F.col(dv(c)).isNotNull() for c in fk.columns])
-    none = parent_log.select("seq").limit(0)
-    refused, orphans = none, none
+    refused, orphans = _first_guess(parent_base, child_base, parent_log, child_log, parent, fk, names)
     while True:
         parents = apply_log(parent_base, parent_log, parent, refused=refused, **options, **kw)
         lived = materialize(_versions(parents, cols, names, **options))
@@ -92,7 +121,7 @@ def apply_related(
         writes = children.prepared.join(moves.select("seq"), "seq", "left_anti")
         writes = writes.where(F.col("action").isin("add", "set", "update") & F.greatest(*[F.col(dp(c)) for c in fk.columns], F.lit(False)) & refers)
         writes = writes.select("seq", *[F.col(dv(c)).alias(n) for c, n in zip(fk.columns, names, strict=True)])
-        now_orphans = materialize(writes.select("seq").exceptAll(_covered(writes, lived, names)))
+        now_orphans = materialize(writes.select("seq").distinct().join(_covered(writes, lived, names), "seq", "left_anti"))
 
         deletes = parents.history[1].where((F.col("action") == "delete") & F.col("outcome").isin("deleted", "quarantined"))
         deletes = _rows_at(deletes, lived, parents, names)

@@ -5,12 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide.contract import TableContract
-from rowtide.operators import apply, components, segmented
+from rowtide.contract import ForeignKey, TableContract
+from rowtide.operators import apply, components, related, segmented
 from rowtide.operators.fold import live_before
 from rowtide.operators.prefixes import Prefixes
 from rowtide.operators.segmented import apply_log
 from rowtide.operators.versions import same_rows, version_intervals
+from rowtide.sources.tables import bucket_of
+from rowtide.streaming.stream import touched_before
 
 PEOPLE = TableContract(name="people", columns=(("id", "bigint"), ("name", "string"), ("place", "string")), primary_key=("id",), unique_keys=(("name",),))
 LINES = TableContract(name="lines", columns=(("a", "bigint"), ("b", "bigint"), ("x", "string")), primary_key=("a", "b"))
@@ -100,3 +102,28 @@ def test_parts_of_keys_with_and_without_chunks(spark, monkeypatch):
     outcomes = [sorted(map(repr, r.outcomes.select("seq", "outcome", "reason", "rows").collect())) for r in got]
     hits = [sorted(map(repr, r.effects.select("seq", "a", "b", "outcome").collect())) for r in got]
     assert tables[0] == tables[1] and outcomes[0] == outcomes[1] and hits[0] == hits[1] and len(outcomes[0]) == len(log)
+
+
+def test_answers_that_whole_keys_give_take_one_round(spark, monkeypatch):
+    """Document 2 is kept by its label, document 1 is deleted before its label comes, document 3 has none, document 4 is made late."""
+    docs = TableContract(name="docs", columns=(("id", "bigint"), ("lang", "string")), primary_key=("id",))
+    labels = TableContract(name="labels", columns=(("label", "bigint"), ("id", "bigint")), primary_key=("label",))
+    parents = spark.createDataFrame([(2, "delete", None, {"id": "1"}), (4, "delete", None, {"id": "2"}), (5, "delete", None, {"id": "3"}), (9, "add", {"id": "4", "lang": "x"}, None)], ENVELOPE)
+    children = spark.createDataFrame([(1, "add", {"label": "20", "id": "2"}, None), (3, "add", {"label": "10", "id": "1"}, None), (8, "add", {"label": "40", "id": "4"}, None), (10, "add", {"label": "41", "id": "4"}, None)], ENVELOPE)
+    calls = counted(monkeypatch, related, "apply_log")
+    base = spark.createDataFrame([(k, "x") for k in (1, 2, 3)], docs.schema)
+    res = related.apply_related(base, spark.createDataFrame([], labels.schema), parents, children, docs, labels, ForeignKey(("id",), ("id",), "docs"))
+    assert len(calls) == 2  # each table once
+    assert sorted(map(tuple, res.child.table.collect())) == [(20, 2), (41, 4)]
+    assert sorted(r["id"] for r in res.parent.table.collect()) == [2, 4]
+    reasons = {r["seq"]: r["reason"] for r in res.parent.outcomes.unionByName(res.child.outcomes, allowMissingColumns=True).collect()}
+    assert reasons == {1: None, 2: None, 3: "foreign_key", 4: "restrict", 5: None, 8: "foreign_key", 9: None, 10: None}
+
+
+def test_buckets_of_a_micro_batch(spark):
+    docs = TableContract(name="docs", columns=(("id", "bigint"), ("lang", "string")), primary_key=("id",))
+    whole = [(1, "add", {"id": "1"}, None), (2, "delete", None, {"id": "7"}), (3, "merge", {"id": "5"}, None), (4, "set", {"id": "n/a"}, None)]
+    want = sorted(r[0] for r in spark.createDataFrame([(1,), (7,)], "id bigint").select(bucket_of(["id"], 64)).distinct().collect())
+    assert sorted(touched_before(spark.createDataFrame(whole, ENVELOPE), docs, 64, ["id"])) == want
+    assert touched_before(spark.createDataFrame([*whole, (5, "delete", None, {"lang": "x"})], ENVELOPE), docs, 64, ["id"]) is None
+    assert touched_before(spark.createDataFrame([], ENVELOPE), docs, 64, ["id"]) == []
