@@ -33,10 +33,10 @@ def touched_before(packets: DataFrame, contract: TableContract, buckets: int, ke
         return None
     p = prepare(packets, contract)
     fine = F.col("reject_reason").isNull()
-    if not p.where(fine & (F.col("match_kind") != "pk") | is_move(contract)).isEmpty():
-        return None
-    named = p.where(fine).select(*[F.when(F.col("action").isin("add", "set"), F.col(f"d__{k}")).otherwise(F.col(f"r__{k}")).alias(k) for k in key])
-    return [r[0] for r in named.select(bucket_of(key, buckets)).distinct().collect()]
+    other = F.coalesce(fine & (F.col("match_kind") != "pk") | is_move(contract), F.lit(False))
+    named = p.select(fine.alias("__fine"), other.alias("__other"), *[F.when(F.col("action").isin("add", "set"), F.col(f"d__{k}")).otherwise(F.col(f"r__{k}")).alias(k) for k in key])
+    seen = named.agg(F.max("__other").alias("other"), F.collect_set(F.when(F.col("__fine"), bucket_of(key, buckets))).alias("buckets")).first()  # the log is aligned once
+    return None if seen["other"] else list(seen["buckets"])
 
 
 def touched_after(res: ChangeResult, contract: TableContract, buckets: int, key: list[str], moved: bool) -> list[int] | None:
